@@ -32,6 +32,9 @@ MIXTURE = "mixture"
 KMEANS = "kmeans"
 DEFAULT_SEED = 123
 FIRST_K = 3
+# Candidates fitted at once by default: each EM iteration is a short job, so overlapping
+# candidates hides the driver-side step and scheduling latency of each one.
+DEFAULT_PARALLELISM = 4
 
 
 def mixture(k: int, seed: int = DEFAULT_SEED, features: str = "features", max_iter: int = 100,
@@ -69,21 +72,38 @@ def model_k(model) -> int:
     return int(model.getOrDefault("k"))
 
 
+def iteration_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread a frame that iterative fits will read many times over the cluster's cores.
+
+    Too few partitions (one small file) leave cores idle on every iteration: those get one
+    round-robin shuffle of the compact feature rows. Far too many (a scan of huge input) cost
+    task overhead on every iteration: those are merged without a shuffle (``coalesce``).
+    """
+    target = partitions or df.sparkSession.sparkContext.defaultParallelism
+    current = df.rdd.getNumPartitions()
+    if current < target:
+        return df.repartition(target)
+    if current > 4 * target:
+        return df.coalesce(2 * target)
+    return df
+
+
 @contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Persist ``df`` for the block unless it already is; unpersist what was persisted here.
+def fit_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """The frame iterative fits should read: ``df`` itself when the caller already cached it,
+    else a copy spread by :func:`iteration_layout` and persisted for the block.
 
     MEMORY_AND_DISK spills instead of recomputing; a lost executor's blocks are rebuilt from
     the (short) lineage: scan, filter, fitted feature transforms.
     """
-    mine = not df.is_cached
-    if mine:
-        df.persist(level)
-    try:
+    if df.is_cached:
         yield df
+        return
+    work = iteration_layout(df).persist(level)
+    try:
+        yield work
     finally:
-        if mine:
-            df.unpersist()
+        work.unpersist()
 
 
 @dataclass
@@ -115,7 +135,7 @@ def choose_k(
     max_k: int = 6,
     seed: int = DEFAULT_SEED,
     features: str = "features",
-    parallelism: int = 1,
+    parallelism: int | None = None,
     **params,
 ) -> KSearch:
     """M5 / M6: fit every candidate k (default 3..max_k), score each by silhouette and keep
@@ -126,15 +146,15 @@ def choose_k(
     """
     candidates = sorted(set(ks if ks is not None else range(FIRST_K, max_k + 1)))
     params = dict(params, seed=seed)
-    with persisted(df):
-        if df.select(features).limit(1).count() == 0:
+    with fit_frame(df) as work:
+        if work.select(features).limit(1).count() == 0:
             raise ValueError("k search on an empty frame")
-        workers = max(1, min(parallelism, len(candidates)))
+        workers = max(1, min(parallelism or DEFAULT_PARALLELISM, len(candidates)))
         if workers == 1:
-            results = [_try_k(df, family, k, features, params) for k in candidates]
+            results = [_try_k(work, family, k, features, params) for k in candidates]
         else:
             with ThreadPoolExecutor(max_workers=workers) as pool:
-                results = list(pool.map(lambda k: _try_k(df, family, k, features, params), candidates))
+                results = list(pool.map(lambda k: _try_k(work, family, k, features, params), candidates))
     scores = {k: s for k, s, _, _ in results}
     errors = {k: e for k, _, _, e in results if e}
     for k, e in errors.items():
@@ -167,7 +187,7 @@ def cluster(
     model_path: str | None = None,
     features: str = "features",
     with_silhouette: bool = True,
-    parallelism: int = 1,
+    parallelism: int | None = None,
     ks: Iterable[int] | None = None,
     **params,
 ) -> Clustering:
@@ -181,25 +201,25 @@ def cluster(
         scored = model.transform(df)
         score = silhouette(scored, features=features) if with_silhouette else None
         return Clustering(scored, model, model_k(model), score)
-    if k == 0:
-        search = choose_k(df, family, ks=ks, max_k=max_k, seed=seed, features=features,
-                          parallelism=parallelism, **params)
-        model, score = search.model, search.silhouette
-        if model is None:
-            model = estimator(family, search.k, seed=seed, features=features, **params).fit(df)
-        k = search.k
-    else:
-        model = estimator(family, k, seed=seed, features=features, **params).fit(df)
-        score = None
-    scored = model.transform(df)
-    if score is None and with_silhouette and search is None:
-        try:
-            score = silhouette(scored, features=features)
-        except Exception as err:
-            log.warning("silhouette not available for k=%d: %s", k, err)
+    with fit_frame(df) as work:
+        if k == 0:
+            search = choose_k(work, family, ks=ks, max_k=max_k, seed=seed, features=features,
+                              parallelism=parallelism, **params)
+            model, score, k = search.model, search.silhouette, search.k
+            if model is None:
+                model = estimator(family, k, seed=seed, features=features, **params).fit(work)
+        else:
+            model = estimator(family, k, seed=seed, features=features, **params).fit(work)
+            score = None
+            if with_silhouette:
+                try:
+                    score = silhouette(model.transform(work), features=features)
+                except Exception as err:
+                    log.warning("silhouette not available for k=%d: %s", k, err)
     if model_path:
         model.write().overwrite().save(model_path)
-    return Clustering(scored, model, k, score, search)
+    # scoring is a narrow projection of the caller's frame (no repartition, no shuffle)
+    return Clustering(model.transform(df), model, k, score, search)
 
 
 def segment_prediction(

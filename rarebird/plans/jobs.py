@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from rarebird.functions.columns import run_moment
 from rarebird.operators import metrics as M
 from rarebird.operators.anomaly import DEFAULT_THRESHOLD, FLAG, flag_anomalies, stored_result
-from rarebird.operators.clustering import KMEANS, MIXTURE, cluster
+from rarebird.operators.clustering import KMEANS, MIXTURE, cluster, iteration_layout
 from rarebird.operators.enrich import enrich_and_dedupe
 from rarebird.operators.features import (
     FEATURES,
@@ -70,7 +70,7 @@ def _fail(spark, family, stage, moment, project, metric_table, on_error, err) ->
 
 def _features(df: DataFrame, stages: list, id_col: str) -> tuple[PipelineModel, DataFrame]:
     prep = Pipeline(stages=stages).fit(df)
-    feats = prep.transform(df).select(id_col, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    feats = iteration_layout(prep.transform(df).select(id_col, FEATURES)).persist(StorageLevel.MEMORY_AND_DISK)
     return prep, feats
 
 
@@ -102,7 +102,7 @@ def train_anomaly_model(
     moment: str | None = None,
     project: str = M.PROJECT,
     on_error: str = "raise",
-    parallelism: int = 1,
+    parallelism: int | None = None,
     **fit_params,
 ) -> RunReport:
     """Prepare (index, one-hot, assemble, centred scaling, PCA), search k for a Gaussian
@@ -181,7 +181,7 @@ def bootstrap_anomalies(
     model_seed: int = 123,
     moment: str | None = None,
     project: str = M.PROJECT,
-    parallelism: int = 1,
+    parallelism: int | None = None,
     **fit_params,
 ) -> RunReport:
     """One bootstrap replicate - resample (with replacement), refit preparation and mixture
@@ -222,7 +222,7 @@ def train_segments(
     moment: str | None = None,
     project: str = M.PROJECT,
     on_error: str = "raise",
-    parallelism: int = 1,
+    parallelism: int | None = None,
     **fit_params,
 ) -> RunReport:
     """Prepare (centred scaling, no PCA), search k for k-means, save prep + k-means as one
@@ -298,7 +298,7 @@ def bootstrap_segments(
     model_seed: int = 123,
     moment: str | None = None,
     project: str = M.PROJECT,
-    parallelism: int = 1,
+    parallelism: int | None = None,
     **fit_params,
 ) -> RunReport:
     """One bootstrap replicate of the segmentation (scale-only standardization)."""
