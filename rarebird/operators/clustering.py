@@ -90,20 +90,25 @@ def iteration_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 @contextmanager
 def fit_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """The frame iterative fits should read: ``df`` itself when the caller already cached it,
-    else a copy spread by :func:`iteration_layout` and persisted for the block.
+    """The frame iterative fits should read.
+
+    The rows are persisted once (``df`` itself when the caller already cached it, else a
+    copy spread by :func:`iteration_layout`, persisted for the block). The estimators get a
+    plain projection of it: Spark's mixture and k-means keep their own *deserialized* copy of
+    the training vectors only when their input is not cached, and that copy is what every
+    iteration then reads (about twice as fast as decoding the cached columns each time). The
+    copy is built from the persisted rows, so the source is still scanned once.
 
     MEMORY_AND_DISK spills instead of recomputing; a lost executor's blocks are rebuilt from
     the (short) lineage: scan, filter, fitted feature transforms.
     """
-    if df.is_cached:
-        yield df
-        return
-    work = iteration_layout(df).persist(level)
+    own = not df.is_cached
+    work = iteration_layout(df).persist(level) if own else df
     try:
-        yield work
+        yield work.select(*[F.col(c).alias(c) for c in work.columns])
     finally:
-        work.unpersist()
+        if own:
+            work.unpersist()
 
 
 @dataclass
@@ -118,8 +123,9 @@ class KSearch:
 
 
 def _try_k(df: DataFrame, family: str, k: int, features: str, params: dict):
+    est = estimator(family, k, features=features, **params)  # bad parameters raise, not skip
     try:
-        model = estimator(family, k, features=features, **params).fit(df)
+        model = est.fit(df)
         score = silhouette(model.transform(df), features=features)
         if score is None or math.isnan(score):
             return k, None, None, "silhouette is NaN"
@@ -144,17 +150,21 @@ def choose_k(
 
     An empty input is an error, not a failed candidate.
     """
+    with fit_frame(df) as work:
+        return _search(work, family, ks, max_k, seed, features, parallelism, params)
+
+
+def _search(work, family, ks, max_k, seed, features, parallelism, params) -> KSearch:
     candidates = sorted(set(ks if ks is not None else range(FIRST_K, max_k + 1)))
     params = dict(params, seed=seed)
-    with fit_frame(df) as work:
-        if work.select(features).limit(1).count() == 0:
-            raise ValueError("k search on an empty frame")
-        workers = max(1, min(parallelism or DEFAULT_PARALLELISM, len(candidates)))
-        if workers == 1:
-            results = [_try_k(work, family, k, features, params) for k in candidates]
-        else:
-            with ThreadPoolExecutor(max_workers=workers) as pool:
-                results = list(pool.map(lambda k: _try_k(work, family, k, features, params), candidates))
+    if work.select(features).limit(1).count() == 0:
+        raise ValueError("k search on an empty frame")
+    workers = max(1, min(parallelism or DEFAULT_PARALLELISM, len(candidates)))
+    if workers == 1:
+        results = [_try_k(work, family, k, features, params) for k in candidates]
+    else:
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            results = list(pool.map(lambda k: _try_k(work, family, k, features, params), candidates))
     scores = {k: s for k, s, _, _ in results}
     errors = {k: e for k, _, _, e in results if e}
     for k, e in errors.items():
@@ -203,8 +213,7 @@ def cluster(
         return Clustering(scored, model, model_k(model), score)
     with fit_frame(df) as work:
         if k == 0:
-            search = choose_k(work, family, ks=ks, max_k=max_k, seed=seed, features=features,
-                              parallelism=parallelism, **params)
+            search = _search(work, family, ks, max_k, seed, features, parallelism, params)
             model, score, k = search.model, search.silhouette, search.k
             if model is None:
                 model = estimator(family, k, seed=seed, features=features, **params).fit(work)

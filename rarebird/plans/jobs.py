@@ -69,8 +69,19 @@ def _fail(spark, family, stage, moment, project, metric_table, on_error, err) ->
 
 
 def _features(df: DataFrame, stages: list, id_col: str) -> tuple[PipelineModel, DataFrame]:
-    prep = Pipeline(stages=stages).fit(df)
-    feats = iteration_layout(prep.transform(df).select(id_col, FEATURES)).persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit the preparation and materialize the persisted ``[id, features]`` frame.
+
+    The pruned, filtered input is spread and persisted while the stages are fitted (the
+    indexer, scaler and PCA each read it: four passes), then released once the compact
+    feature frame is built from it, so one scan of the source serves the whole fit phase.
+    """
+    source = iteration_layout(df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prep = Pipeline(stages=stages).fit(source)
+        feats = prep.transform(source).select(id_col, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+        feats.count()
+    finally:
+        source.unpersist()
     return prep, feats
 
 
