@@ -26,6 +26,8 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rarebird.operators.layout import iteration_layout
+
 log = logging.getLogger(__name__)
 
 MIXTURE = "mixture"
@@ -72,22 +74,6 @@ def model_k(model) -> int:
     return int(model.getOrDefault("k"))
 
 
-def iteration_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Spread a frame that iterative fits will read many times over the cluster's cores.
-
-    Too few partitions (one small file) leave cores idle on every iteration: those get one
-    round-robin shuffle of the compact feature rows. Far too many (a scan of huge input) cost
-    task overhead on every iteration: those are merged without a shuffle (``coalesce``).
-    """
-    target = partitions or df.sparkSession.sparkContext.defaultParallelism
-    current = df.rdd.getNumPartitions()
-    if current < target:
-        return df.repartition(target)
-    if current > 4 * target:
-        return df.coalesce(2 * target)
-    return df
-
-
 @contextmanager
 def fit_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """The frame iterative fits should read.
@@ -239,3 +225,25 @@ def segment_prediction(
     result = cluster(df, family=family, k=k, max_k=max_k, seed=seed, trained_model=trained_model,
                      features=features, with_silhouette=False, **params)
     return result.scored.select(F.col(id_col), F.col("prediction").cast("int").alias("prediction"))
+
+
+def k_for_query(
+    spark,
+    source,
+    categorical,
+    id_col: str | None = None,
+    family: str = MIXTURE,
+    scale: str | None = "centred",
+    pca_k: int | None = 4,
+    max_k: int = 6,
+    seed: int = DEFAULT_SEED,
+    **params,
+) -> int:
+    """The cluster count a query's rows call for: read (SQL or DataFrame), drop
+    incomplete rows, prepare (scaled, optionally PCA) and search k by silhouette."""
+    from rarebird.operators.features import drop_incomplete, prepare
+    from rarebird.sources.tables import sql_source
+
+    df = drop_incomplete(sql_source(spark, source))
+    feats = prepare(df, categorical, id_col, scale=scale, pca_k=pca_k).frame
+    return choose_k(feats, family, max_k=max_k, seed=seed, features="features", **params).k

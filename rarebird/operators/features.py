@@ -19,6 +19,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 
+from rarebird.operators.layout import spread
+
 INDEX_SUFFIX = "_index"
 ONEHOT_SUFFIX = "_onehot"
 RAW = "raw_features"
@@ -150,6 +152,7 @@ def prepare(
     output: str = FEATURES,
 ) -> Prepared:
     """Fit F4 (+ scaler, + PCA) on ``df`` and keep ``[id,] features``."""
+    df = spread(df)
     model = preparation_pipeline(df.columns, categorical, id_col, scale, pca_k, output).fit(df)
     keep = ([id_col] if id_col else []) + [output]
     return Prepared(model, model.transform(df).select(*keep))

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from rarebird.functions.columns import run_moment
 from rarebird.operators import metrics as M
 from rarebird.operators.anomaly import DEFAULT_THRESHOLD, FLAG, flag_anomalies, stored_result
-from rarebird.operators.clustering import KMEANS, MIXTURE, cluster, iteration_layout
+from rarebird.operators.clustering import KMEANS, MIXTURE, cluster
+from rarebird.operators.layout import iteration_layout, spread
 from rarebird.operators.enrich import enrich_and_dedupe
 from rarebird.operators.features import (
     FEATURES,
@@ -164,7 +165,7 @@ def predict_anomalies(
     and append the share rows."""
     moment = moment or run_moment()
     try:
-        df = drop_incomplete(sql_source(spark, source))
+        df = spread(drop_incomplete(sql_source(spark, source)))
         model = pipeline if pipeline is not None else load_pipeline(pipeline_path)
         flags = flag_anomalies(model.transform(df), id_col, threshold)
         shares = _shares_after_write(spark, stored_result(flags, id_col), exit_table, FLAG)
@@ -284,7 +285,7 @@ def predict_segments(
     """E5: score with the saved pipeline, store ``id, prediction`` once, append share rows."""
     moment = moment or run_moment()
     try:
-        df = drop_incomplete(sql_source(spark, source))
+        df = spread(drop_incomplete(sql_source(spark, source)))
         model = pipeline if pipeline is not None else load_pipeline(pipeline_path)
         rows = segment_rows(model.transform(df), id_col)
         shares = _shares_after_write(spark, rows, exit_table, "prediction")

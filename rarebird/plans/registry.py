@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from rarebird.functions.columns import membership_flag
 from rarebird.operators import metrics as M
-from rarebird.operators.clustering import KMEANS, choose_k, cluster, silhouette
+from rarebird.operators.clustering import KMEANS, cluster, k_for_query, segment_prediction, silhouette
 from rarebird.operators.enrich import dedupe, enrich
 from rarebird.operators.features import (
     FEATURES,
@@ -27,6 +27,7 @@ from rarebird.operators.features import (
     SCALE_ONLY,
     category_indexer,
     drop_incomplete,
+    inference_features,
     one_hot_encoder,
     prepare,
     prepare_supervised,
@@ -208,14 +209,15 @@ SELECT li.line_id,
 FROM li JOIN rf ON li.l_returnflag = rf.v JOIN ls ON li.l_linestatus = ls.v
 """)
 def q_assemble(spark, sf_dir):
-    """Role split (numeric = the rest, frame order) + one-hot + assembler, unscaled."""
+    """Inference features: role split (numeric = the rest, frame order) + one-hot + assembler,
+    unscaled."""
     li = lineitem(spark, sf_dir)
-    prep = prepare(li, ["l_returnflag", "l_linestatus"], "line_id", scale=None)
+    feats = inference_features(li, ["l_returnflag", "l_linestatus"], "line_id")
     arr = vector_to_array(F.col(FEATURES))
     cols = [arr[i].alias(f"f_{i}") for i in range(9)]
     cols[2] = (arr[2] + F.lit(0.0)).alias("f_2")
     cols[3] = (arr[3] + F.lit(0.0)).alias("f_3")
-    return prep.frame.select("line_id", *cols)
+    return feats.select("line_id", *cols)
 
 
 # --------------------------------------------------------------------------- F5 / F6
@@ -668,3 +670,101 @@ def q_anomaly_train_failure(spark, sf_dir):
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     report = jobs.train_anomaly_model(spark, cust, None, "c_custkey", moment=CHECK_MOMENT, on_error="record")
     return monitoring_check(report.metrics)
+
+
+# --------------------------------------------------------------------------- S2 / M11 / M12
+
+
+@register("bounded_source", f"SELECT * FROM ({LINEITEM_SQL}) li LIMIT 500000")
+def q_bounded_source(spark, sf_dir):
+    """At most 500,000 rows of the source (the size bound the original model loader used);
+    at test scales the bound keeps every row, so the rows are deterministic."""
+    return S_tables.bounded(lineitem(spark, sf_dir), 500000)
+
+
+@register("k_for_query", f"SELECT CAST(count(DISTINCT l_returnflag) AS BIGINT) AS k FROM ({SEPARATED_SQL}) sep")
+def q_k_for_query(spark, sf_dir):
+    """The k a SQL query's rows call for (k-means, scaled, no PCA): the three flags."""
+    view = "rarebird_check_separated"
+    separated(spark, sf_dir).select("line_id", "x1", "x2").createOrReplaceTempView(view)
+    k = k_for_query(spark, f"SELECT * FROM {view}", None, "line_id", family=KMEANS, pca_k=None)
+    return table(spark, sf_dir, "lineitem").agg(F.lit(k).cast("bigint").alias("k"))
+
+
+@register("segment_prediction", f"""
+WITH sep AS ({SEPARATED_SQL})
+SELECT line_id, min(line_id) OVER (PARTITION BY l_returnflag) AS segment_key FROM sep
+""")
+def q_segment_prediction(spark, sf_dir):
+    """``id, prediction`` from a k search on separated rows, clusters named by smallest id."""
+    sep = separated(spark, sf_dir).select("line_id", "x1", "x2")
+    feats = prepare(sep, None, "line_id", scale=SCALE_CENTRED).frame
+    return segment_keys(segment_prediction(feats, "line_id", family=KMEANS, k=0))
+
+
+# --------------------------------------------------------------------------- E1-E8 composed (rows only)
+
+
+def _job_settings(spark, sf_dir) -> dict:
+    """Settings in the nested layout of the original jobs, over the test tables."""
+    lineitem(spark, sf_dir).createOrReplaceTempView("rarebird_check_lineitem")
+    table(spark, sf_dir, "orders").createOrReplaceTempView("rarebird_check_orders")
+    names = {n: check_table(spark, n) for n in (
+        "anom_train", "anom_predict", "enriched_train", "enriched_predict", "segments", "mon_anom", "mon_seg")}
+    for name, path in names.values():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    cross = (
+        "SELECT o.o_orderkey AS order_id, o.o_totalprice, o.o_orderpriority, a.anomalies "
+        "FROM {t} a JOIN rarebird_check_lineitem l ON a.line_id = CAST(l.line_id AS STRING) "
+        "JOIN rarebird_check_orders o ON CAST(FLOOR(l.line_id / 8) AS BIGINT) = o.o_orderkey"
+    )
+    return {
+        "tablas_salida": {
+            "exitTable_anomalies_train": names["anom_train"][0],
+            "exitTable_anomalies_predict": names["anom_predict"][0],
+            "exitTableSegmentation": names["segments"][0],
+            "exitTable_resultado_enriquecido_train": names["enriched_train"][0],
+            "exitTable_resultado_enriquecido_predict": names["enriched_predict"][0],
+        },
+        "columnas_identificacion": {"anomalias": "line_id", "segmentacion": "order_id"},
+        "columnas_categoricas": {"anomalias": "l_returnflag,l_linestatus", "segmentacion": "o_orderpriority"},
+        "consultas": {
+            "anomalias_entrenamiento": "SELECT * FROM rarebird_check_lineitem",
+            "anomalias_prediccion": "SELECT * FROM rarebird_check_lineitem",
+            "cruce_resultado_entrenamiento": cross.format(t=names["anom_train"][0]),
+            "cruce_resultado_prediccion": cross.format(t=names["anom_predict"][0]),
+            "segmentacion_entrenamiento": f"SELECT * FROM {names['enriched_train'][0]}",
+            "segmentacion_prediccion": f"SELECT * FROM {names['enriched_predict'][0]}",
+        },
+        "threshold": "0.7",
+        "modelos": {
+            "anomalias": shared_path(spark, "models", "job_anomalies", unique=True),
+            "segmentacion": shared_path(spark, "models", "job_segments", unique=True),
+        },
+        "tablas_monitoreo": {"monitoring_anomalies": names["mon_anom"][0],
+                             "monitoring_segmentation": names["mon_seg"][0]},
+    }
+
+
+@register("train_predict_job")
+def q_train_predict_job(spark, sf_dir):
+    """Training job then prediction job over lineitem (anomalies) and the orders enriched with
+    their flags (segments); the rows are everything appended to both monitoring tables."""
+    settings = _job_settings(spark, sf_dir)
+    train = jobs.training_job(spark, jobs.JobConfig.from_mapping(settings, "train"), moment=CHECK_MOMENT,
+                              on_error="raise")
+    jobs.prediction_job(spark, jobs.JobConfig.from_mapping(settings, "predict"), moment=CHECK_MOMENT,
+                        on_error="raise")
+    mon = settings["tablas_monitoreo"]
+    return spark.table(mon["monitoring_anomalies"]).unionByName(spark.table(mon["monitoring_segmentation"]))
+
+
+@register("bootstrap_job")
+def q_bootstrap_job(spark, sf_dir):
+    """One bootstrap replicate of each model (half-size resample for anomalies, full-size for
+    segments): the share rows they append."""
+    li = lineitem(spark, sf_dir)
+    cats = ["l_returnflag", "l_linestatus"]
+    a = jobs.bootstrap_anomalies(spark, li, cats, "line_id", seed=17, moment=CHECK_MOMENT)
+    s = jobs.bootstrap_segments(spark, li, cats, "line_id", seed=17, moment=CHECK_MOMENT)
+    return M.monitoring_union([a.metrics, s.metrics])
