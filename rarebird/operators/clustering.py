@@ -34,9 +34,12 @@ MIXTURE = "mixture"
 KMEANS = "kmeans"
 DEFAULT_SEED = 123
 FIRST_K = 3
-# Candidates fitted at once by default: each EM iteration is a short job, so overlapping
-# candidates hides the driver-side step and scheduling latency of each one.
+# Candidates fitted at once by default when tasks are short (latency-bound iterations:
+# overlapping candidates hides each one's driver-side step and scheduling delay). With long,
+# CPU-bound tasks concurrency gains nothing and only multiplies the estimators' in-memory
+# copies of the training vectors, so candidates then run one after another.
 DEFAULT_PARALLELISM = 4
+SHORT_TASK_ROWS = 200_000
 
 
 def mixture(k: int, seed: int = DEFAULT_SEED, features: str = "features", max_iter: int = 100,
@@ -143,9 +146,13 @@ def choose_k(
 def _search(work, family, ks, max_k, seed, features, parallelism, params) -> KSearch:
     candidates = sorted(set(ks if ks is not None else range(FIRST_K, max_k + 1)))
     params = dict(params, seed=seed)
-    if work.select(features).limit(1).count() == 0:
+    rows = work.count()  # the frame is persisted: a cheap count
+    if rows == 0:
         raise ValueError("k search on an empty frame")
-    workers = max(1, min(parallelism or DEFAULT_PARALLELISM, len(candidates)))
+    if parallelism is None:
+        short = rows / max(1, work.rdd.getNumPartitions()) < SHORT_TASK_ROWS
+        parallelism = DEFAULT_PARALLELISM if short else 1
+    workers = max(1, min(parallelism, len(candidates)))
     if workers == 1:
         results = [_try_k(work, family, k, features, params) for k in candidates]
     else:

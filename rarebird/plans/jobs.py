@@ -69,7 +69,7 @@ def _fail(spark, family, stage, moment, project, metric_table, on_error, err) ->
     return RunReport(metrics=row, error=err)
 
 
-def _features(df: DataFrame, stages: list, id_col: str) -> tuple[PipelineModel, DataFrame]:
+def fit_features(df: DataFrame, stages: list, id_col: str) -> tuple[PipelineModel, DataFrame]:
     """Fit the preparation and materialize the persisted ``[id, features]`` frame.
 
     The pruned, filtered input is spread and persisted while the stages are fitted (the
@@ -86,6 +86,15 @@ def _features(df: DataFrame, stages: list, id_col: str) -> tuple[PipelineModel,
     return prep, feats
 
 
+
+def _fit_rows(df: DataFrame, fit_fraction: float | None, seed: int) -> DataFrame:
+    """The rows the fits read: all of them, or a Bernoulli sample when ``fit_fraction`` is set
+    (scoring still covers every row)."""
+    if fit_fraction is None or fit_fraction >= 1.0:
+        return df
+    return df.sample(withReplacement=False, fraction=fit_fraction, seed=seed)
+
+
 def _shares_after_write(spark: SparkSession, rows: DataFrame, exit_table: str | None, class_col: str) -> DataFrame:
     """Write the result once (if asked) and aggregate the shares from what was written."""
     if exit_table:
@@ -115,22 +124,27 @@ def train_anomaly_model(
     project: str = M.PROJECT,
     on_error: str = "raise",
     parallelism: int | None = None,
+    fit_fraction: float | None = None,
     **fit_params,
 ) -> RunReport:
     """Prepare (index, one-hot, assemble, centred scaling, PCA), search k for a Gaussian
     mixture by silhouette, save prep + mixture as one pipeline, flag rows no component claims
-    with at least ``threshold``, store the flags and append the monitoring rows."""
+    with at least ``threshold``, store the flags and append the monitoring rows.
+
+    ``fit_fraction`` fits on a sample of the rows (bounding the EM cost on huge inputs); the
+    flags are still computed for every row."""
     moment = moment or run_moment()
     feats = None
     try:
         df = drop_incomplete(sql_source(spark, source))
         stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_CENTRED, pca_k=pca_k)
-        prep, feats = _features(df, stages, id_col)
+        prep, feats = fit_features(_fit_rows(df, fit_fraction, seed), stages, id_col)
         fit = cluster(feats, MIXTURE, k=0, max_k=max_k, seed=seed, ks=ks, parallelism=parallelism, **fit_params)
         pipeline = join_stages(prep, fit.model)
         if pipeline_path:
             save_model(pipeline, pipeline_path)
-        flags = flag_anomalies(fit.scored, id_col, threshold)
+        scored = fit.scored if fit_fraction is None else pipeline.transform(spread(df))
+        flags = flag_anomalies(scored, id_col, threshold)
         shares = _shares_after_write(spark, stored_result(flags, id_col), exit_table, FLAG)
         metrics = M.monitoring_union([
             M.anomaly_metric_rows(shares, moment, "train", project),
@@ -202,7 +216,7 @@ def bootstrap_anomalies(
     moment = moment or run_moment()
     df = bootstrap_sample(drop_incomplete(sql_source(spark, source)), fraction, seed)
     stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_CENTRED, pca_k=pca_k)
-    prep, feats = _features(df, stages, id_col)
+    prep, feats = fit_features(df, stages, id_col)
     try:
         fit = cluster(feats, MIXTURE, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, **fit_params)
         flags = flag_anomalies(fit.scored, id_col, threshold)
@@ -235,21 +249,24 @@ def train_segments(
     project: str = M.PROJECT,
     on_error: str = "raise",
     parallelism: int | None = None,
+    fit_fraction: float | None = None,
     **fit_params,
 ) -> RunReport:
     """Prepare (centred scaling, no PCA), search k for k-means, save prep + k-means as one
-    pipeline and append one share row per segment (named by ascending share)."""
+    pipeline and append one share row per segment (named by ascending share).
+    ``fit_fraction`` as in :func:`train_anomaly_model`."""
     moment = moment or run_moment()
     feats = None
     try:
         df = drop_incomplete(sql_source(spark, source))
         stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_CENTRED)
-        prep, feats = _features(df, stages, id_col)
+        prep, feats = fit_features(_fit_rows(df, fit_fraction, seed), stages, id_col)
         fit = cluster(feats, KMEANS, k=0, max_k=max_k, seed=seed, ks=ks, parallelism=parallelism, **fit_params)
         pipeline = join_stages(prep, fit.model)
         if pipeline_path:
             save_model(pipeline, pipeline_path)
-        scored = fit.scored.select(id_col, F.col("prediction").cast("int").alias("prediction"))
+        scored = fit.scored if fit_fraction is None else pipeline.transform(spread(df))
+        scored = scored.select(id_col, F.col("prediction").cast("int").alias("prediction"))
         shares = M.class_share(scored.select("prediction"), "prediction")
         metrics = M.segment_metric_rows(shares, moment, "train", project)
         if metric_table:
@@ -317,7 +334,7 @@ def bootstrap_segments(
     moment = moment or run_moment()
     df = drop_incomplete(bootstrap_sample(sql_source(spark, source), fraction, seed))
     stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_ONLY)
-    prep, feats = _features(df, stages, id_col)
+    prep, feats = fit_features(df, stages, id_col)
     try:
         fit = cluster(feats, KMEANS, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, **fit_params)
         scored = fit.scored.select(id_col, F.col("prediction").cast("int").alias("prediction"))

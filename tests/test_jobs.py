@@ -127,3 +127,11 @@ def test_composed_jobs_from_settings(spark, li, scratch_dir):
     pred = jobs.prediction_job(spark, jobs.JobConfig.from_mapping(settings, "predict"), moment=MOMENT)
     assert pred.anomalies.error is None and pred.segments.error is None
     assert spark.table("rb_job_seg").count() == spark.table("rb_job_enr_p").count()
+
+
+def test_fit_fraction_fits_on_sample_scores_all(spark, li):
+    rep = jobs.train_segments(spark, li, ["l_returnflag", "l_linestatus"], "line_id", ks=[3], moment=MOMENT,
+                              fit_fraction=0.3)
+    assert rep.result.count() == li.count()
+    rows = rep.metrics.collect()
+    assert len(rows) == 3 and abs(sum(r.valor_indicador for r in rows) - 100.0) < 1e-3
