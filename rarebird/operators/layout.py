@@ -6,25 +6,53 @@
 * :func:`iteration_layout` - frames that iterative fits read many times: spread when too
   few partitions, merged without a shuffle (``coalesce``) when far too many, since every
   iteration pays per-task overhead.
+
+Both read the partition count only when it is known without running anything: for a plan
+with an exchange, asking for its RDD would run the shuffle's map stages (under AQE) just to
+count, and the real action would run them again. Such frames are left as they are.
 """
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
+
 from pyspark.sql import DataFrame
 
+_EXCHANGE = re.compile(r"\b(Broadcast)?Exchange\b")
+
 
 def cores(df: DataFrame) -> int:
     return max(1, df.sparkSession.sparkContext.defaultParallelism)
 
 
+def has_exchange(df: DataFrame) -> bool:
+    """Whether the physical plan shuffles or broadcasts (planning only, nothing runs)."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return bool(_EXCHANGE.search(out.getvalue()))
+
+
+def partition_count(df: DataFrame) -> int | None:
+    """Partitions of an exchange-free plan (its scan splits); ``None`` when not free to know."""
+    if has_exchange(df):
+        return None
+    return df.rdd.getNumPartitions()
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     target = partitions or cores(df)
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    current = partition_count(df)
+    return df.repartition(target) if current is not None and current < target else df
 
 
 def iteration_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
     target = partitions or cores(df)
-    current = df.rdd.getNumPartitions()
+    current = partition_count(df)
+    if current is None:
+        return df
     if current < target:
         return df.repartition(target)
     if current > 4 * target:

@@ -41,7 +41,7 @@ from rarebird.operators.features import (
 )
 from rarebird.operators.sampling import bootstrap_sample
 from rarebird.sources.models import join_stages, load_pipeline, save_model
-from rarebird.sources.tables import append_table, overwrite_table, refresh, sql_source
+from rarebird.sources.tables import append_table, overwrite_table, refresh, sql_source, table_location
 
 log = logging.getLogger(__name__)
 
@@ -59,10 +59,10 @@ class RunReport:
     error: BaseException | None = None
 
 
-def _fail(spark, family, stage, moment, project, metric_table, on_error, err) -> RunReport:
+def _fail(spark, family, stage, moment, project, metric_table, on_error, err, table_root=None) -> RunReport:
     row = M.failure_row(spark, family, stage, moment, project)
     if metric_table:
-        append_table(row, metric_table)
+        append_table(row, metric_table, path=table_location(table_root, metric_table))
     if on_error == "raise":
         raise err
     log.error("%s %s failed: %s", family, stage, err)
@@ -95,10 +95,11 @@ def _fit_rows(df: DataFrame, fit_fraction: float | None, seed: int) -> DataFrame
     return df.sample(withReplacement=False, fraction=fit_fraction, seed=seed)
 
 
-def _shares_after_write(spark: SparkSession, rows: DataFrame, exit_table: str | None, class_col: str) -> DataFrame:
+def _shares_after_write(spark: SparkSession, rows: DataFrame, exit_table: str | None, class_col: str,
+                        table_root: str | None = None) -> DataFrame:
     """Write the result once (if asked) and aggregate the shares from what was written."""
     if exit_table:
-        overwrite_table(rows, exit_table)
+        overwrite_table(rows, exit_table, path=table_location(table_root, exit_table))
         refresh(spark, exit_table)
         return M.class_share(spark.table(exit_table).select(class_col), class_col)
     return M.class_share(rows.select(class_col), class_col)
@@ -123,6 +124,7 @@ def train_anomaly_model(
     moment: str | None = None,
     project: str = M.PROJECT,
     on_error: str = "raise",
+    table_root: str | None = None,
     parallelism: int | None = None,
     fit_fraction: float | None = None,
     **fit_params,
@@ -145,18 +147,18 @@ def train_anomaly_model(
             save_model(pipeline, pipeline_path)
         scored = fit.scored if fit_fraction is None else pipeline.transform(spread(df))
         flags = flag_anomalies(scored, id_col, threshold)
-        shares = _shares_after_write(spark, stored_result(flags, id_col), exit_table, FLAG)
+        shares = _shares_after_write(spark, stored_result(flags, id_col), exit_table, FLAG, table_root)
         metrics = M.monitoring_union([
             M.anomaly_metric_rows(shares, moment, "train", project),
             M.model_metric_rows(spark, fit.silhouette, fit.k, moment, project),
         ])
         if metric_table:
-            append_table(metrics, metric_table)
+            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
         result = spark.table(exit_table) if exit_table else flags
         return RunReport(metrics, result, pipeline, fit.k, fit.silhouette,
                          fit.search.scores if fit.search else {})
     except Exception as err:
-        return _fail(spark, "anomaly", "train", moment, project, metric_table, on_error, err)
+        return _fail(spark, "anomaly", "train", moment, project, metric_table, on_error, err, table_root)
     finally:
         if feats is not None:
             feats.unpersist()
@@ -173,6 +175,7 @@ def predict_anomalies(
     moment: str | None = None,
     project: str = M.PROJECT,
     on_error: str = "raise",
+    table_root: str | None = None,
     pipeline: PipelineModel | None = None,
 ) -> RunReport:
     """Score with the saved pipeline (one narrow, shuffle-free stage), flag, store once,
@@ -182,14 +185,14 @@ def predict_anomalies(
         df = spread(drop_incomplete(sql_source(spark, source)))
         model = pipeline if pipeline is not None else load_pipeline(pipeline_path)
         flags = flag_anomalies(model.transform(df), id_col, threshold)
-        shares = _shares_after_write(spark, stored_result(flags, id_col), exit_table, FLAG)
+        shares = _shares_after_write(spark, stored_result(flags, id_col), exit_table, FLAG, table_root)
         metrics = M.anomaly_metric_rows(shares, moment, "predict", project)
         if metric_table:
-            append_table(metrics, metric_table)
+            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
         result = spark.table(exit_table) if exit_table else flags
         return RunReport(metrics, result, model)
     except Exception as err:
-        return _fail(spark, "anomaly", "predict", moment, project, metric_table, on_error, err)
+        return _fail(spark, "anomaly", "predict", moment, project, metric_table, on_error, err, table_root)
 
 
 def bootstrap_anomalies(
@@ -208,6 +211,7 @@ def bootstrap_anomalies(
     moment: str | None = None,
     project: str = M.PROJECT,
     parallelism: int | None = None,
+    table_root: str | None = None,
     **fit_params,
 ) -> RunReport:
     """One bootstrap replicate - resample (with replacement), refit preparation and mixture
@@ -226,7 +230,7 @@ def bootstrap_anomalies(
             M.model_metric_rows(spark, fit.silhouette, fit.k, moment, project),
         ])
         if metric_table:
-            append_table(metrics, metric_table)
+            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
         return RunReport(metrics, flags, join_stages(prep, fit.model), fit.k, fit.silhouette)
     finally:
         feats.unpersist()
@@ -248,6 +252,7 @@ def train_segments(
     moment: str | None = None,
     project: str = M.PROJECT,
     on_error: str = "raise",
+    table_root: str | None = None,
     parallelism: int | None = None,
     fit_fraction: float | None = None,
     **fit_params,
@@ -270,11 +275,11 @@ def train_segments(
         shares = M.class_share(scored.select("prediction"), "prediction")
         metrics = M.segment_metric_rows(shares, moment, "train", project)
         if metric_table:
-            append_table(metrics, metric_table)
+            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
         return RunReport(metrics, scored, pipeline, fit.k, fit.silhouette,
                          fit.search.scores if fit.search else {})
     except Exception as err:
-        return _fail(spark, "segment", "train", moment, project, metric_table, on_error, err)
+        return _fail(spark, "segment", "train", moment, project, metric_table, on_error, err, table_root)
     finally:
         if feats is not None:
             feats.unpersist()
@@ -297,6 +302,7 @@ def predict_segments(
     moment: str | None = None,
     project: str = M.PROJECT,
     on_error: str = "raise",
+    table_root: str | None = None,
     pipeline: PipelineModel | None = None,
 ) -> RunReport:
     """E5: score with the saved pipeline, store ``id, prediction`` once, append share rows."""
@@ -305,13 +311,13 @@ def predict_segments(
         df = spread(drop_incomplete(sql_source(spark, source)))
         model = pipeline if pipeline is not None else load_pipeline(pipeline_path)
         rows = segment_rows(model.transform(df), id_col)
-        shares = _shares_after_write(spark, rows, exit_table, "prediction")
+        shares = _shares_after_write(spark, rows, exit_table, "prediction", table_root)
         metrics = M.segment_metric_rows(shares, moment, "predict", project)
         if metric_table:
-            append_table(metrics, metric_table)
+            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
         return RunReport(metrics, spark.table(exit_table) if exit_table else rows, model)
     except Exception as err:
-        return _fail(spark, "segment", "predict", moment, project, metric_table, on_error, err)
+        return _fail(spark, "segment", "predict", moment, project, metric_table, on_error, err, table_root)
 
 
 def bootstrap_segments(
@@ -328,6 +334,7 @@ def bootstrap_segments(
     moment: str | None = None,
     project: str = M.PROJECT,
     parallelism: int | None = None,
+    table_root: str | None = None,
     **fit_params,
 ) -> RunReport:
     """One bootstrap replicate of the segmentation (scale-only standardization)."""
@@ -341,7 +348,7 @@ def bootstrap_segments(
         shares = M.class_share(scored.select("prediction"), "prediction")
         metrics = M.segment_metric_rows(shares, moment, "train", project)
         if metric_table:
-            append_table(metrics, metric_table)
+            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
         return RunReport(metrics, scored, join_stages(prep, fit.model), fit.k, fit.silhouette)
     finally:
         feats.unpersist()
@@ -370,9 +377,10 @@ class JobConfig:
     segment_metric_table: str | None = None
     threshold: float = DEFAULT_THRESHOLD
     dedupe_order: list[str] | None = None
+    table_root: str | None = None
 
     @classmethod
-    def from_mapping(cls, params: dict, stage: str = "train") -> "JobConfig":
+    def from_mapping(cls, params: dict, stage: str = "train", table_root: str | None = None) -> "JobConfig":
         """Build from the nested settings layout the original jobs read (``stage`` picks the
         train or predict entries)."""
         # The setting names of that layout.
@@ -397,6 +405,7 @@ class JobConfig:
             anomaly_metric_table=monitor.get("monitoring_anomalies"),
             segment_metric_table=monitor.get("monitoring_segmentation"),
             threshold=float(params.get("threshold", DEFAULT_THRESHOLD)),
+            table_root=table_root,
         )
 
 
@@ -409,7 +418,7 @@ class JobReport:
 
 def _enrich_step(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     enriched = enrich_and_dedupe(spark, cfg.enrich_query, cfg.segment_id, cfg.dedupe_order)
-    overwrite_table(enriched, cfg.enriched_table)
+    overwrite_table(enriched, cfg.enriched_table, path=table_location(cfg.table_root, cfg.enriched_table))
     refresh(spark, cfg.enriched_table)
     return spark.table(cfg.enriched_table)
 
@@ -422,12 +431,12 @@ def training_job(spark: SparkSession, cfg: JobConfig, moment: str | None = None,
     anomalies = train_anomaly_model(
         spark, cfg.anomaly_query, cfg.anomaly_categorical, cfg.anomaly_id, cfg.anomaly_metric_table,
         cfg.anomaly_pipeline, cfg.threshold, cfg.anomaly_exit_table, moment=moment, on_error=on_error,
-        **fit_params,
+        table_root=cfg.table_root, **fit_params,
     )
     enriched = _enrich_step(spark, cfg)
     segments = train_segments(
         spark, cfg.segment_query, cfg.segment_categorical, cfg.segment_id, cfg.segment_metric_table,
-        cfg.segment_pipeline, moment=moment, on_error=on_error, **fit_params,
+        cfg.segment_pipeline, moment=moment, on_error=on_error, table_root=cfg.table_root, **fit_params,
     )
     return JobReport(anomalies, enriched, segments)
 
@@ -438,11 +447,11 @@ def prediction_job(spark: SparkSession, cfg: JobConfig, moment: str | None = Non
     moment = moment or run_moment()
     anomalies = predict_anomalies(
         spark, cfg.anomaly_query, cfg.anomaly_id, cfg.anomaly_pipeline, cfg.threshold, cfg.anomaly_exit_table,
-        cfg.anomaly_metric_table, moment=moment, on_error=on_error,
+        cfg.anomaly_metric_table, moment=moment, on_error=on_error, table_root=cfg.table_root,
     )
     enriched = _enrich_step(spark, cfg)
     segments = predict_segments(
         spark, cfg.segment_query, cfg.segment_id, cfg.segment_exit_table, cfg.segment_pipeline,
-        cfg.segment_metric_table, moment=moment, on_error=on_error,
+        cfg.segment_metric_table, moment=moment, on_error=on_error, table_root=cfg.table_root,
     )
     return JobReport(anomalies, enriched, segments)

@@ -751,10 +751,11 @@ def q_train_predict_job(spark, sf_dir):
     """Training job then prediction job over lineitem (anomalies) and the orders enriched with
     their flags (segments); the rows are everything appended to both monitoring tables."""
     settings = _job_settings(spark, sf_dir)
-    train = jobs.training_job(spark, jobs.JobConfig.from_mapping(settings, "train"), moment=CHECK_MOMENT,
-                              on_error="raise")
-    jobs.prediction_job(spark, jobs.JobConfig.from_mapping(settings, "predict"), moment=CHECK_MOMENT,
-                        on_error="raise")
+    root = shared_path(spark, "tables", "jobs", unique=True)
+    jobs.training_job(spark, jobs.JobConfig.from_mapping(settings, "train", table_root=root), moment=CHECK_MOMENT,
+                      on_error="raise")
+    jobs.prediction_job(spark, jobs.JobConfig.from_mapping(settings, "predict", table_root=root),
+                        moment=CHECK_MOMENT, on_error="raise")
     mon = settings["tablas_monitoreo"]
     return spark.table(mon["monitoring_anomalies"]).unionByName(spark.table(mon["monitoring_segmentation"]))
 

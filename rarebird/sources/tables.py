@@ -36,8 +36,9 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet", path: str |
     writer.saveAsTable(name)
 
 
-def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    """Append rows; against an existing table, columns are matched by name."""
+def append_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> None:
+    """Append rows; against an existing table, columns are matched by name. ``path``
+    places the files of a table created by this call."""
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
         target = [f.name for f in spark.table(name).schema.fields]
@@ -45,7 +46,11 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
         if missing:
             raise ValueError(f"rows for {name} lack columns {sorted(missing)}")
         df = df.select(*target)
-    df.write.format(fmt).mode("append").saveAsTable(name)
+        path = None
+    writer = df.write.format(fmt).mode("append")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 
 
 def replace_table_ctas(
@@ -62,6 +67,13 @@ def replace_table_ctas(
         spark.catalog.dropTempView(view)
 
 
+def table_location(root: str | None, name: str | None) -> str | None:
+    """Where a job puts table ``name`` under ``root`` (``None``: the catalog decides)."""
+    if not root or not name:
+        return None
+    return f"{root.rstrip('/')}/{name.replace('.', '/')}"
+
+
 def refresh(spark: SparkSession, name: str) -> None:
     """Drop cached metadata / file listings of a table after it was rewritten."""
     spark.catalog.refreshTable(name)

@@ -122,10 +122,25 @@ def test_segment_prediction_columns(spark):
 def test_iteration_layout_spreads_single_partition(spark):
     df = _blobs(spark).coalesce(1)
     assert iteration_layout(df, 4).rdd.getNumPartitions() == 4
-    many = _blobs(spark).repartition(40)
+    many = spark.range(0, 1000, 1, 40)
     assert iteration_layout(many, 4).rdd.getNumPartitions() == 8
 
 
+def test_layout_never_runs_a_shuffle_to_count(spark):
+    from rarebird.operators.layout import spread
+
+    tracker = spark.sparkContext.statusTracker()
+    shuffled = spark.range(0, 1000, 1, 3).groupBy((F.col("id") % 7).alias("k")).count()
+    group = "layout-probe"
+    spark.sparkContext.setJobGroup(group, "layout")
+    try:
+        spread(shuffled)
+        iteration_layout(shuffled)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tracker.getJobIdsForGroup(group) == []
+
+
 def test_scoring_is_narrow(spark):
     df = _blobs(spark)
     res = cluster(df, MIXTURE, k=3, with_silhouette=False)

@@ -90,3 +90,14 @@ def test_preparation_is_narrow(spark):
     model = preparation_pipeline(df.columns, ["c"], "id", scale=SCALE_CENTRED, pca_k=2).fit(df)
     plan = model.transform(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_drop_incomplete_equals_na_drop_and_pushes_not_null(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_totalprice")).alias("p"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(float("nan"))).otherwise(F.lit(1.0)).alias("q"),
+        "o_orderpriority")
+    assert sorted(drop_incomplete(df).collect()) == sorted(df.na.drop().collect())
+    raw = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_totalprice")
+    plan = drop_incomplete(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(o_totalprice)" in plan
