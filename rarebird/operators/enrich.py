@@ -20,9 +20,55 @@ from pyspark.sql import types as T
 _ORDER_PREFIX = "__order_"
 
 
-def enrich(result: DataFrame, source: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join the stored result with any other table."""
-    return result.join(source, on=on, how=how)
+_SALT = "__salt"
+_SALTABLE = {"inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"}
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.05) -> list:
+    """Key values that may hold more than ``share`` of the rows: one pass of Spark's
+    frequent-items sketch, so at most ``1 / share`` values (false positives possible, misses
+    not) come back to the driver."""
+    row = df.stat.freqItems([key], support=share).first()
+    return [v for v in (row[0] or []) if v is not None]
+
+
+def enrich(
+    result: DataFrame,
+    source: DataFrame,
+    on,
+    how: str = "inner",
+    skew_keys: Sequence | str | None = None,
+    salt_buckets: int = 16,
+    hot_share: float = 0.05,
+    seed: int = 7,
+) -> DataFrame:
+    """Join the stored result with any other table.
+
+    Without ``skew_keys`` this is a plain equi-join (AQE picks broadcast by runtime size and
+    splits skewed partitions). With ``skew_keys`` (a list of values, or ``"auto"`` to find
+    the keys above ``hot_share`` of the result's rows) the rows of those keys are spread over
+    ``salt_buckets`` random buckets on the result side and only the matching source rows are
+    replicated once per bucket, so no task receives a hot key whole. Every result row still
+    meets each of its source rows exactly once. ``on`` must then be one column name.
+    """
+    if skew_keys is None:
+        return result.join(source, on=on, how=how)
+    if not isinstance(on, str):
+        raise TypeError("salting needs 'on' as one column name")
+    if how.lower() not in _SALTABLE:
+        raise ValueError(f"salting keeps rows whole only for inner / left / semi / anti joins, not {how!r}")
+    keys = hot_keys(result, on, hot_share) if isinstance(skew_keys, str) and skew_keys == "auto" else list(skew_keys)
+    if not keys:
+        return result.join(source, on=on, how=how)
+    hot_left = F.col(on).isin(keys)
+    left = result.withColumn(
+        _SALT, F.when(hot_left, (F.rand(seed) * salt_buckets).cast("int")).otherwise(F.lit(0))
+    )
+    every = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
+    right = source.withColumn(
+        _SALT, F.explode(F.when(F.col(on).isin(keys), every).otherwise(F.array(F.lit(0))))
+    )
+    return left.join(right, on=[on, _SALT], how=how).drop(_SALT)
 
 
 def _negated(expr: Column, dtype: T.DataType) -> Column:

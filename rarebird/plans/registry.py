@@ -769,3 +769,24 @@ def q_bootstrap_job(spark, sf_dir):
     a = jobs.bootstrap_anomalies(spark, li, cats, "line_id", seed=17, moment=CHECK_MOMENT)
     s = jobs.bootstrap_segments(spark, li, cats, "line_id", seed=17, moment=CHECK_MOMENT)
     return M.monitoring_union([a.metrics, s.metrics])
+
+
+@register("enrich_skewed", """
+SELECT o.cust, o.o_orderkey, o.o_totalprice, c.c_name, c.c_mktsegment
+FROM (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE o_custkey END AS cust, o_totalprice
+      FROM orders) o
+JOIN customer c ON o.cust = c.c_custkey
+""")
+def q_enrich_skewed(spark, sf_dir):
+    """Enrichment where one customer key holds a fifth of the orders: the hot key is found by
+    the frequent-items sketch and salted; the rows equal the plain join."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(0).cast("bigint")).otherwise(F.col("o_custkey"))
+        .alias("cust"),
+        "o_totalprice",
+    )
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cust"), "c_name", "c_mktsegment")
+    return enrich(o, c, "cust", skew_keys="auto", hot_share=0.1).select(
+        "cust", "o_orderkey", "o_totalprice", "c_name", "c_mktsegment"
+    )

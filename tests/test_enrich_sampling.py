@@ -64,3 +64,29 @@ def test_bootstrap_size_and_repeats(spark):
     n = s.count()
     assert 9000 < n < 11000
     assert s.groupBy("id").count().filter("count > 1").count() > 0
+
+
+def test_salted_enrich_equals_plain_join(spark):
+    from rarebird.operators.enrich import hot_keys
+
+    # a third of the rows on key 0
+    left = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "id AS v")
+    right = spark.range(3000).selectExpr("id AS k", "concat('n', id) AS name").union(
+        spark.createDataFrame([(0, "zero-bis")], "k long, name string"))
+    assert 0 in hot_keys(left, "k", 0.1)
+    for how in ["inner", "left", "left_anti", "left_semi"]:
+        plain = sorted(tuple(r) for r in enrich(left, right, "k", how).collect())
+        salted = sorted(tuple(r) for r in enrich(left, right, "k", how, skew_keys="auto", salt_buckets=8,
+                                                 hot_share=0.1).collect())
+        assert plain == salted, how
+    per_bucket = (enrich(left, right, "k", skew_keys=[0], salt_buckets=8)
+                  .filter("k = 0").count())
+    assert per_bucket == 1000 * 2
+
+
+def test_salted_enrich_rejects_outer(spark):
+    import pytest
+
+    df = spark.range(3).withColumnRenamed("id", "k")
+    with pytest.raises(ValueError):
+        enrich(df, df, "k", "full", skew_keys=[0])
