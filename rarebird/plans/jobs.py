@@ -41,6 +41,7 @@ from rarebird.operators.features import (
 )
 from rarebird.operators.sampling import bootstrap_sample
 from rarebird.sources.models import join_stages, load_pipeline, save_model
+from rarebird.session import checkpoint_dir
 from rarebird.sources.tables import append_table, overwrite_table, refresh, sql_source, table_location
 
 log = logging.getLogger(__name__)
@@ -69,17 +70,25 @@ def _fail(spark, family, stage, moment, project, metric_table, on_error, err, ta
     return RunReport(metrics=row, error=err)
 
 
-def fit_features(df: DataFrame, stages: list, id_col: str) -> tuple[PipelineModel, DataFrame]:
+def fit_features(df: DataFrame, stages: list, id_col: str, durable: bool = True) -> tuple[PipelineModel, DataFrame]:
     """Fit the preparation and materialize the persisted ``[id, features]`` frame.
 
     The pruned, filtered input is spread and persisted while the stages are fitted (the
     indexer, scaler and PCA each read it: four passes), then released once the compact
     feature frame is built from it, so one scan of the source serves the whole fit phase.
+
+    ``durable`` first writes the feature frame to the shared checkpoint folder
+    (``spark.checkpoint.dir``): the many fit passes that follow then survive lost executors by
+    re-reading those files instead of re-running the scan and the preparation.
     """
     source = iteration_layout(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         prep = Pipeline(stages=stages).fit(source)
-        feats = prep.transform(source).select(id_col, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+        feats = prep.transform(source).select(id_col, FEATURES)
+        if durable:
+            checkpoint_dir(df.sparkSession)
+            feats = feats.checkpoint(eager=True)
+        feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
         feats.count()
     finally:
         source.unpersist()
