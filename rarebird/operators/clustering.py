@@ -234,23 +234,33 @@ def segment_prediction(
     return result.scored.select(F.col(id_col), F.col("prediction").cast("int").alias("prediction"))
 
 
+_QUERY_K_DEFAULTS = {
+    # family: (scale, pca_k, max_k) - the anomaly helper searched 3..4 on PCA-4 centred features,
+    # the segment helper 3..6 on scale-only features
+    MIXTURE: ("centred", 4, 4),
+    KMEANS: ("scale_only", None, 6),
+}
+
+
 def k_for_query(
     spark,
     source,
     categorical,
     id_col: str | None = None,
     family: str = MIXTURE,
-    scale: str | None = "centred",
-    pca_k: int | None = 4,
-    max_k: int = 6,
+    scale: str | None = None,
+    pca_k: int | None = None,
+    max_k: int | None = None,
     seed: int = DEFAULT_SEED,
     **params,
 ) -> int:
     """The cluster count a query's rows call for: read (SQL or DataFrame), drop
-    incomplete rows, prepare (scaled, optionally PCA) and search k by silhouette."""
+    incomplete rows, prepare and search k by silhouette. Unset preparation and range follow the
+    family: mixture - centred, PCA 4, k 3..4; k-means - scale only, no PCA, k 3..6."""
     from rarebird.operators.features import drop_incomplete, prepare
     from rarebird.sources.tables import sql_source
 
+    d_scale, d_pca, d_max = _QUERY_K_DEFAULTS[family]
     df = drop_incomplete(sql_source(spark, source))
-    feats = prepare(df, categorical, id_col, scale=scale, pca_k=pca_k).frame
-    return choose_k(feats, family, max_k=max_k, seed=seed, features="features", **params).k
+    feats = prepare(df, categorical, id_col, scale=scale or d_scale, pca_k=pca_k if pca_k is not None else d_pca).frame
+    return choose_k(feats, family, max_k=max_k or d_max, seed=seed, features="features", **params).k

@@ -684,10 +684,10 @@ def q_bounded_source(spark, sf_dir):
 
 @register("k_for_query", f"SELECT CAST(count(DISTINCT l_returnflag) AS BIGINT) AS k FROM ({SEPARATED_SQL}) sep")
 def q_k_for_query(spark, sf_dir):
-    """The k a SQL query's rows call for (k-means, scaled, no PCA): the three flags."""
+    """The k a SQL query's rows call for (k-means, centred scaling, k 3..6): the three flags."""
     view = "rarebird_check_separated"
     separated(spark, sf_dir).select("line_id", "x1", "x2").createOrReplaceTempView(view)
-    k = k_for_query(spark, f"SELECT * FROM {view}", None, "line_id", family=KMEANS, pca_k=None)
+    k = k_for_query(spark, f"SELECT * FROM {view}", None, "line_id", family=KMEANS, scale=SCALE_CENTRED)
     return table(spark, sf_dir, "lineitem").agg(F.lit(k).cast("bigint").alias("k"))
 
 

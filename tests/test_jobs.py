@@ -135,3 +135,30 @@ def test_fit_fraction_fits_on_sample_scores_all(spark, li):
     assert rep.result.count() == li.count()
     rows = rep.metrics.collect()
     assert len(rows) == 3 and abs(sum(r.valor_indicador for r in rows) - 100.0) < 1e-3
+
+
+def test_saved_pipeline_scoring_plan_is_narrow(spark, li, scratch_dir):
+    """Loaded prep + mixture + flag: one narrow stage - no exchange, join, window or Python."""
+    from rarebird.operators.anomaly import flag_anomalies, stored_result
+    from rarebird.operators.features import drop_incomplete
+
+    path = os.path.join(scratch_dir, "p")
+    jobs.train_anomaly_model(spark, li, ["l_returnflag", "l_linestatus"], "line_id", pipeline_path=path, ks=[3],
+                             moment=MOMENT, max_iter=5)
+    raw = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr(
+        "l_orderkey * 8 + l_linenumber AS line_id", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus")
+    scored = stored_result(flag_anomalies(S_models.load_pipeline(path).transform(drop_incomplete(raw)), "line_id"),
+                           "line_id")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    for word in ("Exchange", "Join", "Window", "BatchEvalPython", "ArrowEvalPython", "SinglePartition"):
+        assert word not in plan, word
+
+
+def test_k_for_query_family_defaults(spark):
+    from rarebird.operators.clustering import k_for_query
+
+    spark.read.parquet(f"{SF}/customer.parquet").createOrReplaceTempView("rb_k_customer")
+    k = k_for_query(spark, "SELECT c_custkey, c_acctbal, c_nationkey, c_mktsegment FROM rb_k_customer",
+                    ["c_mktsegment"], "c_custkey", family="kmeans")
+    assert 3 <= k <= 6
