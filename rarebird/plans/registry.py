@@ -15,9 +15,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from rarebird.functions.columns import membership_flag
 from rarebird.operators import metrics as M
 from rarebird.operators.clustering import KMEANS, cluster, k_for_query, segment_prediction, silhouette
 from rarebird.operators.enrich import dedupe, enrich

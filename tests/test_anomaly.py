@@ -1,5 +1,4 @@
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
 
 from rarebird.functions.columns import membership_flag
 from rarebird.operators.anomaly import flag_anomalies, stored_result

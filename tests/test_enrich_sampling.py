@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from rarebird.operators.enrich import dedupe, enrich, enrich_and_dedupe
 from rarebird.operators.sampling import bootstrap_sample, keyed_split, random_split, with_split
 

@@ -1,13 +1,9 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
-
-from rarebird.operators.features import SCALE_CENTRED
 from rarebird.plans import jobs
 from rarebird.plans.registry import lineitem
 from rarebird.sources import models as S_models
-from rarebird.sources import tables as S_tables
 
 SF = "/root/testdata/sf0.001"
 MOMENT = "01/01/2024 00:00:00"

@@ -1,10 +1,8 @@
 import os
 
-from pyspark.sql import functions as F
-
 from rarebird.plans import jobs
 from rarebird.plans.registry import lineitem
-from rarebird.streaming import score_stream, start_scoring
+from rarebird.streaming import start_scoring
 
 SF = "/root/testdata/sf0.001"
 
