@@ -158,3 +158,37 @@ def test_k_for_query_family_defaults(spark):
     k = k_for_query(spark, "SELECT c_custkey, c_acctbal, c_nationkey, c_mktsegment FROM rb_k_customer",
                     ["c_mktsegment"], "c_custkey", family="kmeans")
     assert 3 <= k <= 6
+
+
+def test_command_line_runner(spark, li, scratch_dir):
+    import json
+
+    from rarebird.plans.run import main
+
+    li.createOrReplaceTempView("rb_cli_li")
+    cross = ("SELECT CAST(FLOOR(l.line_id / 8) AS BIGINT) AS order_id, l.l_quantity, a.anomalies FROM {t} a "
+             "JOIN rb_cli_li l ON a.line_id = CAST(l.line_id AS STRING)")
+    settings = {"parametros_modelo": {
+        "tablas_salida": {"exitTable_anomalies_train": "rb_cli_anom", "exitTable_anomalies_predict": "rb_cli_anom_p",
+                          "exitTableSegmentation": "rb_cli_seg", "exitTable_resultado_enriquecido_train": "rb_cli_enr",
+                          "exitTable_resultado_enriquecido_predict": "rb_cli_enr_p"},
+        "columnas_identificacion": {"anomalias": "line_id", "segmentacion": "order_id"},
+        "columnas_categoricas": {"anomalias": "l_returnflag,l_linestatus", "segmentacion": ""},
+        "consultas": {"anomalias_entrenamiento": "SELECT * FROM rb_cli_li",
+                      "anomalias_prediccion": "SELECT * FROM rb_cli_li",
+                      "cruce_resultado_entrenamiento": cross.format(t="rb_cli_anom"),
+                      "cruce_resultado_prediccion": cross.format(t="rb_cli_anom_p"),
+                      "segmentacion_entrenamiento": "SELECT * FROM rb_cli_enr",
+                      "segmentacion_prediccion": "SELECT * FROM rb_cli_enr_p"},
+        "threshold": "0.7",
+        "modelos": {"anomalias": os.path.join(scratch_dir, "a"), "segmentacion": os.path.join(scratch_dir, "s")},
+        "tablas_monitoreo": {"monitoring_anomalies": "rb_cli_mon_a", "monitoring_segmentation": "rb_cli_mon_s"},
+    }}
+    path = os.path.join(scratch_dir, "settings.json")
+    with open(path, "w") as fh:
+        json.dump(settings, fh)
+    root = os.path.join(scratch_dir, "tables")
+    assert main(["train", path, "--table-root", root]) == 0
+    assert main(["predict", path, "--table-root", root]) == 0
+    assert spark.table("rb_cli_seg").count() == spark.table("rb_cli_enr_p").count()
+    assert os.path.isdir(os.path.join(root, "rb_cli_mon_a"))
