@@ -640,8 +640,8 @@ def _job_lineitem(spark, sf_dir) -> DataFrame:
     return lineitem(spark, sf_dir)
 
 
-@register("segment_share")
-def q_segment_share(spark, sf_dir):
+@register("kmeans_segment_share")
+def q_kmeans_segment_share(spark, sf_dir):
     """Minimal slice: lineitem -> drop incomplete -> encode + scale -> k-means (k 3..4 by
     silhouette) -> share of rows per segment -> monitoring rows."""
     report = jobs.train_segments(spark, _job_lineitem(spark, sf_dir), ["l_returnflag", "l_linestatus"], "line_id",
