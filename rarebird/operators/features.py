@@ -69,6 +69,25 @@ def split_roles(
     return numeric, cats
 
 
+MAX_CATEGORIES = 10_000
+
+
+def check_categories(df: DataFrame, categorical: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, int]:
+    """Approximate distinct counts of the categorical columns (one HyperLogLog pass, one row
+    back). The indexer gathers every distinct value on the driver and the one-hot width sets the
+    d x d covariances held there, so a column above ``limit`` (an id listed as categorical, a
+    free-text field) is refused before anything is fitted."""
+    cats = list(categorical)
+    if not cats:
+        return {}
+    row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cats]).first()
+    counts = {c: int(row[c]) for c in cats}
+    wide = {c: n for c, n in counts.items() if n > limit}
+    if wide:
+        raise ValueError(f"categorical columns with more than {limit} values (about): {wide}")
+    return counts
+
+
 def category_indexer(categorical: Sequence[str]) -> StringIndexer:
     """one indexer for all categorical columns (a single counting pass).
 
@@ -119,6 +138,8 @@ def preparation_stages(
 ) -> list:
     """F4 (+F5/F6, +F7): indexer, encoder, assembler, then scaler and PCA if asked."""
     numeric, cats = split_roles(columns, categorical, id_col)
+    if id_col and id_col in cats:
+        raise ValueError(f"the id column {id_col!r} cannot be categorical")
     stages: list = []
     if cats:
         stages += [category_indexer(cats), one_hot_encoder(cats)]

@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,7 @@ from rarebird.operators.features import (
     FEATURES,
     SCALE_CENTRED,
     SCALE_ONLY,
+    check_categories,
     drop_incomplete,
     parse_columns,
     preparation_stages,
@@ -83,6 +85,9 @@ def fit_features(df: DataFrame, stages: list, id_col: str, durable: bool = True)
     """
     source = iteration_layout(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        indexers = [s for s in stages if isinstance(s, StringIndexer)]
+        if indexers:
+            check_categories(source, indexers[0].getInputCols())
         prep = Pipeline(stages=stages).fit(source)
         feats = prep.transform(source).select(id_col, FEATURES)
         if durable:

@@ -101,3 +101,19 @@ def test_drop_incomplete_equals_na_drop_and_pushes_not_null(spark):
     raw = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_totalprice")
     plan = drop_incomplete(raw)._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(o_totalprice)" in plan
+
+
+def test_high_cardinality_categorical_refused(spark):
+    from rarebird.operators.features import check_categories
+
+    df = spark.range(3000).selectExpr("id", "cast(id AS string) AS code", "cast(id % 3 AS string) AS small")
+    assert check_categories(df, ["small"], limit=100)["small"] == 3
+    with pytest.raises(ValueError):
+        check_categories(df, ["code", "small"], limit=100)
+
+
+def test_id_cannot_be_categorical():
+    from rarebird.operators.features import preparation_stages
+
+    with pytest.raises(ValueError):
+        preparation_stages(["id", "x"], ["id"], "id")
