@@ -94,12 +94,30 @@ def fit_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
     own = not df.is_cached
     work = iteration_layout(df).persist(level) if own else df
     try:
-        yield work.select(*[F.col(c).alias(c) for c in work.columns])
+        view = work.select(*[F.col(c).alias(c) for c in work.columns])
+        yield _merge_small_tasks(work, view)
     finally:
         if own:
             work.unpersist()
 
 
+# Fewer rows than this per task and an iteration is mostly task overhead (e.g. a sampled fit
+# frame that kept the partition count of a huge source).
+MIN_TASK_ROWS = 20_000
+
+
+def _merge_small_tasks(work: DataFrame, view: DataFrame) -> DataFrame:
+    """Coalesce (no shuffle) the estimators' view when partitions hold very few rows, keeping at
+    least one partition per core. ``work`` is persisted: it is counted first, so asking for its
+    partitions afterwards runs nothing."""
+    rows = work.count()
+    parts = work.rdd.getNumPartitions()
+    cores = max(1, work.sparkSession.sparkContext.defaultParallelism)
+    if parts <= cores or rows >= parts * MIN_TASK_ROWS:
+        return view
+    return view.coalesce(max(cores, -(-rows // MIN_TASK_ROWS)))
+
+
 @dataclass
 class KSearch:
     """Outcome of a k search: the chosen k, its silhouette and fitted model, all scores."""

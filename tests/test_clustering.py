@@ -146,3 +146,16 @@ def test_scoring_is_narrow(spark):
     res = cluster(df, MIXTURE, k=3, with_silhouette=False)
     plan = res.scored._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_fit_frame_merges_tiny_partitions(spark):
+    from rarebird.operators.clustering import fit_frame
+
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(0, 4000, 1, cores * 8).selectExpr("id", "array(cast(id as double)) AS a")
+    from pyspark.ml.functions import array_to_vector
+
+    df = df.select("id", array_to_vector("a").alias("features"))
+    with fit_frame(df) as view:
+        assert view.rdd.getNumPartitions() == cores
+        assert view.count() == 4000
