@@ -59,7 +59,11 @@ def flat(df: DataFrame, vector_col: str, prefix: str, width: int, digits: int |
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with one (not unique) id: ``line_id = l_orderkey * 8 + l_linenumber``."""
-    return table(spark, sf_dir, "lineitem").select(
+    return lineitem_columns(table(spark, sf_dir, "lineitem"))
+
+
+def lineitem_columns(raw: DataFrame) -> DataFrame:
+    return raw.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_id"),
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
     )
@@ -327,7 +331,10 @@ def q_silhouette_fixed_labels(spark, sf_dir):
 
 def separated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem moved apart by return flag: within-flag spread 1, between flags 10."""
-    li = lineitem(spark, sf_dir)
+    return separate(lineitem(spark, sf_dir))
+
+
+def separate(li: DataFrame) -> DataFrame:
     fi = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
     return li.select(
         "line_id", "l_returnflag",
@@ -789,3 +796,35 @@ def q_enrich_skewed(spark, sf_dir):
     return enrich(o, c, "cust", skew_keys="auto", hot_share=0.1).select(
         "cust", "o_orderkey", "o_totalprice", "c_name", "c_mktsegment"
     )
+
+
+
+# --------------------------------------------------------------------------- streaming
+
+
+@register("stream_segments", f"""
+WITH sep AS ({SEPARATED_SQL})
+SELECT line_id, min(line_id) OVER (PARTITION BY l_returnflag) AS segment_key FROM sep
+""")
+def q_stream_segments(spark, sf_dir):
+    """The segment predict job over a stream of the lineitem file (all available data, then
+    stop): a k-means pipeline fitted on the table scores every streamed row."""
+    from rarebird.operators.clustering import kmeans
+    from rarebird.operators.features import preparation_pipeline
+    from rarebird.streaming import file_stream, start_segment_scoring
+
+    sep = separated(spark, sf_dir).select("line_id", "x1", "x2")
+    prep = preparation_pipeline(sep.columns, None, "line_id", scale=SCALE_CENTRED).fit(sep)
+    pipeline = S_models.join_stages(prep, kmeans(3).fit(prep.transform(sep).select("line_id", FEATURES)))
+    raw = table(spark, sf_dir, "lineitem")
+    stream = separate(lineitem_columns(file_stream(spark, "parquet", f"{sf_dir.rstrip('/')}/lineitem.parquet",
+                                                   raw.schema))).select("line_id", "x1", "x2")
+    name = "rarebird_check_stream_segments"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    root = shared_path(spark, "tables", "streams", unique=True)
+    query = start_segment_scoring(stream, pipeline, "line_id", name,
+                                  shared_path(spark, "streams", "segments", unique=True),
+                                  trigger={"availableNow": True}, table_root=root)
+    query.awaitTermination()
+    scored = spark.table(name).select(F.col("line_id").cast("bigint").alias("line_id"), "prediction")
+    return segment_keys(scored)

@@ -1,5 +1,11 @@
-"""The anomaly predict job applied to each micro-batch of a stream."""
+"""The predict jobs (anomalies, segments) applied to each micro-batch of a stream."""
 
-from rarebird.streaming.scoring import score_stream, start_scoring
+from rarebird.streaming.scoring import (
+    file_stream,
+    score_stream,
+    segment_stream,
+    start_scoring,
+    start_segment_scoring,
+)
 
-__all__ = ["score_stream", "start_scoring"]
+__all__ = ["file_stream", "score_stream", "segment_stream", "start_scoring", "start_segment_scoring"]

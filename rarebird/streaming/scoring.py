@@ -1,4 +1,4 @@
-"""Streaming scoring: the predict job (E2) over micro-batches.
+"""Streaming scoring: the predict jobs (E2 anomalies, E5 segments) over micro-batches.
 
 A fitted pipeline's transform is a narrow projection, so it applies to a streaming frame
 as is; the flag is a column expression. ``foreachBatch`` then writes each batch's flags
@@ -18,7 +18,7 @@ from rarebird.functions.columns import run_moment
 from rarebird.operators import metrics as M
 from rarebird.operators.anomaly import DEFAULT_THRESHOLD, FLAG, flag_anomalies, stored_result
 from rarebird.operators.features import drop_incomplete
-from rarebird.sources.tables import append_table
+from rarebird.sources.tables import append_table, table_location
 
 
 def score_stream(stream: DataFrame, pipeline: PipelineModel, id_col: str,
@@ -57,3 +57,53 @@ def start_scoring(stream: DataFrame, pipeline_path: str, id_col: str, exit_table
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
+
+
+def segment_stream(stream: DataFrame, pipeline: PipelineModel, id_col: str) -> DataFrame:
+    """Stored-layout segments of a streaming (or batch) frame: ``id string, prediction int``."""
+    from rarebird.plans.jobs import segment_rows
+
+    return segment_rows(pipeline.transform(drop_incomplete(stream)), id_col)
+
+
+def segment_batch_writer(exit_table: str, metric_table: str | None, project: str = M.PROJECT,
+                         moment: Callable[[], str] = run_moment, table_root: str | None = None
+                         ) -> Callable[[DataFrame, int], None]:
+    """Per batch: append the segment rows, then that batch's share rows (ranked by share)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            append_table(batch, exit_table, path=table_location(table_root, exit_table))
+            if metric_table:
+                shares = M.class_share(batch.select("prediction"), "prediction")
+                append_table(M.segment_metric_rows(shares, moment(), "predict", project), metric_table,
+                             path=table_location(table_root, metric_table))
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def start_segment_scoring(stream: DataFrame, pipeline: str | PipelineModel, id_col: str, exit_table: str,
+                          checkpoint_location: str, metric_table: str | None = None,
+                          trigger: dict | None = None, table_root: str | None = None) -> StreamingQuery:
+    """Start the streaming segment predict job (a saved pipeline path or a fitted pipeline)."""
+    model = PipelineModel.load(pipeline) if isinstance(pipeline, str) else pipeline
+    rows = segment_stream(stream, model, id_col)
+    writer = rows.writeStream.foreachBatch(
+        segment_batch_writer(exit_table, metric_table, table_root=table_root)
+    ).option("checkpointLocation", checkpoint_location)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
+def file_stream(spark, fmt: str, path: str, schema) -> DataFrame:
+    """A file stream over a folder, or over one file (given as a one-file glob pattern, since a
+    file source takes a non-glob path as its base folder)."""
+    if not any(ch in path for ch in "*?[{"):
+        head, _, tail = path.rstrip("/").rpartition("/")
+        if "." in tail:  # a single file: make it a glob matching only itself
+            path = f"{head}/[{tail[0]}]{tail[1:]}"
+    return spark.readStream.format(fmt).schema(schema).load(path)

@@ -25,3 +25,10 @@ def test_stream_scoring_equals_batch_predict(spark, scratch_dir):
     assert out == expected
     mon = spark.table("rb_stream_mon").collect()
     assert abs(sum(r.valor_indicador for r in mon) - 100.0) < 1e-3
+
+
+def test_file_stream_single_file_glob(spark):
+    from rarebird.streaming import file_stream
+
+    s = file_stream(spark, "parquet", f"{SF}/lineitem.parquet", spark.read.parquet(f"{SF}/lineitem.parquet").schema)
+    assert s.isStreaming
