@@ -1,8 +1,9 @@
 """Clustering and scoring.
 
 Gaussian mixture and k-means are Spark ML's distributed estimators: every EM / Lloyd
-iteration is one tree-aggregate over the (cached) feature frame, and the model (k means and
-k d x d covariances) is the only thing that lives on the driver. Scoring is a narrow
+iteration is one pass over the training vectors that combines per partition and then reduces
+k small per-cluster summaries, and the model (k means and k d x d covariances) is the only
+thing that lives on the driver. Scoring is a narrow
 projection. The silhouette is Spark's squared-Euclidean ``ClusteringEvaluator``: one
 aggregate of per-cluster sums, then one pass, O(n * k).
 
@@ -89,7 +90,8 @@ def fit_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
     copy is built from the persisted rows, so the source is still scanned once.
 
     MEMORY_AND_DISK spills instead of recomputing; a lost executor's blocks are rebuilt from
-    the (short) lineage: scan, filter, fitted feature transforms.
+    the lineage (the checkpoint files when the jobs built the frame, else scan, filter and the
+    fitted feature transforms).
     """
     own = not df.is_cached
     work = iteration_layout(df).persist(level) if own else df
