@@ -828,3 +828,39 @@ def q_stream_segments(spark, sf_dir):
     query.awaitTermination()
     scored = spark.table(name).select(F.col("line_id").cast("bigint").alias("line_id"), "prediction")
     return segment_keys(scored)
+
+
+# --------------------------------------------------------------------------- vector-valued features
+
+
+@register("silhouette_embeddings", """
+WITH pts AS (SELECT vec_id AS rid, label AS c, embedding AS x FROM embeddings),
+el AS (SELECT rid, c, CAST(unnest(x) AS DOUBLE) AS v, generate_subscripts(x, 1) AS i FROM pts),
+cs AS (SELECT c, count(*) AS n FROM pts GROUP BY c),
+csum AS (SELECT c, i, sum(v) AS sv FROM el GROUP BY c, i),
+nrm AS (SELECT rid, c, sum(v * v) AS nn FROM el GROUP BY rid, c),
+csq AS (SELECT c, sum(nn) AS sq FROM nrm GROUP BY c),
+dots AS (SELECT el.rid, csum.c AS other, sum(el.v * csum.sv) AS dot
+         FROM el JOIN csum ON el.i = csum.i GROUP BY el.rid, csum.c),
+d AS (SELECT nrm.rid, nrm.c AS own, dots.other, cs.n, nrm.nn + csq.sq / cs.n - 2 * dots.dot / cs.n AS dis
+      FROM nrm JOIN dots ON nrm.rid = dots.rid JOIN cs ON cs.c = dots.other JOIN csq ON csq.c = dots.other),
+p AS (SELECT rid, max(CASE WHEN other = own THEN n END) AS own_n,
+             max(CASE WHEN other = own AND n > 1 THEN dis * n / (n - 1) END) AS a_dis,
+             min(CASE WHEN other <> own THEN dis END) AS b_dis
+      FROM d GROUP BY rid),
+s AS (SELECT CASE WHEN own_n = 1 THEN 0.0 WHEN a_dis < b_dis THEN 1 - a_dis / b_dis
+                  WHEN a_dis > b_dis THEN b_dis / a_dis - 1 ELSE 0.0 END AS sil FROM p)
+SELECT round(avg(sil), 6) AS silhouette, count(*) AS row_count FROM s
+""")
+def q_silhouette_embeddings(spark, sf_dir):
+    """Silhouette of the embedding labels over 64-wide vector features (an array column used
+    as the feature vector): the labels are no cluster structure, so the score is near zero."""
+    from pyspark.ml.functions import array_to_vector
+
+    emb = table(spark, sf_dir, "embeddings")
+    feats = emb.select(array_to_vector("embedding").alias(FEATURES),
+                       F.col("label").cast("double").alias("prediction"))
+    score = silhouette(feats)
+    return feats.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.round(F.lit(score), 6).alias("silhouette"), "row_count"
+    )
