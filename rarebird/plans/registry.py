@@ -864,3 +864,25 @@ def q_silhouette_embeddings(spark, sf_dir):
     return feats.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.round(F.lit(score), 6).alias("silhouette"), "row_count"
     )
+
+
+def _assemble_part_sql() -> str:
+    brand = [f"CASE WHEN br.i = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS f_{2 + i}" for i in range(25)]
+    kind = [f"CASE WHEN ty.i = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS f_{27 + i}" for i in range(6)]
+    return f"""
+WITH br AS (SELECT p_brand AS v, row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS i
+            FROM part GROUP BY p_brand),
+ty AS (SELECT p_type AS v, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS i
+       FROM part GROUP BY p_type)
+SELECT p_partkey, CAST(p_size AS DOUBLE) AS f_0, p_retailprice AS f_1, {", ".join(brand + kind)}
+FROM part JOIN br ON p_brand = br.v JOIN ty ON p_type = ty.v
+"""
+
+
+@register("assemble_part", _assemble_part_sql())
+def q_assemble_part(spark, sf_dir):
+    """Wider one-hot blocks (25 brands, 6 types) after an integer and a double column."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", "p_brand", "p_type")
+    feats = inference_features(part, ["p_brand", "p_type"], "p_partkey")
+    arr = vector_to_array(F.col(FEATURES))
+    return feats.select("p_partkey", *[arr[i].alias(f"f_{i}") for i in range(33)])
