@@ -91,7 +91,8 @@ def check_categories(df: DataFrame, categorical: Sequence[str], limit: int = MAX
 def category_indexer(categorical: Sequence[str]) -> StringIndexer:
     """one indexer for all categorical columns (a single counting pass).
 
-    Order: frequency descending, ties by value ascending; unseen values get index n.
+    Order: frequency descending, ties by value ascending; unseen values get index n. Numeric
+    columns are indexed as text, so their ties follow text order ("10" before "2").
     """
     return StringIndexer(
         inputCols=list(categorical),

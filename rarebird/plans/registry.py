@@ -886,3 +886,27 @@ def q_assemble_part(spark, sf_dir):
     feats = inference_features(part, ["p_brand", "p_type"], "p_partkey")
     arr = vector_to_array(F.col(FEATURES))
     return feats.select("p_partkey", *[arr[i].alias(f"f_{i}") for i in range(33)])
+
+
+def _assemble_customer_sql() -> str:
+    nation = [f"CASE WHEN na.i = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS f_{1 + i}" for i in range(25)]
+    segment = [f"CASE WHEN sg.i = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS f_{26 + i}" for i in range(5)]
+    return f"""
+WITH na AS (SELECT c_nationkey AS v,
+                   row_number() OVER (ORDER BY count(*) DESC, CAST(c_nationkey AS VARCHAR)) - 1 AS i
+            FROM customer GROUP BY c_nationkey),
+sg AS (SELECT c_mktsegment AS v, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS i
+       FROM customer GROUP BY c_mktsegment)
+SELECT c_custkey, c_acctbal AS f_0, {", ".join(nation + segment)}
+FROM customer JOIN na ON c_nationkey = na.v JOIN sg ON c_mktsegment = sg.v
+"""
+
+
+@register("assemble_customer", _assemble_customer_sql())
+def q_assemble_customer(spark, sf_dir):
+    """An integer column used as categorical: it is indexed as text, so equal counts are ordered
+    by the value as text ('10' before '2')."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment")
+    feats = inference_features(cust, ["c_nationkey", "c_mktsegment"], "c_custkey")
+    arr = vector_to_array(F.col(FEATURES))
+    return feats.select("c_custkey", *[arr[i].alias(f"f_{i}") for i in range(31)])
