@@ -910,3 +910,31 @@ def q_assemble_customer(spark, sf_dir):
     feats = inference_features(cust, ["c_nationkey", "c_mktsegment"], "c_custkey")
     arr = vector_to_array(F.col(FEATURES))
     return feats.select("c_custkey", *[arr[i].alias(f"f_{i}") for i in range(31)])
+
+
+def _scaled_orders_sql() -> str:
+    raw = ["o_totalprice AS c_0"]
+    raw += [f"CASE WHEN st.i = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS c_{1 + i}" for i in range(3)]
+    raw += [f"CASE WHEN pr.i = {i} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS c_{4 + i}" for i in range(5)]
+    stats = ", ".join(f"avg(c_{i}) AS m{i}, stddev_samp(c_{i}) AS s{i}" for i in range(9))
+    z = ", ".join(_r(f"CASE WHEN st2.s{i} = 0 THEN 0.0 ELSE (x.c_{i} - st2.m{i}) * (1.0 / st2.s{i}) END")
+                  + f" AS z_{i}" for i in range(9))
+    return f"""
+WITH st AS (SELECT o_orderstatus AS v, row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1 AS i
+            FROM orders GROUP BY o_orderstatus),
+pr AS (SELECT o_orderpriority AS v, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS i
+       FROM orders GROUP BY o_orderpriority),
+x AS (SELECT o_orderkey, {", ".join(raw)}
+      FROM orders JOIN st ON o_orderstatus = st.v JOIN pr ON o_orderpriority = pr.v),
+st2 AS (SELECT {stats} FROM x)
+SELECT x.o_orderkey, {z} FROM x CROSS JOIN st2
+"""
+
+
+@register("standardize_with_categories", _scaled_orders_sql())
+def q_standardize_with_categories(spark, sf_dir):
+    """The segment feature frame: one-hot blocks appended to the numeric column, then every
+    slot standardized (centred, sample standard deviation)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    prep = prepare(o, ["o_orderstatus", "o_orderpriority"], "o_orderkey", scale=SCALE_CENTRED)
+    return prep.frame.select("o_orderkey", *flat(prep.frame, FEATURES, "z_", 9))
