@@ -938,3 +938,23 @@ def q_standardize_with_categories(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
     prep = prepare(o, ["o_orderstatus", "o_orderpriority"], "o_orderkey", scale=SCALE_CENTRED)
     return prep.frame.select("o_orderkey", *flat(prep.frame, FEATURES, "z_", 9))
+
+
+def _pca_orders_norm_sql() -> str:
+    base = _scaled_orders_sql()
+    head, _, _ = base.rpartition("SELECT x.o_orderkey")
+    squares = " + ".join(
+        f"pow(CASE WHEN st2.s{i} = 0 THEN 0.0 ELSE (x.c_{i} - st2.m{i}) * (1.0 / st2.s{i}) END, 2)" for i in range(9)
+    )
+    return f"{head}SELECT x.o_orderkey, {_r(f'sqrt({squares})', 5)} AS norm FROM x CROSS JOIN st2"
+
+
+@register("pca_with_categories_norm", _pca_orders_norm_sql())
+def q_pca_with_categories_norm(spark, sf_dir):
+    """The anomaly preparation chain (one-hot, centred scaling, PCA) with k = width: a rotation,
+    so each row keeps its norm even though the one-hot slots are linearly dependent."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    prep = prepare(o, ["o_orderstatus", "o_orderpriority"], "o_orderkey", scale=SCALE_CENTRED, pca_k=9)
+    arr = vector_to_array(F.col(FEATURES))
+    norm = F.sqrt(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x))
+    return prep.frame.select("o_orderkey", rounded(norm, 5).alias("norm"))
