@@ -192,3 +192,13 @@ def test_command_line_runner(spark, li, scratch_dir):
     assert main(["predict", path, "--table-root", root]) == 0
     assert spark.table("rb_cli_seg").count() == spark.table("rb_cli_enr_p").count()
     assert os.path.isdir(os.path.join(root, "rb_cli_mon_a"))
+
+
+def test_anomaly_fit_fraction_flags_every_row(spark, li, scratch_dir):
+    rep = jobs.train_anomaly_model(spark, li, ["l_returnflag", "l_linestatus"], "line_id", ks=[3], moment=MOMENT,
+                                   max_iter=10, fit_fraction=0.4, exit_table="rb_anom_frac",
+                                   table_root=os.path.join(scratch_dir, "t"))
+    assert spark.table("rb_anom_frac").count() == li.count()
+    assert os.path.isdir(os.path.join(scratch_dir, "t", "rb_anom_frac"))
+    shares = [r for r in rep.metrics.collect() if r.id_indicador == 2]
+    assert abs(sum(r.valor_indicador for r in shares) - 100.0) < 1e-3

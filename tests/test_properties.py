@@ -32,3 +32,19 @@ def test_dedupe_desc_equals_python(spark, rows):
         best = min(group, key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
         expected[k] = (best[1], best[2])
     assert got == expected
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(-10**12, 10**12), min_size=1, max_size=50, unique=True),
+       st.sampled_from([0.3, 0.7, 0.9]))
+def test_keyed_split_equals_python_md5(spark, keys, fraction):
+    import hashlib
+
+    from rarebird.operators.sampling import with_split
+
+    df = spark.createDataFrame([(k,) for k in keys], "key long")
+    got = {r.key: r.split for r in with_split(df, "key", fraction).collect()}
+    cut = int(round(fraction * 10000))
+    expected = {k: ("train" if int(hashlib.md5(str(k).encode()).hexdigest()[:8], 16) % 10000 < cut else "test")
+                for k in keys}
+    assert got == expected
