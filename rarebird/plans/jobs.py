@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,9 +85,7 @@ def fit_features(df: DataFrame, stages: list, id_col: str, durable: bool = True)
     """
     source = iteration_layout(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        indexers = [s for s in stages if isinstance(s, StringIndexer)]
-        if indexers:
-            check_categories(source, indexers[0].getInputCols())
+        _check_width(source, stages)
         prep = Pipeline(stages=stages).fit(source)
         feats = prep.transform(source).select(id_col, FEATURES)
         if durable:
@@ -101,6 +99,26 @@ def fit_features(df: DataFrame, stages: list, id_col: str, durable: bool = True)
 
 
 
+# The feature width d sets driver-side d x d matrices (PCA covariance, mixture covariances).
+WIDE_WARNING = 500
+MAX_PCA_WIDTH = 4096
+
+
+def _check_width(source: DataFrame, stages: list) -> int:
+    """Estimate the feature width before fitting (category counts from one HyperLogLog pass):
+    warn when it is wide, refuse a PCA whose d x d covariance would not fit the driver."""
+    indexers = [s for s in stages if isinstance(s, StringIndexer)]
+    assemblers = [s for s in stages if isinstance(s, VectorAssembler)]
+    counts = check_categories(source, indexers[0].getInputCols()) if indexers else {}
+    width = len(assemblers[0].getInputCols()) - len(counts) + sum(counts.values()) if assemblers else 0
+    if width > MAX_PCA_WIDTH and any(isinstance(s, PCA) for s in stages):
+        raise ValueError(f"about {width} feature columns: a {width} x {width} PCA covariance is too large "
+                         f"for the driver (limit {MAX_PCA_WIDTH}); drop or bucket wide categorical columns")
+    if width > WIDE_WARNING:
+        log.warning("about %d feature columns: d x d matrices on the driver grow with the width", width)
+    return width
+
+
 def _fit_rows(df: DataFrame, fit_fraction: float | None, seed: int) -> DataFrame:
     """The rows the fits read: all of them, or a Bernoulli sample when ``fit_fraction`` is set
     (scoring still covers every row)."""

@@ -202,3 +202,17 @@ def test_anomaly_fit_fraction_flags_every_row(spark, li, scratch_dir):
     assert os.path.isdir(os.path.join(scratch_dir, "t", "rb_anom_frac"))
     shares = [r for r in rep.metrics.collect() if r.id_indicador == 2]
     assert abs(sum(r.valor_indicador for r in shares) - 100.0) < 1e-3
+
+
+def test_width_guard_refuses_huge_pca(spark, monkeypatch):
+    from rarebird.operators.features import preparation_stages
+
+    monkeypatch.setattr(jobs, "MAX_PCA_WIDTH", 20)
+    df = spark.range(2000).selectExpr("id", "cast(id % 50 AS string) AS c", "cast(id AS double) AS x")
+    stages = preparation_stages(df.columns, ["c"], "id", pca_k=2)
+    with pytest.raises(ValueError):
+        jobs.fit_features(df, stages, "id")
+    ok = preparation_stages(df.columns, ["c"], "id", pca_k=None)
+    prep, feats = jobs.fit_features(df, ok, "id")
+    assert feats.count() == 2000
+    feats.unpersist()
