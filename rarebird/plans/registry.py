@@ -958,3 +958,12 @@ def q_pca_with_categories_norm(spark, sf_dir):
     arr = vector_to_array(F.col(FEATURES))
     norm = F.sqrt(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x))
     return prep.frame.select("o_orderkey", rounded(norm, 5).alias("norm"))
+
+
+@register("mixture_share_events")
+def q_mixture_share_events(spark, sf_dir):
+    """Anomaly training on the events table (event type + value; time and free-text props left
+    out): 1 + 5 columns, PCA to 6, mixture k 3..6; the monitoring rows it produces."""
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    report = jobs.train_anomaly_model(spark, ev, ["event_type"], "event_id", moment=CHECK_MOMENT)
+    return report.metrics

@@ -10,7 +10,7 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-HEAVY = {"mixture_share", "train_predict_job", "bootstrap_job"}
+HEAVY = {"mixture_share", "mixture_share_events", "train_predict_job", "bootstrap_job"}
 
 
 def _key(row):
