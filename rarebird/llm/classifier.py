@@ -15,6 +15,7 @@ nothing; of conflicting labels of one id the larger counts; with no labelled row
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -135,8 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     examples = []
     for i, y, slots, n in zip(got["__id"].to_pylist(), got["__y"].to_pylist(), got["slots"], got["n"], strict=True):
         ids, times = slots.values.to_numpy(), n.values.to_numpy()
-        key = int(mix(np.array([hash(i) & (2**64 - 1)], np.uint64))[0])
-        examples.append((key, i, ids.astype(np.int64), SCALE * times / max(times.sum(), 1), float(y > 0)))
+        examples.append((zlib.crc32(f"order {i}".encode()), str(i), ids.astype(np.int64), SCALE * times / max(times.sum(), 1), float(y > 0)))
     examples.sort(key=lambda e: e[:2])
     return ftrl([e[2:] for e in examples], bits)
 

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarebird.llm import classifier, rules, sql, url_filter
+from rarebird.llm import classifier, near_dup, pii, rules, sql, url_filter
 from rarebird.llm.common import table
 
 
+def op1_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_cascade(table(spark, sf_dir, "documents"))
     failed = (F.col("m.n_words") < 50) | (100 * F.col("m.n_repeat_words") > 50 * F.col("m.n_words"))
@@ -30,5 +34,11 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules, op7_quality_classifier, op9_url_filters)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_pii(docs, count_into="n_entities").select("doc_id", "n_entities", "text")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_minhash_near_dup, op6_quality_rules, op7_quality_classifier, op9_url_filters, op10_pii)}
 ORACLES: dict[str, str] = {"op6_quality_rules": sql.OP6, "op9_url_filters": sql.OP9}
