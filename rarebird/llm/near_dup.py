@@ -43,6 +43,10 @@ _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 
 
+def _times(k: int) -> np.uint64:
+    return _U(k * int(_STEP) & (2**64 - 1))
+
+
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of every shingle occurrence of a column of bytes, sorted by row, then hash."""
     data, offsets = byte_buffer(texts)
@@ -86,7 +90,7 @@ def signatures(h: np.ndarray, r: np.ndarray, n_rows: int, size: int) -> np.ndarr
         on = weight > low
         if not on.any():
             break
-        seeds.append(mix(item[on] + _U(level + 1) * _STEP))
+        seeds.append(mix(item[on] + _times(level + 1)))
         rows.append(row[on])
         weights.append(weight[on])
         lows.append(np.full(on.sum(), low))
@@ -98,7 +102,7 @@ def signatures(h: np.ndarray, r: np.ndarray, n_rows: int, size: int) -> np.ndarr
     flat, latest, time, k = sig.ravel(), np.full(n_rows, np.inf), np.zeros(len(seed)), 0
     while len(seed):
         k += 1
-        a = mix(seed + _U(k) * _STEP)
+        a = mix(seed + _times(k))
         time = time - np.log(((a >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53) / (size * span_)
         on = time <= latest[row]
         seed, row, low_, span_, weight_, time, a = (x[on] for x in (seed, row, low_, span_, weight_, time, a))
@@ -208,7 +212,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str =
         while True:
             turn += 1
             pairs = candidates(step).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = scratch.keep(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), f"pairs-{turn}")
+            if pairs.isEmpty():
+                break
             loaded = (pairs.join(payload.select(F.col("id").alias("b"), F.col("keys").alias("y")), "b")
                       .join(payload.select(F.col("id").alias("a"), F.col("keys").alias("x")), "a").select("a", "b", "x", "y"))
             verified = scratch.keep(loaded.mapInArrow(_verify, f"a {id_type}, b {id_type}, sim double"), f"verified-{turn}")

@@ -5,14 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarebird.llm import classifier, near_dup, pii, rules, sql, url_filter
-from rarebird.llm.common import table
+from rarebird.llm import classifier, mixing, near_dup, pii, rules, sql, suffix_tree_lm, url_filter
+from rarebird.llm.common import Scratch, table
 
 
 def op1_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark)
+    held_out = F.coalesce(classifier.bucket("doc_id", 7) == 2, F.lit(False))
+    model = suffix_tree_lm.fit(docs.where(~held_out), scratch)
+    scored = suffix_tree_lm.score(docs, model, scratch)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), F.array("source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_cascade(table(spark, sf_dir, "documents"))
     failed = (F.col("m.n_words") < 50) | (100 * F.col("m.n_repeat_words") > 50 * F.col("m.n_words"))
@@ -40,5 +53,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dup, op6_quality_rules, op7_quality_classifier, op9_url_filters, op10_pii)}
+    op1_minhash_near_dup, op2_lm_scoring, op3_mixing, op6_quality_rules, op7_quality_classifier, op9_url_filters, op10_pii)}
 ORACLES: dict[str, str] = {"op6_quality_rules": sql.OP6, "op9_url_filters": sql.OP9}
