@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarebird.llm import classifier, mixing, near_dup, pii, rules, sql, suffix_tree_lm, url_filter
+from rarebird.llm import classifier, decontaminate, html_crf, mixing, near_dup, pii, rules, sql, suffix_tree_lm, url_filter
 from rarebird.llm.common import Scratch, table
 
 
@@ -26,6 +26,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_cascade(table(spark, sf_dir, "documents"))
     failed = (F.col("m.n_words") < 50) | (100 * F.col("m.n_repeat_words") > 50 * F.col("m.n_words"))
@@ -43,6 +47,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -53,5 +61,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dup, op2_lm_scoring, op3_mixing, op6_quality_rules, op7_quality_classifier, op9_url_filters, op10_pii)}
+    op1_minhash_near_dup, op2_lm_scoring, op3_mixing, op4_html_extraction, op6_quality_rules,
+    op7_quality_classifier, op8_decontamination, op9_url_filters, op10_pii)}
 ORACLES: dict[str, str] = {"op6_quality_rules": sql.OP6, "op9_url_filters": sql.OP9}
