@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarebird.llm import classifier, decontaminate, html_crf, mixing, near_dup, pii, rules, sql, suffix_tree_lm, url_filter
+from rarebird.llm import classifier, decontaminate, html_crf, mixing, near_dup, pii, rules, sql, suffix_dedup, suffix_tree_lm, url_filter
 from rarebird.llm.common import Scratch, table
 
 
@@ -30,6 +30,11 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_crf.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stripped = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return stripped.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_cascade(table(spark, sf_dir, "documents"))
     failed = (F.col("m.n_words") < 50) | (100 * F.col("m.n_repeat_words") > 50 * F.col("m.n_words"))
@@ -61,6 +66,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dup, op2_lm_scoring, op3_mixing, op4_html_extraction, op6_quality_rules,
+    op1_minhash_near_dup, op2_lm_scoring, op3_mixing, op4_html_extraction, op5_suffix_dedup, op6_quality_rules,
     op7_quality_classifier, op8_decontamination, op9_url_filters, op10_pii)}
 ORACLES: dict[str, str] = {"op6_quality_rules": sql.OP6, "op9_url_filters": sql.OP9}
