@@ -68,4 +68,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dup, op2_lm_scoring, op3_mixing, op4_html_extraction, op5_suffix_dedup, op6_quality_rules,
     op7_quality_classifier, op8_decontamination, op9_url_filters, op10_pii)}
-ORACLES: dict[str, str] = {"op6_quality_rules": sql.OP6, "op9_url_filters": sql.OP9}
+ORACLES: dict[str, str] = {"op3_mixing": sql.OP3, "op6_quality_rules": sql.OP6, "op9_url_filters": sql.OP9}

@@ -1,0 +1,135 @@
+"""Decontamination and surrogates."""
+
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from rarebird.llm import decontaminate, pii
+from rarebird.llm.common import Scratch
+
+
+def words(text):
+    return [w for w in re.split(r"[^0-9a-z\u0080-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in text)) if w]
+
+
+def brute_alignment(item, doc):
+    h = [[0] * (len(doc) + 1) for _ in range(len(item) + 1)]
+    for i in range(1, len(item) + 1):
+        for j in range(1, len(doc) + 1):
+            h[i][j] = max(0, h[i - 1][j - 1] + (2 if item[i - 1] == doc[j - 1] else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
+    return max(map(max, h))
+
+
+def test_alignment_matches_the_table():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        item, doc = (rng.integers(0, 4, rng.integers(1, 14)).astype(np.uint64) for _ in range(2))
+        assert decontaminate.smith_waterman(item, doc)[0] == brute_alignment(item.tolist(), doc.tolist())
+
+
+def test_word_hashes():
+    h, r = decontaminate.plain_words(pa.array(["A-b, ü!".encode(), b"", b"a B", "ü".encode()], pa.binary()))
+    assert r.tolist() == [0, 0, 0, 2, 2, 3] and h[0] == h[3] and h[1] == h[4] and h[2] == h[5]
+
+
+def test_leaks_match_brute_force(spark, docs, texts):
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    item_words = {r.item_id: words(r.text) for r in items.collect()}
+    want = set()
+    for d, t in texts.items():
+        w = words(t)
+        for i, item in item_words.items():
+            if len(set(item) & set(w)) >= 0.4 * len(set(item)) and brute_alignment(item, w) >= len(item):
+                want.add((d, i))
+    got = decontaminate.contaminated(docs, items).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and want
+    for r in got:
+        if r.score == 1.0:
+            assert words(texts[r.doc_id])[r.first_word : r.end_word] == item_words[r.item_id]
+
+
+def test_edited_copies_and_hot_passages(spark):
+    rng = np.random.default_rng(8)
+    item = [f"term{k}" for k in rng.integers(0, 500, 40)]
+    edited = [w if k % 6 else "changed" for k, w in enumerate(item)]
+    noise = lambda n: [f"n{k}" for k in rng.integers(0, 5000, n)]
+    rows = [(k, " ".join(noise(30) + item + noise(30))) for k in range(300)]  # a passage in most documents
+    rows += [(1000, " ".join(noise(50) + edited + noise(10))), (1001, " ".join(w.upper() + "," for w in item))]
+    rows += [(2000 + k, " ".join(noise(60) + item[5:9])) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, "too short"), (9, None), (7, " ".join(item))], "item_id int, text string")
+    for block in (decontaminate.BLOCK_BYTES, 100):  # whole, and in blocks
+        leaks = decontaminate.find_leaks(df, bench, Scratch(spark), block_bytes=block)
+        keyed = df.join(leaks, F.md5(F.col("text").cast("binary")) == F.col("key"))
+        assert {r.doc_id for r in keyed.collect()} == set(range(300)) | {1000, 1001}
+    kept = decontaminate.drop_contaminated(df, bench)
+    assert {r.doc_id for r in kept.collect()} == {2000 + k for k in range(20)} and kept.columns == df.columns
+
+
+def test_leak_edges(spark, edge, empty):
+    bench = spark.createDataFrame([(1, "a b c d e f")], "item_id int, text string")
+    got = decontaminate.contaminated(edge, bench).collect()
+    assert sorted((r.doc_id or -1, r.item_id) for r in got) == [(-1, 1), (4, 1), (4, 1)]
+    assert decontaminate.contaminated(empty, bench).count() == 0
+    assert decontaminate.contaminated(edge, bench.where("false")).count() == 0
+    assert decontaminate.drop_contaminated(edge, bench).columns == edge.columns
+
+
+MAIL = re.compile(r"[a-z0-9.]+@[a-z0-9.]+\.[a-z]{2,}", re.I)
+
+
+def test_surrogates_keep_type_distinctness_and_coreference(spark):
+    rows = [
+        (1, "Mail ann.72@mail3.example.com or ANN.72@MAIL3.EXAMPLE.COM, call +1 (425) 555-9684."),
+        (2, "Again ann.72@mail3.example.com! IP 10.0.0.1, 10.0.0.2; card 4781785380592391, 4781-7853-8059-2391; v1.2.3"),
+        (3, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" and 123-45-6789, IBAN DE89 3704 0044 0532 0130 00.'),
+        (4, "Mr. John Smith met Mrs Anna Karenina; Mr. Smith left. Госпожа Иванова, Herr Müller. Mister X"), (5, "nothing at all, 12 34"),
+        (6, "+1-425-555-9684"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id int, text string").withColumn("pos", F.lit("clash"))
+    out = {r.doc_id: r for r in pii.replace_pii(df, count_into="n").collect()}
+    t = {k: r.text for k, r in out.items()}
+    assert out[5].text == rows[4][1] and [out[k].n for k in range(1, 7)] == [3, 5, 3, 5, 0, 1] and out[1].pos == "clash"
+    a, b = MAIL.findall(t[1])
+    assert a.upper() == b and MAIL.findall(t[2]) == [a] and a != "ann.72@mail3.example.com" and a.endswith(".com")
+    phone = re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", t[1])[0]
+    assert re.sub(r"\D", "", phone) == re.sub(r"\D", "", t[6]) != "14255559684" and re.fullmatch(r"\+1-\d{3}-\d{3}-\d{4}", t[6])
+    x, y = re.findall(r"\b\d+\.\d+\.\d+\.\d+\b", t[2])
+    assert x != y and "10.0.0.1" not in (x, y) and t[2].endswith("v1.2.3")
+    c, d = re.findall(r"\b4\d{15}\b|\b4\d{3}-\d{4}-\d{4}-\d{4}\b", t[2])
+    assert c == d.replace("-", "") != "4781785380592391"
+    assert re.search(r'"[0-9a-f]{40}" and \d{3}-\d{2}-\d{4}, IBAN DE\d{2} \d{4} \d{4} \d{4} \d{4} \d{2}\.$', t[3]) and "24be64" not in t[3]
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs (\w+) (\w+); Mr\. (\w+) left\. Госпожа ([а-яА-Я]+), Herr (\w+)\. Mister X", t[4])
+    assert m and m[2] == m[5] != "Smith" and m[3][-1] == m[4][-1] == m[6][-1].replace("а", "a").replace("я", "a") == "a"
+    again = {r.doc_id: r.text for r in pii.replace_pii(df).collect()}
+    assert again == t
+    assert {r.text for r in pii.replace_pii(df, key="other").collect()} != set(t.values())
+
+
+def test_collisions_draw_again(spark):
+    values = spark.createDataFrame([("ip", f"v{k}") for k in range(60)], "kind string, value string")
+
+    def poor(kind, value, key, attempt):  # few surrogates at first, one of them an entity
+        return F.when(attempt < 2, F.concat(F.lit("v"), (F.crc32(value.cast("binary")) % 70).cast("string"))).otherwise(
+            F.concat(F.lit("s"), value, attempt.cast("string")))
+
+    rows = pii.surrogate_table(values, "k", Scratch(spark), poor).collect()
+    originals = {r.value for r in rows}
+    assert len(rows) == 60 and len({r.surrogate for r in rows}) == 60 and not originals & {r.surrogate for r in rows}
+
+
+def test_pii_is_native_and_whole(spark, docs, texts, edge, empty):
+    out = pii.replace_pii(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and out.columns == docs.columns
+    secret = re.compile(r"[\w.]+@mail\d\.example\.com|\b[0-9a-f]{40}\b|\b\d{16}\b|\b\d{1,3}(?:\.\d{1,3}){3}\b|\+1 \(\d{3}\) 555-\d{4}")
+    new = {r.doc_id: r.text for r in out.collect()}
+    assert set(new) == set(texts)
+    for i, t in texts.items():
+        assert not {m for m in secret.findall(t)} & set(secret.findall(new[i]))
+        if not secret.search(t):
+            assert new[i] == t
+    assert sorted(map(str, pii.replace_pii(edge).collect())) == sorted(map(str, edge.collect()))
+    assert pii.replace_pii(empty).count() == 0
