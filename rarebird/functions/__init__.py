@@ -5,8 +5,7 @@ from rarebird.functions.columns import (
     as_array,
     membership_flag,
     run_moment,
-    to_text,
     vector_text,
 )
 
-__all__ = ["MOMENT_FORMAT", "as_array", "membership_flag", "run_moment", "to_text", "vector_text"]
+__all__ = ["MOMENT_FORMAT", "as_array", "membership_flag", "run_moment", "vector_text"]

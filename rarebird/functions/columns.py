@@ -37,10 +37,6 @@ def vector_text(c: str | Column) -> Column:
     return _col(c).cast("string")
 
 
-def to_text(c: str | Column) -> Column:
-    return _col(c).cast("string")
-
-
 def run_moment(now: _dt.datetime | None = None) -> str:
     """The moment stamp of one run, day first; computed once on the driver per run."""
     return (now or _dt.datetime.now()).strftime(MOMENT_FORMAT)

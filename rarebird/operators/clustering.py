@@ -21,13 +21,15 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rarebird.operators.layout import iteration_layout
+from rarebird.operators.layout import spread
 
 log = logging.getLogger(__name__)
 
@@ -35,12 +37,10 @@ MIXTURE = "mixture"
 KMEANS = "kmeans"
 DEFAULT_SEED = 123
 FIRST_K = 3
-# Candidates fitted at once by default when tasks are short (latency-bound iterations:
-# overlapping candidates hides each one's driver-side step and scheduling delay). With long,
-# CPU-bound tasks concurrency gains nothing and only multiplies the estimators' in-memory
-# copies of the training vectors, so candidates then run one after another.
+# Candidates fitted at once by default. Iterations of a small input are bound by the driver's steps
+# between them, which overlapping candidates hide; on an input whose passes keep the cluster busy set
+# parallelism=1, as each running candidate holds its own copy of the training vectors.
 DEFAULT_PARALLELISM = 4
-SHORT_TASK_ROWS = 200_000
 
 
 def mixture(k: int, seed: int = DEFAULT_SEED, features: str = "features", max_iter: int = 100,
@@ -79,47 +79,30 @@ def model_k(model) -> int:
 
 
 @contextmanager
-def fit_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+def fit_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK, stored: bool = False):
     """The frame iterative fits should read.
 
-    The rows are persisted once (``df`` itself when the caller already cached it, else a
-    copy spread by :func:`iteration_layout`, persisted for the block). The estimators get a
-    plain projection of it: Spark's mixture and k-means keep their own *deserialized* copy of
-    the training vectors only when their input is not cached, and that copy is what every
-    iteration then reads (about twice as fast as decoding the cached columns each time). The
-    copy is built from the persisted rows, so the source is still scanned once.
+    Spark's mixture and k-means keep a *deserialized* copy of the training vectors when their input
+    is not cached, and every iteration reads that copy (about twice as fast as decoding cached
+    columns each time). So a ``stored`` frame (one that reads a written feature table) is handed over
+    as it is; any other frame is spread by its bytes and persisted once for the block, and the
+    estimators get a plain projection of it.
 
-    MEMORY_AND_DISK spills instead of recomputing; a lost executor's blocks are rebuilt from
-    the lineage (the checkpoint files when the jobs built the frame, else scan, filter and the
-    fitted feature transforms).
+    MEMORY_AND_DISK spills instead of recomputing; a lost executor's blocks are read again from the
+    written features, or rebuilt from scan, filter and fitted transforms.
     """
+    if stored:
+        yield df
+        return
     own = not df.is_cached
-    work = iteration_layout(df).persist(level) if own else df
+    work = spread(df).persist(level) if own else df
     try:
-        view = work.select(*[F.col(c).alias(c) for c in work.columns])
-        yield _merge_small_tasks(work, view)
+        yield work.select(*[F.col(c).alias(c) for c in work.columns])
     finally:
         if own:
             work.unpersist()
 
 
-# Fewer rows than this per task and an iteration is mostly task overhead (e.g. a sampled fit
-# frame that kept the partition count of a huge source).
-MIN_TASK_ROWS = 20_000
-
-
-def _merge_small_tasks(work: DataFrame, view: DataFrame) -> DataFrame:
-    """Coalesce (no shuffle) the estimators' view when partitions hold very few rows, keeping at
-    least one partition per core. ``work`` is persisted: it is counted first, so asking for its
-    partitions afterwards runs nothing."""
-    rows = work.count()
-    parts = work.rdd.getNumPartitions()
-    cores = max(1, work.sparkSession.sparkContext.defaultParallelism)
-    if parts <= cores or rows >= parts * MIN_TASK_ROWS:
-        return view
-    return view.coalesce(max(cores, -(-rows // MIN_TASK_ROWS)))
-
-
 @dataclass
 class KSearch:
     """Outcome of a k search: the chosen k, its silhouette and fitted model, all scores."""
@@ -131,16 +114,36 @@ class KSearch:
     errors: dict[int, str] = field(default_factory=dict)
 
 
+def _one_cluster(err: Py4JJavaError) -> bool:
+    """Whether the evaluator refused a clustering that uses a single cluster."""
+    cause = err.java_exception
+    return cause.getClass().getSimpleName() == "AssertionError" and "clusters must be greater than one" in str(cause.getMessage())
+
+
+def _score(df: DataFrame, features: str) -> tuple[float | None, str | None]:
+    """(silhouette, reason there is none)."""
+    try:
+        score = silhouette(df, features=features)
+    except IllegalArgumentException as err:
+        return None, f"{type(err).__name__}: {err}"
+    except Py4JJavaError as err:
+        if not _one_cluster(err):
+            raise
+        return None, "one cluster only"
+    return (None, "silhouette is NaN") if score is None or math.isnan(score) else (float(score), None)
+
+
 def _try_k(df: DataFrame, family: str, k: int, features: str, params: dict):
-    est = estimator(family, k, features=features, **params)  # bad parameters raise, not skip
+    """(k, silhouette, model, reason it was skipped). Only what says that this k does not suit the
+    data skips it: an argument the estimator or the evaluator refuses (such as a model that uses a
+    single cluster), or a NaN score. Anything else, a lost stage above all, is raised."""
+    est = estimator(family, k, features=features, **params)
     try:
         model = est.fit(df)
-        score = silhouette(model.transform(df), features=features)
-        if score is None or math.isnan(score):
-            return k, None, None, "silhouette is NaN"
-        return k, float(score), model, None
-    except Exception as err:  # a k that cannot be fitted or scored is skipped, as designed
+    except IllegalArgumentException as err:
         return k, None, None, f"{type(err).__name__}: {err}"
+    score, reason = _score(model.transform(df), features)
+    return k, score, model if score is not None else None, reason
 
 
 def choose_k(
@@ -154,10 +157,11 @@ def choose_k(
     **params,
 ) -> KSearch:
     """M5 / M6: fit every candidate k (default 3..max_k), score each by silhouette and keep
-    the best; equal scores go to the smaller k. Candidates that fail (or score NaN) are
-    skipped; when all fail the answer is k = 3 with no silhouette and no model.
+    the best; equal scores go to the smaller k. A k that does not suit the data (one cluster only,
+    a refused argument, a NaN score) is skipped and its reason kept in ``errors``; when all are
+    skipped the answer is k = 3 with no silhouette and no model. Any other failure is raised.
 
-    An empty input is an error, not a failed candidate.
+    An empty input is an error, not a skipped candidate.
     """
     with fit_frame(df) as work:
         return _search(work, family, ks, max_k, seed, features, parallelism, params)
@@ -166,18 +170,16 @@ def choose_k(
 def _search(work, family, ks, max_k, seed, features, parallelism, params) -> KSearch:
     candidates = sorted(set(ks if ks is not None else range(FIRST_K, max_k + 1)))
     params = dict(params, seed=seed)
-    rows = work.count()  # the frame is persisted: a cheap count
-    if rows == 0:
+    if work.isEmpty():
         raise ValueError("k search on an empty frame")
-    if parallelism is None:
-        short = rows / max(1, work.rdd.getNumPartitions()) < SHORT_TASK_ROWS
-        parallelism = DEFAULT_PARALLELISM if short else 1
-    workers = max(1, min(parallelism, len(candidates)))
+    workers = max(1, min(parallelism or DEFAULT_PARALLELISM, len(candidates)))
     if workers == 1:
         results = [_try_k(work, family, k, features, params) for k in candidates]
     else:
+        # inheritable threads: job group, scheduler pool and cancellation reach every candidate
+        run = inheritable_thread_target(work.sparkSession)(lambda k: _try_k(work, family, k, features, params))
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            results = list(pool.map(lambda k: _try_k(work, family, k, features, params), candidates))
+            results = list(pool.map(run, candidates))
     scores = {k: s for k, s, _, _ in results}
     errors = {k: e for k, _, _, e in results if e}
     for k, e in errors.items():
@@ -212,11 +214,13 @@ def cluster(
     with_silhouette: bool = True,
     parallelism: int | None = None,
     ks: Iterable[int] | None = None,
+    stored: bool = False,
     **params,
 ) -> Clustering:
     """M8 / M9: score with a trained model, or fit with a given k, or search k (``k == 0``).
 
-    The search's winner is used as is (no second fit). ``model_path`` saves the fitted model.
+    The search's winner is used as is (no second fit). ``model_path`` saves the fitted model;
+    ``stored`` says that ``df`` reads a written feature table (see :func:`fit_frame`).
     """
     search = None
     if trained_model is not None:
@@ -224,7 +228,7 @@ def cluster(
         scored = model.transform(df)
         score = silhouette(scored, features=features) if with_silhouette else None
         return Clustering(scored, model, model_k(model), score)
-    with fit_frame(df) as work:
+    with fit_frame(df, stored=stored) as work:
         if k == 0:
             search = _search(work, family, ks, max_k, seed, features, parallelism, params)
             model, score, k = search.model, search.silhouette, search.k
@@ -234,10 +238,9 @@ def cluster(
             model = estimator(family, k, seed=seed, features=features, **params).fit(work)
             score = None
             if with_silhouette:
-                try:
-                    score = silhouette(model.transform(work), features=features)
-                except Exception as err:
-                    log.warning("silhouette not available for k=%d: %s", k, err)
+                score, reason = _score(model.transform(work), features)
+                if reason:
+                    log.warning("silhouette not available for k=%d: %s", k, reason)
     if model_path:
         model.write().overwrite().save(model_path)
     # scoring is a narrow projection of the caller's frame (no repartition, no shuffle)

@@ -4,9 +4,9 @@ The enrichment join is a plain equi-join: Catalyst + AQE choose broadcast only w
 runtime size of a side is under ``spark.sql.autoBroadcastJoinThreshold`` and split skewed
 partitions (``spark.sql.adaptive.skewJoin``) otherwise, so no side is broadcast on faith.
 
-Deduplication is an aggregation, not a window: ``min(struct(order..., row...))`` per key
-combines partially on the map side, so a key holding a third of all rows still sends one
-row per map partition across the shuffle, and the surviving row is repeatable.
+Ordered deduplication keeps the first row of each key by ``row_number() = 1``, which Spark runs as
+a group limit before the shuffle too: every map partition sends one row per key, so a key holding a
+third of all rows never meets in one task whole.
 """
 
 from __future__ import annotations
@@ -16,9 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
-_ORDER_PREFIX = "__order_"
-
+from pyspark.sql.window import Window
 
 _SALT = "__salt"
 _SALTABLE = {"inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"}
@@ -38,18 +36,17 @@ def enrich(
     on,
     how: str = "inner",
     skew_keys: Sequence | str | None = None,
-    salt_buckets: int = 16,
+    rows_per_bucket: int = 1_000_000,
     hot_share: float = 0.05,
-    seed: int = 7,
 ) -> DataFrame:
     """Join the stored result with any other table.
 
     Without ``skew_keys`` this is a plain equi-join (AQE picks broadcast by runtime size and
     splits skewed partitions). With ``skew_keys`` (a list of values, or ``"auto"`` to find
-    the keys above ``hot_share`` of the result's rows) the rows of those keys are spread over
-    ``salt_buckets`` random buckets on the result side and only the matching source rows are
-    replicated once per bucket, so no task receives a hot key whole. Every result row still
-    meets each of its source rows exactly once. ``on`` must then be one column name.
+    the keys above ``hot_share`` of the result's rows) the rows of each such key are counted and
+    spread over one bucket per ``rows_per_bucket`` of them by a hash of the whole row, which a
+    retried task repeats; only the matching source rows are replicated, once per bucket. Every
+    result row still meets each of its source rows exactly once. ``on`` must then be one column name.
     """
     if skew_keys is None:
         return result.join(source, on=on, how=how)
@@ -60,57 +57,45 @@ def enrich(
     keys = hot_keys(result, on, hot_share) if isinstance(skew_keys, str) and skew_keys == "auto" else list(skew_keys)
     if not keys:
         return result.join(source, on=on, how=how)
-    hot_left = F.col(on).isin(keys)
-    left = result.withColumn(
-        _SALT, F.when(hot_left, (F.rand(seed) * salt_buckets).cast("int")).otherwise(F.lit(0))
-    )
-    every = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-    right = source.withColumn(
-        _SALT, F.explode(F.when(F.col(on).isin(keys), every).otherwise(F.array(F.lit(0))))
-    )
+    counted = result.where(F.col(on).isin(keys)).groupBy(on).agg(F.count(F.lit(1)).alias("n")).collect()
+    buckets = F.lit(1)
+    for row in counted:  # at most one per hot key
+        buckets = F.when(F.col(on) == row[on], F.lit(-(-row["n"] // rows_per_bucket))).otherwise(buckets)
+    hashable = [F.col(f"`{f.name}`") for f in result.schema.fields if not _holds_map(f.dataType)]
+    left = result.withColumn(_SALT, F.pmod(F.xxhash64(*hashable), buckets).cast("int"))
+    right = source.withColumn(_SALT, F.explode(F.sequence(F.lit(0), buckets.cast("int") - 1)))
     return left.join(right, on=[on, _SALT], how=how).drop(_SALT)
 
 
-def _negated(expr: Column, dtype: T.DataType) -> Column:
-    """An ascending key whose order is the descending order of ``expr``."""
-    if isinstance(dtype, T.NumericType):
-        return -expr
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(expr.cast("timestamp"))
-    if isinstance(dtype, T.DateType):
-        return -F.unix_date(expr)
-    if isinstance(dtype, T.BooleanType):
-        return ~expr
-    raise TypeError(f"descending order on {dtype.simpleString()} is not supported; order ascending")
+def _holds_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _holds_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def dedupe(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """One row per key.
 
     Without ``order_by`` the survivor is arbitrary (``dropDuplicates``). With ``order_by``
-    (strings, ``"-col"`` for descending) the first row in that order survives. Nulls in an
-    ordering column sort first ascending and last descending.
+    (strings, ``"-col"`` for descending) the first row in that order survives; ties go by the other
+    columns that have an order. Nulls in an ordering column sort first ascending and last descending.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not order_by:
         return df.dropDuplicates(keys)
-    rest = [c for c in df.columns if c not in keys]
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    order_cols = []
-    for i, term in enumerate(order_by):
+    terms, named = [], set()
+    for term in order_by:
         if not isinstance(term, str):
             raise TypeError("order_by takes column names; prefix '-' for descending")
-        name, desc = term.lstrip("-"), term.startswith("-")
-        expr = F.col(name)
-        if desc:
-            expr = _negated(expr, types[name])
-            nulls = expr.isNull()  # descending: nulls last
-        else:
-            nulls = expr.isNotNull()  # ascending: nulls first
-        order_cols += [nulls.alias(f"{_ORDER_PREFIX}{i}_n"), expr.alias(f"{_ORDER_PREFIX}{i}")]
-    packed = F.struct(*order_cols, *[F.col(c) for c in rest]).alias("__row")
-    best = df.groupBy(*keys).agg(F.min(packed).alias("__row"))
-    return best.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)
+        name = term.lstrip("-")
+        named.add(name)
+        terms.append(F.col(name).desc_nulls_last() if term.startswith("-") else F.col(name).asc_nulls_first())
+    ties = [F.col(f"`{f.name}`").asc_nulls_first() for f in df.schema.fields
+            if f.name not in named and f.name not in keys and not _holds_map(f.dataType)]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*terms, *ties))
+    return df.withColumn("__first", first).where("__first = 1").drop("__first")
 
 
 def enrich_and_dedupe(

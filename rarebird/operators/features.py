@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
@@ -69,23 +70,49 @@ def split_roles(
     return numeric, cats
 
 
-MAX_CATEGORIES = 10_000
+#: bytes the driver holds per feature column: a scaler's or a centre's doubles and a category's label
+_COLUMN_BYTES = 4096
 
 
-def check_categories(df: DataFrame, categorical: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, int]:
-    """Approximate distinct counts of the categorical columns (one HyperLogLog pass, one row
-    back). The indexer gathers every distinct value on the driver and the one-hot width sets the
-    d x d covariances held there, so a column above ``limit`` (an id listed as categorical, a
-    free-text field) is refused before anything is fitted."""
+def category_counts(df: DataFrame, categorical: Sequence[str]) -> dict[str, int]:
+    """Exact number of distinct values of each categorical column: one pass, combined before the
+    shuffle, one row per column back."""
     cats = list(categorical)
     if not cats:
         return {}
-    row = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cats]).first()
-    counts = {c: int(row[c]) for c in cats}
-    wide = {c: n for c, n in counts.items() if n > limit}
-    if wide:
-        raise ValueError(f"categorical columns with more than {limit} values (about): {wide}")
-    return counts
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(cats)])).alias("x"))
+    got = pairs.select("x.c", "x.v").where("v is not null").distinct().groupBy("c").count().collect()
+    counts = {cats[r["c"]]: int(r["count"]) for r in got}
+    return {c: counts.get(c, 0) for c in cats}
+
+
+def driver_memory(df: DataFrame) -> int:
+    """Bytes of the driver's heap."""
+    return int(df.sparkSession.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory())
+
+
+def check_width(df: DataFrame, stages: Sequence, max_width: int | None = None, square: bool | None = None) -> int:
+    """The exact feature width that ``stages`` produce before scaling; refuses a wider one than fits.
+
+    The indexer gathers every category on the driver, and fits hold d x d matrices there (a PCA, or a
+    mixture's covariances: ``square``, by default whether a PCA is among the stages). ``max_width`` is
+    the caller's limit; without one it is what a quarter of the driver's memory holds: three d x d
+    matrices of doubles, or 4 KB a column where nothing is d x d.
+    """
+    indexers = [s for s in stages if isinstance(s, StringIndexer)]
+    assemblers = [s for s in stages if isinstance(s, VectorAssembler)]
+    counts = category_counts(df, indexers[0].getInputCols()) if indexers else {}
+    inputs = assemblers[0].getInputCols() if assemblers else []
+    width = sum(1 for c in inputs if not c.endswith(ONEHOT_SUFFIX)) + sum(counts.values())
+    if max_width is None:
+        square = any(isinstance(s, PCA) for s in stages) if square is None else square
+        budget = driver_memory(df) // 4
+        max_width = int((budget / 24) ** 0.5) if square else budget // _COLUMN_BYTES
+    if width > max_width:
+        raise ValueError(f"{width} feature columns, the limit is {max_width} (max_width, or more driver memory); "
+                         f"categories by column: {counts}")
+    return width
 
 
 def category_indexer(categorical: Sequence[str]) -> StringIndexer:
@@ -169,6 +196,17 @@ def preparation_pipeline(
     return Pipeline(stages=preparation_stages(columns, categorical, id_col, scale, pca_k, output))
 
 
+def _fit_once(pipeline: Pipeline, df: DataFrame, max_width: int | None) -> PipelineModel:
+    own = not df.is_cached
+    source = df.persist(StorageLevel.MEMORY_AND_DISK) if own else df
+    try:
+        check_width(source, pipeline.getStages(), max_width)
+        return pipeline.fit(source)
+    finally:
+        if own:
+            source.unpersist()
+
+
 @dataclass
 class Prepared:
     """A fitted preparation and the frame it produced (``[id,] features``)."""
@@ -184,10 +222,13 @@ def prepare(
     scale: str | None = SCALE_CENTRED,
     pca_k: int | None = None,
     output: str = FEATURES,
+    max_width: int | None = None,
 ) -> Prepared:
-    """Fit F4 (+ scaler, + PCA) on ``df`` and keep ``[id,] features``."""
+    """Fit F4 (+ scaler, + PCA) on ``df`` and keep ``[id,] features``. The input is persisted while
+    the stages are fitted, so all of them share one scan; ``max_width`` as in :func:`check_width`."""
     df = spread(df)
-    model = preparation_pipeline(df.columns, categorical, id_col, scale, pca_k, output).fit(df)
+    pipeline = preparation_pipeline(df.columns, categorical, id_col, scale, pca_k, output)
+    model = _fit_once(pipeline, df, max_width)
     keep = ([id_col] if id_col else []) + [output]
     return Prepared(model, model.transform(df).select(*keep))
 
@@ -197,9 +238,10 @@ def inference_features(
     categorical: Sequence[str] | str | None,
     id_col: str | None = None,
     output: str = FEATURES,
+    max_width: int | None = None,
 ) -> DataFrame:
     """F8: encoded and assembled features (no scaling), ``[id,] features``."""
-    return prepare(df, categorical, id_col, scale=None, pca_k=None, output=output).frame
+    return prepare(df, categorical, id_col, scale=None, pca_k=None, output=output, max_width=max_width).frame
 
 
 def feature_width(model: PipelineModel, df: DataFrame, output: str = FEATURES) -> int:
@@ -220,13 +262,15 @@ def prepare_supervised(
     key: str | None = None,
     seed: int | None = None,
     output: str = "X",
+    max_width: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """encode + assemble every column but the target (or ``feature_columns``) into
     ``output``, keep the target, and split once into disjoint train and test.
 
     With ``key`` the split is a hash bucket of that column (stable under re-reads and
     repartitioning, see :func:`rarebird.operators.sampling.keyed_split`); otherwise one
-    seeded ``randomSplit``.
+    seeded ``randomSplit``. The encoded frame is persisted, so both halves share one scan and one
+    encoding; ``unpersist`` either half's session cache when done.
     """
     from rarebird.operators.sampling import keyed_split, random_split
 
@@ -237,9 +281,9 @@ def prepare_supervised(
         stages += [category_indexer(cats), one_hot_encoder(cats)]
     numeric = [c for c in cols if c not in cats]
     stages.append(assembler(numeric + [c + ONEHOT_SUFFIX for c in cats], output))
-    encoded = Pipeline(stages=stages).fit(df).transform(df)
+    encoded = _fit_once(Pipeline(stages=stages), df, max_width).transform(df)
     keep = ([key] if key else []) + [output, target]
-    encoded = encoded.select(*keep)
+    encoded = encoded.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
     if key:
         return keyed_split(encoded, key, train_fraction)
     return random_split(encoded, train_fraction, seed)

@@ -1,38 +1,52 @@
-"""Partition layout rules.
-
-* :func:`spread` - a frame with fewer partitions than the cluster has cores (a small file,
-  one row group) gets one round-robin exchange so every core works. Large scans already have
-  more splits than cores: for them this is a no-op and plans stay shuffle-free.
-* :func:`iteration_layout` - frames that iterative fits read many times: spread when too
-  few partitions, merged without a shuffle (``coalesce``) when far too many, since every
-  iteration pays per-task overhead.
-
-Both read the partition count only when it is known without running anything: for a plan
-with an exchange, asking for its RDD would run the shuffle's map stages (under AQE) just to
-count, and the real action would run them again. Such frames are left as they are.
+"""Partition layout by bytes.
+
+A frame gets more partitions when its scan has fewer than its size calls for (a small file is one
+split, however many columns an iterative fit reads a hundred times); it is never merged into fewer.
+The count depends on the bytes alone, never on the cores that happen to be registered, so a run's
+layout - and with it the floating-point path of a fit - is the same on every cluster.
 """
 
 from __future__ import annotations
 
-import contextlib
-import io
-import re
-
 from pyspark.sql import DataFrame
 
-_EXCHANGE = re.compile(r"\b(Broadcast)?Exchange\b")
+#: bytes of one partition of a large frame
+PARTITION_BYTES = 128 << 20
+#: bytes of one partition of a small frame, and up to how many such partitions it is cut
+SMALL_PARTITION_BYTES = 1 << 20
+SMALL_PARTITIONS = 64
+#: statistics above this are Spark's "unknown"
+_UNKNOWN = 1 << 60
+
+
+def partitions_for(size: int) -> int:
+    """Partitions that ``size`` bytes call for: 128 MB each, small frames 1 MB each up to 64."""
+    large = -(-size // PARTITION_BYTES)
+    small = -(-size // SMALL_PARTITION_BYTES)
+    return max(1, large, min(SMALL_PARTITIONS, small))
 
 
-def cores(df: DataFrame) -> int:
-    return max(1, df.sparkSession.sparkContext.defaultParallelism)
+def plan_bytes(df: DataFrame) -> int | None:
+    """Spark's size estimate of the optimized plan; ``None`` when it has none. Runs nothing."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < _UNKNOWN else None
 
 
 def has_exchange(df: DataFrame) -> bool:
-    """Whether the physical plan shuffles or broadcasts (planning only, nothing runs)."""
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain()
-    return bool(_EXCHANGE.search(out.getvalue()))
+    """Whether the physical plan shuffles or broadcasts, read from its nodes. Runs nothing."""
+    plan = df._jdf.queryExecution().executedPlan()
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.initialPlan())
+            continue
+        if name.endswith("ExchangeExec"):
+            return True
+        children = node.children()
+        todo.extend(children.apply(i) for i in range(children.size()))
+    return False
 
 
 def partition_count(df: DataFrame) -> int | None:
@@ -43,18 +57,11 @@ def partition_count(df: DataFrame) -> int | None:
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    target = partitions or cores(df)
-    current = partition_count(df)
-    return df.repartition(target) if current is not None and current < target else df
-
-
-def iteration_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    target = partitions or cores(df)
+    """``df`` with at least the partitions its bytes call for (or ``partitions``). A plan that
+    shuffles keeps its layout: asking for its partitions would run the shuffle."""
     current = partition_count(df)
     if current is None:
         return df
-    if current < target:
-        return df.repartition(target)
-    if current > 4 * target:
-        return df.coalesce(2 * target)
-    return df
+    size = plan_bytes(df)
+    target = partitions or (partitions_for(size) if size is not None else current)
+    return df.repartition(target) if current < target else df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,26 @@ def bootstrap_sample(df: DataFrame, fraction: float, seed: int | None = None) ->
     return df.sample(withReplacement=True, fraction=fraction, seed=seed)
 
 
+def keyed_bootstrap(df: DataFrame, key: str | Column, fraction: float, seed: int = 0, name: str = "draw") -> DataFrame:
+    """A1, keyed: Poisson(``fraction``) copies of each row, numbered in ``name``; the count follows from
+    48 bits of ``md5(seed:key)``, so a retried task, a re-read and any partitioning draw the same rows.
+
+    The Poisson distribution function is used to eight digits; rows of equal key are drawn alike.
+    """
+    k = F.col(key) if isinstance(key, str) else key
+    head = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(k.cast("string"), F.lit("")))), 1, 12), 16, 10)
+    u = head.cast("bigint") / F.lit(float(1 << 48))
+    steps, term, total = [], math.exp(-fraction), 0.0
+    while total < 1 - 1e-6:
+        total += term
+        steps.append(round(total, 8))
+        term *= fraction / len(steps)
+    times = sum((F.when(u >= s, 1).otherwise(0) for s in steps[1:]), F.when(u >= steps[0], 1).otherwise(0))
+    none = F.array().cast("array<bigint>")
+    copies = F.when(times > 0, F.sequence(F.lit(0).cast("bigint"), times.cast("bigint") - 1)).otherwise(none)
+    return df.select("*", F.explode(copies).alias(name))
+
+
 def split_bucket(key: str | Column, buckets: int = DEFAULT_BUCKETS) -> Column:
     """A bucket in ``[0, buckets)`` from the first 32 bits of ``md5(key as string)``.
 

@@ -4,9 +4,9 @@ training and prediction jobs.
 Plan shape of every job:
 
 * the source is read once, incomplete rows dropped, preparation fitted (one pass per stage);
-* the feature frame ``[id, features]`` is persisted for the run (every EM / Lloyd iteration
-  of every candidate k reads it) and unpersisted in ``finally``;
-* scoring is a narrow projection of the persisted frame and is written **once**; the shares
+* the feature frame ``[id, features]`` is written once to the shared scratch folder; every candidate k
+  is fitted from it, and ``finally`` deletes it;
+* scoring is a narrow projection of that frame and is written **once**; the shares
   are then aggregated from the written table, which reads a single column;
 * the monitoring rows are k + 2 rows built as DataFrames, appended by column name.
 
@@ -22,7 +22,6 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,20 +29,20 @@ from rarebird.functions.columns import run_moment
 from rarebird.operators import metrics as M
 from rarebird.operators.anomaly import DEFAULT_THRESHOLD, FLAG, flag_anomalies, stored_result
 from rarebird.operators.clustering import KMEANS, MIXTURE, cluster
-from rarebird.operators.layout import iteration_layout, spread
+from rarebird.operators.layout import spread
 from rarebird.operators.enrich import enrich_and_dedupe
 from rarebird.operators.features import (
     FEATURES,
     SCALE_CENTRED,
     SCALE_ONLY,
-    check_categories,
+    check_width,
     drop_incomplete,
     parse_columns,
     preparation_stages,
 )
 from rarebird.operators.sampling import bootstrap_sample
 from rarebird.sources.models import join_stages, load_pipeline, save_model
-from rarebird.session import checkpoint_dir
+from rarebird.session import remove_path, scratch_path
 from rarebird.sources.tables import append_table, overwrite_table, refresh, sql_source, table_location
 
 log = logging.getLogger(__name__)
@@ -59,6 +58,7 @@ class RunReport:
     k: int | None = None
     silhouette: float | None = None
     scores: dict = field(default_factory=dict)
+    skipped: dict = field(default_factory=dict)  # candidate k that did not suit the data, and why
     error: BaseException | None = None
 
 
@@ -72,59 +72,34 @@ def _fail(spark, family, stage, moment, project, metric_table, on_error, err, ta
     return RunReport(metrics=row, error=err)
 
 
-def fit_features(df: DataFrame, stages: list, id_col: str, durable: bool = True) -> tuple[PipelineModel, DataFrame]:
-    """Fit the preparation and materialize the persisted ``[id, features]`` frame.
+def fit_features(df: DataFrame, stages: list, id_col: str, max_width: int | None = None,
+                 square: bool | None = None) -> tuple[PipelineModel, DataFrame, str]:
+    """Fit the preparation and write the ``[id, features]`` frame; returns model, frame and folder.
 
-    The pruned, filtered input is spread and persisted while the stages are fitted (the
-    indexer, scaler and PCA each read it: four passes), then released once the compact
-    feature frame is built from it, so one scan of the source serves the whole fit phase.
-
-    ``durable`` first writes the feature frame to the shared checkpoint folder
-    (``spark.checkpoint.dir``): the many fit passes that follow then survive lost executors by
-    re-reading those files instead of re-running the scan and the preparation.
+    The pruned, filtered input is spread by its bytes and persisted while the stages are fitted (the
+    width check, indexer, scaler and PCA each read it), then released once the compact feature frame
+    is written as Parquet to the shared scratch folder: one scan of the source serves the whole fit
+    phase, and a lost executor re-reads those files. The caller removes the folder.
     """
-    source = iteration_layout(df).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    source = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    where = scratch_path(spark, "features")
     try:
-        _check_width(source, stages)
+        check_width(source, stages, max_width, square)
         prep = Pipeline(stages=stages).fit(source)
         feats = prep.transform(source).select(id_col, FEATURES)
-        if durable:
-            checkpoint_dir(df.sparkSession)
-            feats = feats.checkpoint(eager=True)
-        feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-        feats.count()
+        feats.write.parquet(where)
+    except BaseException:
+        remove_path(spark, where)
+        raise
     finally:
         source.unpersist()
-    return prep, feats
-
-
-
-# The feature width d sets driver-side d x d matrices (PCA covariance, mixture covariances).
-WIDE_WARNING = 500
-MAX_PCA_WIDTH = 4096
-
+    return prep, spark.read.schema(feats.schema).parquet(where), where
 
-def _check_width(source: DataFrame, stages: list) -> int:
-    """Estimate the feature width before fitting (category counts from one HyperLogLog pass):
-    warn when it is wide, refuse a PCA whose d x d covariance would not fit the driver."""
-    indexers = [s for s in stages if isinstance(s, StringIndexer)]
-    assemblers = [s for s in stages if isinstance(s, VectorAssembler)]
-    counts = check_categories(source, indexers[0].getInputCols()) if indexers else {}
-    width = len(assemblers[0].getInputCols()) - len(counts) + sum(counts.values()) if assemblers else 0
-    if width > MAX_PCA_WIDTH and any(isinstance(s, PCA) for s in stages):
-        raise ValueError(f"about {width} feature columns: a {width} x {width} PCA covariance is too large "
-                         f"for the driver (limit {MAX_PCA_WIDTH}); drop or bucket wide categorical columns")
-    if width > WIDE_WARNING:
-        log.warning("about %d feature columns: d x d matrices on the driver grow with the width", width)
-    return width
 
-
-def _fit_rows(df: DataFrame, fit_fraction: float | None, seed: int) -> DataFrame:
-    """The rows the fits read: all of them, or a Bernoulli sample when ``fit_fraction`` is set
-    (scoring still covers every row)."""
-    if fit_fraction is None or fit_fraction >= 1.0:
-        return df
-    return df.sample(withReplacement=False, fraction=fit_fraction, seed=seed)
+def _kept(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Monitoring rows (one per class and model score) computed now, so that they outlive the run."""
+    return spark.createDataFrame(rows.collect(), rows.schema)
 
 
 def _shares_after_write(spark: SparkSession, rows: DataFrame, exit_table: str | None, class_col: str,
@@ -158,42 +133,39 @@ def train_anomaly_model(
     on_error: str = "raise",
     table_root: str | None = None,
     parallelism: int | None = None,
-    fit_fraction: float | None = None,
+    max_width: int | None = None,
     **fit_params,
 ) -> RunReport:
     """Prepare (index, one-hot, assemble, centred scaling, PCA), search k for a Gaussian
     mixture by silhouette, save prep + mixture as one pipeline, flag rows no component claims
-    with at least ``threshold``, store the flags and append the monitoring rows.
-
-    ``fit_fraction`` fits on a sample of the rows (bounding the EM cost on huge inputs); the
-    flags are still computed for every row."""
+    with at least ``threshold``, store the flags and append the monitoring rows. ``max_width``
+    limits the feature width (see :func:`rarebird.operators.features.check_width`)."""
     moment = moment or run_moment()
-    feats = None
+    folder = None
     try:
         df = drop_incomplete(sql_source(spark, source))
         stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_CENTRED, pca_k=pca_k)
-        prep, feats = fit_features(_fit_rows(df, fit_fraction, seed), stages, id_col)
-        fit = cluster(feats, MIXTURE, k=0, max_k=max_k, seed=seed, ks=ks, parallelism=parallelism, **fit_params)
+        prep, feats, folder = fit_features(df, stages, id_col, max_width)
+        fit = cluster(feats, MIXTURE, stored=True, k=0, max_k=max_k, seed=seed, ks=ks, parallelism=parallelism, **fit_params)
         pipeline = join_stages(prep, fit.model)
         if pipeline_path:
             save_model(pipeline, pipeline_path)
-        scored = fit.scored if fit_fraction is None else pipeline.transform(spread(df))
-        flags = flag_anomalies(scored, id_col, threshold)
+        flags = flag_anomalies(fit.scored, id_col, threshold)
         shares = _shares_after_write(spark, stored_result(flags, id_col), exit_table, FLAG, table_root)
-        metrics = M.monitoring_union([
+        metrics = _kept(spark, M.monitoring_union([
             M.anomaly_metric_rows(shares, moment, "train", project),
             M.model_metric_rows(spark, fit.silhouette, fit.k, moment, project),
-        ])
+        ]))
         if metric_table:
             append_table(metrics, metric_table, path=table_location(table_root, metric_table))
-        result = spark.table(exit_table) if exit_table else flags
-        return RunReport(metrics, result, pipeline, fit.k, fit.silhouette,
-                         fit.search.scores if fit.search else {})
+        # what is returned reads a stored table, or scores the source: never the deleted scratch folder
+        result = spark.table(exit_table) if exit_table else flag_anomalies(pipeline.transform(spread(df)), id_col, threshold)
+        return RunReport(metrics, result, pipeline, fit.k, fit.silhouette, fit.search.scores, fit.search.errors)
     except Exception as err:
         return _fail(spark, "anomaly", "train", moment, project, metric_table, on_error, err, table_root)
     finally:
-        if feats is not None:
-            feats.unpersist()
+        if folder is not None:
+            remove_path(spark, folder)
 
 
 def predict_anomalies(
@@ -218,7 +190,7 @@ def predict_anomalies(
         model = pipeline if pipeline is not None else load_pipeline(pipeline_path)
         flags = flag_anomalies(model.transform(df), id_col, threshold)
         shares = _shares_after_write(spark, stored_result(flags, id_col), exit_table, FLAG, table_root)
-        metrics = M.anomaly_metric_rows(shares, moment, "predict", project)
+        metrics = _kept(spark, M.anomaly_metric_rows(shares, moment, "predict", project))
         if metric_table:
             append_table(metrics, metric_table, path=table_location(table_root, metric_table))
         result = spark.table(exit_table) if exit_table else flags
@@ -244,6 +216,7 @@ def bootstrap_anomalies(
     project: str = M.PROJECT,
     parallelism: int | None = None,
     table_root: str | None = None,
+    max_width: int | None = None,
     **fit_params,
 ) -> RunReport:
     """One bootstrap replicate - resample (with replacement), refit preparation and mixture
@@ -252,20 +225,22 @@ def bootstrap_anomalies(
     moment = moment or run_moment()
     df = bootstrap_sample(drop_incomplete(sql_source(spark, source)), fraction, seed)
     stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_CENTRED, pca_k=pca_k)
-    prep, feats = fit_features(df, stages, id_col)
+    prep, feats, folder = fit_features(df, stages, id_col, max_width)
     try:
-        fit = cluster(feats, MIXTURE, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, **fit_params)
+        fit = cluster(feats, MIXTURE, stored=True, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, **fit_params)
         flags = flag_anomalies(fit.scored, id_col, threshold)
         shares = M.class_share(flags.select(FLAG), FLAG)
-        metrics = M.monitoring_union([
+        metrics = _kept(spark, M.monitoring_union([
             M.anomaly_metric_rows(shares, moment, "train", project),
             M.model_metric_rows(spark, fit.silhouette, fit.k, moment, project),
-        ])
+        ]))
         if metric_table:
             append_table(metrics, metric_table, path=table_location(table_root, metric_table))
-        return RunReport(metrics, flags, join_stages(prep, fit.model), fit.k, fit.silhouette)
+        model = join_stages(prep, fit.model)
+        result = flag_anomalies(model.transform(df), id_col, threshold)
+        return RunReport(metrics, result, model, fit.k, fit.silhouette)
     finally:
-        feats.unpersist()
+        remove_path(spark, folder)
 
 
 # --------------------------------------------------------------------------- segments
@@ -286,35 +261,33 @@ def train_segments(
     on_error: str = "raise",
     table_root: str | None = None,
     parallelism: int | None = None,
-    fit_fraction: float | None = None,
+    max_width: int | None = None,
     **fit_params,
 ) -> RunReport:
     """Prepare (centred scaling, no PCA), search k for k-means, save prep + k-means as one
-    pipeline and append one share row per segment (named by ascending share).
-    ``fit_fraction`` as in :func:`train_anomaly_model`."""
+    pipeline and append one share row per segment (named by ascending share)."""
     moment = moment or run_moment()
-    feats = None
+    folder = None
     try:
         df = drop_incomplete(sql_source(spark, source))
         stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_CENTRED)
-        prep, feats = fit_features(_fit_rows(df, fit_fraction, seed), stages, id_col)
-        fit = cluster(feats, KMEANS, k=0, max_k=max_k, seed=seed, ks=ks, parallelism=parallelism, **fit_params)
+        prep, feats, folder = fit_features(df, stages, id_col, max_width)
+        fit = cluster(feats, KMEANS, stored=True, k=0, max_k=max_k, seed=seed, ks=ks, parallelism=parallelism, **fit_params)
         pipeline = join_stages(prep, fit.model)
         if pipeline_path:
             save_model(pipeline, pipeline_path)
-        scored = fit.scored if fit_fraction is None else pipeline.transform(spread(df))
-        scored = scored.select(id_col, F.col("prediction").cast("int").alias("prediction"))
+        scored = fit.scored.select(id_col, F.col("prediction").cast("int").alias("prediction"))
         shares = M.class_share(scored.select("prediction"), "prediction")
-        metrics = M.segment_metric_rows(shares, moment, "train", project)
+        metrics = _kept(spark, M.segment_metric_rows(shares, moment, "train", project))
         if metric_table:
             append_table(metrics, metric_table, path=table_location(table_root, metric_table))
-        return RunReport(metrics, scored, pipeline, fit.k, fit.silhouette,
-                         fit.search.scores if fit.search else {})
+        result = segment_rows(pipeline.transform(spread(df)), id_col).withColumn(id_col, F.col(id_col).cast(df.schema[id_col].dataType))
+        return RunReport(metrics, result, pipeline, fit.k, fit.silhouette, fit.search.scores, fit.search.errors)
     except Exception as err:
         return _fail(spark, "segment", "train", moment, project, metric_table, on_error, err, table_root)
     finally:
-        if feats is not None:
-            feats.unpersist()
+        if folder is not None:
+            remove_path(spark, folder)
 
 
 def segment_rows(scored: DataFrame, id_col: str) -> DataFrame:
@@ -344,7 +317,7 @@ def predict_segments(
         model = pipeline if pipeline is not None else load_pipeline(pipeline_path)
         rows = segment_rows(model.transform(df), id_col)
         shares = _shares_after_write(spark, rows, exit_table, "prediction", table_root)
-        metrics = M.segment_metric_rows(shares, moment, "predict", project)
+        metrics = _kept(spark, M.segment_metric_rows(shares, moment, "predict", project))
         if metric_table:
             append_table(metrics, metric_table, path=table_location(table_root, metric_table))
         return RunReport(metrics, spark.table(exit_table) if exit_table else rows, model)
@@ -367,23 +340,26 @@ def bootstrap_segments(
     project: str = M.PROJECT,
     parallelism: int | None = None,
     table_root: str | None = None,
+    max_width: int | None = None,
     **fit_params,
 ) -> RunReport:
     """One bootstrap replicate of the segmentation (scale-only standardization)."""
     moment = moment or run_moment()
     df = drop_incomplete(bootstrap_sample(sql_source(spark, source), fraction, seed))
     stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_ONLY)
-    prep, feats = fit_features(df, stages, id_col)
+    prep, feats, folder = fit_features(df, stages, id_col, max_width)
     try:
-        fit = cluster(feats, KMEANS, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, **fit_params)
+        fit = cluster(feats, KMEANS, stored=True, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, **fit_params)
         scored = fit.scored.select(id_col, F.col("prediction").cast("int").alias("prediction"))
         shares = M.class_share(scored.select("prediction"), "prediction")
-        metrics = M.segment_metric_rows(shares, moment, "train", project)
+        metrics = _kept(spark, M.segment_metric_rows(shares, moment, "train", project))
         if metric_table:
             append_table(metrics, metric_table, path=table_location(table_root, metric_table))
-        return RunReport(metrics, scored, join_stages(prep, fit.model), fit.k, fit.silhouette)
+        model = join_stages(prep, fit.model)
+        result = model.transform(df).select(id_col, F.col("prediction").cast("int").alias("prediction"))
+        return RunReport(metrics, result, model, fit.k, fit.silhouette)
     finally:
-        feats.unpersist()
+        remove_path(spark, folder)
 
 
 # --------------------------------------------------------------------------- composed jobs
@@ -437,6 +413,7 @@ class JobConfig:
             anomaly_metric_table=monitor.get("monitoring_anomalies"),
             segment_metric_table=monitor.get("monitoring_segmentation"),
             threshold=float(params.get("threshold", DEFAULT_THRESHOLD)),
+            dedupe_order=parse_columns(params.get("dedupe_order")) or None,  # "-column" for descending
             table_root=table_root,
         )
 
@@ -456,19 +433,20 @@ def _enrich_step(spark: SparkSession, cfg: JobConfig) -> DataFrame:
 
 
 def training_job(spark: SparkSession, cfg: JobConfig, moment: str | None = None, on_error: str = "record",
-                 **fit_params) -> JobReport:
-    """Anomaly training -> enrichment + dedup -> segment training. With the default
+                 anomaly_params: dict | None = None, segment_params: dict | None = None) -> JobReport:
+    """Anomaly training -> enrichment + dedup -> segment training, each model with settings of its
+    own (``anomaly_params`` and ``segment_params`` go to the two train jobs). With the default
     ``on_error="record"`` a failing step leaves its failure row and the job goes on."""
     moment = moment or run_moment()
     anomalies = train_anomaly_model(
         spark, cfg.anomaly_query, cfg.anomaly_categorical, cfg.anomaly_id, cfg.anomaly_metric_table,
         cfg.anomaly_pipeline, cfg.threshold, cfg.anomaly_exit_table, moment=moment, on_error=on_error,
-        table_root=cfg.table_root, **fit_params,
+        table_root=cfg.table_root, **(anomaly_params or {}),
     )
     enriched = _enrich_step(spark, cfg)
     segments = train_segments(
         spark, cfg.segment_query, cfg.segment_categorical, cfg.segment_id, cfg.segment_metric_table,
-        cfg.segment_pipeline, moment=moment, on_error=on_error, table_root=cfg.table_root, **fit_params,
+        cfg.segment_pipeline, moment=moment, on_error=on_error, table_root=cfg.table_root, **(segment_params or {}),
     )
     return JobReport(anomalies, enriched, segments)
 

@@ -30,7 +30,7 @@ from rarebird.operators.features import (
     prepare,
     prepare_supervised,
 )
-from rarebird.operators.sampling import bootstrap_sample
+from rarebird.operators.sampling import bootstrap_sample, keyed_bootstrap
 from rarebird.plans import jobs
 from rarebird.session import shared_path
 from rarebird.sources import models as S_models
@@ -595,9 +595,10 @@ def q_bootstrap_sample(spark, sf_dir):
 
 
 def check_table(spark: SparkSession, name: str) -> tuple[str, str]:
-    """(table name, shared location) for a check table."""
+    """(table name, fresh shared location) for a check table; an older table of that name is dropped."""
     tname = f"rarebird_check_{name}"
-    return tname, shared_path(spark, "tables", tname)
+    spark.sql(f"DROP TABLE IF EXISTS {tname}")
+    return tname, shared_path(spark, "tables", tname, unique=True)
 
 
 _CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
@@ -636,7 +637,9 @@ def q_append_by_name(spark, sf_dir):
 def q_ctas_roundtrip(spark, sf_dir):
     cust = table(spark, sf_dir, "customer")
     name, path = check_table(spark, "ctas_roundtrip")
-    S_tables.replace_table_ctas(spark, cust, name, path=path)
+    S_tables.replace_table_ctas(spark, cust.limit(3), name, path=path)
+    S_tables.replace_table_ctas(spark, cust, name, path=path)  # replaces an existing table
+    S_tables.replace_table_ctas(spark, spark.table(name), name, path=path)  # and may read it
     return spark.table(name)
 
 
@@ -665,27 +668,41 @@ def q_mixture_share(spark, sf_dir):
     return report.metrics
 
 
-@register("anomaly_train_failure", f"""
+def _failure_sql(model: str, label: str, error: str, table_: str) -> str:
+    return f"""
 SELECT CAST(NULL AS DOUBLE) AS valor_indicador, '{CHECK_MOMENT}' AS id_momento, 'FRICCIONES' AS proyecto,
-       'anomalias_fricciones_ent' AS modelo, 0 AS ejecucion, 2 AS id_indicador, 'anomalias_gf_1' AS nombre_indicador
-FROM (SELECT count(*) AS n FROM customer) t WHERE n > 0
-""")
+       '{model}' AS modelo, 0 AS ejecucion, 2 AS id_indicador, '{label}' AS nombre_indicador, '{error}' AS error
+FROM (SELECT count(*) AS n FROM {table_}) t WHERE n > 0
+"""
+
+
+def _failed(report: jobs.RunReport) -> DataFrame:
+    return monitoring_check(report.metrics).withColumn("error", F.lit(type(report.error).__name__))
+
+
+@register("anomaly_train_failure", _failure_sql("anomalias_fricciones_ent", "anomalias_gf_1", "IllegalArgumentException", "customer"))
 def q_anomaly_train_failure(spark, sf_dir):
     """One numeric column cannot give 6 principal components: the run leaves a failure row."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    report = jobs.train_anomaly_model(spark, cust, None, "c_custkey", moment=CHECK_MOMENT, on_error="record")
-    return monitoring_check(report.metrics)
+    return _failed(jobs.train_anomaly_model(spark, cust, None, "c_custkey", moment=CHECK_MOMENT, on_error="record"))
+
 
+@register("anomaly_predict_failure", _failure_sql("anomalias_fricciones_pre", "anomalias_gf_1", "AnalysisException", "customer"))
+def q_anomaly_predict_failure(spark, sf_dir):
+    """Prediction with a pipeline that is not there: the run leaves its failure row (T5)."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return _failed(jobs.predict_anomalies(spark, cust, "c_custkey", shared_path(spark, "models", "none", unique=True),
+                                          moment=CHECK_MOMENT, on_error="record"))
 
-# --------------------------------------------------------------------------- S2 / M11 / M12
 
+@register("segment_train_failure", _failure_sql("segmentacion_anomalias_fricciones_ent", "anomalias_gf_0", "ValueError", "customer"))
+def q_segment_train_failure(spark, sf_dir):
+    """No column besides the id: the segment run leaves its failure row."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey")
+    return _failed(jobs.train_segments(spark, cust, None, "c_custkey", moment=CHECK_MOMENT, on_error="record"))
 
-@register("bounded_source", f"SELECT * FROM ({LINEITEM_SQL}) li LIMIT 500000")
-def q_bounded_source(spark, sf_dir):
-    """At most 500,000 rows of the source (the size bound the original model loader used).
-    Which rows an unordered limit keeps is arbitrary; up to sf0.01 the bound keeps every row,
-    so the compared rows are deterministic there."""
-    return S_tables.bounded(lineitem(spark, sf_dir), 500000)
+
+# --------------------------------------------------------------------------- M11 / M12
 
 
 @register("k_for_query", f"SELECT CAST(count(DISTINCT l_returnflag) AS BIGINT) AS k FROM ({SEPARATED_SQL}) sep")
@@ -713,6 +730,7 @@ def q_segment_prediction(spark, sf_dir):
 
 def _job_settings(spark, sf_dir) -> dict:
     """Settings in the nested layout of the original jobs, over the test tables."""
+    # The setting names of that layout.
     lineitem(spark, sf_dir).createOrReplaceTempView("rarebird_check_lineitem")
     table(spark, sf_dir, "orders").createOrReplaceTempView("rarebird_check_orders")
     names = {n: check_table(spark, n) for n in (
@@ -759,7 +777,7 @@ def q_train_predict_job(spark, sf_dir):
     settings = _job_settings(spark, sf_dir)
     root = shared_path(spark, "tables", "jobs", unique=True)
     jobs.training_job(spark, jobs.JobConfig.from_mapping(settings, "train", table_root=root), moment=CHECK_MOMENT,
-                      on_error="raise")
+                      on_error="raise", anomaly_params={"pca_k": 5, "max_k": 4}, segment_params={"max_k": 4})
     jobs.prediction_job(spark, jobs.JobConfig.from_mapping(settings, "predict", table_root=root),
                         moment=CHECK_MOMENT, on_error="raise")
     mon = settings["tablas_monitoreo"]
@@ -819,14 +837,11 @@ def q_stream_segments(spark, sf_dir):
     raw = table(spark, sf_dir, "lineitem")
     stream = separate(lineitem_columns(file_stream(spark, "parquet", f"{sf_dir.rstrip('/')}/lineitem.parquet",
                                                    raw.schema))).select("line_id", "x1", "x2")
-    name = "rarebird_check_stream_segments"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    root = shared_path(spark, "tables", "streams", unique=True)
-    query = start_segment_scoring(stream, pipeline, "line_id", name,
-                                  shared_path(spark, "streams", "segments", unique=True),
-                                  trigger={"availableNow": True}, table_root=root)
+    out = shared_path(spark, "streams", "segments_out", unique=True)
+    query = start_segment_scoring(stream, pipeline, "line_id", out, shared_path(spark, "streams", "segments", unique=True),
+                                  trigger={"availableNow": True})
     query.awaitTermination()
-    scored = spark.table(name).select(F.col("line_id").cast("bigint").alias("line_id"), "prediction")
+    scored = spark.read.parquet(out).select(F.col("line_id").cast("bigint").alias("line_id"), "prediction")
     return segment_keys(scored)
 
 
@@ -967,3 +982,160 @@ def q_mixture_share_events(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     report = jobs.train_anomaly_model(spark, ev, ["event_type"], "event_id", moment=CHECK_MOMENT)
     return report.metrics
+
+
+# --------------------------------------------------------------------------- jobs with closed forms
+
+
+def _flag_share_sql(model: str) -> str:
+    return f"""
+WITH c AS (SELECT l_returnflag AS f, count(*) AS n FROM lineitem GROUP BY 1),
+s AS (SELECT f, n / (SELECT sum(n) FROM c) * 100 AS share FROM c)
+SELECT {_share_sql("share")} AS valor_indicador, '{CHECK_MOMENT}' AS id_momento, 'FRICCIONES' AS proyecto,
+       '{model}' AS modelo, 1 AS ejecucion, 2 AS id_indicador,
+       'anomalias_gf_' || CAST(row_number() OVER (ORDER BY share) - 1 AS VARCHAR) AS nombre_indicador
+FROM s
+"""
+
+
+def _job_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    """(table name, fresh table root) of a table that a job creates."""
+    tname, where = check_table(spark, name)
+    return tname, where
+
+
+@register("segment_train_job", _flag_share_sql("segmentacion_anomalias_fricciones_ent"))
+def q_segment_train_job(spark, sf_dir):
+    """E4 on separated rows, read back from the monitoring table it appended to (S5, S11): its
+    segments are the return flags."""
+    sep = separated(spark, sf_dir).select("line_id", "x1", "x2")
+    name, root = _job_table(spark, "segment_train_mon")
+    jobs.train_segments(spark, sep, None, "line_id", metric_table=name, moment=CHECK_MOMENT, table_root=root)
+    return monitoring_check(spark.table(name))
+
+
+@register("segment_predict_job", f"""
+WITH sep AS ({SEPARATED_SQL}),
+k AS (SELECT CAST(line_id AS VARCHAR) AS line_id, min(line_id) OVER (PARTITION BY l_returnflag) AS segment_key FROM sep),
+m AS ({_flag_share_sql("segmentacion_anomalias_fricciones_pre")})
+SELECT line_id, segment_key, (SELECT count(*) FROM m) AS metric_rows,
+       (SELECT round(sum(valor_indicador), 2) FROM m) AS share_sum FROM k
+""")
+def q_segment_predict_job(spark, sf_dir):
+    """E5: a saved pipeline scores the table; ``id string, prediction`` and the share rows are read
+    back from the tables the job wrote."""
+    sep = separated(spark, sf_dir).select("line_id", "x1", "x2")
+    path = shared_path(spark, "models", "segment_predict", unique=True)
+    jobs.train_segments(spark, sep, None, "line_id", pipeline_path=path, moment=CHECK_MOMENT, ks=[3])
+    rows, root = _job_table(spark, "segment_predict_rows")
+    mon, _ = _job_table(spark, "segment_predict_mon")
+    jobs.predict_segments(spark, sep, "line_id", exit_table=rows, pipeline_path=path, metric_table=mon,
+                          moment=CHECK_MOMENT, table_root=root)
+    scored = spark.table(rows)
+    mins = scored.groupBy("prediction").agg(F.min(F.col("line_id").cast("bigint")).alias("segment_key"))
+    sums = spark.table(mon).agg(F.count(F.lit(1)).alias("metric_rows"),
+                                F.round(F.sum(F.col("valor_indicador").cast("double")), 2).alias("share_sum"))
+    return scored.join(F.broadcast(mins), "prediction").select("line_id", "segment_key").crossJoin(F.broadcast(sums))
+
+
+@register("separate_models", f"""
+WITH sep AS ({SEPARATED_SQL})
+SELECT line_id, min(line_id) OVER (PARTITION BY l_returnflag) AS segment_key FROM sep
+""")
+def q_separate_models(spark, sf_dir):
+    """Scaler and k-means saved apart, loaded by their classes and chained."""
+    from rarebird.operators.clustering import kmeans
+    from rarebird.operators.features import RAW, preparation_pipeline
+
+    sep = separated(spark, sf_dir).select("line_id", "x1", "x2")
+    prep = preparation_pipeline(sep.columns, None, "line_id", scale=SCALE_CENTRED).fit(sep)
+    roles = S_models.stage_models(prep)
+    model_path, scaler_path = (shared_path(spark, "models", n, unique=True) for n in ("apart_model", "apart_scaler"))
+    S_models.save_model(kmeans(3).fit(prep.transform(sep).select("line_id", FEATURES)), model_path)
+    S_models.save_model(roles["scaler"], scaler_path)
+    model, scaler = S_models.load_models(model_path, scaler_path, family="kmeans")
+    raw = roles["assembler"].transform(sep).select("line_id", RAW)
+    return segment_keys(model.transform(scaler.transform(raw)).select("line_id", "prediction"))
+
+
+@register("bootstrap_keyed", """
+WITH u AS (SELECT o_orderkey, o_totalprice,
+  ('0x' || substr(md5('11:' || CAST(o_orderkey AS VARCHAR)), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u FROM orders),
+n AS (SELECT *, list_sum(list_transform([0.60653066, 0.90979599, 0.98561232, 0.99824838, 0.99982788, 0.99998583, 0.99999900],
+  lambda c: CASE WHEN u >= c THEN 1 ELSE 0 END)) AS times FROM u)
+SELECT o_orderkey, o_totalprice, unnest(range(0, CAST(times AS BIGINT))) AS draw FROM n
+""")
+def q_bootstrap_keyed(spark, sf_dir):
+    """A1, keyed: Poisson(0.5) copies of each order, drawn from a hash of its key."""
+    return keyed_bootstrap(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 0.5, 11)
+
+
+_INVARIANT_SQL = """
+SELECT count(*) AS n, count(*) AS one, count(*) AS best, count(*) AS flagged, count(*) AS same,
+       100.0::DOUBLE AS train_share, 100.0::DOUBLE AS predict_share, true AS stamped FROM lineitem
+"""
+
+
+def _stored_checks(rows: DataFrame) -> DataFrame:
+    """The stored flag table with its memberships parsed from their text."""
+    p = F.transform(F.split(F.regexp_replace("probability", "[\\[\\]]", ""), ","), lambda x: x.cast("double"))
+    total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    best = F.array_position("p", F.array_max("p")).cast("int") - 1
+    rule = F.when(F.forall("p", lambda x: x < 0.7), 1).otherwise(0)
+    return rows.withColumn("p", p).select(
+        "line_id", "prediction", "anomalies", (F.abs(total - 1) < 1e-9).cast("long").alias("one"),
+        (F.col("prediction") == best).cast("long").alias("best"), (F.col("anomalies") == rule).cast("long").alias("flagged"))
+
+
+@register("mixture_invariants", _INVARIANT_SQL)
+def q_mixture_invariants(spark, sf_dir):
+    """E1 and E2 on lineitem, over all stored rows: memberships sum to 1, the prediction is the
+    largest one, the flag is the rule on the stored text (P3), train and predict agree, the shares
+    sum to 100, and the run's own stamp parses day first (T7)."""
+    li = lineitem(spark, sf_dir)
+    path = shared_path(spark, "models", "mixture_invariants", unique=True)
+    (train, root), (predict, _), (mon, _) = (_job_table(spark, f"mixture_{x}") for x in ("train", "predict", "mon"))
+    a = jobs.train_anomaly_model(spark, li, ["l_returnflag", "l_linestatus"], "line_id", metric_table=mon,
+                                 pipeline_path=path, exit_table=train, ks=[3, 4], max_iter=10, table_root=root)
+    b = jobs.predict_anomalies(spark, li, "line_id", pipeline_path=path, exit_table=predict, table_root=root)
+    kept, again = _stored_checks(spark.table(train)), spark.table(predict)
+    sums = kept.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("one", "best", "flagged")])
+    key = ["line_id", "prediction", "probability", "anomalies"]
+    counted = spark.table(train).select(*key, F.lit(1).alias("d")).union(again.select(*key, F.lit(-1).alias("d")))
+    apart = counted.groupBy(*key).agg(F.sum("d").alias("d")).agg(F.coalesce(F.sum(F.abs("d")), F.lit(0)).alias("apart"))
+    share = lambda report, name: report.metrics.where("nombre_indicador like 'anomalias_gf_%'").agg(
+        F.round(F.sum(F.col("valor_indicador").cast("double")), 2).alias(name))
+    stamp = spark.table(mon).agg(F.min(F.try_to_timestamp("id_momento", F.lit("dd/MM/yyyy HH:mm:ss")).isNotNull()).alias("stamped"))
+    row = sums.crossJoin(apart).crossJoin(share(a, "train_share")).crossJoin(share(b, "predict_share")).crossJoin(stamp)
+    return row.select("n", "one", "best", "flagged", (F.col("n") - F.col("apart")).alias("same"), "train_share", "predict_share", "stamped")
+
+
+@register("mixture_detect", "SELECT count(*) AS n, count(*) AS flagged FROM lineitem")
+def q_mixture_detect(spark, sf_dir):
+    """R2 by ``detect``: a mixture of given k fitted on the features; every flag is the rule."""
+    from rarebird.operators.anomaly import detect
+
+    feats = prepare(drop_incomplete(lineitem(spark, sf_dir)), ["l_returnflag", "l_linestatus"], "line_id", scale=SCALE_CENTRED, pca_k=3).frame
+    flags, _ = detect(feats, "line_id", k=3, max_iter=5, with_silhouette=False)
+    rule = F.when(F.array_max(vector_to_array("probability")) < 0.7, 1).otherwise(0)
+    return flags.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("anomalies") == rule).cast("long")).alias("flagged"))
+
+
+@register("bootstrap_invariants", """
+SELECT 'anomaly' AS family, 100.0::DOUBLE AS share_sum, count(*) > 0 AS drawn FROM lineitem
+UNION ALL SELECT 'segment', 100.0::DOUBLE, count(*) > 0 FROM lineitem
+""")
+def q_bootstrap_invariants(spark, sf_dir):
+    """The share rows of a replicate sum to 100, its size is near the fraction."""
+    li, cats = lineitem(spark, sf_dir), ["l_returnflag", "l_linestatus"]
+    n = li.count()
+    a = jobs.bootstrap_anomalies(spark, li, cats, "line_id", k=3, seed=17, moment=CHECK_MOMENT, max_iter=5)
+    s = jobs.bootstrap_segments(spark, li, cats, "line_id", k=3, seed=17, moment=CHECK_MOMENT)
+    out = None
+    for family, report, fraction in (("anomaly", a, 0.5), ("segment", s, 1.0)):
+        shares = report.metrics.where("nombre_indicador like 'anomalias_gf_%'").agg(
+            F.round(F.sum(F.col("valor_indicador").cast("double")), 2).alias("share_sum"))
+        size = report.result.agg((F.abs(F.count(F.lit(1)) - fraction * n) < 6 * (fraction * n) ** 0.5).alias("drawn"))
+        row = shares.crossJoin(size).select(F.lit(family).alias("family"), "share_sum", "drawn")
+        out = row if out is None else out.union(row)
+    return out

@@ -1,4 +1,4 @@
-"""Table sources and sinks."""
+"""Table sources and sinks."""
 
 from __future__ import annotations
 
@@ -13,11 +13,6 @@ def sql_source(spark: SparkSession, query_or_df: str | DataFrame) -> DataFrame:
     return spark.sql(query_or_df) if isinstance(query_or_df, str) else query_or_df
 
 
-def bounded(df: DataFrame, rows: int | None) -> DataFrame:
-    """At most ``rows`` rows (``None`` keeps all)."""
-    return df if rows is None else df.limit(int(rows))
-
-
 def read_file(
     spark: SparkSession, fmt: str, path: str, schema: T.StructType | str, header: bool = True, **options
 ) -> DataFrame:
@@ -37,14 +32,14 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet", path: str |
 
 
 def append_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> None:
-    """Append rows; against an existing table, columns are matched by name. ``path``
-    places the files of a table created by this call."""
+    """Append rows; against an existing table, columns are matched by name and must be the
+    table's own, no fewer and no more. ``path`` places the files of a table created by this call."""
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
         target = [f.name for f in spark.table(name).schema.fields]
-        missing = set(target) - set(df.columns)
-        if missing:
-            raise ValueError(f"rows for {name} lack columns {sorted(missing)}")
+        missing, extra = set(target) - set(df.columns), set(df.columns) - set(target)
+        if missing or extra:
+            raise ValueError(f"rows for {name}: missing columns {sorted(missing)}, unknown columns {sorted(extra)}")
         df = df.select(*target)
         path = None
     writer = df.write.format(fmt).mode("append")
@@ -56,15 +51,23 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | Non
 def replace_table_ctas(
     spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None
 ) -> None:
-    """Drop the table (purging its files) and create it again from ``df`` (CTAS)."""
-    view = f"rarebird_ctas_{uuid.uuid4().hex[:12]}"
+    """Drop the table (purging its files) and create it again from ``df`` (CTAS).
+
+    The new content is written first, under a name of its own, and then takes the table's place, so
+    a failing write leaves the old table and ``df`` may read the table it replaces. ``path`` is the
+    folder under which each call places the files in a new folder of its own.
+    """
+    mark = uuid.uuid4().hex[:12]
+    view, new = f"rarebird_ctas_{mark}", f"{name}__new_{mark}"
     df.createOrReplaceTempView(view)
     try:
+        location = f" LOCATION '{path.rstrip('/')}/{mark}'" if path else ""
+        spark.sql(f"CREATE TABLE {new} USING {fmt}{location} AS SELECT * FROM {view}")
         spark.sql(f"DROP TABLE IF EXISTS {name} PURGE")
-        location = f" LOCATION '{path}'" if path else ""
-        spark.sql(f"CREATE TABLE {name} USING {fmt}{location} AS SELECT * FROM {view}")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
     finally:
         spark.catalog.dropTempView(view)
+    spark.catalog.refreshTable(name)
 
 
 def table_location(root: str | None, name: str | None) -> str | None:

@@ -6,6 +6,7 @@ from rarebird.streaming.scoring import (
     segment_stream,
     start_scoring,
     start_segment_scoring,
+    stream_shares,
 )
 
-__all__ = ["file_stream", "score_stream", "segment_stream", "start_scoring", "start_segment_scoring"]
+__all__ = ["file_stream", "score_stream", "segment_stream", "start_scoring", "start_segment_scoring", "stream_shares"]

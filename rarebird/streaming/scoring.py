@@ -1,24 +1,19 @@
 """Streaming scoring: the predict jobs (E2 anomalies, E5 segments) over micro-batches.
 
 A fitted pipeline's transform is a narrow projection, so it applies to a streaming frame
-as is; the flag is a column expression. ``foreachBatch`` then writes each batch's flags
-and appends that batch's share rows to the monitoring table, in one transaction-free step per
-batch (the checkpoint location makes the sink restart from the last committed batch).
+as is; the flag is a column expression. Rows go through Spark's file sink, which is exactly-once
+under replays; shares are aggregated from what is stored, so they describe the whole run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from rarebird.functions.columns import run_moment
 from rarebird.operators import metrics as M
 from rarebird.operators.anomaly import DEFAULT_THRESHOLD, FLAG, flag_anomalies, stored_result
 from rarebird.operators.features import drop_incomplete
-from rarebird.sources.tables import append_table, table_location
 
 
 def score_stream(stream: DataFrame, pipeline: PipelineModel, id_col: str,
@@ -27,36 +22,12 @@ def score_stream(stream: DataFrame, pipeline: PipelineModel, id_col: str,
     return stored_result(flag_anomalies(pipeline.transform(drop_incomplete(stream)), id_col, threshold), id_col)
 
 
-def batch_writer(exit_table: str, metric_table: str | None, project: str = M.PROJECT,
-                 moment: Callable[[], str] = run_moment) -> Callable[[DataFrame, int], None]:
-    """The per-batch step: append the batch's rows, then its share rows. The batch (bounded by
-    the trigger) is persisted so scoring runs once for both."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            append_table(batch, exit_table)
-            if metric_table:
-                shares = M.class_share(batch.select(FLAG), FLAG)
-                append_table(M.anomaly_metric_rows(shares, moment(), "predict", project), metric_table)
-        finally:
-            batch.unpersist()
-
-    return write
-
-
-def start_scoring(stream: DataFrame, pipeline_path: str, id_col: str, exit_table: str,
-                  checkpoint_location: str, metric_table: str | None = None,
+def start_scoring(stream: DataFrame, pipeline_path: str, id_col: str, out_path: str, checkpoint_location: str,
                   threshold: float = DEFAULT_THRESHOLD, trigger: dict | None = None) -> StreamingQuery:
-    """Start the streaming predict job. ``trigger`` is passed to ``DataStreamWriter.trigger``
+    """Start the streaming anomaly predict job. ``trigger`` is passed to ``DataStreamWriter.trigger``
     (e.g. ``{"availableNow": True}``)."""
     flags = score_stream(stream, PipelineModel.load(pipeline_path), id_col, threshold)
-    writer = flags.writeStream.foreachBatch(batch_writer(exit_table, metric_table)).option(
-        "checkpointLocation", checkpoint_location
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start()
+    return _start(flags, out_path, checkpoint_location, trigger)
 
 
 def segment_stream(stream: DataFrame, pipeline: PipelineModel, id_col: str) -> DataFrame:
@@ -66,44 +37,41 @@ def segment_stream(stream: DataFrame, pipeline: PipelineModel, id_col: str) -> D
     return segment_rows(pipeline.transform(drop_incomplete(stream)), id_col)
 
 
-def segment_batch_writer(exit_table: str, metric_table: str | None, project: str = M.PROJECT,
-                         moment: Callable[[], str] = run_moment, table_root: str | None = None
-                         ) -> Callable[[DataFrame, int], None]:
-    """Per batch: append the segment rows, then that batch's share rows (ranked by share)."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            append_table(batch, exit_table, path=table_location(table_root, exit_table))
-            if metric_table:
-                shares = M.class_share(batch.select("prediction"), "prediction")
-                append_table(M.segment_metric_rows(shares, moment(), "predict", project), metric_table,
-                             path=table_location(table_root, metric_table))
-        finally:
-            batch.unpersist()
-
-    return write
-
-
-def start_segment_scoring(stream: DataFrame, pipeline: str | PipelineModel, id_col: str, exit_table: str,
-                          checkpoint_location: str, metric_table: str | None = None,
-                          trigger: dict | None = None, table_root: str | None = None) -> StreamingQuery:
+def start_segment_scoring(stream: DataFrame, pipeline: str | PipelineModel, id_col: str, out_path: str,
+                          checkpoint_location: str, trigger: dict | None = None) -> StreamingQuery:
     """Start the streaming segment predict job (a saved pipeline path or a fitted pipeline)."""
     model = PipelineModel.load(pipeline) if isinstance(pipeline, str) else pipeline
-    rows = segment_stream(stream, model, id_col)
-    writer = rows.writeStream.foreachBatch(
-        segment_batch_writer(exit_table, metric_table, table_root=table_root)
-    ).option("checkpointLocation", checkpoint_location)
+    return _start(segment_stream(stream, model, id_col), out_path, checkpoint_location, trigger)
+
+
+def _start(rows: DataFrame, out_path: str, checkpoint_location: str, trigger: dict | None) -> StreamingQuery:
+    """Spark's own file sink: it records which files each batch committed, so a batch that is
+    delivered again replaces nothing and adds nothing."""
+    writer = rows.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint_location)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
 
 
+def stream_shares(spark, out_path: str, moment: str, project: str = M.PROJECT) -> DataFrame:
+    """Share rows of everything a stream has stored so far (flags or segments, by its columns)."""
+    stored = spark.read.parquet(out_path)
+    if FLAG in stored.columns:
+        return M.anomaly_metric_rows(M.class_share(stored.select(FLAG), FLAG), moment, "predict", project)
+    return M.segment_metric_rows(M.class_share(stored.select("prediction"), "prediction"), moment, "predict", project)
+
+
 def file_stream(spark, fmt: str, path: str, schema) -> DataFrame:
-    """A file stream over a folder, or over one file (given as a one-file glob pattern, since a
-    file source takes a non-glob path as its base folder)."""
-    if not any(ch in path for ch in "*?[{"):
-        head, _, tail = path.rstrip("/").rpartition("/")
-        if "." in tail:  # a single file: make it a glob matching only itself
-            path = f"{head}/[{tail[0]}]{tail[1:]}"
-    return spark.readStream.format(fmt).schema(schema).load(path)
+    """A file stream over the files of a folder, or over one file of it (by Spark's glob filter)."""
+    head, _, tail = path.rstrip("/").rpartition("/")
+    reader = spark.readStream.format(fmt).schema(schema)
+    if "." in tail and not any(ch in tail for ch in "*?[{"):
+        status = _is_file(spark, path)
+        if status:
+            return reader.option("pathGlobFilter", tail).load(head)
+    return reader.load(path)
+
+
+def _is_file(spark, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).isFile(where))

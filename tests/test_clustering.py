@@ -11,7 +11,6 @@ from rarebird.operators.clustering import (
     MIXTURE,
     choose_k,
     cluster,
-    iteration_layout,
     model_k,
     segment_prediction,
     silhouette,
@@ -119,11 +118,32 @@ def test_segment_prediction_columns(spark):
     assert dict(out.dtypes)["prediction"] == "int"
 
 
-def test_iteration_layout_spreads_single_partition(spark):
-    df = _blobs(spark).coalesce(1)
-    assert iteration_layout(df, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 1000, 1, 40)
-    assert iteration_layout(many, 4).rdd.getNumPartitions() == 8
+def test_layout_goes_by_bytes(spark):
+    from rarebird.operators import layout
+
+    assert [layout.partitions_for(n) for n in (0, 1, 5 << 20, 200 << 20, 1 << 40)] == [1, 1, 5, 64, 8192]
+    many = spark.range(0, 4000, 1, 4000)  # more splits than bytes call for, on few cores: never merged
+    assert layout.spread(many).rdd.getNumPartitions() == 4000
+    one = spark.range(0, 400_000, 1, 1)
+    assert layout.spread(one).rdd.getNumPartitions() == layout.partitions_for(layout.plan_bytes(one)) > 1
+    assert layout.spread(one, 7).rdd.getNumPartitions() == 7
+    named = spark.range(3).withColumnRenamed("id", "Exchange")
+    assert not layout.has_exchange(named) and layout.has_exchange(named.repartition(2))
+
+
+def test_a_lost_candidate_fails_the_search(spark, monkeypatch):
+    import rarebird.operators.clustering as C
+
+    plain = C.silhouette
+
+    def dies(scored, features="features", **more):
+        if scored.select("prediction").distinct().count() == 3:
+            raise RuntimeError("stage lost")
+        return plain(scored, features=features, **more)
+
+    monkeypatch.setattr(C, "silhouette", dies)
+    with pytest.raises(RuntimeError):
+        choose_k(_blobs(spark), KMEANS, max_k=5)
 
 
 def test_layout_never_runs_a_shuffle_to_count(spark):
@@ -135,7 +155,6 @@ def test_layout_never_runs_a_shuffle_to_count(spark):
     spark.sparkContext.setJobGroup(group, "layout")
     try:
         spread(shuffled)
-        iteration_layout(shuffled)
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert tracker.getJobIdsForGroup(group) == []
@@ -146,16 +165,3 @@ def test_scoring_is_narrow(spark):
     res = cluster(df, MIXTURE, k=3, with_silhouette=False)
     plan = res.scored._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-
-
-def test_fit_frame_merges_tiny_partitions(spark):
-    from rarebird.operators.clustering import fit_frame
-
-    cores = spark.sparkContext.defaultParallelism
-    df = spark.range(0, 4000, 1, cores * 8).selectExpr("id", "array(cast(id as double)) AS a")
-    from pyspark.ml.functions import array_to_vector
-
-    df = df.select("id", array_to_vector("a").alias("features"))
-    with fit_frame(df) as view:
-        assert view.rdd.getNumPartitions() == cores
-        assert view.count() == 4000

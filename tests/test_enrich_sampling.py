@@ -18,15 +18,20 @@ def test_dedupe_without_order_one_row_per_key(spark):
     assert dedupe(df, "k").count() == 7
 
 
-def test_dedupe_hot_key_plan_is_partial_aggregate(spark):
-    # a third of the rows on one key: the aggregate combines on the map side
+def test_dedupe_hot_key_is_limited_before_the_shuffle(spark):
+    # a third of the rows on one key: each map partition sends one row of it
     df = spark.range(3000).selectExpr("CASE WHEN id < 1000 THEN 0 ELSE id END AS k", "id AS v")
     out = dedupe(df, "k", order_by=["-v"])
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and plan.count("Aggregate") >= 2
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
     assert out.filter("k = 0").first().v == 999
 
 
+def test_dedupe_with_maps_and_descending_text(spark):
+    df = spark.createDataFrame([(1, "a", {"x": 1}), (1, "c", {"y": 2}), (1, None, {}), (2, None, None)], "k int, s string, m map<string,int>")
+    assert {r.k: (r.s, r.m) for r in dedupe(df, "k", order_by=["-s"]).collect()} == {1: ("c", {"y": 2}), 2: (None, None)}
+
+
 def test_enrich_and_dedupe(spark):
     a = spark.createDataFrame([(1, 10), (1, 20), (2, 30)], "k int, x int")
     b = spark.createDataFrame([(1, "one"), (2, "two")], "k int, name string")
@@ -74,14 +79,23 @@ def test_salted_enrich_equals_plain_join(spark):
     assert 0 in hot_keys(left, "k", 0.1)
     for how in ["inner", "left", "left_anti", "left_semi"]:
         plain = sorted(tuple(r) for r in enrich(left, right, "k", how).collect())
-        salted = sorted(tuple(r) for r in enrich(left, right, "k", how, skew_keys="auto", salt_buckets=8,
+        salted = sorted(tuple(r) for r in enrich(left, right, "k", how, skew_keys="auto", rows_per_bucket=100,
                                                  hot_share=0.1).collect())
         assert plain == salted, how
-    per_bucket = (enrich(left, right, "k", skew_keys=[0], salt_buckets=8)
+    per_bucket = (enrich(left, right, "k", skew_keys=[0], rows_per_bucket=100)
                   .filter("k = 0").count())
     assert per_bucket == 1000 * 2
 
 
+def test_keyed_bootstrap_is_stable(spark):
+    from rarebird.operators.sampling import keyed_bootstrap
+
+    df = spark.range(20000).withColumnRenamed("id", "key")
+    a = keyed_bootstrap(df, "key", 0.5, 3).collect()
+    assert sorted(a) == sorted(keyed_bootstrap(df.repartition(7), "key", 0.5, 3).collect())
+    assert 9500 < len(a) < 10500 and max(r.draw for r in a) >= 2
+
+
 def test_salted_enrich_rejects_outer(spark):
     import pytest
 

@@ -103,13 +103,21 @@ def test_drop_incomplete_equals_na_drop_and_pushes_not_null(spark):
     assert "IsNotNull(o_totalprice)" in plan
 
 
-def test_high_cardinality_categorical_refused(spark):
-    from rarebird.operators.features import check_categories
-
-    df = spark.range(3000).selectExpr("id", "cast(id AS string) AS code", "cast(id % 3 AS string) AS small")
-    assert check_categories(df, ["small"], limit=100)["small"] == 3
-    with pytest.raises(ValueError):
-        check_categories(df, ["code", "small"], limit=100)
+def test_width_is_exact_and_guarded_everywhere(spark):
+    from rarebird.operators import features as FT
+
+    df = spark.range(3000).selectExpr("id", "cast(id AS string) AS code", "if(id < 5, null, cast(id % 3 AS string)) AS small")
+    assert FT.category_counts(df, ["code", "small"]) == {"code": 3000, "small": 3}
+    wide = FT.preparation_stages(df.columns, ["code", "small"], "id", scale=None)
+    assert FT.check_width(df, wide) == 3003
+    with pytest.raises(ValueError, match="3003"):
+        FT.check_width(df, wide, max_width=3002)
+    full = df.na.drop()
+    for call in (lambda: FT.prepare(full, ["code"], "id", max_width=100),
+                 lambda: FT.inference_features(full, ["code"], "id", max_width=100),
+                 lambda: FT.prepare_supervised(full, ["code"], "small", feature_columns=["code"], max_width=100)):
+        with pytest.raises(ValueError):
+            call()
 
 
 def test_id_cannot_be_categorical():

@@ -30,7 +30,7 @@ def test_anomaly_train_then_predict(spark, li, scratch_dir):
     assert {r.nombre_indicador for r in mon if r.id_indicador == 1} == {"silhouette_score", "numero_clusters"}
     # the flag equals the rule recomputed from the stored memberships
     stored = result.collect()
-    for r in stored[:200]:
+    for r in stored:
         probs = [float(x) for x in r.probability.strip("[]").split(",")]
         assert r.anomalies == (1 if all(p < 0.7 for p in probs) else 0)
 
@@ -116,7 +116,8 @@ def test_composed_jobs_from_settings(spark, li, scratch_dir):
         "tablas_monitoreo": {"monitoring_anomalies": "rb_job_mon_a", "monitoring_segmentation": "rb_job_mon_s"},
     }
     train_cfg = jobs.JobConfig.from_mapping(settings, "train")
-    rep = jobs.training_job(spark, train_cfg, moment=MOMENT, max_iter=20)
+    rep = jobs.training_job(spark, train_cfg, moment=MOMENT, anomaly_params={"max_iter": 20, "pca_k": 5, "max_k": 4},
+                            segment_params={"max_iter": 10, "max_k": 3})
     assert rep.anomalies.error is None and rep.segments.error is None
     enriched = spark.table("rb_job_enr")
     assert enriched.count() == enriched.select("order_id").distinct().count()
@@ -125,12 +126,25 @@ def test_composed_jobs_from_settings(spark, li, scratch_dir):
     assert spark.table("rb_job_seg").count() == spark.table("rb_job_enr_p").count()
 
 
-def test_fit_fraction_fits_on_sample_scores_all(spark, li):
-    rep = jobs.train_segments(spark, li, ["l_returnflag", "l_linestatus"], "line_id", ks=[3], moment=MOMENT,
-                              fit_fraction=0.3)
-    assert rep.result.count() == li.count()
-    rows = rep.metrics.collect()
-    assert len(rows) == 3 and abs(sum(r.valor_indicador for r in rows) - 100.0) < 1e-3
+def test_settings_carry_the_dedupe_order():
+    from collections import defaultdict
+
+    layout = {k: defaultdict(str) for k in ("tablas_salida", "columnas_identificacion", "columnas_categoricas", "consultas", "modelos",
+                                            "tablas_monitoreo")}
+    assert jobs.JobConfig.from_mapping(layout).dedupe_order is None
+    assert jobs.JobConfig.from_mapping(layout | {"dedupe_order": "-amount,id"}).dedupe_order == ["-amount", "id"]
+
+
+def test_metrics_and_result_outlive_the_run(spark, li):
+    from rarebird.session import checkpoint_dir
+
+    rep = jobs.train_segments(spark, li, ["l_returnflag", "l_linestatus"], "line_id", ks=[3], moment=MOMENT)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark) + "/rarebird")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    left = [x.getPath().getName() for x in fs.listStatus(root)] if fs.exists(root) else []
+    assert not [x for x in left if x.startswith("features-")]
+    assert rep.result.count() == li.count() and not rep.skipped
+    assert abs(sum(r.valor_indicador for r in rep.metrics.collect()) - 100.0) < 1e-3
 
 
 def test_saved_pipeline_scoring_plan_is_narrow(spark, li, scratch_dir):
@@ -194,25 +208,14 @@ def test_command_line_runner(spark, li, scratch_dir):
     assert os.path.isdir(os.path.join(root, "rb_cli_mon_a"))
 
 
-def test_anomaly_fit_fraction_flags_every_row(spark, li, scratch_dir):
-    rep = jobs.train_anomaly_model(spark, li, ["l_returnflag", "l_linestatus"], "line_id", ks=[3], moment=MOMENT,
-                                   max_iter=10, fit_fraction=0.4, exit_table="rb_anom_frac",
-                                   table_root=os.path.join(scratch_dir, "t"))
-    assert spark.table("rb_anom_frac").count() == li.count()
-    assert os.path.isdir(os.path.join(scratch_dir, "t", "rb_anom_frac"))
-    shares = [r for r in rep.metrics.collect() if r.id_indicador == 2]
-    assert abs(sum(r.valor_indicador for r in shares) - 100.0) < 1e-3
-
-
 def test_width_guard_refuses_huge_pca(spark, monkeypatch):
     from rarebird.operators.features import preparation_stages
 
-    monkeypatch.setattr(jobs, "MAX_PCA_WIDTH", 20)
     df = spark.range(2000).selectExpr("id", "cast(id % 50 AS string) AS c", "cast(id AS double) AS x")
     stages = preparation_stages(df.columns, ["c"], "id", pca_k=2)
     with pytest.raises(ValueError):
-        jobs.fit_features(df, stages, "id")
+        jobs.fit_features(df, stages, "id", max_width=20)
     ok = preparation_stages(df.columns, ["c"], "id", pca_k=None)
-    prep, feats = jobs.fit_features(df, ok, "id")
+    prep, feats, folder = jobs.fit_features(df, ok, "id", max_width=51)
     assert feats.count() == 2000
-    feats.unpersist()
+    jobs.remove_path(spark, folder)

@@ -1,4 +1,6 @@
-from rarebird.session import checkpoint_dir, shared_path
+import pytest
+
+from rarebird.session import _shared_root, checkpoint_dir, shared_path
 
 
 def test_checkpoint_dir_comes_from_the_session(spark):
@@ -7,9 +9,22 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     assert checkpoint_dir(spark) == configured
 
 
-def test_shared_paths_live_under_the_checkpoint_dir(spark):
-    base = checkpoint_dir(spark).rstrip("/")
-    a = shared_path(spark, "models", "m", unique=True)
-    b = shared_path(spark, "models", "m", unique=True)
-    assert a.startswith(base + "/rarebird/models/m-") and a != b
-    assert shared_path(spark, "tables", "t") == base + "/rarebird/tables/t"
+def test_outputs_do_not_live_among_checkpoints(spark):
+    a, b = (shared_path(spark, "models", "m", unique=True) for _ in range(2))
+    assert "/rarebird/models/m-" in a and a != b
+    assert not a.startswith(checkpoint_dir(spark))
+    assert shared_path(spark, "tables", "t").endswith("/rarebird/tables/t")
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+        conf = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+
+    with pytest.raises(ValueError):
+        _shared_root(Session())
+    Session.conf = {"spark.sql.warehouse.dir": "hdfs://nn/warehouse/"}
+    assert _shared_root(Session()) == "hdfs://nn/warehouse"

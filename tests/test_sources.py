@@ -44,9 +44,25 @@ def test_ctas_replaces_and_append_matches_by_name(spark, scratch_dir):
     assert sorted(tuple(r) for r in spark.table("rb_src_ctas").collect()) == [(1, "a"), (1, "a"), (2, "b")]
     with pytest.raises(ValueError):
         S_tables.append_table(spark.createDataFrame([(3,)], "id int"), "rb_src_ctas")
+    with pytest.raises(ValueError):  # a further column would be lost
+        S_tables.append_table(spark.createDataFrame([(3, "c", 1)], "id int, s string, x int"), "rb_src_ctas")
+    S_tables.replace_table_ctas(spark, spark.table("rb_src_ctas").where("id = 1"), "rb_src_ctas")  # reads itself
+    assert spark.table("rb_src_ctas").count() == 2
+
+
+def test_ctas_with_a_path_twice_and_a_failing_write(spark, scratch_dir):
+    from pyspark.sql import functions as F
+
+    for n in (3, 5):
+        S_tables.replace_table_ctas(spark, spark.range(n), "rb_src_ctas_path", path=scratch_dir + "/t")
+        assert spark.table("rb_src_ctas_path").count() == n
+    bad = spark.range(3).withColumn("x", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        S_tables.replace_table_ctas(spark, bad, "rb_src_ctas_path", path=scratch_dir + "/t")
+    assert spark.table("rb_src_ctas_path").count() == 5
 
 
-def test_bounded_source_and_table_location():
+def test_table_location():
     assert S_tables.table_location("s3://b/root/", "db.t") == "s3://b/root/db/t"
     assert S_tables.table_location(None, "t") is None
 
@@ -54,4 +70,3 @@ def test_bounded_source_and_table_location():
 def test_sql_source_passes_frames(spark):
     df = spark.range(3)
     assert S_tables.sql_source(spark, df) is df
-    assert S_tables.bounded(df, 2).count() == 2 and S_tables.bounded(df, None) is df

@@ -2,7 +2,7 @@ import os
 
 from rarebird.plans import jobs
 from rarebird.plans.registry import lineitem
-from rarebird.streaming import start_scoring
+from rarebird.streaming import start_scoring, stream_shares
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,15 +15,16 @@ def test_stream_scoring_equals_batch_predict(spark, scratch_dir):
     src = os.path.join(scratch_dir, "src")
     li.write.parquet(src)
     stream = spark.readStream.schema(li.schema).parquet(src)
-    q = start_scoring(stream, path, "line_id", "rb_stream_out", os.path.join(scratch_dir, "ckpt"),
-                      metric_table="rb_stream_mon", trigger={"availableNow": True})
-    q.awaitTermination(300)
-    out = sorted(tuple(r) for r in spark.table("rb_stream_out").collect())
+    out, ckpt = os.path.join(scratch_dir, "out"), os.path.join(scratch_dir, "ckpt")
+    for _ in range(2):  # the second start finds every batch committed
+        q = start_scoring(stream, path, "line_id", out, ckpt, trigger={"availableNow": True})
+        q.awaitTermination(300)
+    rows = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     batch = jobs.predict_anomalies(spark, li, "line_id", pipeline_path=path, moment="m").result
     from rarebird.operators.anomaly import stored_result
     expected = sorted(tuple(r) for r in stored_result(batch, "line_id").collect())
-    assert out == expected
-    mon = spark.table("rb_stream_mon").collect()
+    assert rows == expected
+    mon = stream_shares(spark, out, "m").collect()
     assert abs(sum(r.valor_indicador for r in mon) - 100.0) < 1e-3
 
 
@@ -32,3 +33,10 @@ def test_file_stream_single_file_glob(spark):
 
     s = file_stream(spark, "parquet", f"{SF}/lineitem.parquet", spark.read.parquet(f"{SF}/lineitem.parquet").schema)
     assert s.isStreaming
+
+    def all_rows(batch, _):
+        seen.append(batch.count())
+
+    seen = []
+    s.writeStream.foreachBatch(all_rows).trigger(availableNow=True).start().awaitTermination()
+    assert sum(seen) == spark.read.parquet(f"{SF}/lineitem.parquet").count()
