@@ -43,13 +43,15 @@ header hr main menu nav ol p pre section table ul""".split())
 #: elements that an implied end tag never leaves
 SCOPE = frozenset("article aside body div footer form header html main nav section table ul ol dl".split())
 
+SECTIONS = frozenset("article aside details dialog fieldset footer form header main menu nav section table".split())
+
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"""
                   r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)""", re.S)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_MARKS = re.compile(r"©|copyright|all rights|cookie|privacy|subscribe|newsletter|sign (?:in|up)|log ?in|advert|sponsor|"
-                    r"share|tweet|related|read more|comments?\b|reply|leave a", re.I)
+_MARKS = re.compile(r"©|\b(?:copyright|all rights|cookies?|privacy|subscribe|newsletter|sign (?:in|up)|log ?in|adverts?|advertisement|"
+                    r"sponsor(?:ed)?|share|tweet|related|read more|comments?|reply|leave a)\b", re.I)
 BITS = 18
 
 
@@ -145,6 +147,9 @@ def _path_slots(path: tuple[tuple[str, frozenset[str]], ...]) -> tuple[int, ...]
             f.update(f"leaf named {w}" for w in words)
         if depth == 1:
             f.add(f"leaf {path[-1][0]} of {tag}")
+    # the innermost names and the innermost section say most
+    f.update(f"near {w}" for w in next((words for _, words in reversed(path) if words), ()))
+    f.update(f"near {tag}" for tag in [next((t for t, _ in reversed(path) if t in SECTIONS), None)] if tag)
     return tuple(map(_slot, f))
 
 
@@ -198,7 +203,7 @@ class Crf:
         return out[::-1]
 
 
-def train(pages: Sequence[tuple[Sequence[Sequence[int]], Sequence[bool]]], epochs: int = 8, rate: float = 0.3,
+def train(pages: Sequence[tuple[Sequence[Sequence[int]], Sequence[bool]]], epochs: int = 16, rate: float = 0.4,
           l2: float = 1e-4) -> Crf:
     """Maximises the conditional log likelihood of (features, labels) pages, page by page."""
     model = Crf(np.zeros(1 << BITS), np.zeros((2, 2)))

@@ -40,19 +40,25 @@ ASIDES = [("<aside>", "</aside>"), ("<div class='sidebar'>", "</div>"), ("<div i
           ("<div role='alert'>", "</div>"), ("<div class='newsletter subscribe'>", "</div>"), ("<div class='recommended'>", "</div>"),
           ("<section class='promo'>", "</section>"), ("<aside class='ad-slot'>", "</aside>"), ("<div class='gdpr consent banner'>", "</div>"),
           ("<div class='disclaimer'>", "</div>"), ("<div class='toolbar'>", "</div>"), ("<div class='meta tags'>", "</div>"), ("<div hidden>", "</div>"),
-          ("<dialog class='modal'>", "</dialog>"), ("<div class='author-bio'>", "</div>")]
+          ("<dialog class='modal'>", "</dialog>"), ("<div class='author-bio'>", "</div>"), ("<section class='notice'>", "</section>"),
+          ("<p class='notice'>", "</p>"), ("<div class='advert'>", "</div>"), ("<p class='ad'>", "</p>"), ("<div class='teaser'>", "</div>"),
+          ("<div class='signup paywall'>", "</div>"), ("<div id='banner'>", "</div>"), ("<section class='sidebar'>", "</section>"),
+          ("<div class='notification message'>", "</div>"), ("<div class='side'>", "</div>"), ("<div class='sponsored-links'>", "</div>")]
 FORMS = ["<form action='/s'><label>{0}</label><input name=q><button>{1}</button><p>{2}</p></form>",
          "<div class='search'><form><p>{0}</p><fieldset><legend>{1}</legend><div>{2}</div></fieldset></form></div>",
          "<form class='login'><div>{0}</div><div>{1}</div><button type=submit>{2}</button></form>", "<div><button>{0}</button></div>"]
 COMMENTS = [("<section id='comments'>", "</section>"), ("<div class='comments'>", "</div>"), ("<div class='comment-list'><div class='comment'>", "</div></div>"),
             ("<ol class='discussion'>", "</ol>"), ("<div id='disqus' class='replies'>", "</div>"), ("<div class='reader-comments'>", "</div>"),
-            ("<section class='comment-section responses'>", "</section>"), ("<div class='user-reviews reviews'>", "</div>")]
+            ("<section class='comment-section responses'>", "</section>"), ("<div class='user-reviews reviews'>", "</div>"),
+            ("<div class='comment'>", "</div>"), ("<ul class='comments'>", "</ul>"), ("<div id='respond' class='feedback'>", "</div>"),
+            ("<section id='reader-comments'>", "</section>"), ("<div class='thread'><div class='reply'>", "</div></div>"), ("<article class='comment'>", "</article>"),
+            ("<div class='user-comment'>", "</div>")]
 SHORT = ["Home", "About us", "Contact", "Privacy policy", "Terms", "Login", "Subscribe now", "Share this", "Read more", "Next page", "Archive",
          "RSS", "Follow us", "Advertisement", "Sponsored", "We use cookies to improve this site.", "Accept all", "Search", "Sign up for our newsletter",
          "Leave a comment", "Reply", "Related articles", "Back to top", "Menu"]
 
 
-def labelled_pages(n: int = 420, seed: int = 11) -> list[tuple[str, set[str]]]:
+def labelled_pages(n: int = 600, seed: int = 11) -> list[tuple[str, set[str]]]:
     """(html, texts of the content blocks) of ``n`` pages; no boilerplate block has a content block's text."""
     rng = random.Random(seed)
     return [_page(rng) for _ in range(n)]
@@ -115,8 +121,8 @@ def _page(rng: random.Random) -> tuple[str, set[str]]:
                 out.append(f"<table><tr><td>{text}</td></tr></table>")
             else:
                 out.append(f"<p>{text}</p>")
-            if rng.random() < 0.08:
-                out.append(region(ASIDES) if rng.random() < 0.8 else form())
+            if rng.random() < 0.25:
+                out.append(rng.choice([lambda: region(ASIDES), lambda: region(ASIDES), lambda: region(COMMENTS), lambda: region(COMMENTS), form])())
         return start + "".join(out) + end
 
     def fill(links: bool) -> str:
@@ -140,7 +146,7 @@ def _page(rng: random.Random) -> tuple[str, set[str]]:
 
     body = [article()]
     before = [lambda: region(HEADERS), lambda: region(MENUS, True), lambda: region(ASIDES), form]
-    after = [lambda: region(ASIDES), lambda: region(COMMENTS), lambda: region(FOOTERS), form, lambda: region(MENUS, True)]
+    after = [lambda: region(ASIDES), lambda: region(COMMENTS), lambda: region(COMMENTS), lambda: region(FOOTERS), form, lambda: region(MENUS, True)]
     head = [f() for f in before if rng.random() < 0.6]
     tail = [f() for f in after if rng.random() < 0.6]
     if rng.random() < 0.5:
