@@ -13,10 +13,14 @@ weighted Jaccard similarity.
 Signatures are banded; documents that share a band are candidates, and a link is a candidate pair
 whose exact multiset overlap reaches the threshold. Classes are the connected components of links.
 
-All pairs of a band's bucket are decided without emitting them all: equal multisets are one
-representative; every member is compared with the bucket's centre, the one whose bands collect the
-most documents; components shrink the bucket; the representatives of the remaining components are
-compared with the other components until nothing joins; what still is apart is compared in full.
+All pairs of a band's bucket are decided without emitting them all. Equal multisets are one
+representative. Every member is compared exactly with the bucket's centre, the member whose bands
+collect the most documents; in a group of near copies that is their common origin, and one star of
+links joins them. Where a bucket still holds several components, the largest one is its main part
+and the others are strays: strays meet all other members in cells of at most ``2 * CELL`` rows, where
+their signatures are compared in memory. Only pairs of different components that pass the exact
+bound on sizes (the smaller has at least ``threshold`` of the larger) and whose estimated similarity
+is not clearly below the threshold leave the cell, to be verified exactly.
 
 Edge cases: null text counts as empty; a text without words has no shingles and is a class of its
 own; repeated rows of one id count once; ties go to the smaller id; an empty table gives an empty
@@ -38,6 +42,10 @@ from rarebird.llm.components import connected_components
 SHINGLE = 5
 BANDS, ROWS = 21, 6
 THRESHOLD = 0.8
+#: strays or main members of one cell
+CELL = 4096
+#: standard errors of an estimate beyond which it is clearly below or above the threshold
+SURE = 3.0
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -134,10 +142,13 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cuts = np.concatenate([[0], np.cumsum(sizes)])
             sums = [np.concatenate([[0], np.cumsum(x, dtype=_U)]).astype(_U) for x in (mix(h + _U(1)), mix(h ^ _STEP))]
             k1, k2 = ((s[cuts[1:]] - s[cuts[:-1]]).view(np.int64) for s in sums)
-            keys = bands(signatures(h, r, n, BANDS * ROWS)).ravel()
+            sig = signatures(h, r, n, BANDS * ROWS)
+            keys = bands(sig).ravel()
+            short = (mix(sig.view(_U)) >> _U(48)).astype(np.uint16)
+            short = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * BANDS * ROWS), n, [None, pa.py_buffer(short.tobytes())])
             lists = pa.ListArray.from_arrays(np.arange(0, (n + 1) * BANDS, BANDS, dtype=np.int32), keys)
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sizes), pa.array(k1), pa.array(k2), lists],
-                                             ["id", "n", "k1", "k2", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sizes), pa.array(k1), pa.array(k2), lists, short.cast(pa.binary())],
+                                             ["id", "n", "k1", "k2", "bands", "sig"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,6 +179,57 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(got, pa.float64())], ["a", "b", "sim"])
 
 
+def meet(ids: list, part: np.ndarray, main: np.ndarray, n: np.ndarray, sig: np.ndarray, threshold: float) -> tuple[list, list]:
+    """Pairs of one cell to verify: a stray (not ``main``) with a member of another component.
+
+    Strays are taken in the order given. Members that a stray clearly resembles are taken as its
+    component from then on, so a tight group of strays leaves a star, not all its pairs.
+    """
+    error = SURE * float(np.sqrt(threshold * (1 - threshold) / sig.shape[1]))
+    label, left, right = part.copy(), [], []
+    for x in np.flatnonzero(~main):
+        other = np.flatnonzero((label != label[x]) & (np.minimum(n, n[x]) >= threshold * np.maximum(n, n[x])))
+        if not len(other):
+            continue
+        alike = (sig[other] == sig[x]).mean(axis=1)
+        near = alike >= threshold - error
+        left += [ids[x]] * int(near.sum())
+        right += [ids[y] for y in other[near]]
+        for y in np.unique(label[other[alike >= threshold + error]]):
+            label[label == y] = label[x]
+    return left, right
+
+
+def _cells(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, cell = [], None
+
+        def decide() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            order = np.lexsort((-table["w"].to_numpy(),))
+            table = table.take(pa.array(order))
+            sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(table.num_rows, -1)
+            parts = np.unique(np.array(table["p"].to_pylist(), object).astype(str), return_inverse=True)[1]
+            a, b = meet(table["id"].to_pylist(), parts, table["main"].to_numpy().astype(bool), table["n"].to_numpy(), sig, threshold)
+            kind = table.schema.field("id").type
+            return pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
+
+        for batch in batches:
+            names = batch.column("cell").to_pylist()
+            start = 0
+            for k in range(1, len(names) + 1):
+                if k == len(names) or names[k] != names[start]:
+                    if held and names[start] != cell:
+                        yield decide()
+                        held = []
+                    held.append(batch.slice(start, k - start))
+                    cell, start = names[start], k
+        if held:
+            yield decide()
+
+    return run
+
+
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                            threshold: float = THRESHOLD) -> DataFrame:
     """(id, class_id) of every distinct non-null id; class_id is the smallest id of the class."""
@@ -176,57 +238,53 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str =
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), bytes_of(text).alias("text"))
     signed = scratch.keep(rows.mapInArrow(
-        _sign, f"id {id_type}, n bigint, k1 bigint, k2 bigint, bands array<bigint>"), "signed")
+        _sign, f"id {id_type}, n bigint, k1 bigint, k2 bigint, bands array<bigint>, sig binary"), "signed")
 
     # equal multisets are one representative: its smallest id
-    equal = signed.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"))
-    equal = scratch.keep(equal, "equal")
+    equal = scratch.keep(signed.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")), "equal")
     member_of = signed.where("n > 0").join(equal, ["n", "k1", "k2"]).select("id", "rep")
-    reps = signed.join(equal.select(F.col("rep").alias("id")), "id", "left_semi").where("n > 0")
-    keyed = reps.select("id", F.explode("bands").alias("band"))
+    reps = signed.where("n > 0").join(equal.select(F.col("rep").alias("id")), "id", "left_semi")
+    keyed = reps.select("id", "n", F.explode("bands").alias("band"))
     shared = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    members = scratch.keep(keyed.join(shared, "band"), "members")
+    members = scratch.keep(keyed.join(shared, "band"), "shared")
     weight = members.groupBy("id").agg(F.sum("c").alias("w"))
-    members = scratch.keep(members.join(weight, "id").select("band", "id", "w"), "weighted")
-    needed = members.select("id").distinct()
-    payload = scratch.keep(rows.join(needed, "id", "left_semi").dropDuplicates(["id"])
+    members = scratch.keep(members.join(weight, "id").select("band", "id", "n", "w"), "members")
+    payload = scratch.keep(rows.join(weight.select("id"), "id", "left_semi").dropDuplicates(["id"])
                            .mapInArrow(_keys, f"id {id_type}, keys binary"), "payload")
-
-    best = lambda w: F.max(F.struct(F.col(w), -F.xxhash64("id"), F.col("id")))["id"]
-    checked = scratch.keep(spark.createDataFrame([], f"a {id_type}, b {id_type}, sim double"), "checked-0")
-    part, turn = None, 0
-
-    def candidates(step: str) -> DataFrame:
-        if part is None:  # every member against its bucket's centre
-            centre = members.groupBy("band").agg(best("w").alias("a"))
-            return members.join(centre, "band").select("a", F.col("id").alias("b"))
-        here = members.join(part, F.col("id") == F.col("node"), "left").select(
-            "band", "id", "w", F.coalesce("component", "id").alias("p"))
-        torn = here.groupBy("band").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).where("lo <> hi").select("band")
-        here = scratch.keep(here.join(torn, "band", "left_semi"), f"torn-{turn}")
-        one = here.groupBy("band", "p").agg(best("w").alias("id")) if step == "representatives" else here
-        return here.select("band", F.col("id").alias("b"), F.col("p").alias("q")).join(
-            one.select("band", F.col("id").alias("a"), "p"), "band").where("p <> q").select("a", "b")
-
-    for step in ("centres", "representatives", "all"):
-        while True:
-            turn += 1
-            pairs = candidates(step).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            pairs = scratch.keep(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), f"pairs-{turn}")
-            if pairs.isEmpty():
-                break
-            loaded = (pairs.join(payload.select(F.col("id").alias("b"), F.col("keys").alias("y")), "b")
-                      .join(payload.select(F.col("id").alias("a"), F.col("keys").alias("x")), "a").select("a", "b", "x", "y"))
-            verified = scratch.keep(loaded.mapInArrow(_verify, f"a {id_type}, b {id_type}, sim double"), f"verified-{turn}")
-            checked = checked.union(verified)
-            joined = not verified.where(F.col("sim") >= threshold).isEmpty()
-            if joined:
-                links = checked.where(F.col("sim") >= threshold).select("a", "b")
-                part = scratch.keep(connected_components(links, scratch, f"cc-{turn}"), f"part-{turn}")
-            if step != "representatives" or not joined:
-                break
-        if part is None and step == "centres":
-            part = scratch.keep(spark.createDataFrame([], f"node {id_type}, component {id_type}"), "part-0")
+    similar_size = F.least("n", "an") >= threshold * F.greatest("n", "an")
+
+    def verify(pairs: DataFrame, name: str) -> DataFrame:
+        """The links among (a, b) pairs: exact multiset overlap of at least the threshold."""
+        once = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        loaded = (once.join(payload.select(F.col("id").alias("b"), F.col("keys").alias("y")), "b")
+                  .join(payload.select(F.col("id").alias("a"), F.col("keys").alias("x")), "a").select("a", "b", "x", "y"))
+        checked = loaded.mapInArrow(_verify, f"a {id_type}, b {id_type}, sim double")
+        return scratch.keep(checked.where(F.col("sim") >= threshold).select("a", "b"), name)
+
+    # every member against its bucket's centre
+    centre = members.groupBy("band").agg(F.max(F.struct("w", "id", F.col("n").alias("an"))).alias("c"))
+    centre = centre.select("band", F.col("c.id").alias("a"), F.col("c.an").alias("an"))
+    links = verify(members.join(centre, "band").where(similar_size).select("a", F.col("id").alias("b")), "star-links")
+    part = scratch.keep(connected_components(links, scratch, "star"), "star-part")
+
+    # buckets that still hold several components: strays against all other members
+    here = members.join(part, F.col("id") == F.col("node"), "left").select("band", "id", "n", "w", F.coalesce("component", "id").alias("p"))
+    sizes = here.groupBy("band", "p").agg(F.count(F.lit(1)).alias("c"))
+    torn = sizes.groupBy("band").agg(F.max(F.struct("c", "p")).alias("m"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    blocks = lambda c: F.ceil(c / CELL).cast("int")
+    torn = torn.select("band", F.col("m.p").alias("mp"), blocks(F.col("m.c")).alias("nm"), blocks(F.col("all") - F.col("m.c")).alias("ns"))
+    dealt = here.join(torn, "band").withColumn("main", F.col("p") == F.col("mp"))
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("main"), F.col("nm")).otherwise(F.col("ns"))).cast("int")
+    cell = lambda kind, s, t: F.concat_ws(":", F.col("band").cast("string"), F.lit(kind), s.cast("string"), t.cast("string"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cells = F.when(F.col("main"), F.transform(upto("ns"), lambda s: cell("m", s, F.col("own")))).otherwise(F.concat(
+        F.transform(upto("nm"), lambda m: cell("m", F.col("own"), m)),
+        F.transform(upto("ns"), lambda t: cell("s", F.least("own", t), F.greatest("own", t)))))
+    dealt = dealt.withColumn("own", own).select("id", "n", "w", "p", "main", F.explode(cells).alias("cell"))
+    dealt = dealt.join(signed.select("id", "sig").dropDuplicates(["id"]), "id")
+    met = dealt.repartition("cell").sortWithinPartitions("cell").select("cell", "id", "n", "w", "p", "main", "sig")
+    more = verify(met.mapInArrow(_cells(threshold), f"a {id_type}, b {id_type}"), "stray-links")
+    part = scratch.keep(connected_components(links.union(more), scratch, "all"), "all-part")
 
     grouped = member_of.join(part, F.col("rep") == F.col("node"), "left").select(
         "id", F.coalesce("component", "rep").alias("class_id"))
