@@ -179,10 +179,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(got, pa.float64())], ["a", "b", "sim"])
 
 
-def meet(ids: list, part: np.ndarray, main: np.ndarray, n: np.ndarray, sig: np.ndarray, threshold: float) -> tuple[list, list]:
+def meet(ids: list, part: np.ndarray, main: np.ndarray, n: np.ndarray, sig: np.ndarray, band: int, threshold: float) -> tuple[list, list]:
     """Pairs of one cell to verify: a stray (not ``main``) with a member of another component.
 
-    Strays are taken in the order given. Members that a stray clearly resembles are taken as its
+    A pair that shares several bands leaves the cell of the first of them only: its bucket holds both,
+    so they meet there too. Strays are taken in the order given. Members that a stray clearly resembles are taken as its
     component from then on, so a tight group of strays leaves a star, not all its pairs.
     """
     error = SURE * float(np.sqrt(threshold * (1 - threshold) / sig.shape[1]))
@@ -191,8 +192,10 @@ def meet(ids: list, part: np.ndarray, main: np.ndarray, n: np.ndarray, sig: np.n
         other = np.flatnonzero((label != label[x]) & (np.minimum(n, n[x]) >= threshold * np.maximum(n, n[x])))
         if not len(other):
             continue
-        alike = (sig[other] == sig[x]).mean(axis=1)
-        near = alike >= threshold - error
+        same = sig[other] == sig[x]
+        alike = same.mean(axis=1)
+        first = same.reshape(len(other), -1, ROWS).all(axis=2).argmax(axis=1) == band
+        near = (alike >= threshold - error) & first
         left += [ids[x]] * int(near.sum())
         right += [ids[y] for y in other[near]]
         for y in np.unique(label[other[alike >= threshold + error]]):
@@ -210,7 +213,7 @@ def _cells(threshold: float):
             table = table.take(pa.array(order))
             sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(table.num_rows, -1)
             parts = np.unique(np.array(table["p"].to_pylist(), object).astype(str), return_inverse=True)[1]
-            a, b = meet(table["id"].to_pylist(), parts, table["main"].to_numpy().astype(bool), table["n"].to_numpy(), sig, threshold)
+            a, b = meet(table["id"].to_pylist(), parts, table["main"].to_numpy().astype(bool), table["n"].to_numpy(), sig, table["no"][0].as_py(), threshold)
             kind = table.schema.field("id").type
             return pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
 
@@ -244,11 +247,11 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str =
     equal = scratch.keep(signed.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")), "equal")
     member_of = signed.where("n > 0").join(equal, ["n", "k1", "k2"]).select("id", "rep")
     reps = signed.where("n > 0").join(equal.select(F.col("rep").alias("id")), "id", "left_semi")
-    keyed = reps.select("id", "n", F.explode("bands").alias("band"))
+    keyed = reps.select("id", "n", F.posexplode("bands").alias("no", "band"))
     shared = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     members = scratch.keep(keyed.join(shared, "band"), "shared")
     weight = members.groupBy("id").agg(F.sum("c").alias("w"))
-    members = scratch.keep(members.join(weight, "id").select("band", "id", "n", "w"), "members")
+    members = scratch.keep(members.join(weight, "id").select("band", "no", "id", "n", "w"), "members")
     payload = scratch.keep(rows.join(weight.select("id"), "id", "left_semi").dropDuplicates(["id"])
                            .mapInArrow(_keys, f"id {id_type}, keys binary"), "payload")
     similar_size = F.least("n", "an") >= threshold * F.greatest("n", "an")
@@ -268,7 +271,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str =
     part = scratch.keep(connected_components(links, scratch, "star"), "star-part")
 
     # buckets that still hold several components: strays against all other members
-    here = members.join(part, F.col("id") == F.col("node"), "left").select("band", "id", "n", "w", F.coalesce("component", "id").alias("p"))
+    here = members.join(part, F.col("id") == F.col("node"), "left").select("band", "no", "id", "n", "w", F.coalesce("component", "id").alias("p"))
     sizes = here.groupBy("band", "p").agg(F.count(F.lit(1)).alias("c"))
     torn = sizes.groupBy("band").agg(F.max(F.struct("c", "p")).alias("m"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("k")).where("k > 1")
     blocks = lambda c: F.ceil(c / CELL).cast("int")
@@ -280,9 +283,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str =
     cells = F.when(F.col("main"), F.transform(upto("ns"), lambda s: cell("m", s, F.col("own")))).otherwise(F.concat(
         F.transform(upto("nm"), lambda m: cell("m", F.col("own"), m)),
         F.transform(upto("ns"), lambda t: cell("s", F.least("own", t), F.greatest("own", t)))))
-    dealt = dealt.withColumn("own", own).select("id", "n", "w", "p", "main", F.explode(cells).alias("cell"))
+    dealt = dealt.withColumn("own", own).select("id", "no", "n", "w", "p", "main", F.explode(cells).alias("cell"))
     dealt = dealt.join(signed.select("id", "sig").dropDuplicates(["id"]), "id")
-    met = dealt.repartition("cell").sortWithinPartitions("cell").select("cell", "id", "n", "w", "p", "main", "sig")
+    met = dealt.repartition("cell").sortWithinPartitions("cell").select("cell", "no", "id", "n", "w", "p", "main", "sig")
     more = verify(met.mapInArrow(_cells(threshold), f"a {id_type}, b {id_type}"), "stray-links")
     part = scratch.keep(connected_components(links.union(more), scratch, "all"), "all-part")
 
