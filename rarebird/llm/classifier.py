@@ -16,7 +16,7 @@ nothing; of conflicting labels of one id the larger counts; with no labelled row
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -83,7 +83,7 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(self.bias + SCALE * total / count, -35, 35)))
 
 
-def ftrl(examples: list[tuple[np.ndarray, np.ndarray, float]], bits: int = BITS, epochs: int = 3, alpha: float = 0.5,
+def ftrl(examples: Sequence[tuple[np.ndarray, np.ndarray, float]], bits: int = BITS, epochs: int = 3, alpha: float = 0.5,
          beta: float = 1.0, l1: float = 0.02, l2: float = 0.02) -> Model:
     """FTRL-Proximal with per-slot rates over (slots, values, label) in the order given."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
@@ -133,12 +133,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
 
     id_type = wanted.schema["__id"].dataType.simpleString()
     got = wanted.mapInArrow(count, f"__id {id_type}, __y double, slots array<int>, n array<int>").toArrow()
-    examples = []
-    for i, y, slots, n in zip(got["__id"].to_pylist(), got["__y"].to_pylist(), got["slots"], got["n"], strict=True):
-        ids, times = slots.values.to_numpy(), n.values.to_numpy()
-        examples.append((zlib.crc32(f"order {i}".encode()), str(i), ids.astype(np.int64), SCALE * times / max(times.sum(), 1), float(y > 0)))
-    examples.sort(key=lambda e: e[:2])
-    return ftrl([e[2:] for e in examples], bits)
+    order = sorted(range(got.num_rows), key=lambda k, ids=got["__id"].to_pylist(): (zlib.crc32(f"order {ids[k]}".encode()), str(ids[k])))
+    return ftrl(_Rows(got.combine_chunks(), order), bits)
+
+
+class _Rows(Sequence):
+    """Training examples read from the gathered table one at a time: the driver holds 8 bytes a feature."""
+
+    def __init__(self, table: pa.Table, order: list[int]):
+        one = lambda name: table[name].chunk(0) if table.num_rows else pa.array([], pa.list_(pa.int32()))
+        self.labels, self.order = table["__y"].to_pylist(), order
+        self.slots, self.times = one("slots"), one("n")
+
+    def __len__(self) -> int:
+        return len(self.order)
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray, float]:
+        row = self.order[k]
+        times = self.times[row].values.to_numpy()
+        return self.slots[row].values.to_numpy(), SCALE * times / max(times.sum(), 1), float(self.labels[row] > 0)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", into: str = "score") -> DataFrame:
