@@ -10,8 +10,10 @@ is removed; windows are judged on the input.
    is the bytes that its windows cover.
 2. Anchors are counted over the corpus; those seen once hold no repeat.
 3. Of an anchor's occurrences with one and the same stretch, all but the first are repeats whole.
-4. Where an anchor has several different stretches, the first occurrences of each are compared: their
-   bytes are put end to end, sorted with the suffix array of ``suffix_array`` (linear grouping), and
+4. Where an anchor has several different stretches, the first occurrences of each are compared. What
+   no other stretch of the anchor shares cannot hold a repeat: aligned at the anchor, each stretch is
+   trimmed to the longest extension to either side that it has in common with another one, and
+   dropped if that is less than a window. The rest is put end to end, sorted with the suffix array of ``suffix_array`` (linear grouping), and
    neighbouring suffixes that share ``length`` bytes form a class of equal windows; all but the
    class's first one are repeats. An anchor with very many stretches is dealt out over several
    arrays, whose classes are then merged by a digest of the window.
@@ -44,10 +46,10 @@ LENGTH = 100
 GRAM = 20
 #: windows that one vectorised step looks at
 PIECE = 1 << 20
-#: stretches of one anchor in one suffix array
-BLOCK = 1000
+#: stretches of one anchor that are compared in one place; more are dealt out in parts of a fifth of this
+BLOCK = 10_000
 #: bytes that one suffix array holds, if no single block has more
-ARRAY_BYTES = 1 << 18
+ARRAY_BYTES = 1 << 17
 BUCKETS = 1 << 20
 _LOW = np.uint64((1 << 31) - 1)
 _U = np.uint64
@@ -114,6 +116,38 @@ def repeated_windows(stretches: list[bytes], places: list[tuple[int, int]], leng
     return owner, offset, repeat
 
 
+def _common(x: bytes, y: bytes) -> int:
+    """Length of the common prefix."""
+    n = min(len(x), len(y))
+    if x[:n] == y[:n]:
+        return n
+    low, high = 0, n  # equal up to low, unequal up to high
+    while high - low > 1:
+        mid = (low + high) // 2
+        if x[:mid] == y[:mid]:
+            low = mid
+        else:
+            high = mid
+    return low
+
+
+def _longest_common(keys: list[bytes]) -> list[int]:
+    """For each string the longest prefix that it shares with another one: that of a sorted neighbour."""
+    out, order = [0] * len(keys), sorted(range(len(keys)), key=keys.__getitem__)
+    for x, y in zip(order, order[1:], strict=False):
+        n = _common(keys[x], keys[y])
+        out[x], out[y] = max(out[x], n), max(out[y], n)
+    return out
+
+
+def shared_parts(stretches: list[bytes], before: list[int], gram: int = GRAM) -> list[tuple[int, int]]:
+    """(first, end) of the part of each stretch around its anchor that may hold a window of another
+    stretch of the same anchor; ``before``: bytes of each stretch in front of the anchor."""
+    left = _longest_common([s[:b][::-1] for s, b in zip(stretches, before, strict=True)])
+    right = _longest_common([s[b + gram :] for s, b in zip(stretches, before, strict=True)])
+    return [(b - x, b + gram + y) for b, x, y in zip(before, left, right, strict=True)]
+
+
 def _pack(place: np.ndarray, before: np.ndarray, count: np.ndarray) -> np.ndarray:
     return (place << 14) | (before << 7) | count
 
@@ -159,7 +193,8 @@ def find_repeats(rows: DataFrame, scratch: Scratch, length: int = LENGTH, block:
     first = again.groupBy("anchor", "stretch").agg(F.min(F.struct("id", "at")).alias("first"))
     first = scratch.keep(first, "first")
     several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    part = F.pmod("stretch", F.ceil(F.col("k") / block))
+    share = max(1, block // 5)  # a dealt anchor's stretches are not trimmed, so fewer of them fill an array
+    part = F.when(F.col("k") > block, F.pmod("stretch", F.ceil(F.col("k") / share))).otherwise(0)
     asked = scratch.keep(first.join(several, "anchor").select(
         "anchor", "stretch", "first.id", "first.at", "k", part.cast("int").alias("part")), "asked")
     compared = scratch.keep(_compare(rows, asked, length, block), "compared")
@@ -202,37 +237,52 @@ def _compare(rows: DataFrame, asked: DataFrame, length: int, block: int) -> Data
                 found = [data[x:y].tobytes() for x, y in zip(a, b, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [w.field("anchor"), w.field("part"), w.field("stretch"), pa.array(w.field("k").to_numpy() > block),
-                     pa.array(part.column("id").to_numpy()[row]), pa.array(start), pa.array(found, pa.binary())],
-                    ["anchor", "part", "stretch", "dealt", "id", "start", "bytes"])
+                     pa.array(part.column("id").to_numpy()[row]), pa.array(start), pa.array(found, pa.binary()), pa.array((at >> 7) & 127)],
+                    ["anchor", "part", "stretch", "dealt", "id", "start", "bytes", "before"])
 
-    schema = "anchor bigint, part int, stretch bigint, dealt boolean, id bigint, start bigint, bytes binary"
+    schema = "anchor bigint, part int, stretch bigint, dealt boolean, id bigint, start bigint, bytes binary, before bigint"
     near = _sieved(rows, asked, "left_semi")
     stretches = near.join(wanted, "id").dropDuplicates(["id"]).mapInArrow(cut, schema)
     tasks = max(8, asked.count() // 5000)
     grouped = stretches.repartition(tasks, "anchor", "part").sortWithinPartitions("anchor", "part", "stretch")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size, group = 0, None
+        held: list[tuple] = []  # row, first byte that is compared, bytes that are compared
+        size, same = 0, []
+
+        def trim() -> None:
+            """Moves the rows of one anchor (and part) to what is compared."""
+            nonlocal size
+            spans = [(0, len(row[6])) for row in same]
+            if len(same) > 1 and not same[0][3]:  # a dealt anchor has stretches elsewhere
+                spans = shared_parts([row[6] for row in same], [row[7] for row in same])
+            for row, (a, b) in zip(same, spans, strict=True):
+                if b - a >= length:
+                    held.append((row, a, row[6][a:b]))
+                    size += b - a
 
         def decide() -> pa.RecordBatch:
-            texts = [h[6] for h in held]
-            owner, offset, repeat = repeated_windows(texts, [(h[4], h[5]) for h in held], length)
-            dealt_ = np.array([h[3] for h in held], bool)[owner]
+            texts = [text for _, _, text in held]
+            owner, offset, repeat = repeated_windows(texts, [(row[4], row[5] + a) for row, a, _ in held], length)
+            dealt_ = np.array([row[3] for row, _, _ in held], bool)[owner]
             on = np.flatnonzero(repeat | dealt_)
             digest = [None if repeat[i] else hashlib.blake2b(texts[owner[i]][offset[i] : offset[i] + length], digest_size=16).digest() for i in on]
-            pick = lambda k: pa.array(np.array([h[k] for h in held], np.int64)[owner[on]])
-            return pa.RecordBatch.from_arrays([pick(0), pick(2), pa.array(offset[on].astype(np.int32)), pa.array(digest, pa.binary())],
-                                              ["anchor", "stretch", "offset", "digest"])
+            pick = lambda k: np.array([row[k] for row, _, _ in held], np.int64)[owner[on]]
+            shift = np.array([a for _, a, _ in held], np.int64)[owner[on]]
+            return pa.RecordBatch.from_arrays([pa.array(pick(0)), pa.array(pick(2)), pa.array((offset[on] + shift).astype(np.int32)),
+                                               pa.array(digest, pa.binary())], ["anchor", "stretch", "offset", "digest"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size >= ARRAY_BYTES and row[:2] != group:
-                    yield decide()
-                    held, size = [], 0
-                group = row[:2]
-                held.append(row)
-                size += len(row[6])
+                if same and row[:2] != same[0][:2]:
+                    trim()
+                    same = []
+                    if size >= ARRAY_BYTES:
+                        yield decide()
+                        held, size = [], 0
+                same.append(row)
+        if same:
+            trim()
         if held:
             yield decide()
 
