@@ -68,6 +68,40 @@ def test_edited_copies_and_hot_passages(spark):
     assert {r.doc_id for r in kept.collect()} == {2000 + k for k in range(20)} and kept.columns == df.columns
 
 
+def test_every_pair_over_the_threshold_is_found(spark):
+    """Copies with every 4th or 5th word replaced, or with a word put between every two, with and
+    without exact copies elsewhere; random edits against brute force."""
+    rng = np.random.default_rng(21)
+    items, rows, want = [], [], set()
+
+    def add(no, middle):
+        around = [[f"n{k}" for k in rng.integers(0, 9000, 25)] for _ in range(2)]
+        rows.append((len(rows), " ".join([*around[0], *middle, *around[1]])))
+        if brute_alignment(items[no], middle) >= len(items[no]):
+            want.add((len(rows) - 1, no))
+
+    for no in range(24):
+        items.append([f"i{no}w{k}" for k in range(int(rng.integers(9, 40)))])
+        if no % 2:
+            add(no, items[no])  # the exact copy elsewhere
+        for every in (3, 4, 5):
+            for shift in range(every):
+                add(no, ["changed" if k % every == shift else w for k, w in enumerate(items[no])])
+        add(no, [x for k, w in enumerate(items[no]) for x in (w, f"put{k}")])
+        for _ in range(8):  # random edits: words replaced, dropped, put in
+            rate, middle = rng.uniform(0.05, 0.45), []
+            for w in items[no]:
+                kind = rng.integers(0, 3) if rng.random() < rate else 3
+                middle += {0: ["changed"], 1: [], 2: [w, "put"], 3: [w]}[int(kind)]
+            add(no, middle)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id int, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(df, bench).collect()}
+    assert set(got) == want and 300 < len(want) < len(rows)
+    for (d, no), score in got.items():
+        assert score == brute_alignment(items[no], rows[d][1].split()) / (2 * len(items[no]))
+
+
 def test_leak_edges(spark, edge, empty):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id int, text string")
     got = decontaminate.contaminated(edge, bench).collect()
