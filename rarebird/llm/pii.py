@@ -46,8 +46,17 @@ ENTITIES = [
 #: one or two capitalised names right after a courtesy title; the title stays
 _AFTER_TITLE = f"(?<=(?<!\\p{{L}})(?:{_TITLES['male']}|{_TITLES['female']})\\.?[ ]){_NAME}(?:[ ]{_NAME})?(?![\\p{{L}}@])"
 ANY = "|".join([f"(?:{p})" for _, p in ENTITIES] + [_AFTER_TITLE])
-#: a text without any of these holds no entity
-HINT = f"[0-9]{{3}}|@|[0-9]\\.[0-9]|[0-9A-Fa-f]{{32}}|(?:{_TITLES['male']}|{_TITLES['female']})\\.? "
+#: a text without any of these holds no entity: each pattern above cannot match without the part named after it
+HINT = "|".join([
+    "@",  # email
+    "[0-9A-Fa-f]{32}",  # hex
+    "AKIA|sk[_\\-]|gh[pousr]_",  # key
+    "[A-Z]{2}[0-9]{2}",  # iban
+    "[0-9]{3}",  # ssn, card, phone without a country
+    "[0-9]\\.[0-9]",  # ip
+    "\\+[0-9]",  # phone
+    f"(?:{_TITLES['male']}|{_TITLES['female']})\\.?[ ]",  # names
+])
 DIGIT_TYPES = ["ssn", "phone", "card"]
 KEEP_FIRST = ["phone", "card"]
 
