@@ -8,6 +8,10 @@ corpus, however it is punctuated, changes alike (coreference). Collision checks
 entity a surrogate of its own that is no entity of the corpus either: whoever clashes draws again
 with the next attempt number, until nobody does (distinctness).
 
+No pattern has an upper bound below what its type allows: keys, hexadecimal strings, phone numbers
+and runs of names go to their end. Initials get a made name with the point (26 letters would not be
+enough for distinct ones).
+
 Only texts that hold an entity are shuffled, keyed by a digest of the text, so that copies are
 worked on once; the others pass through a narrow stage.
 
@@ -29,22 +33,25 @@ FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Госпожа", "
 
 
 _TITLES = {"male": "|".join(MALE), "female": "|".join(FEMALE)}
-_NAME = "\\p{Lu}[\\p{L}\\-]{1,30}"
+_INITIALS = "(?:\\p{Lu}\\.-?)"
+#: a capitalised name, also with initials before it, or initials alone
+_NAME = f"(?:{_INITIALS}*+\\p{{Lu}}(?:[\\p{{L}}\\-]|['’](?=\\p{{Lu}}))*+|{_INITIALS}++)"
 
 #: (type, pattern) in order of precedence; where several match at a place, the first one counts
 ENTITIES = [
-    ("email", "(?<![A-Za-z0-9._%+\\-])[A-Za-z0-9._%+\\-]++@[A-Za-z0-9\\-]++(?:\\.[A-Za-z0-9\\-]++)*+(?<=\\.[A-Za-z]{2,24})"),
-    ("hex", "(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"),
-    ("key", "(?<![0-9A-Za-z_\\-])(?:AKIA[0-9A-Z]{16}|sk[_\\-][0-9A-Za-z_\\-]{16,64}|gh[pousr]_[0-9A-Za-z]{30,64})(?![0-9A-Za-z_\\-])"),
+    ("email", "(?<![A-Za-z0-9._%+\\-])[A-Za-z0-9._%+\\-]++@[A-Za-z0-9\\-]++(?:\\.[A-Za-z0-9\\-]++)*+(?<=\\.[A-Za-z]{2,63})"),
+    ("hex", "(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])"),
+    ("key", "(?<![0-9A-Za-z_\\-])(?:AKIA[0-9A-Z]{16}|sk[_\\-][0-9A-Za-z_\\-]{16,}+|gh[pousr]_[0-9A-Za-z]{30,}+)(?![0-9A-Za-z_\\-])"),
     ("iban", "(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[ ]?[0-9A-Z]{4}){3,7}(?:[ ]?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
     ("ssn", "(?<![0-9\\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\\-])"),
     ("ip", "(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\\.[0-9])"),
-    ("phone", "(?<![0-9A-Za-z+])(?:\\+[0-9]{1,3}[ .\\-]?(?:\\([0-9]{1,4}\\)|[0-9]{1,4})(?:[ .\\-]?[0-9]{2,4}){2,4}"
+    ("phone", "(?<![0-9A-Za-z+])(?:\\+[0-9]{1,3}[ .\\-]?(?:\\([0-9]{1,4}\\)|[0-9]{1,4})(?:[ .\\-]?[0-9]{2,4}){2}"
+     "(?:[ .\\-]?[0-9]{2,}+|-[0-9](?![0-9]))*+"
      "|\\([0-9]{3}\\)[ ]?[0-9]{3}[ .\\-][0-9]{4}|[0-9]{3}[.\\-][0-9]{3}[.\\-][0-9]{4})(?![0-9])"),
     ("card", "(?<![0-9A-Za-z.])[0-9]{4}(?:[ \\-]?[0-9]{4}){2}[ \\-]?[0-9]{1,7}(?![0-9A-Za-z])"),
 ]
-#: one or two capitalised names right after a courtesy title; the title stays
-_AFTER_TITLE = f"(?<=(?<!\\p{{L}})(?:{_TITLES['male']}|{_TITLES['female']})\\.?[ ]){_NAME}(?:[ ]{_NAME})?(?![\\p{{L}}@])"
+#: all capitalised names and initials right after a courtesy title; the title stays
+_AFTER_TITLE = f"(?<=(?<!\\p{{L}})(?:{_TITLES['male']}|{_TITLES['female']})\\.?[ ]){_NAME}(?:[ ]{_NAME})*(?![\\p{{L}}@])"
 ANY = "|".join([f"(?:{p})" for _, p in ENTITIES] + [_AFTER_TITLE])
 #: a text without any of these holds no entity: each pattern above cannot match without the part named after it
 HINT = "|".join([
@@ -95,7 +102,8 @@ def _kind(value: Column, before: Column) -> Column:
 
 def canonical(kind: Column, value: Column) -> Column:
     return F.when(kind.isin(DIGIT_TYPES), F.regexp_replace(value, "[^0-9]", "")).when(
-        kind.isin("key"), value).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).otherwise(F.lower(value))
+        kind.isin("key"), value).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when(
+        kind.isin("male", "female"), F.regexp_replace(F.lower(value), "\\.-?$", "")).otherwise(F.lower(value))
 
 
 def script(value: Column) -> Column:
@@ -141,8 +149,10 @@ def dress(kind: Column, value: Column, canon: Column) -> Column:
     letters = lambda i: F.length(F.replace(F.substring(value, F.lit(1), i + 1), F.lit(" "), F.lit("")))
     spaced = F.array_join(F.transform(F.split(value, ""), lambda c, i: F.when(
         c == " ", c).otherwise(F.substring(canon, letters(i), F.lit(1)))), "")
-    shouted = (F.upper(value) == value) & (F.lower(value) != value)
-    cased = F.when(shouted, F.upper(canon)).otherwise(F.when(kind.isin("male", "female"), F.initcap(canon)).otherwise(canon))
+    named = kind.isin("male", "female")
+    shouted = (F.upper(value) == value) & (F.lower(value) != value) & ~(named & value.rlike(f"^{_INITIALS}*\\p{{L}}?$"))
+    cased = F.when(shouted, F.upper(canon)).otherwise(F.when(named, F.initcap(canon)).otherwise(canon))
+    cased = F.concat(cased, F.when(named, F.regexp_extract(value, "\\.-?$", 0)).otherwise(""))  # initials stay abbreviated
     return (F.when(kind.isin(DIGIT_TYPES), digits).when(kind == "iban", spaced)
             .when(kind.isin("key"), canon).otherwise(cased))
 

@@ -166,6 +166,42 @@ def test_every_entity_alone_in_a_text_is_found(spark):
     assert len(out) == len(rows) and all(r.n == 1 and r.text != r.old for r in out)
 
 
+def test_entities_longer_than_any_bound_are_replaced_whole(spark):
+    run = lambda n, letters="aB3dE5gH7j": (letters * n)[:n]
+    cases = {
+        "key": [f"sk{c}{run(n)}" for c in "-_" for n in (16, 64, 65, 500)] + ["sk-proj-" + run(112)] + [f"ghp_{run(n)}" for n in (30, 64, 65, 300)],
+        "hex": [run(n, "0123456789abcdef") for n in (32, 128, 129, 1000)] + [run(300, "0123456789ABCDEF")],
+        "phone": ["+49 30 12 34 56 78 90", "+49 30 12 34 56 78 90 12 34", "+49 30 12345", "+49 30 123456-0", "+491234567890123456789", "+1 (425) 555-9684"],
+        "email": [f"ann@mail.{run(n, 'abcdefghij')}" for n in (2, 24, 25, 63)],
+        "name": ["J. Smith", "J Smith", "J. R. R. Smith", "J.-P. Smith", "J.Smith", "Ann Mary Jane Smith", "Smith-Jones", "O'Brien", "A" + run(60, "bcdef")],
+    }
+    rows = [(kind, v, f"By {'Mr ' if kind == 'name' else ''}{v}, and so on") for kind, values in cases.items() for v in values]
+    out = pii.replace_pii(spark.createDataFrame(rows, "kind string, value string, text string"), count_into="n").collect()
+    assert len(out) == len(rows)
+    for r in out:
+        new = r.text.removeprefix("By ").removesuffix(", and so on")
+        assert r.n == 1 and r.text.startswith("By ") and r.text.endswith(", and so on")
+        if r.kind == "name":
+            new = new.removeprefix("Mr ")
+            assert not set(re.findall(r"[^\W_]+", r.value)) & set(re.findall(r"[^\W_]+", new)), (r.value, new)
+            assert len(new.split()) == len(r.value.split()) and all(a.endswith(".") == b.endswith(".") for a, b in zip(r.value.split(), new.split()))
+        elif r.kind != "email":
+            shape = lambda t: re.sub("[a-zA-Z]", "a", re.sub("[0-9]", "0", t))
+            assert len(new) == len(r.value) and new[-1:].isalnum()
+            assert r.kind == "hex" or shape(new) == shape(r.value)
+            groups = lambda t: re.findall("[0-9A-Za-z]+", t)
+            assert r.kind == "phone" or groups(new)[-1] != groups(r.value)[-1]
+            assert r.kind != "phone" or re.sub(r"\D", "", new)[1:] != re.sub(r"\D", "", r.value)[1:]
+        else:
+            assert not new.startswith("ann@") and new.split(".")[-1] == r.value.split(".")[-1]
+    parts = spark.createDataFrame([(kind, v) for kind, values in cases.items() for v in values], "kind string, v string")
+    whole = parts.select("kind", "v", F.regexp_extract(F.concat(F.lit("Mr "), "v"), pii.ANY, 0).alias("m")).collect()
+    assert all(r.m == r.v for r in whole), [r for r in whole if r.m != r.v]
+    apart = pii.replace_pii(spark.createDataFrame([(1, "Mr J. Smith"), (2, "Mr J Smith"), (3, "Mr K. Smith")], "doc_id int, text string"))
+    a, b, c = (r.text.split() for r in apart.orderBy("doc_id").collect())
+    assert a[1] == b[1] + "." != c[1] and a[2] == b[2] == c[2]
+
+
 def test_collisions_draw_again(spark):
     values = spark.createDataFrame([("ip", f"v{k}") for k in range(60)], "kind string, value string")
 
