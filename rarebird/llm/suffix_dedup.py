@@ -1,7 +1,7 @@
 """Removal of repeated byte strings, decided by suffix arrays.
 
 A window is a string of ``length`` bytes inside one document. Every window that also starts earlier
-in the corpus (smaller id, or same document and earlier start) is a repeat, and every byte it covers
+in the corpus (smaller id, then smaller digest of the text, or same document and earlier start) is a repeat, and every byte it covers
 is removed; windows are judged on the input.
 
 1. Each window is assigned to its anchor: the ``GRAM``-byte string inside it whose hash is least
@@ -21,12 +21,13 @@ is removed; windows are judged on the input.
 
 Nothing is gathered per anchor beyond ``BLOCK`` stretches; counts and minima are combined before the
 shuffle. Texts are shuffled only where a stretch or a removal needs them (a semi-join on at most
-``BUCKETS`` id buckets, a bound that holds for any corpus, sieves the rest).
+``BUCKETS`` buckets of documents, a bound that holds for any corpus, sieves the rest).
 
 Edge cases: a null text counts as empty; texts shorter than ``length`` lose nothing; ids must be
-integers, a null id counts as smaller than every other; equal rows of one id are one document (each
-of them gets its result), and texts that share an id are not earlier than one another; an empty
-table gives an empty result; only id and text are read.
+integers, a null id counts as smaller than every other; a document is an id and a digest of its text,
+so equal rows of one id are one document (each of them gets its result), and different texts that
+share an id, or have none, are documents of their own; an empty table gives an empty result; only id
+and text are read.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ BLOCK = 10_000
 #: bytes that one suffix array holds, if no single block has more
 ARRAY_BYTES = 1 << 17
 BUCKETS = 1 << 20
+#: what tells documents apart
+DOCUMENT = ["id", "dig"]
 _LOW = np.uint64((1 << 31) - 1)
 _U = np.uint64
 
@@ -88,9 +91,9 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def repeated_windows(stretches: list[bytes], places: list[tuple[int, int]], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_windows(stretches: list[bytes], places: list[tuple[int, int, int]], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(stretch, offset, repeat) of every window of the given stretches; ``repeat``: an equal window
-    starts earlier among them. ``places``: (id, start) of each stretch, whose windows are its own."""
+    starts earlier among them. ``places``: (id, digest, start) of each stretch, whose windows are its own."""
     cuts = np.concatenate([[0], np.cumsum([len(s) + 1 for s in stretches])])
     raw = np.frombuffer(b"\0".join(stretches) + b"\0", np.uint8)
     symbols = raw.astype(np.int16) + 1
@@ -107,12 +110,12 @@ def repeated_windows(stretches: list[bytes], places: list[tuple[int, int]], leng
         end = min(len(order), k + (1 << 14))
         equal[k:end] = (windows[order[k:end]] == windows[order[k - 1 : end - 1]]).all(axis=1)
     label = np.cumsum(~equal) - 1
-    ids, starts = (np.array(x, np.int64) for x in zip(*places, strict=True))
+    ids, digs, starts = (np.array(x, np.int64) for x in zip(*places, strict=True))
     offset = order - cuts[owner]
-    ids, starts = ids[owner], starts[owner] + offset
-    by = np.lexsort((starts, ids, label))
+    ids, digs, starts = ids[owner], digs[owner], starts[owner] + offset
+    by = np.lexsort((starts, digs, ids, label))
     heads = by[np.flatnonzero(np.diff(label[by], prepend=-1))]  # the first window of each class
-    repeat = (ids != ids[heads[label]]) | (starts != starts[heads[label]])
+    repeat = (ids != ids[heads[label]]) | (digs != digs[heads[label]]) | (starts != starts[heads[label]])
     return owner, offset, repeat
 
 
@@ -165,43 +168,49 @@ def _occurrences(rows: DataFrame, length: int) -> DataFrame:
             for part in steps(whole):
                 data, offsets = byte_buffer(part.column("text"))
                 found = [anchors(data[a:b], length) for a, b in zip(offsets, offsets[1:], strict=False)]
-                ids = np.repeat(part.column("id").to_numpy(), [len(f[0]) for f in found])
+                ids, digs = (np.repeat(part.column(c).to_numpy(), [len(f[0]) for f in found]) for c in ("id", "dig"))
                 anchor, stretch, place, before, count = (np.concatenate(x) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64)), pa.array(ids), pa.array(_pack(place, before, count))],
-                    ["anchor", "stretch", "id", "at"])
+                    [pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64)), pa.array(ids), pa.array(digs), pa.array(_pack(place, before, count))],
+                    ["anchor", "stretch", "id", "dig", "at"])
 
-    return rows.mapInArrow(run, "anchor bigint, stretch bigint, id bigint, at bigint")
+    return rows.mapInArrow(run, "anchor bigint, stretch bigint, id bigint, dig bigint, at bigint")
 
 
-def _bucket(column: str):
-    return F.pmod(F.xxhash64(column), F.lit(BUCKETS))
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the digest of their text: (id, dig) is a document."""
+    return rows.select("id", F.xxhash64("text").alias("dig"), "text")
 
 
-def _sieved(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows whose id bucket does (left_semi) or does not (left_anti) hold one of ``ids``; at most BUCKETS are broadcast."""
-    buckets = ids.select(_bucket("id").alias("b")).distinct()
-    return rows.withColumn("b", _bucket("id")).join(F.broadcast(buckets), "b", how).drop("b")
+def _bucket():
+    return F.pmod(F.xxhash64(*DOCUMENT), F.lit(BUCKETS))
+
+
+def _sieved(rows: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
+    """Rows whose bucket does (left_semi) or does not (left_anti) hold a document of ``wanted``; at most BUCKETS are broadcast."""
+    buckets = wanted.select(_bucket().alias("b")).distinct()
+    return rows.withColumn("b", _bucket()).join(F.broadcast(buckets), "b", how).drop("b")
 
 
 def find_repeats(rows: DataFrame, scratch: Scratch, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
-    """(id, runs): the repeated windows of each document as array<struct<a, b>> of byte spans.
+    """(id, dig, runs): the repeated windows of each document as array<struct<a, b>> of byte spans.
 
     ``rows``: id (bigint, not null) and text (binary)."""
+    rows = _keyed(rows)
     often = _occurrences(rows, length).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     again = scratch.keep(_occurrences(rows, length).join(often, "anchor", "left_semi"), "again")
-    first = again.groupBy("anchor", "stretch").agg(F.min(F.struct("id", "at")).alias("first"))
+    first = again.groupBy("anchor", "stretch").agg(F.min(F.struct("id", "dig", "at")).alias("first"))
     first = scratch.keep(first, "first")
     several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     share = max(1, block // 5)  # a dealt anchor's stretches are not trimmed, so fewer of them fill an array
     part = F.when(F.col("k") > block, F.pmod("stretch", F.ceil(F.col("k") / share))).otherwise(0)
     asked = scratch.keep(first.join(several, "anchor").select(
-        "anchor", "stretch", "first.id", "first.at", "k", part.cast("int").alias("part")), "asked")
+        "anchor", "stretch", "first.id", "first.dig", "first.at", "k", part.cast("int").alias("part")), "asked")
     compared = scratch.keep(_compare(rows, asked, length, block), "compared")
 
     # windows of anchors that were dealt over several arrays: the first of all parts
     dealt = compared.where("digest is not null").join(asked, ["anchor", "stretch"]).select(
-        "anchor", "stretch", "offset", "digest", F.struct("id", (_unpacked(F.col("at"))[0] + F.col("offset")).alias("start")).alias("place"))
+        "anchor", "stretch", "offset", "digest", F.struct("id", "dig", (_unpacked(F.col("at"))[0] + F.col("offset")).alias("start")).alias("place"))
     heads = dealt.groupBy("anchor", "digest").agg(F.min("place").alias("head"))
     later = dealt.join(heads, ["anchor", "digest"]).where("place <> head").select("anchor", "stretch", "offset")
     offsets = compared.where("digest is null").select("anchor", "stretch", "offset").union(later)
@@ -210,17 +219,17 @@ def find_repeats(rows: DataFrame, scratch: Scratch, length: int = LENGTH, block:
     known = first.join(offsets, ["anchor", "stretch"], "left")
     start, count = _unpacked(F.col("at"))
     run = lambda a, b: F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
-    is_first = (F.col("id") == F.col("first.id")) & (F.col("at") == F.col("first.at"))
+    is_first = (F.col("id") == F.col("first.id")) & (F.col("dig") == F.col("first.dig")) & (F.col("at") == F.col("first.at"))
     runs = F.when(is_first, F.transform(F.col("offsets"), lambda o: run(start + o, start + o + length))).otherwise(
         F.array(run(start, start + count - 1 + length)))
-    marked = again.join(known, ["anchor", "stretch"]).select("id", runs.alias("runs")).where("size(runs) > 0")
-    return scratch.keep(marked.groupBy("id").agg(F.flatten(F.collect_list("runs")).alias("runs")), "runs")
+    marked = again.join(known, ["anchor", "stretch"]).select("id", "dig", runs.alias("runs")).where("size(runs) > 0")
+    return scratch.keep(marked.groupBy(*DOCUMENT).agg(F.flatten(F.collect_list("runs")).alias("runs")), "runs")
 
 
 def _compare(rows: DataFrame, asked: DataFrame, length: int, block: int) -> DataFrame:
     """(anchor, stretch, offset, digest): repeated windows (no digest), and of anchors with more than
     ``block`` stretches also the first window of each class, with a digest of its content."""
-    wanted = asked.groupBy("id").agg(F.collect_list(F.struct("anchor", "stretch", "at", "k", "part")).alias("wanted"))
+    wanted = asked.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("anchor", "stretch", "at", "k", "part")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -237,12 +246,13 @@ def _compare(rows: DataFrame, asked: DataFrame, length: int, block: int) -> Data
                 found = [data[x:y].tobytes() for x, y in zip(a, b, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [w.field("anchor"), w.field("part"), w.field("stretch"), pa.array(w.field("k").to_numpy() > block),
-                     pa.array(part.column("id").to_numpy()[row]), pa.array(start), pa.array(found, pa.binary()), pa.array((at >> 7) & 127)],
-                    ["anchor", "part", "stretch", "dealt", "id", "start", "bytes", "before"])
+                     pa.array(part.column("id").to_numpy()[row]), pa.array(start), pa.array(found, pa.binary()), pa.array((at >> 7) & 127),
+                     pa.array(part.column("dig").to_numpy()[row])],
+                    ["anchor", "part", "stretch", "dealt", "id", "start", "bytes", "before", "dig"])
 
-    schema = "anchor bigint, part int, stretch bigint, dealt boolean, id bigint, start bigint, bytes binary, before bigint"
+    schema = "anchor bigint, part int, stretch bigint, dealt boolean, id bigint, start bigint, bytes binary, before bigint, dig bigint"
     near = _sieved(rows, asked, "left_semi")
-    stretches = near.join(wanted, "id").dropDuplicates(["id"]).mapInArrow(cut, schema)
+    stretches = near.join(wanted, DOCUMENT).dropDuplicates(DOCUMENT).mapInArrow(cut, schema)
     tasks = max(8, asked.count() // 5000)
     grouped = stretches.repartition(tasks, "anchor", "part").sortWithinPartitions("anchor", "part", "stretch")
 
@@ -263,7 +273,7 @@ def _compare(rows: DataFrame, asked: DataFrame, length: int, block: int) -> Data
 
         def decide() -> pa.RecordBatch:
             texts = [text for _, _, text in held]
-            owner, offset, repeat = repeated_windows(texts, [(row[4], row[5] + a) for row, a, _ in held], length)
+            owner, offset, repeat = repeated_windows(texts, [(row[4], row[8], row[5] + a) for row, a, _ in held], length)
             dealt_ = np.array([row[3] for row, _, _ in held], bool)[owner]
             on = np.flatnonzero(repeat | dealt_)
             digest = [None if repeat[i] else hashlib.blake2b(texts[owner[i]][offset[i] : offset[i] + length], digest_size=16).digest() for i in on]
@@ -315,7 +325,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n), pa.array(removed), pa.array(spans), pa.array(kept, pa.binary())],
                                                  ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    near = _sieved(rows, runs, "left_semi").join(runs, "id", "left").mapInArrow(
+    rows = _keyed(rows)
+    near = _sieved(rows, runs, "left_semi").join(runs, DOCUMENT, "left").mapInArrow(
         strip, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     zero = F.lit(0).cast("long")
     far = _sieved(rows, runs, "left_anti").select(

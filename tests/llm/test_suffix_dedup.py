@@ -55,6 +55,29 @@ def test_edges(edge, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_texts_that_share_an_id_or_have_none(spark):
+    """Null ids and one id with several texts: each text is a document, ordered by id, then digest."""
+    rng = np.random.default_rng(6)
+    word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    common = [word(170) for _ in range(3)]
+    rows = [(None, word(int(rng.integers(0, 90))) + common[k % 3] + word(200)) for k in range(12)]
+    rows += [(5, word(300)), (5, word(40) + common[0] + word(50)), (5, word(150) * 2), (5, word(150) * 2), (6, word(400)), (7, common[1] + word(9))]
+    rows += [(None, word(250)), (None, None), (None, ""), rows[0], rows[-3]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    digest = {r.text: r.dig for r in df.selectExpr("text", "xxhash64(cast(coalesce(text, '') as binary)) as dig").collect()}
+    seen, want = set(), {}
+    for i, t in sorted(set(rows), key=lambda x: (x[0] is not None, x[0] or 0, digest[x[1]])):
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - 99):
+            gone[k : k + 100] |= b[k : k + 100] in seen
+            seen.add(b[k : k + 100])
+        want[i, t or ""] = np.frombuffer(b, np.uint8)[~gone].tobytes()
+    got = sorted((str(r.doc_id), r.n_bytes, bytes(r.kept)) for r in suffix_dedup.remove_repeats(df).collect())
+    assert got == sorted((str(i), len((t or "").encode()), want[i, t or ""]) for i, t in rows)
+    assert sum(len(k) for _, _, k in got) < sum(n for _, n, _ in got) - 1500
+
+
 def test_dealt_anchor_and_piece_edges(spark, monkeypatch):
     rng = np.random.default_rng(1)
     word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
