@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarebird.llm import classifier, decontaminate, html_crf, mixing, near_dup, pii, rules, sql, suffix_dedup, suffix_tree_lm, url_filter
-from rarebird.llm.common import Scratch, table
+from rarebird.llm import classifier, decontaminate, html_crf, mixing, near_dup, pii, rules, runs, secret_scan, sql, suffix_dedup, suffix_tree_lm, url_filter, whitening
+from rarebird.llm.common import Scratch, let, table, text_of, word_list
 
 
 def op1_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,42 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_pii(docs, count_into="n_entities").select("doc_id", "n_entities", "text")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
+def looped_words(words: Column, g: Column) -> Column:
+    """The words with everything from word a = g % n on repeating its first 1 + floor((n - a) / (3 + g % 8))."""
+    n = F.size(words)
+    first = F.pmod(g, n)
+    period = 1 + F.floor((n - first) / (3 + F.pmod(g, F.lit(8))))
+    at = lambda a, p: F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
+        words, F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int")))
+    looped = let(F.struct(first.alias("a"), period.alias("p")), lambda x: at(x["a"], x["p"]))
+    return F.when(n > 0, looped).otherwise(words)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string"))
+    text = F.when(h % 10 == 0, let(word_list(text_of()), lambda w: F.array_join(looped_words(w, F.floor(h / 10)), " "))).otherwise(text_of())
+    found = runs.find_runs(table(spark, sf_dir, "documents").select("doc_id", text.alias("text")), keep=["doc_id"])
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select("doc_id", "n_words", "runs", "collapsed", longest.alias("m")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("m.s").alias("start"), (-F.col("m.l")).alias("length"),
+        F.col("m.p").alias("period"), F.expr("(-1000 * m.l) div m.p").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dup, op2_lm_scoring, op3_mixing, op4_html_extraction, op5_suffix_dedup, op6_quality_rules,
-    op7_quality_classifier, op8_decontamination, op9_url_filters, op10_pii)}
-ORACLES: dict[str, str] = {"op3_mixing": sql.OP3, "op6_quality_rules": sql.OP6, "op9_url_filters": sql.OP9}
+    op7_quality_classifier, op8_decontamination, op9_url_filters, op10_pii, op11_embedding_whitening, op12_periodic_runs,
+    op13_secret_scan)}
+ORACLES: dict[str, str] = {"op3_mixing": sql.OP3, "op6_quality_rules": sql.OP6, "op9_url_filters": sql.OP9,
+                           "op12_periodic_runs": sql.OP12}

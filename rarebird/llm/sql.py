@@ -59,3 +59,28 @@ best AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(v, length(
 SELECT j.page_id, j.host, j.path, best.rule, coalesce(best.v, CASE WHEN al THEN 'allow' WHEN bl THEN 'block' END, 'allow') AS verdict
 FROM j LEFT JOIN best USING (page_id) LEFT JOIN cv ON cv.url = regexp_extract(j.url, '^[^#]*', 0)
 """
+
+# pairs of equal five-word windows at one distance form stretches; crc32 bit by bit, as DuckDB has none
+OP12 = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+  xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)))) AS h FROM documents),
+e AS (SELECT doc_id, ws, len(ws) AS n, h, h // 10 AS g FROM d),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM e),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+w AS (SELECT doc_id, row_number() OVER () AS r, n, CASE WHEN a IS NULL THEN ws ELSE list_transform(range(0, n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS ws FROM p),
+i AS (SELECT r, n, unnest(range(0, n - 4)) AS i, ws FROM w WHERE n > 5),
+k AS (SELECT r, n, i, ws[i + 1 : i + 5] AS k FROM i),
+x AS (SELECT u.r, u.i, v.i - u.i AS q FROM k u JOIN k v ON u.r = v.r AND u.k = v.k AND v.i > u.i AND 4 * (v.i - u.i) <= u.n),
+s AS (SELECT r, q, min(i) AS s, count(*) + 4 + q AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS b FROM x) GROUP BY r, q, b),
+t AS (SELECT r, s, l, min(q) AS q FROM s WHERE l >= greatest(6, 4 * q) GROUP BY r, s, l),
+b AS (SELECT r, count(*) AS n_runs, min_by(s, (-l, s, q)) AS start, max(l) AS length, min_by(q, (-l, s, q)) AS period,
+  string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS runs, list([s + q, s + l]) AS gone FROM t GROUP BY r),
+c AS (SELECT r, string_agg(word, ' ' ORDER BY j) AS kept FROM (
+  SELECT w.r, unnest(ws) AS word, unnest(range(0, n)) AS j, gone FROM w JOIN b ON w.r = b.r)
+  WHERE len(list_filter(gone, lambda z: z[1] <= j AND j < z[2])) = 0 GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+  (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+  sha256(coalesce(CASE WHEN n_runs IS NULL THEN array_to_string(ws, ' ') ELSE kept END, '')) AS collapsed_sha256
+FROM w LEFT JOIN b ON w.r = b.r LEFT JOIN c ON w.r = c.r
+"""
