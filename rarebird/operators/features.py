@@ -7,7 +7,8 @@ vectors appended, then the vector is standardized and, optionally, reduced by PC
 
 Every stage is a Spark ML estimator: fitting costs one distributed pass per stage (the
 indexer counts all categorical columns in a single pass), and scoring is a narrow,
-shuffle-free projection.
+shuffle-free projection. A preparation wider than the driver can hold (labels, slots, a d x d
+covariance) takes the stages of :mod:`rarebird.operators.wide` instead, which give the same features.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rarebird.operators.layout import spread
+from rarebird.operators.wide import BlockPCA, WideAssembler
 
 INDEX_SUFFIX = "_index"
 ONEHOT_SUFFIX = "_onehot"
@@ -30,6 +32,8 @@ RAW = "raw_features"
 SCALED = "scaled_features"
 FEATURES = "features"
 
+_UNCENTRED = "uncentred_components"
+
 SCALE_CENTRED = "centred"
 SCALE_ONLY = "scale_only"
 
@@ -92,6 +96,10 @@ def driver_memory(df: DataFrame) -> int:
     return int(df.sparkSession.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory())
 
 
+class TooWide(ValueError):
+    """More feature columns than the limit."""
+
+
 def check_width(df: DataFrame, stages: Sequence, max_width: int | None = None, square: bool | None = None) -> int:
     """The exact feature width that ``stages`` produce before scaling; refuses a wider one than fits.
 
@@ -110,11 +118,54 @@ def check_width(df: DataFrame, stages: Sequence, max_width: int | None = None, s
         budget = driver_memory(df) // 4
         max_width = int((budget / 24) ** 0.5) if square else budget // _COLUMN_BYTES
     if width > max_width:
-        raise ValueError(f"{width} feature columns, the limit is {max_width} (max_width, or more driver memory); "
+        raise TooWide(f"{width} feature columns, the limit is {max_width} (max_width, or more driver memory); "
                          f"categories by column: {counts}")
     return width
 
 
+def fitting_stages(df: DataFrame, stages: Sequence, max_width: int | None = None, square: bool | None = None,
+                   wide: bool | None = None) -> list:
+    """The stages to fit: as given where the driver can hold their width, else their wide form.
+
+    A ``max_width`` of the caller's is a limit and refuses more. ``wide`` takes (or refuses) the wide form
+    whatever the width. A mixture without a PCA before it (``square`` and no PCA) has no wide form: its
+    covariances are d x d in any case.
+    """
+    if wide:
+        return widen(stages)
+    try:
+        check_width(df, stages, max_width, square)
+    except TooWide:
+        no_form = square and not any(isinstance(s, PCA) for s in stages)
+        if wide is False or max_width is not None or no_form:
+            raise
+        return widen(stages)
+    return list(stages)
+
+
+def widen(stages: Sequence) -> list:
+    """The stages of :func:`preparation_stages` without labels, slots or squares on the driver.
+
+    Vectors stay sparse, so centring is put off: with a PCA it is applied to the components (the same
+    numbers), without one it is left out, which moves all rows alike and changes no distance.
+    """
+    indexers = [s for s in stages if isinstance(s, StringIndexer)]
+    cats = indexers[0].getInputCols() if indexers else []
+    onehot = {c + ONEHOT_SUFFIX for c in cats}
+    out: list = []
+    for stage in stages:
+        if isinstance(stage, VectorAssembler):
+            out.append(WideAssembler([c for c in stage.getInputCols() if c not in onehot], cats, stage.getOutputCol()))
+        elif isinstance(stage, StandardScaler):
+            out.append(StandardScaler(inputCol=stage.getInputCol(), outputCol=stage.getOutputCol(), withStd=True, withMean=False))
+        elif isinstance(stage, PCA):
+            centre = any(isinstance(s, StandardScaler) and s.getWithMean() for s in stages)
+            out.append(BlockPCA(stage.getK(), stage.getInputCol(), _UNCENTRED if centre else stage.getOutputCol()))
+            if centre:
+                out.append(StandardScaler(inputCol=_UNCENTRED, outputCol=stage.getOutputCol(), withStd=False, withMean=True))
+    return out
+
+
 def category_indexer(categorical: Sequence[str]) -> StringIndexer:
     """one indexer for all categorical columns (a single counting pass).
 
@@ -196,12 +247,11 @@ def preparation_pipeline(
     return Pipeline(stages=preparation_stages(columns, categorical, id_col, scale, pca_k, output))
 
 
-def _fit_once(pipeline: Pipeline, df: DataFrame, max_width: int | None) -> PipelineModel:
+def _fit_once(stages: Sequence, df: DataFrame, max_width: int | None, wide: bool | None = None) -> PipelineModel:
     own = not df.is_cached
     source = df.persist(StorageLevel.MEMORY_AND_DISK) if own else df
     try:
-        check_width(source, pipeline.getStages(), max_width)
-        return pipeline.fit(source)
+        return Pipeline(stages=fitting_stages(source, stages, max_width, wide=wide)).fit(source)
     finally:
         if own:
             source.unpersist()
@@ -223,12 +273,14 @@ def prepare(
     pca_k: int | None = None,
     output: str = FEATURES,
     max_width: int | None = None,
+    wide: bool | None = None,
 ) -> Prepared:
     """Fit F4 (+ scaler, + PCA) on ``df`` and keep ``[id,] features``. The input is persisted while
-    the stages are fitted, so all of them share one scan; ``max_width`` as in :func:`check_width`."""
+    the stages are fitted, so all of them share one scan; ``max_width`` and ``wide`` as in
+    :func:`fitting_stages`."""
     df = spread(df)
-    pipeline = preparation_pipeline(df.columns, categorical, id_col, scale, pca_k, output)
-    model = _fit_once(pipeline, df, max_width)
+    stages = preparation_stages(df.columns, categorical, id_col, scale, pca_k, output)
+    model = _fit_once(stages, df, max_width, wide)
     keep = ([id_col] if id_col else []) + [output]
     return Prepared(model, model.transform(df).select(*keep))
 
@@ -239,9 +291,10 @@ def inference_features(
     id_col: str | None = None,
     output: str = FEATURES,
     max_width: int | None = None,
+    wide: bool | None = None,
 ) -> DataFrame:
     """F8: encoded and assembled features (no scaling), ``[id,] features``."""
-    return prepare(df, categorical, id_col, scale=None, pca_k=None, output=output, max_width=max_width).frame
+    return prepare(df, categorical, id_col, scale=None, pca_k=None, output=output, max_width=max_width, wide=wide).frame
 
 
 def feature_width(model: PipelineModel, df: DataFrame, output: str = FEATURES) -> int:
@@ -281,7 +334,7 @@ def prepare_supervised(
         stages += [category_indexer(cats), one_hot_encoder(cats)]
     numeric = [c for c in cols if c not in cats]
     stages.append(assembler(numeric + [c + ONEHOT_SUFFIX for c in cats], output))
-    encoded = _fit_once(Pipeline(stages=stages), df, max_width).transform(df)
+    encoded = _fit_once(stages, df, max_width).transform(df)
     keep = ([key] if key else []) + [output, target]
     encoded = encoded.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
     if key:

@@ -35,8 +35,8 @@ from rarebird.operators.features import (
     FEATURES,
     SCALE_CENTRED,
     SCALE_ONLY,
-    check_width,
     drop_incomplete,
+    fitting_stages,
     parse_columns,
     preparation_stages,
 )
@@ -73,8 +73,9 @@ def _fail(spark, family, stage, moment, project, metric_table, on_error, err, ta
 
 
 def fit_features(df: DataFrame, stages: list, id_col: str, max_width: int | None = None,
-                 square: bool | None = None) -> tuple[PipelineModel, DataFrame, str]:
-    """Fit the preparation and write the ``[id, features]`` frame; returns model, frame and folder.
+                 square: bool | None = None, wide: bool | None = None) -> tuple[PipelineModel, DataFrame, str]:
+    """Fit the preparation (its wide form where the driver cannot hold its width) and write the
+    ``[id, features]`` frame; returns model, frame and folder.
 
     The pruned, filtered input is spread by its bytes and persisted while the stages are fitted (the
     width check, indexer, scaler and PCA each read it), then released once the compact feature frame
@@ -85,8 +86,7 @@ def fit_features(df: DataFrame, stages: list, id_col: str, max_width: int | None
     source = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
     where = scratch_path(spark, "features")
     try:
-        check_width(source, stages, max_width, square)
-        prep = Pipeline(stages=stages).fit(source)
+        prep = Pipeline(stages=fitting_stages(source, stages, max_width, square, wide)).fit(source)
         feats = prep.transform(source).select(id_col, FEATURES)
         feats.write.parquet(where)
     except BaseException:
@@ -134,18 +134,20 @@ def train_anomaly_model(
     table_root: str | None = None,
     parallelism: int | None = None,
     max_width: int | None = None,
+    wide: bool | None = None,
     **fit_params,
 ) -> RunReport:
     """Prepare (index, one-hot, assemble, centred scaling, PCA), search k for a Gaussian
     mixture by silhouette, save prep + mixture as one pipeline, flag rows no component claims
     with at least ``threshold``, store the flags and append the monitoring rows. ``max_width``
-    limits the feature width (see :func:`rarebird.operators.features.check_width`)."""
+    limits the feature width and ``wide`` asks for the form of the preparation that needs no label or
+    square on the driver (see :func:`rarebird.operators.features.fitting_stages`)."""
     moment = moment or run_moment()
     folder = None
     try:
         df = drop_incomplete(sql_source(spark, source))
         stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_CENTRED, pca_k=pca_k)
-        prep, feats, folder = fit_features(df, stages, id_col, max_width)
+        prep, feats, folder = fit_features(df, stages, id_col, max_width, wide=wide)
         fit = cluster(feats, MIXTURE, stored=True, k=0, max_k=max_k, seed=seed, ks=ks, parallelism=parallelism, **fit_params)
         pipeline = join_stages(prep, fit.model)
         if pipeline_path:
@@ -217,6 +219,7 @@ def bootstrap_anomalies(
     parallelism: int | None = None,
     table_root: str | None = None,
     max_width: int | None = None,
+    wide: bool | None = None,
     **fit_params,
 ) -> RunReport:
     """One bootstrap replicate - resample (with replacement), refit preparation and mixture
@@ -225,7 +228,7 @@ def bootstrap_anomalies(
     moment = moment or run_moment()
     df = bootstrap_sample(drop_incomplete(sql_source(spark, source)), fraction, seed)
     stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_CENTRED, pca_k=pca_k)
-    prep, feats, folder = fit_features(df, stages, id_col, max_width)
+    prep, feats, folder = fit_features(df, stages, id_col, max_width, wide=wide)
     try:
         fit = cluster(feats, MIXTURE, stored=True, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, **fit_params)
         flags = flag_anomalies(fit.scored, id_col, threshold)
@@ -262,6 +265,7 @@ def train_segments(
     table_root: str | None = None,
     parallelism: int | None = None,
     max_width: int | None = None,
+    wide: bool | None = None,
     **fit_params,
 ) -> RunReport:
     """Prepare (centred scaling, no PCA), search k for k-means, save prep + k-means as one
@@ -271,7 +275,7 @@ def train_segments(
     try:
         df = drop_incomplete(sql_source(spark, source))
         stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_CENTRED)
-        prep, feats, folder = fit_features(df, stages, id_col, max_width)
+        prep, feats, folder = fit_features(df, stages, id_col, max_width, wide=wide)
         fit = cluster(feats, KMEANS, stored=True, k=0, max_k=max_k, seed=seed, ks=ks, parallelism=parallelism, **fit_params)
         pipeline = join_stages(prep, fit.model)
         if pipeline_path:
@@ -341,13 +345,14 @@ def bootstrap_segments(
     parallelism: int | None = None,
     table_root: str | None = None,
     max_width: int | None = None,
+    wide: bool | None = None,
     **fit_params,
 ) -> RunReport:
     """One bootstrap replicate of the segmentation (scale-only standardization)."""
     moment = moment or run_moment()
     df = drop_incomplete(bootstrap_sample(sql_source(spark, source), fraction, seed))
     stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_ONLY)
-    prep, feats, folder = fit_features(df, stages, id_col, max_width)
+    prep, feats, folder = fit_features(df, stages, id_col, max_width, wide=wide)
     try:
         fit = cluster(feats, KMEANS, stored=True, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, **fit_params)
         scored = fit.scored.select(id_col, F.col("prediction").cast("int").alias("prediction"))

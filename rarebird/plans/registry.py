@@ -1139,3 +1139,6 @@ def q_bootstrap_invariants(spark, sf_dir):
         row = shares.crossJoin(size).select(F.lit(family).alias("family"), "share_sum", "drawn")
         out = row if out is None else out.union(row)
     return out
+
+
+from rarebird.plans import checks_scale  # noqa: E402,F401  (registers further checks; needs the names above)

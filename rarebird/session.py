@@ -71,3 +71,9 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through Spark's file system layer."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the driver's JVM ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)

@@ -16,6 +16,8 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 
+from rarebird.operators.wide import WideAssemblerModel
+
 
 def save_model(model, path: str) -> None:
     """Write a model or pipeline, replacing what is at ``path``."""
@@ -36,6 +38,7 @@ _ROLES = (
     (StringIndexerModel, "indexer"),
     (OneHotEncoderModel, "encoder"),
     (VectorAssembler, "assembler"),
+    (WideAssemblerModel, "assembler"),
     (StandardScalerModel, "scaler"),
     (PCAModel, "pca"),
     (GaussianMixtureModel, "model"),
@@ -45,12 +48,12 @@ _ROLES = (
 
 def stage_models(pipeline: PipelineModel) -> dict[str, object]:
     """The fitted stages of a scoring pipeline by role (indexer, encoder, assembler, scaler,
-    pca, model)."""
+    pca, model, and the centring after a wide PCA)."""
     out: dict[str, object] = {}
     for stage in pipeline.stages:
         for cls, role in _ROLES:
             if isinstance(stage, cls):
-                out[role] = stage
+                out["centring" if role == "scaler" and "pca" in out else role] = stage
                 break
     return out
 
