@@ -7,9 +7,10 @@ thing that lives on the driver. Scoring is a narrow
 projection. The silhouette is Spark's squared-Euclidean ``ClusteringEvaluator``: one
 aggregate of per-cluster sums, then one pass, O(n * k).
 
-The k search fits every candidate on one persisted frame, optionally several at once (the
-same driver-thread parallelism ``CrossValidator`` uses), and hands back the fitted winner so
-it is never refitted.
+The k search runs the EM rounds of all mixture candidates in shared passes and scores all candidates of
+either family in two (:mod:`rarebird.operators.shared_search`); k-means candidates are fitted on one
+persisted frame, several at once (the same driver-thread parallelism ``CrossValidator`` uses). The fitted
+winner is handed back, so it is never refitted.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rarebird.operators.layout import spread
+from rarebird.operators.layout import spread_rows
+from rarebird.operators.shared_search import fit_mixtures, mixture_model, mixture_silhouettes, packed, silhouettes, start
 
 log = logging.getLogger(__name__)
 
@@ -41,6 +44,8 @@ FIRST_K = 3
 # between them, which overlapping candidates hide; on an input whose passes keep the cluster busy set
 # parallelism=1, as each running candidate holds its own copy of the training vectors.
 DEFAULT_PARALLELISM = 4
+#: widest vectors that shared passes take; wider (or sparse) ones are fitted and scored one k at a time
+SHARED_WIDTH = 1024
 
 
 def mixture(k: int, seed: int = DEFAULT_SEED, features: str = "features", max_iter: int = 100,
@@ -79,14 +84,14 @@ def model_k(model) -> int:
 
 
 @contextmanager
-def fit_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK, stored: bool = False):
+def fit_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK, stored: bool = False, features: str = "features"):
     """The frame iterative fits should read.
 
     Spark's mixture and k-means keep a *deserialized* copy of the training vectors when their input
     is not cached, and every iteration reads that copy (about twice as fast as decoding cached
     columns each time). So a ``stored`` frame (one that reads a written feature table) is handed over
-    as it is; any other frame is spread by its bytes and persisted once for the block, and the
-    estimators get a plain projection of it.
+    as it is; any other frame is spread by the bytes of its vectors and persisted once for the block,
+    and the estimators get a plain projection of it.
 
     MEMORY_AND_DISK spills instead of recomputing; a lost executor's blocks are read again from the
     written features, or rebuilt from scan, filter and fitted transforms.
@@ -95,7 +100,8 @@ def fit_frame(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
         yield df
         return
     own = not df.is_cached
-    work = spread(df).persist(level) if own else df
+    first = df.select(features).first() if own else None
+    work = (spread_rows(df, 8 * len(first[0].values)) if first else df).persist(level) if own else df
     try:
         yield work.select(*[F.col(c).alias(c) for c in work.columns])
     finally:
@@ -133,7 +139,7 @@ def _score(df: DataFrame, features: str) -> tuple[float | None, str | None]:
     return (None, "silhouette is NaN") if score is None or math.isnan(score) else (float(score), None)
 
 
-def _try_k(df: DataFrame, family: str, k: int, features: str, params: dict):
+def _try_k(df: DataFrame, family: str, k: int, features: str, params: dict, scored: bool = True):
     """(k, silhouette, model, reason it was skipped). Only what says that this k does not suit the
     data skips it: an argument the estimator or the evaluator refuses (such as a model that uses a
     single cluster), or a NaN score. Anything else, a lost stage above all, is raised."""
@@ -142,10 +148,42 @@ def _try_k(df: DataFrame, family: str, k: int, features: str, params: dict):
         model = est.fit(df)
     except IllegalArgumentException as err:
         return k, None, None, f"{type(err).__name__}: {err}"
+    if not scored:
+        return k, None, model, None
     score, reason = _score(model.transform(df), features)
     return k, score, model if score is not None else None, reason
 
 
+def _judged(k: int, score: float | None, model):
+    if score is None:
+        return k, None, None, "one cluster only"
+    return (k, None, None, "silhouette is NaN") if math.isnan(score) else (k, score, model, None)
+
+
+def _shared_mixtures(df: DataFrame, ks: list[int], features: str, seed: int, max_iter: int = 100, tol: float = 0.01) -> list:
+    """The results of ``_try_k`` for mixtures of every k, from shared passes."""
+    out = [(k, None, None, f"IllegalArgumentException: a mixture needs more than one component, not {k}") for k in ks if k < 2]
+    mixtures = [start(df, features, k, seed) for k in ks if k > 1]
+    with packed(df, features) as blocks:
+        failed = fit_mixtures(blocks, mixtures, max_iter, tol)
+        out += [(k, None, None, reason) for k, reason in failed.items()]
+        live = [m for m in mixtures if m.k not in failed]
+        scores = mixture_silhouettes(blocks, live) if live else []
+    models = [mixture_model(df.sparkSession, m, features, seed, max_iter, tol) for m in live]
+    return sorted(out + [_judged(m.k, s, model) for m, s, model in zip(live, scores, models)], key=lambda r: r[0])
+
+
+def _scored_together(df: DataFrame, fitted: list, features: str) -> list:
+    """The results of fits without scores, scored in two passes for all of them."""
+    live = [(k, model) for k, _, model, _ in fitted if model is not None]
+    scored = df.select(features)
+    for k, model in live:
+        scored = model.copy({model.getParam("predictionCol"): f"prediction_{k}"}).transform(scored)
+    scores = silhouettes(scored, [f"prediction_{k}" for k, _ in live], features) if live else []
+    judged = {k: _judged(k, score, model) for (k, model), score in zip(live, scores)}
+    return [judged.get(r[0], r) for r in fitted]
+
+
 def choose_k(
     df: DataFrame,
     family: str = MIXTURE,
@@ -154,6 +192,7 @@ def choose_k(
     seed: int = DEFAULT_SEED,
     features: str = "features",
     parallelism: int | None = None,
+    shared: bool | None = None,
     **params,
 ) -> KSearch:
     """M5 / M6: fit every candidate k (default 3..max_k), score each by silhouette and keep
@@ -161,25 +200,38 @@ def choose_k(
     a refused argument, a NaN score) is skipped and its reason kept in ``errors``; when all are
     skipped the answer is k = 3 with no silhouette and no model. Any other failure is raised.
 
-    An empty input is an error, not a skipped candidate.
+    An empty input is an error, not a skipped candidate. ``shared=False`` fits and scores one k at a time
+    (as sparse vectors and those wider than ``SHARED_WIDTH`` are by default).
     """
-    with fit_frame(df) as work:
-        return _search(work, family, ks, max_k, seed, features, parallelism, params)
+    with fit_frame(df, features=features) as work:
+        return _search(work, family, ks, max_k, seed, features, parallelism, params, shared)
 
 
-def _search(work, family, ks, max_k, seed, features, parallelism, params) -> KSearch:
+def _search(work, family, ks, max_k, seed, features, parallelism, params, shared=None) -> KSearch:
     candidates = sorted(set(ks if ks is not None else range(FIRST_K, max_k + 1)))
-    params = dict(params, seed=seed)
-    if work.isEmpty():
+    first = work.select(features).first()
+    if first is None:
         raise ValueError("k search on an empty frame")
+    if shared is None:
+        shared = isinstance(first[0], DenseVector) and first[0].size <= SHARED_WIDTH
+    if family not in ESTIMATORS:
+        raise ValueError(f"family must be one of {sorted(ESTIMATORS)}")
+    if shared and family == MIXTURE:
+        return _outcome(_shared_mixtures(work, candidates, features, seed, **params))
+    params = dict(params, seed=seed)
     workers = max(1, min(parallelism or DEFAULT_PARALLELISM, len(candidates)))
     if workers == 1:
-        results = [_try_k(work, family, k, features, params) for k in candidates]
+        results = [_try_k(work, family, k, features, params, not shared) for k in candidates]
     else:
         # inheritable threads: job group, scheduler pool and cancellation reach every candidate
-        run = inheritable_thread_target(work.sparkSession)(lambda k: _try_k(work, family, k, features, params))
+        run = inheritable_thread_target(work.sparkSession)(lambda k: _try_k(work, family, k, features, params, not shared))
         with ThreadPoolExecutor(max_workers=workers) as pool:
             results = list(pool.map(run, candidates))
+    return _outcome(_scored_together(work, results, features) if shared else results)
+
+
+def _outcome(results: list) -> KSearch:
+    """The best of (k, silhouette, model, reason it was skipped) rows."""
     scores = {k: s for k, s, _, _ in results}
     errors = {k: e for k, _, _, e in results if e}
     for k, e in errors.items():
@@ -215,6 +267,7 @@ def cluster(
     parallelism: int | None = None,
     ks: Iterable[int] | None = None,
     stored: bool = False,
+    shared: bool | None = None,
     **params,
 ) -> Clustering:
     """M8 / M9: score with a trained model, or fit with a given k, or search k (``k == 0``).
@@ -228,9 +281,9 @@ def cluster(
         scored = model.transform(df)
         score = silhouette(scored, features=features) if with_silhouette else None
         return Clustering(scored, model, model_k(model), score)
-    with fit_frame(df, stored=stored) as work:
+    with fit_frame(df, stored=stored, features=features) as work:
         if k == 0:
-            search = _search(work, family, ks, max_k, seed, features, parallelism, params)
+            search = _search(work, family, ks, max_k, seed, features, parallelism, params, shared)
             model, score, k = search.model, search.silhouette, search.k
             if model is None:
                 model = estimator(family, k, seed=seed, features=features, **params).fit(work)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rarebird.operators.layout import spread
+from rarebird.operators.layout import spread_rows
 from rarebird.operators.wide import BlockPCA, WideAssembler
 
 INDEX_SUFFIX = "_index"
@@ -278,7 +278,7 @@ def prepare(
     """Fit F4 (+ scaler, + PCA) on ``df`` and keep ``[id,] features``. The input is persisted while
     the stages are fitted, so all of them share one scan; ``max_width`` and ``wide`` as in
     :func:`fitting_stages`."""
-    df = spread(df)
+    df = spread_rows(df, 8 * len(df.columns))
     stages = preparation_stages(df.columns, categorical, id_col, scale, pca_k, output)
     model = _fit_once(stages, df, max_width, wide)
     keep = ([id_col] if id_col else []) + [output]

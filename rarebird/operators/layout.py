@@ -2,6 +2,7 @@
 
 A frame gets more partitions when its scan has fewer than its size calls for (a small file is one
 split, however many columns an iterative fit reads a hundred times); it is never merged into fewer.
+Frames to fit go by the bytes of their rows in memory (``spread_rows``), others by those of their files.
 The count depends on the bytes alone, never on the cores that happen to be registered, so a run's
 layout - and with it the floating-point path of a fit - is the same on every cluster.
 """
@@ -56,6 +57,16 @@ def partition_count(df: DataFrame) -> int | None:
     return df.rdd.getNumPartitions()
 
 
+def spread_rows(df: DataFrame, bytes_per_row: int) -> DataFrame:
+    """``spread`` by what the rows take in memory instead of in their files: one counting pass, which
+    reads the columns of the filters alone. Compressed files say little about the vectors made of them."""
+    current = partition_count(df)
+    if current is None:
+        return df
+    target = max(partitions_for(df.count() * bytes_per_row), partitions_for(plan_bytes(df) or 0))
+    return df.repartition(target) if current < target else df
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """``df`` with at least the partitions its bytes call for (or ``partitions``). A plan that
     shuffles keeps its layout: asking for its partitions would run the shuffle."""

@@ -29,7 +29,7 @@ from rarebird.functions.columns import run_moment
 from rarebird.operators import metrics as M
 from rarebird.operators.anomaly import DEFAULT_THRESHOLD, FLAG, flag_anomalies, stored_result
 from rarebird.operators.clustering import KMEANS, MIXTURE, cluster
-from rarebird.operators.layout import spread
+from rarebird.operators.layout import spread, spread_rows
 from rarebird.operators.enrich import enrich_and_dedupe
 from rarebird.operators.features import (
     FEATURES,
@@ -77,13 +77,13 @@ def fit_features(df: DataFrame, stages: list, id_col: str, max_width: int | None
     """Fit the preparation (its wide form where the driver cannot hold its width) and write the
     ``[id, features]`` frame; returns model, frame and folder.
 
-    The pruned, filtered input is spread by its bytes and persisted while the stages are fitted (the
+    The pruned, filtered input is spread by the bytes of its rows and persisted while the stages are fitted (the
     width check, indexer, scaler and PCA each read it), then released once the compact feature frame
     is written as Parquet to the shared scratch folder: one scan of the source serves the whole fit
     phase, and a lost executor re-reads those files. The caller removes the folder.
     """
     spark = df.sparkSession
-    source = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    source = spread_rows(df, 8 * len(df.columns)).persist(StorageLevel.MEMORY_AND_DISK)
     where = scratch_path(spark, "features")
     try:
         prep = Pipeline(stages=fitting_stages(source, stages, max_width, square, wide)).fit(source)

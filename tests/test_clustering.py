@@ -141,9 +141,26 @@ def test_a_lost_candidate_fails_the_search(spark, monkeypatch):
             raise RuntimeError("stage lost")
         return plain(scored, features=features, **more)
 
+    def all_die(*_, **__):
+        raise RuntimeError("stage lost")
+
     monkeypatch.setattr(C, "silhouette", dies)
-    with pytest.raises(RuntimeError):
-        choose_k(_blobs(spark), KMEANS, max_k=5)
+    monkeypatch.setattr(C, "silhouettes", all_die)
+    for shared in (False, True):
+        with pytest.raises(RuntimeError):
+            choose_k(_blobs(spark), KMEANS, max_k=5, shared=shared)
+
+
+def test_vectors_are_laid_out_by_their_own_bytes(spark, scratch_dir):
+    from pyspark.ml.functions import array_to_vector
+
+    from rarebird.operators.layout import spread, spread_rows
+
+    same = spark.range(0, 400_000, 1, 1).select("id", array_to_vector(F.array(*[F.lit(1.0)] * 4)).alias("features"))
+    same.select("features").write.parquet(f"{scratch_dir}/v")
+    stored = spark.read.parquet(f"{scratch_dir}/v").coalesce(1)
+    assert spread_rows(stored, 32).rdd.getNumPartitions() == 13  # 12.8 MB of doubles in a few kB of file
+    assert spread(stored).rdd.getNumPartitions() <= 2
 
 
 def test_layout_never_runs_a_shuffle_to_count(spark):
