@@ -49,15 +49,19 @@ SHARED_WIDTH = 1024
 
 
 def mixture(k: int, seed: int = DEFAULT_SEED, features: str = "features", max_iter: int = 100,
-            tol: float = 0.01) -> GaussianMixture:
-    """M1: Gaussian mixture with full covariances (needs k > 1)."""
-    return GaussianMixture(k=k, seed=seed, featuresCol=features, maxIter=max_iter, tol=tol)
+            tol: float = 0.01, weight: str | None = None) -> GaussianMixture:
+    """M1: Gaussian mixture with full covariances (needs k > 1); ``weight`` names a column of row weights."""
+    return GaussianMixture(k=k, seed=seed, featuresCol=features, maxIter=max_iter, tol=tol, **_weighted(weight))
 
 
 def kmeans(k: int, seed: int = DEFAULT_SEED, features: str = "features", max_iter: int = 20,
-           tol: float = 1e-4) -> KMeans:
-    """M2: k-means (k-means|| initialisation)."""
-    return KMeans(k=k, seed=seed, featuresCol=features, maxIter=max_iter, tol=tol)
+           tol: float = 1e-4, weight: str | None = None) -> KMeans:
+    """M2: k-means (k-means|| initialisation); ``weight`` as for a mixture."""
+    return KMeans(k=k, seed=seed, featuresCol=features, maxIter=max_iter, tol=tol, **_weighted(weight))
+
+
+def _weighted(weight: str | None) -> dict:
+    return {"weightCol": weight} if weight else {}
 
 
 ESTIMATORS: dict[str, Callable[..., object]] = {MIXTURE: mixture, KMEANS: kmeans}
@@ -71,9 +75,9 @@ def estimator(family: str, k: int, **params):
     return make(k, **params)
 
 
-def silhouette(scored: DataFrame, features: str = "features", prediction: str = "prediction") -> float:
+def silhouette(scored: DataFrame, features: str = "features", prediction: str = "prediction", weight: str | None = None) -> float:
     """M7: mean squared-Euclidean silhouette; raises when fewer than two clusters are used."""
-    return ClusteringEvaluator(featuresCol=features, predictionCol=prediction).evaluate(scored)
+    return ClusteringEvaluator(featuresCol=features, predictionCol=prediction, **_weighted(weight)).evaluate(scored)
 
 
 def model_k(model) -> int:
@@ -126,10 +130,10 @@ def _one_cluster(err: Py4JJavaError) -> bool:
     return cause.getClass().getSimpleName() == "AssertionError" and "clusters must be greater than one" in str(cause.getMessage())
 
 
-def _score(df: DataFrame, features: str) -> tuple[float | None, str | None]:
+def _score(df: DataFrame, features: str, weight: str | None = None) -> tuple[float | None, str | None]:
     """(silhouette, reason there is none)."""
     try:
-        score = silhouette(df, features=features)
+        score = silhouette(df, features=features, **({"weight": weight} if weight else {}))
     except IllegalArgumentException as err:
         return None, f"{type(err).__name__}: {err}"
     except Py4JJavaError as err:
@@ -150,7 +154,7 @@ def _try_k(df: DataFrame, family: str, k: int, features: str, params: dict, scor
         return k, None, None, f"{type(err).__name__}: {err}"
     if not scored:
         return k, None, model, None
-    score, reason = _score(model.transform(df), features)
+    score, reason = _score(model.transform(df), features, params.get("weight"))
     return k, score, model if score is not None else None, reason
 
 
@@ -160,11 +164,12 @@ def _judged(k: int, score: float | None, model):
     return (k, None, None, "silhouette is NaN") if math.isnan(score) else (k, score, model, None)
 
 
-def _shared_mixtures(df: DataFrame, ks: list[int], features: str, seed: int, max_iter: int = 100, tol: float = 0.01) -> list:
+def _shared_mixtures(df: DataFrame, ks: list[int], features: str, seed: int, max_iter: int = 100, tol: float = 0.01,
+                     weight: str | None = None) -> list:
     """The results of ``_try_k`` for mixtures of every k, from shared passes."""
     out = [(k, None, None, f"IllegalArgumentException: a mixture needs more than one component, not {k}") for k in ks if k < 2]
-    mixtures = [start(df, features, k, seed) for k in ks if k > 1]
-    with packed(df, features) as blocks:
+    mixtures = [start(df, features, k, seed, weight) for k in ks if k > 1]
+    with packed(df, features, weight) as blocks:
         failed = fit_mixtures(blocks, mixtures, max_iter, tol)
         out += [(k, None, None, reason) for k, reason in failed.items()]
         live = [m for m in mixtures if m.k not in failed]
@@ -173,13 +178,13 @@ def _shared_mixtures(df: DataFrame, ks: list[int], features: str, seed: int, max
     return sorted(out + [_judged(m.k, s, model) for m, s, model in zip(live, scores, models)], key=lambda r: r[0])
 
 
-def _scored_together(df: DataFrame, fitted: list, features: str) -> list:
+def _scored_together(df: DataFrame, fitted: list, features: str, weight: str | None) -> list:
     """The results of fits without scores, scored in two passes for all of them."""
     live = [(k, model) for k, _, model, _ in fitted if model is not None]
-    scored = df.select(features)
+    scored = df.select(features, *([weight] if weight else []))
     for k, model in live:
         scored = model.copy({model.getParam("predictionCol"): f"prediction_{k}"}).transform(scored)
-    scores = silhouettes(scored, [f"prediction_{k}" for k, _ in live], features) if live else []
+    scores = silhouettes(scored, [f"prediction_{k}" for k, _ in live], features, weight) if live else []
     judged = {k: _judged(k, score, model) for (k, model), score in zip(live, scores)}
     return [judged.get(r[0], r) for r in fitted]
 
@@ -227,7 +232,7 @@ def _search(work, family, ks, max_k, seed, features, parallelism, params, shared
         run = inheritable_thread_target(work.sparkSession)(lambda k: _try_k(work, family, k, features, params, not shared))
         with ThreadPoolExecutor(max_workers=workers) as pool:
             results = list(pool.map(run, candidates))
-    return _outcome(_scored_together(work, results, features) if shared else results)
+    return _outcome(_scored_together(work, results, features, params.get("weight")) if shared else results)
 
 
 def _outcome(results: list) -> KSearch:
@@ -291,7 +296,7 @@ def cluster(
             model = estimator(family, k, seed=seed, features=features, **params).fit(work)
             score = None
             if with_silhouette:
-                score, reason = _score(model.transform(work), features)
+                score, reason = _score(model.transform(work), features, params.get("weight"))
                 if reason:
                     log.warning("silhouette not available for k=%d: %s", k, reason)
     if model_path:

@@ -13,12 +13,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-_SALT = "__salt"
+from rarebird.session import remove_at_exit, scratch_path
+
+_SALT, _OTHER, _PLACE = "__salt", "__other_salt", "__place"
 _SALTABLE = {"inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"}
 
 
@@ -43,10 +46,12 @@ def enrich(
 
     Without ``skew_keys`` this is a plain equi-join (AQE picks broadcast by runtime size and
     splits skewed partitions). With ``skew_keys`` (a list of values, or ``"auto"`` to find
-    the keys above ``hot_share`` of the result's rows) the rows of each such key are counted and
-    spread over one bucket per ``rows_per_bucket`` of them by a hash of the whole row, which a
-    retried task repeats; only the matching source rows are replicated, once per bucket. Every
-    result row still meets each of its source rows exactly once. ``on`` must then be one column name.
+    the keys above ``hot_share`` of the result's rows) the rows of each such key are counted on both
+    sides and spread over one bucket per ``rows_per_bucket`` of them by their place (see
+    :func:`row_place`), so equal rows part too. A key that is hot on both sides gets a grid: each side's
+    rows are dealt over its own buckets and repeated over the other's, so that every pair still meets exactly
+    once. ``on`` must then be one column name. Semi and anti joins, and left joins, which must see all
+    matches of a row together, spread the result's side alone.
     """
     if skew_keys is None:
         return result.join(source, on=on, how=how)
@@ -57,14 +62,62 @@ def enrich(
     keys = hot_keys(result, on, hot_share) if isinstance(skew_keys, str) and skew_keys == "auto" else list(skew_keys)
     if not keys:
         return result.join(source, on=on, how=how)
-    counted = result.where(F.col(on).isin(keys)).groupBy(on).agg(F.count(F.lit(1)).alias("n")).collect()
-    buckets = F.lit(1)
+    buckets = _buckets(result, on, keys, rows_per_bucket)
+    if how.lower() != "inner":
+        left = _dealt(result, buckets, _SALT)
+        return left.join(_repeated(source, buckets, _SALT), on=[on, _SALT], how=how).drop(_SALT)
+    others = _buckets(source, on, keys, rows_per_bucket)
+    left = _repeated(_dealt(result, buckets, _SALT), others, _OTHER)
+    right = _repeated(_dealt(source, others, _OTHER), buckets, _SALT)
+    return left.join(right, on=[on, _SALT, _OTHER], how=how).drop(_SALT, _OTHER)
+
+
+def _buckets(df: DataFrame, on: str, keys: list, rows_per_bucket: int) -> Column:
+    """Buckets of a row's key: one per ``rows_per_bucket`` rows of a hot key, else one."""
+    counted = df.where(F.col(on).isin(keys)).groupBy(on).agg(F.count(F.lit(1)).alias("n")).collect()
+    out = F.lit(1)
     for row in counted:  # at most one per hot key
-        buckets = F.when(F.col(on) == row[on], F.lit(-(-row["n"] // rows_per_bucket))).otherwise(buckets)
-    hashable = [F.col(f"`{f.name}`") for f in result.schema.fields if not _holds_map(f.dataType)]
-    left = result.withColumn(_SALT, F.pmod(F.xxhash64(*hashable), buckets).cast("int"))
-    right = source.withColumn(_SALT, F.explode(F.sequence(F.lit(0), buckets.cast("int") - 1)))
-    return left.join(right, on=[on, _SALT], how=how).drop(_SALT)
+        out = F.when(F.col(on) == row[on], F.lit(-(-row["n"] // rows_per_bucket))).otherwise(out)
+    return out.cast("int")
+
+
+def _dealt(df: DataFrame, buckets: Column, name: str) -> DataFrame:
+    placed = row_place(df, _PLACE)
+    return placed.withColumn(name, F.pmod(F.xxhash64(_PLACE), buckets).cast("int")).drop(_PLACE)
+
+
+def _repeated(df: DataFrame, buckets: Column, name: str) -> DataFrame:
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), buckets - 1)))
+
+
+def row_place(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column that tells its rows apart, the same whenever a task is run again: file and row
+    of the scan that they come from, where the plan is one scan; else the place in a copy of the rows
+    that is written to the shared scratch folder first (a join or an aggregate gives no lasting order)."""
+    try:
+        placed = df.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias(name))
+        if len(df.inputFiles()) and not _many_leaves(df):
+            return placed
+    except AnalysisException:  # no file scan below, or its metadata do not reach here
+        pass
+    spark, where = df.sparkSession, scratch_path(df.sparkSession, "placed")
+    placed = df.withColumn(name, F.monotonically_increasing_id())
+    placed.write.parquet(where)
+    remove_at_exit(spark, where)
+    return spark.read.schema(placed.schema).parquet(where)
+
+
+def _many_leaves(df: DataFrame) -> bool:
+    """Whether rows of one file row may come out more than once (joins, unions, generators)."""
+    todo, leaves = [df._jdf.queryExecution().optimizedPlan()], 0
+    while todo:
+        node = todo.pop()
+        children = node.children()
+        leaves += children.size() == 0
+        if node.getClass().getSimpleName() in ("Generate", "Expand"):
+            return True
+        todo.extend(children.apply(i) for i in range(children.size()))
+    return leaves != 1
 
 
 def _holds_map(dtype: T.DataType) -> bool:

@@ -55,10 +55,11 @@ SHARE = "valor_indicador"
 COUNT = "row_count"
 
 
-def class_share(df: DataFrame, class_col: str) -> DataFrame:
+def class_share(df: DataFrame, class_col: str, weight: str | None = None) -> DataFrame:
     """G1 + G2 + G4: ``class_col, row_count, valor_indicador`` (percent of all rows),
-    largest share first, ties by class."""
-    counts = df.groupBy(class_col).agg(F.count(F.lit(1)).alias(COUNT))
+    largest share first, ties by class. ``weight`` names a column of whole numbers to count rows by."""
+    number = F.sum(F.col(weight).cast("long")) if weight else F.count(F.lit(1))
+    counts = df.groupBy(class_col).agg(number.alias(COUNT))
     total = F.sum(COUNT).over(Window.partitionBy())  # over the grouped rows (one per class)
     return counts.select(
         class_col, COUNT, (F.col(COUNT) / total * F.lit(100)).alias(SHARE)

@@ -19,21 +19,38 @@ def bootstrap_sample(df: DataFrame, fraction: float, seed: int | None = None) ->
     return df.sample(withReplacement=True, fraction=fraction, seed=seed)
 
 
-def keyed_bootstrap(df: DataFrame, key: str | Column, fraction: float, seed: int = 0, name: str = "draw") -> DataFrame:
-    """A1, keyed: Poisson(``fraction``) copies of each row, numbered in ``name``; the count follows from
-    48 bits of ``md5(seed:key)``, so a retried task, a re-read and any partitioning draw the same rows.
+def poisson_count(key: str | Column, fraction: float, prefix: str) -> Column:
+    """How often a bootstrap draw of ``fraction`` of the rows takes a row: a Poisson(``fraction``) number
+    that follows from 48 bits of ``md5(prefix + key)``.
 
-    The Poisson distribution function is used to eight digits; rows of equal key are drawn alike.
+    The Poisson distribution function is used to eight digits.
     """
     k = F.col(key) if isinstance(key, str) else key
-    head = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(k.cast("string"), F.lit("")))), 1, 12), 16, 10)
+    head = F.conv(F.substring(F.md5(F.concat(F.lit(prefix), F.coalesce(k.cast("string"), F.lit("")))), 1, 12), 16, 10)
     u = head.cast("bigint") / F.lit(float(1 << 48))
     steps, term, total = [], math.exp(-fraction), 0.0
     while total < 1 - 1e-6:
         total += term
         steps.append(round(total, 8))
         term *= fraction / len(steps)
-    times = sum((F.when(u >= s, 1).otherwise(0) for s in steps[1:]), F.when(u >= steps[0], 1).otherwise(0))
+    return sum((F.when(u >= s, 1).otherwise(0) for s in steps[1:]), F.when(u >= steps[0], 1).otherwise(0))
+
+
+def replicate_weights(df: DataFrame, key: str | Column, replicate: int, fraction: float, seed: int = 0, name: str = "weight") -> DataFrame:
+    """A1 as weights: the rows that replicate number ``replicate`` draws, each once, with the number of its
+    draws in ``name``. No row is copied; the same rows and numbers come again from any retry, partitioning
+    or later read, so what was fitted and what is reported are the same draw."""
+    count = poisson_count(key, fraction, f"{seed}:{replicate}:").cast("double")
+    return df.withColumn(name, count).where(F.col(name) > 0)
+
+
+def keyed_bootstrap(df: DataFrame, key: str | Column, fraction: float, seed: int = 0, name: str = "draw") -> DataFrame:
+    """A1, keyed: Poisson(``fraction``) copies of each row, numbered in ``name``; the count follows from
+    48 bits of ``md5(seed:key)``, so a retried task, a re-read and any partitioning draw the same rows.
+
+    The Poisson distribution function is used to eight digits; rows of equal key are drawn alike.
+    """
+    times = poisson_count(key, fraction, f"{seed}:")
     none = F.array().cast("array<bigint>")
     copies = F.when(times > 0, F.sequence(F.lit(0).cast("bigint"), times.cast("bigint") - 1)).otherwise(none)
     return df.select("*", F.explode(copies).alias(name))

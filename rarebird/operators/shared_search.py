@@ -159,14 +159,16 @@ class Mixture:
         return roots, logs
 
 
-def start(df: DataFrame, features: str, k: int, seed: int) -> Mixture:
-    """The start of Spark's estimator: a seeded sample of ``5 k`` rows, the mean and the variances of
-    five of them for each component."""
-    drawn = df.select(features)._jdf.rdd().takeSample(True, k * _START_ROWS, seed)
+def start(df: DataFrame, features: str, k: int, seed: int, weight: str | None = None) -> Mixture:
+    """The start of Spark's estimator: a seeded sample of ``5 k`` rows, the (weighted) mean and variances
+    of five of them for each component."""
+    one = F.col(weight).cast("double") if weight else F.lit(1.0)
+    drawn = df.select(features, one)._jdf.rdd().takeSample(True, k * _START_ROWS, seed)
     rows = np.array([list(r.get(0).toArray()) for r in drawn]).reshape(k, _START_ROWS, -1)
-    means = rows.mean(1)
-    spreads = ((rows - means[:, None]) ** 2).mean(1)
-    return Mixture(k, np.full(k, 1 / k), means, np.stack([np.diag(s) for s in spreads]))
+    held = np.array([r.getDouble(1) for r in drawn]).reshape(k, _START_ROWS, 1)
+    means = (rows * held).sum(1) / held.sum(1)
+    spreads = ((rows - means[:, None]) ** 2 * held).sum(1) / held.sum(1)
+    return Mixture(k, held.sum((1, 2)) / held.sum(), means, np.stack([np.diag(s) for s in spreads]))
 
 
 class _Densities:

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.common import _py2java
-from pyspark.ml.feature import PCA, PCAModel
+from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
 from pyspark.ml.linalg import DenseMatrix, DenseVector, VectorUDT
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +37,8 @@ from rarebird.session import remove_at_exit, remove_path, scratch_path
 #: labels of one column that are broadcast at most, and their bytes
 HEAD_LABELS = 10_000
 HEAD_BYTES = 8 << 20
+#: width up to which a covariance is taken whole
+SMALL_WIDTH = 64
 _SPREAD = 1 << 16
 
 
@@ -362,6 +364,17 @@ def leading_components(product, width: int, k: int, tol: float = 1e-10, max_pass
     raise RuntimeError(f"the components did not settle in {max_passes} passes")
 
 
+def standardizer(frame: DataFrame, width: int, input_col: str, output_col: str, weight: str, centre: bool) -> StandardScalerModel:
+    """F5 / F6 by weighted rows: Spark's scaler model with the mean and deviation of the rows repeated by
+    their whole-number weights. Spark's own estimator takes no weights."""
+    _, mean, variance = slot_moments(frame.select(input_col, weight), width, weighted=True)
+    sc = frame.sparkSession.sparkContext
+    estimator = StandardScaler(inputCol=input_col, outputCol=output_col, withStd=True, withMean=centre)
+    java = sc._jvm.org.apache.spark.ml.feature.StandardScalerModel(
+        estimator.uid, _py2java(sc, DenseVector(np.sqrt(variance))), _py2java(sc, DenseVector(mean)))
+    return estimator._copyValues(StandardScalerModel(java))
+
+
 class BlockPCA(Estimator):
     """F7 for any width: Spark's ``PCAModel``, fitted by distributed products (no d x d matrix).
 
@@ -401,6 +414,11 @@ class BlockPCA(Estimator):
         if self.k > width:
             raise ValueError(f"{self.k} components of {width} columns")
         n, mean, variance = slot_moments(frame, width, weighted)
+        if width <= SMALL_WIDTH:  # the whole matrix in one product
+            self.passes = 1
+            square = covariance_times(frame, mean, n, np.eye(width), weighted)
+            values, vectors = np.linalg.eigh((square + square.T) / 2)
+            return values[::-1][: self.k], vectors[:, ::-1][:, : self.k], float(variance.sum())
         values, vectors, self.passes = leading_components(
             lambda block: covariance_times(frame, mean, n, block, weighted), width, self.k, self.tol, self.max_passes)
         return values, vectors, float(variance.sum())

@@ -8,8 +8,25 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from rarebird.operators.features import FEATURES, SCALE_CENTRED, inference_features, prepare
+from rarebird.operators.clustering import KMEANS, MIXTURE, cluster
+from rarebird.operators.enrich import enrich
+from rarebird.operators.shared_search import silhouettes
 from rarebird.operators.wide import BlockPCA, category_table
-from rarebird.plans.registry import ORACLES, lineitem, register, rounded, table
+from rarebird.plans import jobs
+from rarebird.plans.registry import (
+    CHECK_MOMENT,
+    ORACLES,
+    SEPARATED_SQL,
+    _job_table,
+    _share_sql,
+    lineitem,
+    monitoring_check,
+    register,
+    rounded,
+    segment_keys,
+    separated,
+    table,
+)
 
 # --------------------------------------------------------------------------- F1 / F8
 
@@ -69,3 +86,104 @@ def q_pca_wide_rank_one(spark, sf_dir):
     return model.transform(df).select(
         "s_suppkey", F.round(F.abs(vector_to_array(F.col(FEATURES))[0]), 4).alias("pc_abs"),
         F.round(F.lit(float(model.explainedVariance[0])), 8).alias("explained"))
+
+
+# --------------------------------------------------------------------------- M5 / M7 / M8
+
+_LABELINGS = {"nation": "c_nationkey", "fifth": "c_nationkey % 5", "pair": "c_custkey % 2"}
+
+
+@register("silhouettes_shared_passes", " UNION ALL ".join(f"""
+SELECT '{name}' AS labeling, round(avg(CASE WHEN own_n = 1 THEN 0.0 WHEN a_dis < b_dis THEN 1 - a_dis / b_dis
+                  WHEN a_dis > b_dis THEN b_dis / a_dis - 1 ELSE 0.0 END), 8) AS silhouette FROM (
+  SELECT rid, max(CASE WHEN other = own THEN n END) AS own_n,
+         max(CASE WHEN other = own AND n > 1 THEN dis * n / (n - 1) END) AS a_dis, min(CASE WHEN other <> own THEN dis END) AS b_dis
+  FROM (SELECT p.rid, p.c AS own, cs.c AS other, cs.n, p.x * p.x + cs.sq / cs.n - 2 * (p.x * cs.sx) / cs.n AS dis
+        FROM (SELECT c_custkey AS rid, {label} AS c, c_acctbal AS x FROM customer) p
+        CROSS JOIN (SELECT {label} AS c, count(*) AS n, sum(c_acctbal) AS sx, sum(c_acctbal * c_acctbal) AS sq FROM customer GROUP BY 1) cs)
+  GROUP BY rid)""" for name, label in _LABELINGS.items()))
+def q_silhouettes_shared_passes(spark, sf_dir):
+    """Silhouettes of three labelings of the customers' balances from the same two passes."""
+    c = table(spark, sf_dir, "customer").select(
+        array_to_vector(F.array("c_acctbal")).alias(FEATURES), *[F.expr(label).alias(name) for name, label in _LABELINGS.items()])
+    return spark.createDataFrame(list(zip(_LABELINGS, silhouettes(c, list(_LABELINGS)))), "labeling string, silhouette double").select(
+        "labeling", F.round("silhouette", 8).alias("silhouette"))
+
+
+@register("kmeans_shared_search", ORACLES["kmeans_separated"])
+def q_kmeans_shared_search(spark, sf_dir):
+    """The search of ``kmeans_separated`` over 2..6, all candidates scored in shared passes."""
+    feats = prepare(separated(spark, sf_dir).select("line_id", "x1", "x2"), None, "line_id", scale=SCALE_CENTRED).frame
+    fit = cluster(feats, KMEANS, k=0, ks=range(2, 7), shared=True)
+    return segment_keys(fit.scored).withColumn("n_segments", F.lit(fit.k).cast("bigint"))
+
+
+@register("mixture_shared_search", "SELECT CAST(k AS BIGINT) AS k, true AS same_score, true AS same_rows FROM range(2, 5) t(k)")
+def q_mixture_shared_search(spark, sf_dir):
+    """Every candidate of a shared search scores as a search of its own does, over all lineitems (a few
+    rounds: later on, rounding alone may part the ways of two runs)."""
+    li = lineitem(spark, sf_dir).select("line_id", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    feats = prepare(li, None, "line_id", scale=SCALE_CENTRED).frame.persist()
+    together = cluster(feats, MIXTURE, ks=[2, 3, 4], max_iter=5, shared=True).search
+    rows, n = [], feats.count()
+    for k in (2, 3, 4):
+        alone = cluster(feats, MIXTURE, ks=[k], max_iter=5, shared=False)
+        a, b = together.scores[k], alone.silhouette  # None: a single cluster is in use
+        rows.append((k, a is b is None or (None not in (a, b) and abs(a - b) < 1e-4), alone.scored.count() == n))
+    feats.unpersist()
+    return spark.createDataFrame(rows, "k long, same_score boolean, same_rows boolean")
+
+
+# --------------------------------------------------------------------------- A1 / E3 / E6
+
+
+def _poisson_steps(fraction: float) -> list[float]:
+    import math
+
+    out, term, total = [], math.exp(-fraction), 0.0
+    while total < 1 - 1e-6:
+        total += term
+        out.append(round(total, 8))
+        term *= fraction / len(out)
+    return out
+
+
+_DRAWS_SQL = f"""
+WITH u AS (SELECT l_returnflag AS f, r, ('0x' || substr(md5('17:' || r || ':' || CAST(line_id AS VARCHAR)), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u
+  FROM ({SEPARATED_SQL}) sep, range(0, 3) t(r)),
+w AS (SELECT f, r, list_sum(list_transform({_poisson_steps(1.0)}, lambda c: CASE WHEN u >= c THEN 1 ELSE 0 END)) AS w FROM u)"""
+
+
+@register("bootstrap_segment_replicates", f"""{_DRAWS_SQL},
+s AS (SELECT f, r, sum(w) AS n, sum(w) / sum(sum(w)) OVER (PARTITION BY r) * 100 AS share FROM w GROUP BY f, r)
+SELECT CAST(r AS BIGINT) AS replicate, {_share_sql("share")} AS valor_indicador, '{CHECK_MOMENT}' AS id_momento, 'FRICCIONES' AS proyecto,
+       'segmentacion_anomalias_fricciones_ent' AS modelo, 1 AS ejecucion, 2 AS id_indicador,
+       'anomalias_gf_' || CAST(row_number() OVER (PARTITION BY r ORDER BY share) - 1 AS VARCHAR) AS nombre_indicador,
+       CAST((SELECT sum(w) FROM w x WHERE x.r = s.r) AS BIGINT) AS drawn
+FROM s
+""")
+def q_bootstrap_segment_replicates(spark, sf_dir):
+    """Three replicates of the separated rows from one feature frame. Segments are the return flags, so
+    the shares are the draws of each flag, row for row what the keyed weights say."""
+    base = jobs.replicate_frame(spark, separated(spark, sf_dir).select("line_id", "x1", "x2"), None, "line_id")
+    out = None
+    reports = jobs.bootstrap_segment_replicates(spark, base, None, "line_id", range(3), k=3, seed=17, key="line_id", moment=CHECK_MOMENT)
+    for number, report in enumerate(reports):
+        rows = monitoring_check(report.metrics).select(
+            F.lit(number).cast("long").alias("replicate"), "*", F.lit(report.result.count()).cast("long").alias("drawn"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("bootstrap_anomaly_replicates", f"""{_DRAWS_SQL.replace("17:", "23:").replace(str(_poisson_steps(1.0)), str(_poisson_steps(0.5)))}
+SELECT CAST(r AS BIGINT) AS replicate, CAST(sum(w) AS BIGINT) AS drawn, 100.0::DOUBLE AS share_sum, CAST(3 AS BIGINT) AS k FROM w GROUP BY r
+""")
+def q_bootstrap_anomaly_replicates(spark, sf_dir):
+    """Replicates of a mixture; the rows reported are the draws of each row, no more and no fewer."""
+    base = jobs.replicate_frame(spark, separated(spark, sf_dir).select("line_id", "x1", "x2"), None, "line_id")
+    rows = []
+    for number, report in enumerate(jobs.bootstrap_anomaly_replicates(
+            spark, base, None, "line_id", range(3), k=3, pca_k=2, seed=23, key="line_id", moment=CHECK_MOMENT, max_iter=5)):
+        shares = report.metrics.where("id_indicador = 2").agg(F.round(F.sum(F.col("valor_indicador").cast("double")), 3)).first()[0]
+        rows.append((number, report.result.count(), shares, report.k))
+    return spark.createDataFrame(rows, "replicate long, drawn long, share_sum double, k long")

@@ -17,32 +17,36 @@ report with the error instead, which is how the composed jobs go on to their nex
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+import random
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rarebird.functions.columns import run_moment
 from rarebird.operators import metrics as M
 from rarebird.operators.anomaly import DEFAULT_THRESHOLD, FLAG, flag_anomalies, stored_result
-from rarebird.operators.clustering import KMEANS, MIXTURE, cluster
+from rarebird.operators.clustering import KMEANS, MIXTURE, SHARED_WIDTH, cluster
 from rarebird.operators.layout import spread, spread_rows
 from rarebird.operators.enrich import enrich_and_dedupe
 from rarebird.operators.features import (
     FEATURES,
+    RAW,
     SCALE_CENTRED,
-    SCALE_ONLY,
+    SCALED,
     drop_incomplete,
     fitting_stages,
     parse_columns,
     preparation_stages,
 )
-from rarebird.operators.sampling import bootstrap_sample
+from rarebird.operators.sampling import replicate_weights
+from rarebird.operators.wide import BlockPCA, standardizer
 from rarebird.sources.models import join_stages, load_pipeline, save_model
-from rarebird.session import remove_path, scratch_path
+from rarebird.session import remove_at_exit, remove_path, scratch_path
 from rarebird.sources.tables import append_table, overwrite_table, refresh, sql_source, table_location
 
 log = logging.getLogger(__name__)
@@ -73,21 +77,25 @@ def _fail(spark, family, stage, moment, project, metric_table, on_error, err, ta
 
 
 def fit_features(df: DataFrame, stages: list, id_col: str, max_width: int | None = None,
-                 square: bool | None = None, wide: bool | None = None) -> tuple[PipelineModel, DataFrame, str]:
+                 square: bool | None = None, wide: bool | None = None, output: str = FEATURES,
+                 place: str | None = None) -> tuple[PipelineModel, DataFrame, str]:
     """Fit the preparation (its wide form where the driver cannot hold its width) and write the
     ``[id, features]`` frame; returns model, frame and folder.
 
     The pruned, filtered input is spread by the bytes of its rows and persisted while the stages are fitted (the
     width check, indexer, scaler and PCA each read it), then released once the compact feature frame
     is written as Parquet to the shared scratch folder: one scan of the source serves the whole fit
-    phase, and a lost executor re-reads those files. The caller removes the folder.
+    phase, and a lost executor re-reads those files. The caller removes the folder. ``place`` adds a column
+    that numbers the rows as they are written.
     """
     spark = df.sparkSession
     source = spread_rows(df, 8 * len(df.columns)).persist(StorageLevel.MEMORY_AND_DISK)
     where = scratch_path(spark, "features")
     try:
         prep = Pipeline(stages=fitting_stages(source, stages, max_width, square, wide)).fit(source)
-        feats = prep.transform(source).select(id_col, FEATURES)
+        feats = prep.transform(source).select(id_col, output)
+        if place:
+            feats = feats.withColumn(place, F.monotonically_increasing_id())
         feats.write.parquet(where)
     except BaseException:
         remove_path(spark, where)
@@ -201,51 +209,6 @@ def predict_anomalies(
         return _fail(spark, "anomaly", "predict", moment, project, metric_table, on_error, err, table_root)
 
 
-def bootstrap_anomalies(
-    spark: SparkSession,
-    source: str | DataFrame,
-    categorical: Sequence[str] | str | None,
-    id_col: str,
-    metric_table: str | None = None,
-    threshold: float = DEFAULT_THRESHOLD,
-    k: int = 0,
-    max_k: int = 6,
-    fraction: float = 0.5,
-    pca_k: int = 4,
-    seed: int | None = None,
-    model_seed: int = 123,
-    moment: str | None = None,
-    project: str = M.PROJECT,
-    parallelism: int | None = None,
-    table_root: str | None = None,
-    max_width: int | None = None,
-    wide: bool | None = None,
-    **fit_params,
-) -> RunReport:
-    """One bootstrap replicate - resample (with replacement), refit preparation and mixture
-    (k given, or searched), and append the anomaly share of the replicate. Repeated calls
-    build the distribution of shares in the monitoring table."""
-    moment = moment or run_moment()
-    df = bootstrap_sample(drop_incomplete(sql_source(spark, source)), fraction, seed)
-    stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_CENTRED, pca_k=pca_k)
-    prep, feats, folder = fit_features(df, stages, id_col, max_width, wide=wide)
-    try:
-        fit = cluster(feats, MIXTURE, stored=True, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, **fit_params)
-        flags = flag_anomalies(fit.scored, id_col, threshold)
-        shares = M.class_share(flags.select(FLAG), FLAG)
-        metrics = _kept(spark, M.monitoring_union([
-            M.anomaly_metric_rows(shares, moment, "train", project),
-            M.model_metric_rows(spark, fit.silhouette, fit.k, moment, project),
-        ]))
-        if metric_table:
-            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
-        model = join_stages(prep, fit.model)
-        result = flag_anomalies(model.transform(df), id_col, threshold)
-        return RunReport(metrics, result, model, fit.k, fit.silhouette)
-    finally:
-        remove_path(spark, folder)
-
-
 # --------------------------------------------------------------------------- segments
 
 
@@ -329,16 +292,112 @@ def predict_segments(
         return _fail(spark, "segment", "predict", moment, project, metric_table, on_error, err, table_root)
 
 
-def bootstrap_segments(
+# --------------------------------------------------------------------------- bootstrap replicates
+
+WEIGHT, PLACE = "draws", "row_place"
+
+
+@dataclass
+class ReplicateFrame:
+    """The encoded (not yet scaled) rows of a source, written once for any number of replicates."""
+
+    frame: DataFrame  # id, RAW vector, PLACE
+    prep: PipelineModel
+    width: int
+    id_col: str
+
+
+def replicate_frame(spark: SparkSession, source: str | DataFrame, categorical, id_col: str, max_width: int | None = None,
+                    wide: bool | None = None) -> ReplicateFrame:
+    """Encodes and assembles the complete rows of ``source`` once, numbers them and writes them to the
+    shared scratch folder, where they stay until the driver ends. The number is a row's place in what was
+    written: every replicate draws by it, and equal rows are drawn apart."""
+    df = drop_incomplete(sql_source(spark, source))
+    stages = preparation_stages(df.columns, categorical, id_col, scale=None, output=RAW)
+    prep, frame, where = fit_features(df, stages, id_col, max_width, wide=wide, output=RAW, place=PLACE)
+    remove_at_exit(spark, where)
+    first = frame.select(RAW).first()
+    if first is None:
+        raise ValueError("no complete rows")
+    return ReplicateFrame(frame, prep, first[0].size, id_col)
+
+
+def _replicate(base: ReplicateFrame, family: str, number: int, fraction: float, seed: int, key: str | None, centre: bool,
+               pca_k: int | None, k: int, max_k: int, model_seed: int, parallelism: int | None, fit_params: dict):
+    """(clustering, scoring stages) of one weighted replicate. Scaling, components, fit, silhouettes and
+    shares all read the same draw counts."""
+    drawn = replicate_weights(base.frame, key or PLACE, number, fraction, seed, WEIGHT)
+    sparse = not isinstance(base.frame.select(RAW).first()[0], DenseVector) and base.width > SHARED_WIDTH
+    scaler = standardizer(drawn, base.width, RAW, SCALED if pca_k else FEATURES, WEIGHT, centre and not sparse)
+    stages, feats = [scaler], scaler.transform(drawn)
+    if pca_k:
+        pca = BlockPCA(pca_k, SCALED, FEATURES, weight=WEIGHT).fit(feats)
+        stages, feats = [scaler, pca], pca.transform(feats)
+    feats = feats.select(base.id_col, FEATURES, WEIGHT)
+    fit = cluster(feats, family, stored=True, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, weight=WEIGHT, **fit_params)
+    return fit, join_stages(base.prep, *stages, fit.model)
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """One row per draw, as a resample with replacement holds them."""
+    return rows.withColumn(WEIGHT, F.explode(F.sequence(F.lit(1), F.col(WEIGHT).cast("int")))).drop(WEIGHT)
+
+
+def bootstrap_anomaly_replicates(
     spark: SparkSession,
-    source: str | DataFrame,
+    source: str | DataFrame | ReplicateFrame,
     categorical: Sequence[str] | str | None,
     id_col: str,
+    replicates: Iterable[int],
+    metric_table: str | None = None,
+    threshold: float = DEFAULT_THRESHOLD,
+    k: int = 0,
+    max_k: int = 6,
+    fraction: float = 0.5,
+    pca_k: int = 4,
+    seed: int = 0,
+    key: str | None = None,
+    model_seed: int = 123,
+    moment: str | None = None,
+    project: str = M.PROJECT,
+    parallelism: int | None = None,
+    table_root: str | None = None,
+    max_width: int | None = None,
+    wide: bool | None = None,
+    **fit_params,
+) -> Iterator[RunReport]:
+    """E3, many times: a report per replicate number, from one feature frame and a weight per row and number.
+
+    A row's weight is its number of draws, a hash of its place and the replicate (of ``key`` instead, if
+    given; rows of equal key are then drawn alike), so no row is copied or drawn again, and the rows that
+    were fitted are the rows reported. Each replicate refits scaling, PCA and mixture (k given, or searched).
+    """
+    moment = moment or run_moment()
+    base = source if isinstance(source, ReplicateFrame) else replicate_frame(spark, source, categorical, id_col, max_width, wide)
+    for number in replicates:
+        fit, model = _replicate(base, MIXTURE, number, fraction, seed, key, True, pca_k, k, max_k, model_seed, parallelism, fit_params)
+        flags = flag_anomalies(fit.scored, id_col, threshold, keep=[WEIGHT])
+        metrics = _kept(spark, M.monitoring_union([
+            M.anomaly_metric_rows(M.class_share(flags, FLAG, WEIGHT), moment, "train", project),
+            M.model_metric_rows(spark, fit.silhouette, fit.k, moment, project),
+        ]))
+        if metric_table:
+            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
+        yield RunReport(metrics, _repeated(flags), model, fit.k, fit.silhouette)
+
+
+def bootstrap_segment_replicates(
+    spark: SparkSession,
+    source: str | DataFrame | ReplicateFrame,
+    categorical: Sequence[str] | str | None,
+    id_col: str,
+    replicates: Iterable[int],
     metric_table: str | None = None,
     k: int = 0,
     max_k: int = 6,
     fraction: float = 1.0,
-    seed: int | None = None,
+    seed: int = 0,
+    key: str | None = None,
     model_seed: int = 123,
     moment: str | None = None,
     project: str = M.PROJECT,
@@ -347,24 +406,35 @@ def bootstrap_segments(
     max_width: int | None = None,
     wide: bool | None = None,
     **fit_params,
-) -> RunReport:
-    """One bootstrap replicate of the segmentation (scale-only standardization)."""
+) -> Iterator[RunReport]:
+    """E6, many times (scale-only standardization, k-means); draws as in
+    :func:`bootstrap_anomaly_replicates`."""
     moment = moment or run_moment()
-    df = drop_incomplete(bootstrap_sample(sql_source(spark, source), fraction, seed))
-    stages = preparation_stages(df.columns, categorical, id_col, scale=SCALE_ONLY)
-    prep, feats, folder = fit_features(df, stages, id_col, max_width, wide=wide)
-    try:
-        fit = cluster(feats, KMEANS, stored=True, k=k, max_k=max_k, seed=model_seed, parallelism=parallelism, **fit_params)
-        scored = fit.scored.select(id_col, F.col("prediction").cast("int").alias("prediction"))
-        shares = M.class_share(scored.select("prediction"), "prediction")
-        metrics = _kept(spark, M.segment_metric_rows(shares, moment, "train", project))
+    base = source if isinstance(source, ReplicateFrame) else replicate_frame(spark, source, categorical, id_col, max_width, wide)
+    for number in replicates:
+        fit, model = _replicate(base, KMEANS, number, fraction, seed, key, False, None, k, max_k, model_seed, parallelism, fit_params)
+        scored = fit.scored.select(id_col, F.col("prediction").cast("int").alias("prediction"), WEIGHT)
+        metrics = _kept(spark, M.segment_metric_rows(M.class_share(scored, "prediction", WEIGHT), moment, "train", project))
         if metric_table:
             append_table(metrics, metric_table, path=table_location(table_root, metric_table))
-        model = join_stages(prep, fit.model)
-        result = model.transform(df).select(id_col, F.col("prediction").cast("int").alias("prediction"))
-        return RunReport(metrics, result, model, fit.k, fit.silhouette)
-    finally:
-        remove_path(spark, folder)
+        yield RunReport(metrics, _repeated(scored), model, fit.k, fit.silhouette)
+
+
+def bootstrap_anomalies(spark: SparkSession, source, categorical, id_col: str, metric_table: str | None = None,
+                        seed: int | None = None, **params) -> RunReport:
+    """One replicate of :func:`bootstrap_anomaly_replicates`, under a new seed unless one is given.
+    Repeated calls build the distribution of shares in the monitoring table."""
+    return next(bootstrap_anomaly_replicates(spark, source, categorical, id_col, [0], metric_table, seed=_seed(seed), **params))
+
+
+def bootstrap_segments(spark: SparkSession, source, categorical, id_col: str, metric_table: str | None = None,
+                       seed: int | None = None, **params) -> RunReport:
+    """One replicate of :func:`bootstrap_segment_replicates`, under a new seed unless one is given."""
+    return next(bootstrap_segment_replicates(spark, source, categorical, id_col, [0], metric_table, seed=_seed(seed), **params))
+
+
+def _seed(seed: int | None) -> int:
+    return random.randrange(1 << 31) if seed is None else seed
 
 
 # --------------------------------------------------------------------------- composed jobs

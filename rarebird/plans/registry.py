@@ -803,7 +803,8 @@ JOIN customer c ON o.cust = c.c_custkey
 """)
 def q_enrich_skewed(spark, sf_dir):
     """Enrichment where one customer key holds a fifth of the orders: the hot key is found by
-    the frequent-items sketch and salted; the rows equal the plain join."""
+    the frequent-items sketch and salted by row position (over a bucket per 1,000 rows, so that
+    the check salts at every scale); the rows equal the plain join."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(0).cast("bigint")).otherwise(F.col("o_custkey"))
@@ -811,7 +812,7 @@ def q_enrich_skewed(spark, sf_dir):
         "o_totalprice",
     )
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cust"), "c_name", "c_mktsegment")
-    return enrich(o, c, "cust", skew_keys="auto", hot_share=0.1).select(
+    return enrich(o, c, "cust", skew_keys="auto", hot_share=0.1, rows_per_bucket=1000).select(
         "cust", "o_orderkey", "o_totalprice", "c_name", "c_mktsegment"
     )
 

@@ -29,9 +29,9 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def join_stages(preparation: PipelineModel, fitted) -> PipelineModel:
-    """Fitted preparation stages + fitted estimator -> one scoring pipeline."""
-    return PipelineModel(list(preparation.stages) + [fitted])
+def join_stages(preparation: PipelineModel, *fitted) -> PipelineModel:
+    """Fitted preparation stages + fitted estimator (and what comes between) -> one scoring pipeline."""
+    return PipelineModel([*preparation.stages, *fitted])
 
 
 _ROLES = (

@@ -1,4 +1,6 @@
 from rarebird.operators.enrich import dedupe, enrich, enrich_and_dedupe
+from pyspark.sql import functions as F
+
 from rarebird.operators.sampling import bootstrap_sample, keyed_split, random_split, with_split
 
 
@@ -102,3 +104,43 @@ def test_salted_enrich_rejects_outer(spark):
     df = spark.range(3).withColumnRenamed("id", "k")
     with pytest.raises(ValueError):
         enrich(df, df, "k", "full", skew_keys=[0])
+
+
+def test_equal_rows_spread_over_all_buckets(spark, scratch_dir):
+    from rarebird.operators import enrich as E
+
+    spark.range(40_000).select(F.lit(7).alias("k"), F.lit("same").alias("v")).repartition(3).write.parquet(f"{scratch_dir}/same")
+    stored = spark.read.parquet(f"{scratch_dir}/same")
+    made = spark.range(40_000).select(F.lit(7).alias("k"), F.lit("same").alias("v"))
+    for df in (stored, stored.where("v = 'same'").select("v", "k"), made):
+        buckets = E._buckets(df, "k", [7], 1000)
+        sizes = [r["count"] for r in E._dealt(df, buckets, "b").groupBy("b").count().collect()]
+        assert len(sizes) == 40 and max(sizes) < 2000 and sum(sizes) == 40_000
+        again = E._dealt(df, buckets, "b").groupBy("b").count()
+        assert sorted(r["count"] for r in again.collect()) == sorted(sizes)
+    source = spark.createDataFrame([(7, "x"), (7, "y"), (8, "z")], "k int, w string")
+    assert E.enrich(stored, source, "k", skew_keys="auto", rows_per_bucket=1000).count() == 80_000
+
+
+def test_place_is_unique_where_a_scan_row_comes_out_twice(spark, scratch_dir):
+    from rarebird.operators.enrich import row_place
+
+    spark.range(50).write.parquet(f"{scratch_dir}/r")
+    df = spark.read.parquet(f"{scratch_dir}/r")
+    for frame in (df.union(df), df.withColumn("x", F.explode(F.array(F.lit(1), F.lit(2)))), df.join(df.withColumnRenamed("id", "j"), F.col("id") % 5 == F.col("j"))):
+        placed = row_place(frame, "p")
+        assert placed.select("p").distinct().count() == frame.count() == placed.count()
+
+
+def test_both_sides_hot_meet_in_a_grid(spark, scratch_dir):
+    from rarebird.operators.enrich import enrich
+
+    left = spark.range(600).selectExpr("IF(id < 400, 1, id) AS k", "'l' AS a")
+    right = spark.range(90).selectExpr("IF(id < 60, 1, id) AS k", "id AS b")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = left.join(right, "k", how)
+        salted = enrich(left, right, "k", how, skew_keys=[1], rows_per_bucket=50)
+        assert sorted(map(str, salted.collect())) == sorted(map(str, plain.select(*salted.columns).collect()))
+    dealt = enrich(left, right, "k", "inner", skew_keys=[1], rows_per_bucket=50)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan and "__other_salt" in plan

@@ -73,7 +73,8 @@ def aligned(a, b):
     return float(np.abs(x * np.sign((x * y).sum(0)) - y).max())
 
 
-def test_wide_components_equal_dense_ones(spark, lines):
+def test_wide_components_equal_dense_ones(spark, lines, monkeypatch):
+    monkeypatch.setattr(W, "SMALL_WIDTH", 0)
     ids = lines.dropDuplicates(["line_id"])
     narrow = FT.prepare(ids, ["l_returnflag", "supp"], "line_id", pca_k=4, wide=False)
     wide = FT.prepare(ids, ["l_returnflag", "supp"], "line_id", pca_k=4, wide=True)
@@ -83,7 +84,9 @@ def test_wide_components_equal_dense_ones(spark, lines):
 
 
 @pytest.mark.parametrize("width,k", [(3, 3), (40, 5), (120, 1)])
-def test_block_components_equal_spark_pca_on_any_vectors(spark, width, k):
+@pytest.mark.parametrize("whole", [0, 64])
+def test_block_components_equal_spark_pca_on_any_vectors(spark, monkeypatch, width, k, whole):
+    monkeypatch.setattr(W, "SMALL_WIDTH", whole)
     rng = np.random.default_rng(width)
     data = rng.standard_normal((200, width)) * (1 + np.arange(width)) ** 0.7 + 1000
     data[:, ::3] *= rng.random((200, len(range(0, width, 3)))) < 0.1
