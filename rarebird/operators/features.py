@@ -33,6 +33,7 @@ SCALED = "scaled_features"
 FEATURES = "features"
 
 _UNCENTRED = "uncentred_components"
+_SUPERVISED = "__supervised_vector"
 
 SCALE_CENTRED = "centred"
 SCALE_ONLY = "scale_only"
@@ -306,6 +307,20 @@ def feature_width(model: PipelineModel, df: DataFrame, output: str = FEATURES) -
     return sum(len(v) for v in attrs.get("attrs", {}).values())
 
 
+class SupervisedSplit(tuple):
+    """(train, test) of one encoded, persisted frame; ``release`` drops that frame from memory."""
+
+    encoded: DataFrame
+
+    def __new__(cls, train: DataFrame, test: DataFrame, encoded: DataFrame):
+        split = super().__new__(cls, (train, test))
+        split.encoded = encoded
+        return split
+
+    def release(self) -> None:
+        self.encoded.unpersist()
+
+
 def prepare_supervised(
     df: DataFrame,
     categorical: Sequence[str] | str | None,
@@ -316,27 +331,29 @@ def prepare_supervised(
     seed: int | None = None,
     output: str = "X",
     max_width: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
+) -> SupervisedSplit:
     """encode + assemble every column but the target (or ``feature_columns``) into
     ``output``, keep the target, and split once into disjoint train and test.
 
     With ``key`` the split is a hash bucket of that column (stable under re-reads and
     repartitioning, see :func:`rarebird.operators.sampling.keyed_split`); otherwise one
     seeded ``randomSplit``. The encoded frame is persisted, so both halves share one scan and one
-    encoding; ``unpersist`` either half's session cache when done.
+    encoding; call ``release()`` of the result when done. ``output`` may differ from a feature column by
+    case alone (``X`` beside ``x``), but not from the target or the key.
     """
     from rarebird.operators.sampling import keyed_split, random_split
 
+    if output.lower() in {c.lower() for c in (target, key) if c}:
+        raise ValueError(f"output {output!r} is the target or the key: choose another name")
     cats = parse_columns(categorical)
     cols = list(feature_columns) if feature_columns else [c for c in df.columns if c != target and c != key]
     stages: list = []
     if cats:
         stages += [category_indexer(cats), one_hot_encoder(cats)]
     numeric = [c for c in cols if c not in cats]
-    stages.append(assembler(numeric + [c + ONEHOT_SUFFIX for c in cats], output))
+    stages.append(assembler(numeric + [c + ONEHOT_SUFFIX for c in cats], _SUPERVISED))
     encoded = _fit_once(stages, df, max_width).transform(df)
-    keep = ([key] if key else []) + [output, target]
-    encoded = encoded.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    if key:
-        return keyed_split(encoded, key, train_fraction)
-    return random_split(encoded, train_fraction, seed)
+    keep = [F.col(f"`{key}`")] if key else []
+    encoded = encoded.select(*keep, F.col(_SUPERVISED).alias(output), F.col(f"`{target}`")).persist(StorageLevel.MEMORY_AND_DISK)
+    halves = keyed_split(encoded, key, train_fraction) if key else random_split(encoded, train_fraction, seed)
+    return SupervisedSplit(*halves, encoded)

@@ -13,12 +13,14 @@ from rarebird.operators.enrich import enrich
 from rarebird.operators.shared_search import silhouettes
 from rarebird.operators.wide import BlockPCA, category_table
 from rarebird.plans import jobs
+from rarebird.session import shared_path
 from rarebird.plans.registry import (
     CHECK_MOMENT,
     ORACLES,
     SEPARATED_SQL,
     _job_table,
     _share_sql,
+    check_table,
     lineitem,
     monitoring_check,
     register,
@@ -187,3 +189,60 @@ def q_bootstrap_anomaly_replicates(spark, sf_dir):
         shares = report.metrics.where("id_indicador = 2").agg(F.round(F.sum(F.col("valor_indicador").cast("double")), 3)).first()[0]
         rows.append((number, report.result.count(), shares, report.k))
     return spark.createDataFrame(rows, "replicate long, drawn long, share_sum double, k long")
+
+
+# --------------------------------------------------------------------------- S4 / S5 / E7 / E8
+
+
+@register("composed_jobs_closed_form", f"""
+WITH sep AS ({SEPARATED_SQL}),
+e AS (SELECT line_id, floor(min(x1) / 10) AS f FROM sep GROUP BY line_id),
+c AS (SELECT f, count(*) AS n, sum(line_id) AS s, min(line_id) AS k FROM e GROUP BY f),
+r AS (SELECT *, n / (SELECT sum(n) FROM c) * 100 AS share, row_number() OVER (ORDER BY n) - 1 AS i FROM c)
+SELECT t AS what, 'rows' AS label, count(*) AS n, CAST(sum(line_id) AS DOUBLE) AS value FROM sep, (VALUES ('flags train'), ('flags predict')) v(t) GROUP BY t
+UNION ALL SELECT t, 'rows', count(*), CAST(sum(line_id) AS DOUBLE) FROM e, (VALUES ('enriched train'), ('enriched predict')) v(t) GROUP BY t
+UNION ALL SELECT 'segments', CAST(k AS VARCHAR), n, CAST(s AS DOUBLE) FROM c
+UNION ALL SELECT 'monitoring ' || m, 'anomalias_gf_1', 1, 100.0::DOUBLE FROM (VALUES ('anomalias_fricciones_ent'), ('anomalias_fricciones_pre')) v(m)
+UNION ALL SELECT 'monitoring segmentacion_' || m, 'anomalias_gf_' || i, 1, {_share_sql("share", 3)} FROM r, (VALUES ('anomalias_fricciones_ent'), ('anomalias_fricciones_pre')) v(m)
+""")
+def q_composed_jobs_closed_form(spark, sf_dir):
+    """E7 and E8 on separated rows, each called twice under one run id, everything read back from the tables.
+
+    With a threshold above 1 every row is flagged, whatever the mixture is like, and the segments of
+    separated rows are the return flags; so all that the two jobs store has a closed form.
+    """
+    separated(spark, sf_dir).createOrReplaceTempView("rarebird_closed_form")
+    name = {n: check_table(spark, f"closed_{n}")[0] for n in ("anom", "anom_p", "enr", "enr_p", "seg", "mon_a", "mon_s", "runs")}
+    root = shared_path(spark, "tables", "closed", unique=True)
+    cross = "SELECT l.line_id, l.x1, l.x2 FROM {t} a JOIN rarebird_closed_form l ON a.line_id = CAST(l.line_id AS STRING)"
+    models = [shared_path(spark, "models", f"closed_{m}", unique=True) for m in ("a", "s")]
+
+    def config(flags: str, enriched: str) -> jobs.JobConfig:
+        return jobs.JobConfig(
+            anomaly_query="SELECT line_id, x1, x2 FROM rarebird_closed_form", anomaly_id="line_id", anomaly_categorical=[],
+            segment_query=f"SELECT * FROM {name[enriched]}", segment_id="line_id", segment_categorical=[],
+            enrich_query=cross.format(t=name[flags]), anomaly_pipeline=models[0], segment_pipeline=models[1],
+            anomaly_exit_table=name[flags], enriched_table=name[enriched], segment_exit_table=name["seg"],
+            anomaly_metric_table=name["mon_a"], segment_metric_table=name["mon_s"], threshold=1.5, dedupe_order=["x1", "x2"],
+            table_root=root, ledger_table=name["runs"])
+
+    for _ in range(2):
+        jobs.training_job(spark, config("anom", "enr"), CHECK_MOMENT, on_error="raise", run_id="train-1",
+                          anomaly_params={"pca_k": 2, "ks": [3], "max_iter": 5}, segment_params={"max_k": 4})
+        jobs.prediction_job(spark, config("anom_p", "enr_p"), CHECK_MOMENT, on_error="raise", run_id="predict-1")
+    out = None
+    for what, t in (("flags train", "anom"), ("flags predict", "anom_p"), ("enriched train", "enr"), ("enriched predict", "enr_p")):
+        rows = spark.table(name[t])
+        rows = rows.where("anomalies = 1") if t.startswith("anom") else rows
+        part = rows.agg(F.lit(what).alias("what"), F.lit("rows").alias("label"), F.count(F.lit(1)).alias("n"),
+                        F.sum(F.col("line_id").cast("long")).cast("double").alias("value"))
+        out = part if out is None else out.unionByName(part)
+    key = F.col("line_id").cast("long")
+    segments = spark.table(name["seg"]).groupBy("prediction").agg(
+        F.min(key).cast("string").alias("label"), F.count(F.lit(1)).alias("n"), F.sum(key).cast("double").alias("value"))
+    out = out.unionByName(segments.select(F.lit("segments").alias("what"), "label", "n", "value"))
+    for t in ("mon_a", "mon_s"):
+        rows = spark.table(name[t]).where("id_indicador = 2").groupBy("modelo", "nombre_indicador").agg(
+            F.count(F.lit(1)).alias("n"), rounded(F.max("valor_indicador").cast("double"), 3).alias("value"))
+        out = out.unionByName(rows.select(F.concat(F.lit("monitoring "), "modelo").alias("what"), F.col("nombre_indicador").alias("label"), "n", "value"))
+    return out

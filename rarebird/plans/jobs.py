@@ -45,6 +45,7 @@ from rarebird.operators.features import (
 )
 from rarebird.operators.sampling import replicate_weights
 from rarebird.operators.wide import BlockPCA, standardizer
+from rarebird.sources.ledger import DONE, FAILED, RunLedger, append_once
 from rarebird.sources.models import join_stages, load_pipeline, save_model
 from rarebird.session import remove_at_exit, remove_path, scratch_path
 from rarebird.sources.tables import append_table, overwrite_table, refresh, sql_source, table_location
@@ -66,10 +67,24 @@ class RunReport:
     error: BaseException | None = None
 
 
-def _fail(spark, family, stage, moment, project, metric_table, on_error, err, table_root=None) -> RunReport:
+#: what tells the monitoring rows of a run apart
+MONITORING_KEYS = ["id_momento", "proyecto", "modelo", "ejecucion", "id_indicador", "nombre_indicador"]
+
+
+def _append(rows: DataFrame, metric_table: str | None, table_root: str | None, once: bool) -> None:
+    """Monitoring rows to their table, if there is one; ``once``: none that it already has."""
+    if not metric_table:
+        return
+    where = table_location(table_root, metric_table)
+    if once:
+        append_once(rows, metric_table, MONITORING_KEYS, path=where)
+    else:
+        append_table(rows, metric_table, path=where)
+
+
+def _fail(spark, family, stage, moment, project, metric_table, on_error, err, table_root=None, once=False) -> RunReport:
     row = M.failure_row(spark, family, stage, moment, project)
-    if metric_table:
-        append_table(row, metric_table, path=table_location(table_root, metric_table))
+    _append(row, metric_table, table_root, once)
     if on_error == "raise":
         raise err
     log.error("%s %s failed: %s", family, stage, err)
@@ -90,7 +105,7 @@ def fit_features(df: DataFrame, stages: list, id_col: str, max_width: int | None
     """
     spark = df.sparkSession
     source = spread_rows(df, 8 * len(df.columns)).persist(StorageLevel.MEMORY_AND_DISK)
-    where = scratch_path(spark, "features")
+    where = scratch_path(spark, "replicates" if place else "features")
     try:
         prep = Pipeline(stages=fitting_stages(source, stages, max_width, square, wide)).fit(source)
         feats = prep.transform(source).select(id_col, output)
@@ -143,6 +158,7 @@ def train_anomaly_model(
     parallelism: int | None = None,
     max_width: int | None = None,
     wide: bool | None = None,
+    once: bool = False,
     **fit_params,
 ) -> RunReport:
     """Prepare (index, one-hot, assemble, centred scaling, PCA), search k for a Gaussian
@@ -166,13 +182,12 @@ def train_anomaly_model(
             M.anomaly_metric_rows(shares, moment, "train", project),
             M.model_metric_rows(spark, fit.silhouette, fit.k, moment, project),
         ]))
-        if metric_table:
-            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
+        _append(metrics, metric_table, table_root, once)
         # what is returned reads a stored table, or scores the source: never the deleted scratch folder
         result = spark.table(exit_table) if exit_table else flag_anomalies(pipeline.transform(spread(df)), id_col, threshold)
         return RunReport(metrics, result, pipeline, fit.k, fit.silhouette, fit.search.scores, fit.search.errors)
     except Exception as err:
-        return _fail(spark, "anomaly", "train", moment, project, metric_table, on_error, err, table_root)
+        return _fail(spark, "anomaly", "train", moment, project, metric_table, on_error, err, table_root, once)
     finally:
         if folder is not None:
             remove_path(spark, folder)
@@ -191,6 +206,7 @@ def predict_anomalies(
     on_error: str = "raise",
     table_root: str | None = None,
     pipeline: PipelineModel | None = None,
+    once: bool = False,
 ) -> RunReport:
     """Score with the saved pipeline (one narrow, shuffle-free stage), flag, store once,
     and append the share rows."""
@@ -201,12 +217,11 @@ def predict_anomalies(
         flags = flag_anomalies(model.transform(df), id_col, threshold)
         shares = _shares_after_write(spark, stored_result(flags, id_col), exit_table, FLAG, table_root)
         metrics = _kept(spark, M.anomaly_metric_rows(shares, moment, "predict", project))
-        if metric_table:
-            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
+        _append(metrics, metric_table, table_root, once)
         result = spark.table(exit_table) if exit_table else flags
         return RunReport(metrics, result, model)
     except Exception as err:
-        return _fail(spark, "anomaly", "predict", moment, project, metric_table, on_error, err, table_root)
+        return _fail(spark, "anomaly", "predict", moment, project, metric_table, on_error, err, table_root, once)
 
 
 # --------------------------------------------------------------------------- segments
@@ -229,6 +244,7 @@ def train_segments(
     parallelism: int | None = None,
     max_width: int | None = None,
     wide: bool | None = None,
+    once: bool = False,
     **fit_params,
 ) -> RunReport:
     """Prepare (centred scaling, no PCA), search k for k-means, save prep + k-means as one
@@ -246,12 +262,11 @@ def train_segments(
         scored = fit.scored.select(id_col, F.col("prediction").cast("int").alias("prediction"))
         shares = M.class_share(scored.select("prediction"), "prediction")
         metrics = _kept(spark, M.segment_metric_rows(shares, moment, "train", project))
-        if metric_table:
-            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
+        _append(metrics, metric_table, table_root, once)
         result = segment_rows(pipeline.transform(spread(df)), id_col).withColumn(id_col, F.col(id_col).cast(df.schema[id_col].dataType))
         return RunReport(metrics, result, pipeline, fit.k, fit.silhouette, fit.search.scores, fit.search.errors)
     except Exception as err:
-        return _fail(spark, "segment", "train", moment, project, metric_table, on_error, err, table_root)
+        return _fail(spark, "segment", "train", moment, project, metric_table, on_error, err, table_root, once)
     finally:
         if folder is not None:
             remove_path(spark, folder)
@@ -276,6 +291,7 @@ def predict_segments(
     on_error: str = "raise",
     table_root: str | None = None,
     pipeline: PipelineModel | None = None,
+    once: bool = False,
 ) -> RunReport:
     """E5: score with the saved pipeline, store ``id, prediction`` once, append share rows."""
     moment = moment or run_moment()
@@ -285,11 +301,10 @@ def predict_segments(
         rows = segment_rows(model.transform(df), id_col)
         shares = _shares_after_write(spark, rows, exit_table, "prediction", table_root)
         metrics = _kept(spark, M.segment_metric_rows(shares, moment, "predict", project))
-        if metric_table:
-            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
+        _append(metrics, metric_table, table_root, once)
         return RunReport(metrics, spark.table(exit_table) if exit_table else rows, model)
     except Exception as err:
-        return _fail(spark, "segment", "predict", moment, project, metric_table, on_error, err, table_root)
+        return _fail(spark, "segment", "predict", moment, project, metric_table, on_error, err, table_root, once)
 
 
 # --------------------------------------------------------------------------- bootstrap replicates
@@ -381,8 +396,7 @@ def bootstrap_anomaly_replicates(
             M.anomaly_metric_rows(M.class_share(flags, FLAG, WEIGHT), moment, "train", project),
             M.model_metric_rows(spark, fit.silhouette, fit.k, moment, project),
         ]))
-        if metric_table:
-            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
+        _append(metrics, metric_table, table_root, False)
         yield RunReport(metrics, _repeated(flags), model, fit.k, fit.silhouette)
 
 
@@ -415,8 +429,7 @@ def bootstrap_segment_replicates(
         fit, model = _replicate(base, KMEANS, number, fraction, seed, key, False, None, k, max_k, model_seed, parallelism, fit_params)
         scored = fit.scored.select(id_col, F.col("prediction").cast("int").alias("prediction"), WEIGHT)
         metrics = _kept(spark, M.segment_metric_rows(M.class_share(scored, "prediction", WEIGHT), moment, "train", project))
-        if metric_table:
-            append_table(metrics, metric_table, path=table_location(table_root, metric_table))
+        _append(metrics, metric_table, table_root, False)
         yield RunReport(metrics, _repeated(scored), model, fit.k, fit.silhouette)
 
 
@@ -461,6 +474,7 @@ class JobConfig:
     threshold: float = DEFAULT_THRESHOLD
     dedupe_order: list[str] | None = None
     table_root: str | None = None
+    ledger_table: str | None = None
 
     @classmethod
     def from_mapping(cls, params: dict, stage: str = "train", table_root: str | None = None) -> "JobConfig":
@@ -490,6 +504,7 @@ class JobConfig:
             threshold=float(params.get("threshold", DEFAULT_THRESHOLD)),
             dedupe_order=parse_columns(params.get("dedupe_order")) or None,  # "-column" for descending
             table_root=table_root,
+            ledger_table=params.get("ledger_table"),
         )
 
 
@@ -507,36 +522,84 @@ def _enrich_step(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     return spark.table(cfg.enriched_table)
 
 
+class StepSkipped(RuntimeError):
+    """A step that was not run, as the one whose table it reads failed."""
+
+
+class _Run:
+    """One call of a composed job: its ledger (if it has an id) and what became of its steps."""
+
+    def __init__(self, spark: SparkSession, cfg: JobConfig, run_id: str | None, moment: str):
+        if run_id and not cfg.ledger_table:
+            raise ValueError("a run id needs the configuration's ledger_table")
+        self.spark, self.cfg, self.run_id = spark, cfg, run_id
+        self.ledger = RunLedger(spark, cfg.ledger_table, table_location(cfg.table_root, cfg.ledger_table)) if run_id else None
+        self.moment = self.ledger.begin(run_id, moment) if run_id else moment
+
+    def step(self, name: str, run, resumed):
+        """``run()``, or ``resumed()`` if this run has done the step before."""
+        if self.ledger and self.ledger.is_done(self.run_id, name):
+            return resumed()
+        got = run()
+        if self.ledger:
+            error = got.error if isinstance(got, RunReport) else None
+            detail = None if error is None else f"{type(error).__name__}: {error}"[:1000]
+            self.ledger.record(self.run_id, name, FAILED if error else DONE, self.moment, detail)
+        return got
+
+    def stored(self, table: str | None, pipeline: str | None = None) -> RunReport:
+        """The report of a step that an earlier call finished: what it stored."""
+        return RunReport(result=self.spark.table(table) if table else None, model=load_pipeline(pipeline) if pipeline else None)
+
+
+def _compose(run: _Run, stage: str, on_error: str, after_failure: str, anomalies, segments) -> JobReport:
+    """Anomaly step, enrichment, segment step. After a recorded failure of the first, the enrichment would
+    read whatever table an older run left, so it is not run and the segment step leaves its failure row;
+    ``after_failure="continue"`` goes on all the same."""
+    if after_failure not in ("stop", "continue"):
+        raise ValueError("after_failure must be 'stop' or 'continue'")
+    spark, cfg = run.spark, run.cfg
+    first = run.step("anomalies", anomalies, lambda: run.stored(cfg.anomaly_exit_table, cfg.anomaly_pipeline))
+    if first.error is not None and after_failure == "stop":
+        err = StepSkipped(f"the anomaly step failed: {first.error}")
+        skipped = _fail(spark, "segment", stage, run.moment, M.PROJECT, cfg.segment_metric_table, on_error, err, cfg.table_root, run.run_id is not None)
+        return JobReport(first, None, skipped)
+    enriched = run.step("enriched", lambda: _enrich_step(spark, cfg), lambda: spark.table(cfg.enriched_table))
+    last = run.step("segments", segments, lambda: run.stored(cfg.segment_exit_table if stage == "predict" else None, cfg.segment_pipeline))
+    return JobReport(first, enriched, last)
+
+
 def training_job(spark: SparkSession, cfg: JobConfig, moment: str | None = None, on_error: str = "record",
-                 anomaly_params: dict | None = None, segment_params: dict | None = None) -> JobReport:
+                 anomaly_params: dict | None = None, segment_params: dict | None = None, run_id: str | None = None,
+                 after_failure: str = "stop") -> JobReport:
     """Anomaly training -> enrichment + dedup -> segment training, each model with settings of its
     own (``anomaly_params`` and ``segment_params`` go to the two train jobs). With the default
-    ``on_error="record"`` a failing step leaves its failure row and the job goes on."""
-    moment = moment or run_moment()
-    anomalies = train_anomaly_model(
+    ``on_error="record"`` a failing step leaves its failure row (see ``_compose`` for what follows it).
+
+    With a ``run_id`` the steps are recorded in the configuration's ``ledger_table``: a call under the same
+    id resumes at the step that did not finish and appends no monitoring row twice.
+    """
+    run = _Run(spark, cfg, run_id, moment or run_moment())
+    shared = {"moment": run.moment, "on_error": on_error, "table_root": cfg.table_root, "once": run_id is not None}
+    return _compose(run, "train", on_error, after_failure, lambda: train_anomaly_model(
         spark, cfg.anomaly_query, cfg.anomaly_categorical, cfg.anomaly_id, cfg.anomaly_metric_table,
-        cfg.anomaly_pipeline, cfg.threshold, cfg.anomaly_exit_table, moment=moment, on_error=on_error,
-        table_root=cfg.table_root, **(anomaly_params or {}),
-    )
-    enriched = _enrich_step(spark, cfg)
-    segments = train_segments(
+        cfg.anomaly_pipeline, cfg.threshold, cfg.anomaly_exit_table, **shared, **(anomaly_params or {}),
+    ), lambda: train_segments(
         spark, cfg.segment_query, cfg.segment_categorical, cfg.segment_id, cfg.segment_metric_table,
-        cfg.segment_pipeline, moment=moment, on_error=on_error, table_root=cfg.table_root, **(segment_params or {}),
-    )
-    return JobReport(anomalies, enriched, segments)
+        cfg.segment_pipeline, **shared, **(segment_params or {}),
+    ))
 
 
 def prediction_job(spark: SparkSession, cfg: JobConfig, moment: str | None = None,
-                   on_error: str = "record") -> JobReport:
-    """Anomaly scoring -> enrichment + dedup -> segment scoring."""
-    moment = moment or run_moment()
-    anomalies = predict_anomalies(
+                   on_error: str = "record", run_id: str | None = None, after_failure: str = "stop") -> JobReport:
+    """Anomaly scoring -> enrichment + dedup -> segment scoring; ``run_id`` and ``after_failure`` as in
+    :func:`training_job`."""
+    run = _Run(spark, cfg, run_id, moment or run_moment())
+    shared = {"moment": run.moment, "on_error": on_error, "table_root": cfg.table_root, "once": run_id is not None}
+    return _compose(run, "predict", on_error, after_failure, lambda: predict_anomalies(
         spark, cfg.anomaly_query, cfg.anomaly_id, cfg.anomaly_pipeline, cfg.threshold, cfg.anomaly_exit_table,
-        cfg.anomaly_metric_table, moment=moment, on_error=on_error, table_root=cfg.table_root,
-    )
-    enriched = _enrich_step(spark, cfg)
-    segments = predict_segments(
+        cfg.anomaly_metric_table, **shared,
+    ), lambda: predict_segments(
         spark, cfg.segment_query, cfg.segment_id, cfg.segment_exit_table, cfg.segment_pipeline,
-        cfg.segment_metric_table, moment=moment, on_error=on_error, table_root=cfg.table_root,
-    )
-    return JobReport(anomalies, enriched, segments)
+        cfg.segment_metric_table, **shared,
+    ))

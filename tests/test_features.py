@@ -125,3 +125,17 @@ def test_id_cannot_be_categorical():
 
     with pytest.raises(ValueError):
         preparation_stages(["id", "x"], ["id"], "id")
+
+
+def test_supervised_split_takes_x_beside_X_and_is_released(spark):
+    from rarebird.operators.features import prepare_supervised
+
+    df = spark.range(100).selectExpr("id", "cast(id AS double) AS x", "cast(id % 3 AS string) AS c", "id % 2 AS y")
+    split = prepare_supervised(df, ["c"], "y", key="id")
+    train, test = split
+    assert train.columns == ["id", "X", "y"] and train.count() + test.count() == 100
+    assert split.encoded.is_cached and train.first().X.size == 4
+    split.release()
+    assert not split.encoded.is_cached and split.encoded.storageLevel.useMemory is False
+    with pytest.raises(ValueError, match="another name"):
+        prepare_supervised(df, ["c"], "y", key="id", output="Y")

@@ -70,3 +70,59 @@ def test_table_location():
 def test_sql_source_passes_frames(spark):
     df = spark.range(3)
     assert S_tables.sql_source(spark, df) is df
+
+
+def _files(spark, path):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
+
+
+@pytest.mark.parametrize("place", [None, "folder"])
+def test_overwrite_swaps_and_a_dying_write_leaves_the_old_table(spark, scratch_dir, place):
+    from pyspark.sql import functions as F
+
+    name, path = f"rb_swap_{place or 'managed'}", f"{scratch_dir}/t" if place else None
+    for n in (3, 5):
+        S_tables.overwrite_table(spark.range(n), name, path=path)
+        assert spark.table(name).count() == n
+    bad = spark.range(3).withColumn("id", F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        S_tables.overwrite_table(bad, name, path=path)
+    assert spark.table(name).count() == 5
+    S_tables.overwrite_table(spark.table(name).where("id > 0"), name, path=path)  # reads itself
+    assert spark.table(name).count() == 4
+    S_tables.append_table(spark.range(1), name)
+    S_tables.overwrite_table(spark.createDataFrame([(1, "a")], "k int, s string"), name, path=path)  # other columns
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, "a")]
+    if path:
+        assert len(_files(spark, path)) == 1  # older versions are gone
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_table_written_straight_into_its_folder_is_swapped_too(spark, scratch_dir):
+    spark.range(4).write.option("path", f"{scratch_dir}/old").saveAsTable("rb_swap_flat")
+    S_tables.overwrite_table(spark.range(6), "rb_swap_flat", path=f"{scratch_dir}/old")
+    assert spark.table("rb_swap_flat").count() == 6 and len(_files(spark, f"{scratch_dir}/old")) == 1
+
+
+@pytest.mark.parametrize("at", [1, 2])
+def test_a_crash_between_the_renames_leaves_one_of_the_two(spark, monkeypatch, at):
+    name = f"rb_crash_{at}"
+    S_tables.overwrite_table(spark.range(3), name)
+    plain, calls = S_tables._rename, []
+
+    def dies(spark_, a, b):
+        calls.append(a)
+        if len(calls) == at:
+            raise KeyboardInterrupt
+        plain(spark_, a, b)
+
+    monkeypatch.setattr(S_tables, "_rename", dies)
+    with pytest.raises(KeyboardInterrupt):
+        S_tables.overwrite_table(spark.createDataFrame([("x",)], "s string"), name)
+    monkeypatch.undo()
+    assert S_tables.recover_table(spark, name) == (at == 2)
+    assert spark.table(name).columns == (["id"] if at == 1 else ["s"])
+    S_tables.overwrite_table(spark.range(7), name)
+    assert spark.table(name).count() == 7 and not S_tables.recover_table(spark, name)
