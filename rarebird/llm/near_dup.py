@@ -13,18 +13,21 @@ weighted Jaccard similarity.
 Signatures are banded; documents that share a band are candidates, and a link is a candidate pair
 whose exact multiset overlap reaches the threshold. Classes are the connected components of links.
 
-All pairs of a band's bucket are decided without emitting them all. Equal multisets are one
-representative. Every member is compared exactly with the bucket's centre, the member whose bands
-collect the most documents; in a group of near copies that is their common origin, and one star of
-links joins them. Where a bucket still holds several components, the largest one is its main part
-and the others are strays: strays meet all other members in cells of at most ``2 * CELL`` rows, where
-their signatures are compared in memory. Only pairs of different components that pass the exact
-bound on sizes (the smaller has at least ``threshold`` of the larger) and whose estimated similarity
-is not clearly below the threshold leave the cell, to be verified exactly.
-
-Edge cases: null text counts as empty; a text without words has no shingles and is a class of its
-own; repeated rows of one id count once; ties go to the smaller id; an empty table gives an empty
-result; only id and text are read, so other columns cannot clash.
+All pairs of a band's bucket are decided without emitting them. Equal multisets are one representative.
+Every member is compared exactly with the bucket's centre, the member whose bands collect the most
+documents; in a group of near copies that is their common origin, and one star of links joins them.
+Where a bucket still holds several components, the largest one is its main part and the others are
+strays: strays meet all other members in cells of bounded rows and bytes, with their shingles. In the
+cell's memory a pair is compared exactly if it is of two components, passes the bound on sizes (the
+smaller has at least ``threshold`` of the larger) and its estimated similarity is not clearly below
+the threshold, best estimates first; a link joins the two components there and then. So a cell hands on
+links that join components, fewer than it has rows, and never its pairs.
+
+Edge cases: a document is an id and a text: two texts under one id are two documents, each with a row
+and a class of its own, equal rows are one; null ids are documents too. The smaller id comes first, nulls
+last, then the smaller MD5 of the text; a class has the id of its first document (null if all are). Null text
+counts as empty; a text without words has no shingles and is a class of its own; an empty table gives
+an empty result; only id and text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -42,10 +45,10 @@ from rarebird.llm.components import connected_components
 SHINGLE = 5
 BANDS, ROWS = 21, 6
 THRESHOLD = 0.8
-#: strays or main members of one cell
-CELL = 4096
-#: standard errors of an estimate beyond which it is clearly below or above the threshold
-SURE = 3.0
+#: strays or main members of one cell, and bytes of their shingles
+CELL, CELL_BYTES = 4096, 32 << 20
+#: standard errors beyond which an estimate is clearly below the threshold
+SURE = 4.0
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -179,15 +182,14 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(got, pa.float64())], ["a", "b", "sim"])
 
 
-def meet(ids: list, part: np.ndarray, main: np.ndarray, n: np.ndarray, sig: np.ndarray, band: int, threshold: float) -> tuple[list, list]:
-    """Pairs of one cell to verify: a stray (not ``main``) with a member of another component.
+def meet(part: np.ndarray, main: np.ndarray, n: np.ndarray, sig: np.ndarray, keys: list, band: int, threshold: float) -> list[tuple[int, int]]:
+    """Links of one cell that join components: row pairs of a stray (not ``main``) and another member.
 
-    A pair that shares several bands leaves the cell of the first of them only: its bucket holds both,
-    so they meet there too. Strays are taken in the order given. Members that a stray clearly resembles are taken as its
-    component from then on, so a tight group of strays leaves a star, not all its pairs.
+    A pair that shares several bands is compared in the cell of the first of them only: its bucket holds
+    both, so they meet there too. Strays are taken in the order given, their partners by estimate.
     """
     error = SURE * float(np.sqrt(threshold * (1 - threshold) / sig.shape[1]))
-    label, left, right = part.copy(), [], []
+    label, links = part.copy(), []
     for x in np.flatnonzero(~main):
         other = np.flatnonzero((label != label[x]) & (np.minimum(n, n[x]) >= threshold * np.maximum(n, n[x])))
         if not len(other):
@@ -195,12 +197,14 @@ def meet(ids: list, part: np.ndarray, main: np.ndarray, n: np.ndarray, sig: np.n
         same = sig[other] == sig[x]
         alike = same.mean(axis=1)
         first = same.reshape(len(other), -1, ROWS).all(axis=2).argmax(axis=1) == band
-        near = (alike >= threshold - error) & first
-        left += [ids[x]] * int(near.sum())
-        right += [ids[y] for y in other[near]]
-        for y in np.unique(label[other[alike >= threshold + error]]):
-            label[label == y] = label[x]
-    return left, right
+        other = other[first & (alike >= threshold - error)][np.argsort(-alike[first & (alike >= threshold - error)], kind="stable")]
+        while len(other):
+            y, other = other[0], other[1:]
+            if overlap(keys[x], keys[y]) >= threshold:
+                links.append((int(x), int(y)))
+                label[label == label[y]] = label[x]
+                other = other[label[other] != label[x]]
+    return links
 
 
 def _cells(threshold: float):
@@ -209,13 +213,12 @@ def _cells(threshold: float):
 
         def decide() -> pa.RecordBatch:
             table = pa.Table.from_batches(held)
-            order = np.lexsort((-table["w"].to_numpy(),))
-            table = table.take(pa.array(order))
+            table = table.take(pa.array(np.argsort(-table["w"].to_numpy(), kind="stable")))
             sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(table.num_rows, -1)
-            parts = np.unique(np.array(table["p"].to_pylist(), object).astype(str), return_inverse=True)[1]
-            a, b = meet(table["id"].to_pylist(), parts, table["main"].to_numpy().astype(bool), table["n"].to_numpy(), sig, table["no"][0].as_py(), threshold)
-            kind = table.schema.field("id").type
-            return pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
+            keys = [np.frombuffer(x.as_buffer(), _U) for x in table["keys"]]
+            links = meet(table["p"].to_numpy(), table["main"].to_numpy().astype(bool), table["n"].to_numpy(), sig, keys, table["no"][0].as_py(), threshold)
+            ids = table["id"].combine_chunks()
+            return pa.RecordBatch.from_arrays([ids.take(pa.array([k for k, _ in links], pa.int64())), ids.take(pa.array([k for _, k in links], pa.int64()))], ["a", "b"])
 
         for batch in batches:
             names = batch.column("cell").to_pylist()
@@ -233,49 +236,62 @@ def _cells(threshold: float):
     return run
 
 
-def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-                           threshold: float = THRESHOLD) -> DataFrame:
-    """(id, class_id) of every distinct non-null id; class_id is the smallest id of the class."""
+def _document(id_col: str, text: str):
+    """What a document is told apart by; orders null ids last."""
+    return F.struct(F.col(f"`{id_col}`").isNull().alias("absent"), F.col(f"`{id_col}`").alias("id"), F.unhex(F.md5(bytes_of(f"`{text}`"))).alias("digest"))
+
+
+def _components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    inner = Scratch(links.sparkSession)
+    part = scratch.keep(connected_components(links, inner, name), f"{name}-part")
+    inner.drop("")
+    return part
+
+
+def _classes(docs: DataFrame, id_col: str, text: str, threshold: float) -> DataFrame:
+    """(id, class): every distinct document and the first document of its class."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), bytes_of(text).alias("text"))
+    rows = docs.select(_document(id_col, text).alias("id"), bytes_of(f"`{text}`").alias("text"))
+    id_type = rows.schema["id"].dataType.simpleString()
     signed = scratch.keep(rows.mapInArrow(
         _sign, f"id {id_type}, n bigint, k1 bigint, k2 bigint, bands array<bigint>, sig binary"), "signed")
 
-    # equal multisets are one representative: its smallest id
+    # equal multisets are one representative: their first document
     equal = scratch.keep(signed.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")), "equal")
-    member_of = signed.where("n > 0").join(equal, ["n", "k1", "k2"]).select("id", "rep")
+    alone = signed.where("n = 0").select("id", F.col("id").alias("rep"))
+    member_of = scratch.keep(signed.where("n > 0").join(equal, ["n", "k1", "k2"]).select("id", "rep").union(alone), "member-of")
     reps = signed.where("n > 0").join(equal.select(F.col("rep").alias("id")), "id", "left_semi")
     keyed = reps.select("id", "n", F.posexplode("bands").alias("no", "band"))
     shared = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     members = scratch.keep(keyed.join(shared, "band"), "shared")
     weight = members.groupBy("id").agg(F.sum("c").alias("w"))
     members = scratch.keep(members.join(weight, "id").select("band", "no", "id", "n", "w"), "members")
-    payload = scratch.keep(rows.join(weight.select("id"), "id", "left_semi").dropDuplicates(["id"])
-                           .mapInArrow(_keys, f"id {id_type}, keys binary"), "payload")
+    scratch.drop("shared")
+    met = members.select("id").distinct()
+    signs = scratch.keep(signed.join(met, "id", "left_semi").select("id", "sig").dropDuplicates(["id"]), "signs")
+    scratch.drop("signed")
+    scratch.drop("equal")
+    payload = scratch.keep(rows.join(met, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_keys, f"id {id_type}, keys binary"), "payload")
     similar_size = F.least("n", "an") >= threshold * F.greatest("n", "an")
 
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
-        """The links among (a, b) pairs: exact multiset overlap of at least the threshold."""
-        once = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        loaded = (once.join(payload.select(F.col("id").alias("b"), F.col("keys").alias("y")), "b")
-                  .join(payload.select(F.col("id").alias("a"), F.col("keys").alias("x")), "a").select("a", "b", "x", "y"))
-        checked = loaded.mapInArrow(_verify, f"a {id_type}, b {id_type}, sim double")
-        return scratch.keep(checked.where(F.col("sim") >= threshold).select("a", "b"), name)
-
-    # every member against its bucket's centre
+    # every member against its bucket's centre; written, so that a large bucket's join may be split
     centre = members.groupBy("band").agg(F.max(F.struct("w", "id", F.col("n").alias("an"))).alias("c"))
-    centre = centre.select("band", F.col("c.id").alias("a"), F.col("c.an").alias("an"))
-    links = verify(members.join(centre, "band").where(similar_size).select("a", F.col("id").alias("b")), "star-links")
-    part = scratch.keep(connected_components(links, scratch, "star"), "star-part")
+    centre = scratch.keep(centre.select("band", F.col("c.id").alias("a"), F.col("c.an").alias("an")), "centre")
+    pairs = members.join(centre, "band").where(similar_size).select("a", F.col("id").alias("b")).where("a <> b").distinct()
+    loaded = (pairs.join(payload.select(F.col("id").alias("b"), F.col("keys").alias("y")), "b")
+              .join(payload.select(F.col("id").alias("a"), F.col("keys").alias("x")), "a").select("a", "b", "x", "y"))
+    checked = loaded.mapInArrow(_verify, f"a {id_type}, b {id_type}, sim double")
+    links = scratch.keep(checked.where(F.col("sim") >= threshold).select("a", "b"), "star-links")
+    part = _components(links, scratch, "star")
 
     # buckets that still hold several components: strays against all other members
     here = members.join(part, F.col("id") == F.col("node"), "left").select("band", "no", "id", "n", "w", F.coalesce("component", "id").alias("p"))
-    sizes = here.groupBy("band", "p").agg(F.count(F.lit(1)).alias("c"))
-    torn = sizes.groupBy("band").agg(F.max(F.struct("c", "p")).alias("m"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    blocks = lambda c: F.ceil(c / CELL).cast("int")
-    torn = torn.select("band", F.col("m.p").alias("mp"), blocks(F.col("m.c")).alias("nm"), blocks(F.col("all") - F.col("m.c")).alias("ns"))
+    sizes = here.groupBy("band", "p").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    torn = sizes.groupBy("band").agg(F.max(F.struct("c", "p", "s")).alias("m"), F.sum("c").alias("c"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    blocks = lambda c, s: F.ceil(F.greatest(c / CELL, s * 8 / CELL_BYTES)).cast("int")
+    torn = scratch.keep(torn.select("band", F.col("m.p").alias("mp"), blocks(F.col("m.c"), F.col("m.s")).alias("nm"),
+                                    blocks(F.col("c") - F.col("m.c"), F.col("s") - F.col("m.s")).alias("ns")), "torn")
     dealt = here.join(torn, "band").withColumn("main", F.col("p") == F.col("mp"))
     own = F.pmod(F.xxhash64("id"), F.when(F.col("main"), F.col("nm")).otherwise(F.col("ns"))).cast("int")
     cell = lambda kind, s, t: F.concat_ws(":", F.col("band").cast("string"), F.lit(kind), s.cast("string"), t.cast("string"))
@@ -283,20 +299,27 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str =
     cells = F.when(F.col("main"), F.transform(upto("ns"), lambda s: cell("m", s, F.col("own")))).otherwise(F.concat(
         F.transform(upto("nm"), lambda m: cell("m", F.col("own"), m)),
         F.transform(upto("ns"), lambda t: cell("s", F.least("own", t), F.greatest("own", t)))))
-    dealt = dealt.withColumn("own", own).select("id", "no", "n", "w", "p", "main", F.explode(cells).alias("cell"))
-    dealt = dealt.join(signed.select("id", "sig").dropDuplicates(["id"]), "id")
-    met = dealt.repartition("cell").sortWithinPartitions("cell").select("cell", "no", "id", "n", "w", "p", "main", "sig")
-    more = verify(met.mapInArrow(_cells(threshold), f"a {id_type}, b {id_type}"), "stray-links")
-    part = scratch.keep(connected_components(links.union(more), scratch, "all"), "all-part")
-
-    grouped = member_of.join(part, F.col("rep") == F.col("node"), "left").select(
-        "id", F.coalesce("component", "rep").alias("class_id"))
-    alone = signed.where("n = 0").select("id", F.col("id").alias("class_id"))
-    return grouped.union(alone).groupBy(F.col("id").alias(id_col)).agg(F.min("class_id").alias("class_id"))
-
-
-def keep_one_of_each(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs``, all columns, whose id is the class id of its class; null ids stay."""
-    first = classes.where(F.col(id_col) == F.col("class_id")).select(id_col)
-    known = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return known.join(first, id_col, "left_semi").select(*[f"`{c}`" for c in docs.columns]).union(docs.where(F.col(id_col).isNull()))
+    dealt = dealt.withColumn("own", own).select("id", "no", "n", "w", F.xxhash64("p").alias("p"), "main", F.explode(cells).alias("cell"))
+    dealt = dealt.join(signs, "id").join(payload, "id")
+    inside = dealt.repartition("cell").sortWithinPartitions("cell").select("cell", "no", "id", "n", "w", "p", "main", "sig", "keys")
+    more = scratch.keep(inside.mapInArrow(_cells(threshold), f"a {id_type}, b {id_type}"), "stray-links")
+    for name in ("members", "signs", "payload", "centre", "star-part", "torn"):
+        scratch.drop(name)
+    part = _components(links.union(more), scratch, "all")
+    scratch.drop("star-links")
+    scratch.drop("stray-links")
+    return member_of.join(part, F.col("rep") == F.col("node"), "left").groupBy("id").agg(
+        F.min(F.coalesce("component", "rep")).alias("class"))
+
+
+def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+                           threshold: float = THRESHOLD) -> DataFrame:
+    """(id, class_id) of every distinct document; class_id is the id of the first document of the class."""
+    return _classes(docs, id_col, text, threshold).select(F.col("id.id").alias(id_col), F.col("class.id").alias("class_id"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row, all columns, of the first document of every class."""
+    first = _classes(docs, id_col, text, threshold).where(F.col("id") == F.col("class")).select(F.col("id").alias("__document"))
+    named = docs.withColumn("__document", _document(id_col, text)).dropDuplicates(["__document"])
+    return named.join(first, "__document", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -68,7 +68,7 @@ def test_signature_agreement_is_the_weighted_jaccard():
 
 def test_edges_and_chains(spark, edge, empty):
     got = classes(edge)
-    assert set(got) == {1, 2, 3, 4, 5, 6} and all(k == v for k, v in got.items())
+    assert set(got) == {None, 1, 2, 3, 4, 5, 6} and all(k == v for k, v in got.items())
     assert near_dup.near_duplicate_classes(empty).count() == 0
     words = [f"w{k}" for k in range(200)]
     chain = []  # each like the next one, the first unlike the last
@@ -79,8 +79,61 @@ def test_edges_and_chains(spark, edge, empty):
     df = spark.createDataFrame(chain, "doc_id bigint, text string")
     expected = brute_classes(dict(chain))
     assert set(expected.values()) == {0} and classes(df) == expected
-    kept = near_dup.keep_one_of_each(df, near_dup.near_duplicate_classes(df))
-    assert [r.doc_id for r in kept.collect()] == [0]
+    assert [r.doc_id for r in near_dup.keep_one_of_each(df).collect()] == [0]
+
+
+def test_a_document_is_an_id_and_a_text(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(5, a, 1), (5, b, 2), (None, a, 3), (None, a, 3), (None, c, 4), (6, b, 5), (7, "", 6), (7, None, 6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n int")
+    got = sorted(map(tuple, near_dup.near_duplicate_classes(df).collect()), key=str)
+    assert got == sorted([(5, 5), (5, 5), (None, 5), (None, None), (6, 5), (7, 7)], key=str)
+    kept = near_dup.keep_one_of_each(df).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept if r.doc_id) == sorted([(5, a), (5, b), (7, "")])
+    assert [(r.text, r.n) for r in kept if r.doc_id is None] == [(c, 4)]
+
+
+def test_recall_near_the_threshold(spark):
+    """Pairs of exact similarity 0.80 to 0.85, one class each if they are found."""
+    rng, rows, n = np.random.default_rng(8), [], 0
+    while n < 400:
+        words = [f"p{n}w{k}" for k in range(300)]
+        other = list(words)
+        for k in rng.choice(300, size=rng.integers(6, 8), replace=False):
+            other[k] = f"p{n}x{k}"
+        if 0.8 <= similarity(bag(" ".join(words)), bag(" ".join(other))) <= 0.85:
+            rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(other))]
+            n += 1
+    got = classes(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sum(got[2 * k + 1] == 2 * k for k in range(n)) >= 0.99 * n
+
+
+def test_copies_without_a_common_origin(spark):
+    """A walk of near copies, each like its neighbours only, in cells of few rows and bytes."""
+    rng, words, rows = np.random.default_rng(2), [f"w{k}" for k in range(150)], []
+    for k in range(600):
+        rows.append((k, " ".join(words)))
+        words[rng.integers(0, 150)] = f"e{k}"
+        if k % 50 == 49:
+            words = [f"{w}'" if rng.random() < 0.4 else w for w in words]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert classes(df) == brute_classes(dict(rows))
+
+
+def test_cells_hand_on_links_not_pairs():
+    rng = np.random.default_rng(4)
+    base = [f"w{k}" for k in range(200)]
+    texts = []
+    for k in range(60):
+        words = list(base)
+        words[rng.integers(0, 200)] = f"e{k}"
+        texts.append(" ".join(words).encode())
+    h, r = near_dup.shingles(pa.array(texts, pa.binary()))
+    sig = (near_dup.mix(near_dup.signatures(h, r, 60, near_dup.BANDS * near_dup.ROWS).view(np.uint64)) >> np.uint64(48)).astype(np.uint16)
+    keys = [np.sort(near_dup.occurrences(h[r == k], r[r == k])) for k in range(60)]
+    n = np.array([len(x) for x in keys])
+    links = near_dup.meet(np.arange(60), np.zeros(60, bool), n, sig, keys, 0, 0.8)
+    assert 0 < len(links) <= 59
 
 
 def test_large_group_of_near_copies(spark):
