@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that of the smallest id, of each near-duplicate class."""
-    return near_dup.keep_one_of_each(docs, near_dup.near_duplicate_classes(docs))
+    """Keeps one document, the one of the smallest id, of each near-duplicate class."""
+    return near_dup.keep_one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
