@@ -132,9 +132,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
                 yield pa.RecordBatch.from_arrays([part.column("__id"), part.column("__y"), ids, n], ["__id", "__y", "slots", "n"])
 
     id_type = wanted.schema["__id"].dataType.simpleString()
-    got = wanted.mapInArrow(count, f"__id {id_type}, __y double, slots array<int>, n array<int>").toArrow()
+    got = wanted.mapInArrow(count, f"__id {id_type}, __y double, slots array<int>, n array<int>").toArrow().combine_chunks()
     order = sorted(range(got.num_rows), key=lambda k, ids=got["__id"].to_pylist(): (zlib.crc32(f"order {ids[k]}".encode()), str(ids[k])))
-    return ftrl(_Rows(got.combine_chunks(), order), bits)
+    model = ftrl(_Rows(got, order), bits)
+    del got
+    pa.default_memory_pool().release_unused()  # the driver keeps the weights, not the examples
+    return model
 
 
 class _Rows(Sequence):

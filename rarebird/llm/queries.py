@@ -45,7 +45,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = classifier.bucket("doc_id", 5) == 0
+    held_out = F.coalesce(classifier.bucket("doc_id", 5) == 0, F.lit(False))
     model = classifier.fit(docs, table(spark, sf_dir, "labels"), held_out=held_out)
     scored = classifier.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score",
