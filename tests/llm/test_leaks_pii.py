@@ -152,11 +152,12 @@ ALONE = {
     "phone": ["+33 1 42 68 53 00", "+1 (42) 55 96 84", "(425) 555-9684", "425-555-9684"],
     "card": ["4781 7853 8059 2391", "4781785380592391"],
     "male": ["Mr Smith", "Господин Иванов"], "female": ["Mrs. Anna Karenina", "Κυρία Μαρία"],
+    "neutral": ["Dr Ruth Adams", "Prof. Weiß"],
 }
 
 
 def test_every_entity_alone_in_a_text_is_found(spark):
-    assert {k for k, _ in pii.ENTITIES} | {"male", "female"} == set(ALONE)
+    assert {k for k, _ in pii.ENTITIES} | {"male", "female", "neutral"} == set(ALONE)
     rows = [(kind, f"{before}{value}{after}") for kind, values in ALONE.items() for value in values
             for before, after in (("", ""), ("see ", " there"), ("(", ")"))]
     df = spark.createDataFrame(rows, "kind string, text string")
@@ -214,6 +215,43 @@ def test_collisions_draw_again(spark):
     assert len(rows) == 60 and len({r.surrogate for r in rows}) == 60 and not originals & {r.surrogate for r in rows}
 
 
+def test_drawing_ends_when_a_type_runs_out(spark):
+    """Most addresses of the shape x@y.co, and every pair of two-letter ones, get surrogates of their own."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    held = [f"{a}@{b}.co" for a in letters for b in letters][:520]
+    values = spark.createDataFrame([("email", v) for v in held] + [("ip", f"1.2.3.{k}") for k in range(20)], "kind string, value string")
+    rows = pii.surrogate_table(values, "k", Scratch(spark)).collect()
+    made = [r.surrogate for r in rows]
+    assert len(rows) == 540 == len(set(made)) and not set(made) & set(held)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.co", r.surrogate) for r in rows if r.kind == "email")
+
+
+def test_widened_surrogates_keep_their_type(spark):
+    cases = [("email", "a@b.co"), ("hex", "0123456789abcdef" * 2), ("iban", "DE89370400440532013000"), ("ssn", "123456789"),
+             ("ip", "1.2.3.4"), ("phone", "14255559684"), ("card", "4781785380592391"), ("male", "smith"), ("neutral", "иванов")]
+    df = spark.createDataFrame([(k, v, a) for k, v in cases for a in (0, 3, 4, 9)], "kind string, value string, attempt int")
+    df = df.withColumn("s", pii.surrogate(F.col("kind"), F.col("value"), "k", F.col("attempt")))
+    rows = df.withColumn("d", pii.dress(F.col("kind"), F.col("value"), F.col("s"))).collect()
+    size = {(r.kind, r.attempt): len(r.s) for r in rows}
+    for kind, value in cases:
+        if kind not in ("ip", "male", "neutral"):
+            assert [size[kind, a] for a in (0, 3, 4, 9)] == [len(value) + x for x in (0, 0, 1, 6)]
+    for r in rows:
+        assert r.d.lower() == r.s.lower() and r.s != r.value
+        assert r.kind != "ip" or re.fullmatch(r"(\d+\.){3}\d+" if r.attempt < 4 else r"2001:db8(:[0-9a-f]{4}){6}", r.s)
+
+
+def test_titles_spaces_and_addresses_at_their_edges(spark):
+    texts = ["bob.miller@example.com--thanks", "to bob.miller@example.com-", "bob.miller@example.com.", "jürgen.maier@mail.example.de", "Dr Smith", "Prof. Smith",
+             "Mr  Smith", "Mrs\nSmith", "Mr\u00a0Smith", "Mr.\tSmith"]
+    rows = pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), count_into="n").collect()
+    for r in rows:
+        old = texts[r.doc_id]
+        assert r.n == 1 and not any(w in r.text for w in ("Smith", "bob", "miller", "rgen", "jü", "maier")), (old, r.text)
+        assert "@" not in old or re.sub(r"[^.@\s-]", "", r.text) == re.sub(r"[^.@\s-]", "", old)
+        assert "@" in old or r.text.startswith(re.match(r"\w+\.?\s+", old)[0])
+
+
 def test_pii_is_native_and_whole(spark, docs, texts, edge, empty):
     out = pii.replace_pii(docs)
     plan = out._jdf.queryExecution().executedPlan().toString()
