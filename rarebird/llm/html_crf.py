@@ -31,10 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: element names of HTML by the way they are read
-INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt
-s samp small span strike strong sub sup time tt u var wbr""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math object audio video canvas select".split())
+#: contents that are never text of a page
+RAW = frozenset("script style title textarea template iframe select button".split())
 ENDS_SAME = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
 #: block elements that end an open paragraph
@@ -44,6 +43,9 @@ header hr main menu nav ol p pre section table ul""".split())
 SCOPE = frozenset("article aside body div footer form header html main nav section table ul ol dl".split())
 
 SECTIONS = frozenset("article aside details dialog fieldset footer form header main menu nav section table".split())
+#: elements that start and end blocks; all others, unknown ones included, are read as part of their block
+BLOCKS = ENDS_P | SECTIONS | SCOPE | frozenset("""head title li dt dd tr td th thead tbody tfoot caption legend summary center dir
+frameset noframes hgroup search option optgroup""".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"""
                   r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)""", re.S)
@@ -74,7 +76,7 @@ def blocks_of(html: str) -> list[Block]:
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
             if text:
-                out.append(Block(text, tuple(x for x in stack if x[0] not in INLINE), linked))
+                out.append(Block(text, tuple(stack), linked))
             pieces.clear()
         linked = 0
 
@@ -94,7 +96,12 @@ def blocks_of(html: str) -> list[Block]:
                 pieces.append(found[0][9:].removesuffix("]]>"))
             continue
         closing, attributes = bool(found[1] or found[4]), found[3] or found[6] or ""
-        if name in INLINE:
+        if name in RAW and not closing:
+            if not attributes.endswith("/"):
+                close = re.compile(f"</{re.escape(name)}\\s*>", re.I).search(html, at)
+                at = close.end() if close else at if name == "button" else len(html)
+            continue
+        if name not in BLOCKS:
             if name == "a":
                 in_link = not closing
             if name == "br":
@@ -107,11 +114,6 @@ def blocks_of(html: str) -> list[Block]:
                 while stack.pop()[0] != name:
                     pass
             continue
-        if name in RAW:
-            if not attributes.endswith("/"):
-                close = re.compile(f"</{re.escape(name)}\\s*>", re.I).search(html, at)
-                at = close.end() if close else len(html)
-            continue
         ends = ENDS_SAME.get(name, set()) | ({"p"} if name in ENDS_P else set())
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in ends:

@@ -53,6 +53,10 @@ def test_markup():
     assert text("<p>a<p>b<b>c</b>d<br>e") == ["a", "bcd e"]
     assert text('<p title="x>y">a</p><!-- <p>no</p> --><script>"<p>no</p>"</script><style>p{}</style>b') == ["a", "b"]
     assert text("<ul><li>one<li>two</ul></div>three<script>never closed <p>x") == ["one", "two", "three"]
+    assert text("<p>one <script>var a = '<p>';</script> two</p>") == ["one two"]
+    assert text("<p>H<custom-x>e</custom-x>llo<picture><source srcset=a><img src=b></picture> you") == ["Hello you"]
+    assert text("<p>E = <math><mi>m</mi><mi>c</mi></math> <svg><title>no</title><text>two</text></svg>") == ["E = mc two"]
+    assert text("<p>a<noscript> b</noscript><object data=x> c</object><button>Buy <b>now</b></button> d<button> e") == ["a b c d e"]
     assert text("<P>&lt;p&gt; &#233;&nbsp;&copy</P> 1 < 2 <") == ["<p> é ©", "1 < 2 <"]
 
 
