@@ -105,3 +105,43 @@ def test_blocks_reach_aliases(spark):
     got = judge(spark, [(2, "http://b.net/x", None), (3, "http://c.net/y", ""), (4, "http://c.net/z", "")], edges=edges)
     assert [got[k][3] for k in (2, 3, 4)] == ["block", "block", "allow"]
     assert judge(spark, []) == {}
+
+
+def test_edges_of_pages(spark):
+    """Targets that a browser would follow, and nothing that only looks like one."""
+    link, meta = '<link rel="{1}" href="{0}">', '<meta http-equiv="Refresh" content="{0}">'
+    pages = {
+        1: ("<!-- " + link.format("http://x.net/c", "canonical") + " -->", None),
+        2: ("<script>var a = '" + link.format("http://x.net/c", "canonical") + "'</script>", None),
+        3: (link.format("?v=1", "canonical"), "http://p.net/a/b?v=1"),
+        4: (link.format("#top", "canonical"), "http://p.net/a/b?q=2#top"),
+        5: (link.format("../c/./d", "canonical"), "http://p.net/c/d"),
+        6: ('<base href="/z/">' + link.format("e", "alternate canonical"), "http://p.net/z/e"),
+        7: (link.format("/r?a=1&#38;b=2&#x26;c=3&amp;d&sol;", "CANONICAL"), "http://p.net/r?a=1&b=2&c=3&d/"),
+        8: (meta.format("30; url=http://x.net/late"), None),
+        9: (meta.format("0; URL='http://x.net/now'"), "http://x.net/now"),
+        10: (meta.format("0;//x.net/there"), "http://x.net/there"),
+        11: (link.format("http://x.net/no", "noncanonical") + '<link data-rel="canonical" href="http://x.net/no">', None),
+        12: (link.format("", "canonical") + link.format("http://[bad/", "canonical"), None),
+        13: ('<link title="a>b" rel=canonical href=http://x.net/bare>', "http://x.net/bare"),
+        14: ("canonical " + "<" * 50_000 + "'" * 3, None),
+    }
+    df = spark.createDataFrame([(f"http://p.net/a/b?q=2&k={k}" if k != 4 else "http://p.net/a/b?q=2", h) for k, (h, _) in pages.items()], "url string, html string")
+    got = {r.url: r.target for r in url_filter.html_edges(df).collect()}
+    for k, (_, want) in pages.items():
+        assert got.get(f"http://p.net/a/b?q=2&k={k}" if k != 4 else "http://p.net/a/b?q=2") == want, k
+
+
+def test_many_rules_decide_as_few(spark, monkeypatch):
+    hosts = ["a.com", "b.a.com", "com", "net", "x.y.net", "", "org"]
+    paths = ["", "/", "/d", "/de/", "/de/1", "/é/"]
+    rules = [(h + p, "allow" if (len(h) + len(p)) % 2 else "block") for h in hosts[:5] for p in paths[1:] if (len(h) * 7 + len(p)) % 3]
+    pages = [(k, f"http://{s}{h}{p}{tail}", "<link rel=canonical href=/de/1>" if k % 5 == 0 else None)
+             for k, (s, h, p, tail) in enumerate((s, h, p, t) for s in ("", "w.") for h in hosts for p in paths for t in ("", "9", "?q"))]
+    pages += [(1000, None, None), (1001, "none", "")]
+    few = judge(spark, pages, rules=rules)
+    assert len({v[2] for v in few.values()}) > 10
+    assert judge(spark, pages, rules=spark.createDataFrame(rules, "r string, v string")) == few
+    monkeypatch.setattr(url_filter, "MAX_RULES", 3)
+    assert judge(spark, pages, rules=rules) == few
+    assert judge(spark, [], rules=rules) == {}
