@@ -6,13 +6,19 @@ pattern's tokens costs k - 1 a token, so that repetition is spread and used only
 run out (a convex cost). The flow gives each pattern the words to take: whole passes over all its
 documents, and for the rest the documents first in a seeded order.
 
-The order is that of a digest of seed and id. Where a pattern's share ends is found by two
-histograms of the digest's first and next 12 bits and a look into one cell, so no group is ever
-sorted or gathered whole; the cut is the document boundary nearest to the share.
+Targets are set by a table of the sources, of any number: their places by code point from a
+range-partitioned sort, the level at which shares are cut by repeated aggregation. A source that no
+document shares with another needs no flow: it takes its quota from its own words. Only overlapping
+patterns go to the flow on the driver.
+
+The order is that of a digest of seed, id and text; rows equal in both follow by their place in the
+written table of sizes, so that any of them may be taken alone. Where a pattern's share ends is found
+by histograms of 12 bits of the order each and a look into one cell, so no group is ever sorted or
+gathered whole; the cut is the document boundary nearest to the share.
 
 Edge cases: a null text has size 0; a null source is a source of its own, last in order; an empty
 membership is one pattern without a source and is not taken; empty texts and empty sources take 0;
-rows of equal id stand and fall together; an empty table gives an empty result; extra columns are
+rows may share an id, or be equal (how many of equal rows are taken is the same in every run); an empty table gives an empty result; extra columns are
 not read.
 """
 
@@ -30,7 +36,7 @@ from rarebird.llm.common import SPACE, SPACE_CHARS, Scratch, text_of
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MAX_PASSES = 2
-#: distinct membership patterns that one flow network may have; more are refused, not cut
+#: overlapping membership patterns that the flow network may have; more are refused, not cut
 MAX_PATTERNS = 20_000
 
 
@@ -39,18 +45,34 @@ def words_in(text: Column) -> Column:
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, SPACE))).cast("long")
 
 
-def fill_targets(sizes: Sequence[int], weights: Sequence[float], total: float, passes: int) -> list[float]:
-    """Shares of ``total`` by weight, none above ``passes`` times its size; the excess is reshared."""
-    caps = [passes * s for s in sizes]
-    order = sorted(range(len(sizes)), key=lambda i: caps[i] / weights[i])
-    left, weight = total, sum(weights)
-    level = float("inf")
-    for i in order:
-        if weight > 0 and left / weight < caps[i] / weights[i]:
-            level = left / weight
-            break
-        left, weight = left - caps[i], weight - weights[i]
-    return [float(min(caps[i], level * weights[i])) for i in range(len(sizes))]
+def set_targets(sizes: DataFrame, weights: Sequence[float], share: float, passes: int, scratch: Scratch) -> DataFrame:
+    """``sizes`` (source, source_size, ...) with ``target``: shares of ``share`` times all sizes by weight,
+    none above ``passes`` times its size, the excess reshared. Sources weigh ``weights`` in turn."""
+    order = F.col("source").asc_nulls_last()  # by code point
+    parts = 1 + sizes.count() // 1_000_000
+    placed = scratch.keep(sizes.repartitionByRange(parts, order).sortWithinPartitions(order)
+                          .withColumn("at", F.monotonically_increasing_id()), "placed")
+    # a place is the row's number in its partition and the rows of the partitions before
+    part = F.shiftright("at", 33)
+    before, shift = 0, []
+    for r in placed.groupBy(part.alias("p")).count().orderBy("p").collect():
+        shift.append(F.when(part == r["p"], before))
+        before += r["count"]
+    place = F.col("at").bitwiseAND((1 << 33) - 1) + F.coalesce(*shift, F.lit(0))
+    weigh = F.get(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights)).cast("int"))
+    weighed = placed.withColumn("weight", weigh).withColumn("cap", F.lit(passes) * F.col("source_size"))
+    total, weight = weighed.agg(F.sum("source_size"), F.sum("weight")).first()
+    left, level, capped = share * (total or 0), float("inf"), -1
+    if weight:
+        level = left / weight
+        while True:  # the level rises until it caps no further source
+            full = F.col("cap") / F.col("weight") <= level
+            n, cap, of = weighed.where(full).agg(F.count(F.lit(1)), F.sum("cap"), F.sum("weight")).first()
+            if n == capped:
+                break
+            capped, of = n, of or 0.0
+            level = (left - (cap or 0)) / (weight - of) if weight > of else float("inf")
+    return weighed.withColumn("target", F.least(F.col("cap").cast("double"), F.lit(level) * F.col("weight"))).drop("at", "weight", "cap")
 
 
 def min_cost_flow(patterns: Mapping[tuple, int], quotas: Mapping[object, int], passes: int) -> dict[tuple[tuple, object], int]:
@@ -105,8 +127,39 @@ def min_cost_flow(patterns: Mapping[tuple, int], quotas: Mapping[object, int], p
     return {k: v for k, v in flow.items() if v}
 
 
-def order_digest(seed: str, id_col: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
+def order_digest(seed: str, id_col: str, text: Column) -> Column:
+    own = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), own, F.lit(":"), F.md5(text.cast("binary"))).cast("binary"))
+
+
+def takes(sized: DataFrame, weights: Sequence[float], share: float, passes: int, scratch: Scratch) -> DataFrame:
+    """(ps, n, take, source_size, target) of every membership pattern ``ps``."""
+    spark = sized.sparkSession
+    totals = scratch.keep(sized.groupBy("sources").agg(F.sum("size").alias("n")), "patterns")
+    by_source = totals.select(F.explode("sources").alias("source"), "n", F.size("sources").alias("width")).groupBy("source").agg(
+        F.sum("n").alias("source_size"), F.max("width").alias("width"))
+    told = scratch.keep(set_targets(by_source, weights, share, passes, scratch), "targets")
+    headed = totals.select("sources", "n", F.get("sources", F.lit(0)).alias("head"), F.size("sources").alias("own"))
+    headed = headed.join(told, F.col("head").eqNullSafe(F.col("source")) & (F.col("own") > 0), "left")
+
+    # patterns that share a source with another one, and the quotas of their sources
+    shared = totals.withColumn("s", F.explode("sources")).join(told, F.col("s").eqNullSafe(F.col("source")))
+    knotted = shared.groupBy("sources", "n").agg(
+        F.max("width").alias("width"), F.collect_list(F.struct(F.col("s"), F.col("target"))).alias("t")).where("width > 1")
+    net = knotted.limit(MAX_PATTERNS + 1).collect()
+    if len(net) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} overlapping membership patterns")
+    quotas = {t["s"]: int(t["target"] + 0.5) for r in net for t in r["t"]}
+    flow = min_cost_flow({tuple(r["sources"]): int(r["n"]) for r in net}, quotas, passes)
+    solved: dict[tuple, int] = {tuple(r["sources"]): 0 for r in net}
+    for (p, _), amount in flow.items():
+        solved[p] += amount
+    kind = sized.schema["sources"].dataType.simpleString()
+    solution = spark.createDataFrame([(list(p), x) for p, x in solved.items()], f"fs {kind}, solved bigint")
+    alone = F.least(F.floor(F.col("target") + 0.5), passes * F.col("n"))
+    return headed.join(F.broadcast(solution), F.col("sources").eqNullSafe(F.col("fs")), "left").select(
+        F.col("sources").alias("ps"), "n", F.coalesce("solved", alone, F.lit(0)).cast("bigint").alias("take"),
+        F.coalesce("source_size", F.lit(0)).cast("bigint").alias("source_size"), F.coalesce("target", F.lit(0.0)).alias("target"))
 
 
 def mix(docs: DataFrame, sources: Column, id_col: str = "doc_id", text: str = "text", seed: str = "mix",
@@ -116,58 +169,42 @@ def mix(docs: DataFrame, sources: Column, id_col: str = "doc_id", text: str = "t
     ``sources``: array of the sources of a row. Sources, by code point and null last, weigh
     ``weights`` in turn and share ``share`` times all sizes.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(docs.sparkSession)
+    member = F.array_sort(F.array_distinct(sources))
     sized = scratch.keep(docs.select(
-        F.col(id_col).alias("id"), F.array_sort(F.array_distinct(sources)).alias("sources"), words_in(text_of(text)).alias("size"),
-        order_digest(seed, id_col).alias("digest")), "sized")
-
-    totals = sized.groupBy("sources").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(totals) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    patterns = {tuple(r["sources"] or ()): int(r["size"]) for r in totals}
-    size_of: dict[object, int] = {}
-    for p, n in patterns.items():
-        for s in p:
-            size_of[s] = size_of.get(s, 0) + n
-    names = sorted(size_of, key=lambda s: (s is None, "" if s is None else s))  # str order is by code point
-    by = [float(weights[k % len(weights)]) for k in range(len(names))]
-    targets = dict(zip(names, fill_targets([size_of[s] for s in names], by, share * sum(patterns.values()), passes), strict=True))
-    flow = min_cost_flow(patterns, {s: int(t + 0.5) for s, t in targets.items()}, passes)
-    take = {p: 0 for p in patterns}
-    for (p, _), amount in flow.items():
-        take[p] += amount
-    plan = [(list(p), min(take[p] // n if n else 0, passes), take[p] % n if n else 0,
-             size_of[p[0]] if p else 0, targets[p[0]] if p else 0.0) for p, n in patterns.items()]
-    kind = sized.schema["sources"].dataType.simpleString()
-    plan = F.broadcast(spark.createDataFrame(plan, f"ps {kind}, passes bigint, rest bigint, source_size bigint, target double"))
+        F.col(id_col).alias("id"), member.alias("sources"),
+        words_in(text_of(text)).alias("size"), order_digest(seed, id_col, text_of(text)).alias("digest"),
+        F.monotonically_increasing_id().alias("row")), "sized")
+    rest = F.when(F.col("n") > 0, F.col("take") % F.col("n")).otherwise(0)
+    whole = F.when(F.col("n") > 0, F.least(F.expr("take div n"), F.lit(passes))).otherwise(0)
+    plan = scratch.keep(takes(sized, weights, share, passes, scratch).select(
+        "ps", whole.alias("passes"), rest.alias("rest"), "source_size", "target"), "plan")
 
     # where the rest of each pattern ends in the seeded order
     same = F.col("sources").eqNullSafe(F.col("ps"))
-    cells = sized.join(plan.select("ps", F.col("rest").alias("left")), same).where("left > 0").select(
-        "sources", "digest", "id", "size", "left", F.lit("").alias("cell"))
-    for level in range(2):
-        part = F.substring("digest", 3 * level + 1, 3)
+    spread = F.md5(F.concat_ws(":", "digest", F.col("row").cast("string")).cast("binary"))
+    cells = sized.join(plan.select("ps", F.col("rest").alias("left")), same).where("left > 0").select("sources", "digest", "row", "size", "left")
+    levels = [F.substring("digest", 1, 3), F.substring("digest", 4, 3), F.col("digest"),
+              F.substring(spread, 1, 3), F.substring(spread, 4, 3)]
+    for level, part in enumerate(levels):
         hist = cells.groupBy("sources", "left", part.alias("c")).agg(F.sum("size").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("sources").orderBy("c"))
         edge = hist.withColumn("upto", upto).where("upto >= left and upto - n < left").select(
             F.col("sources").alias("ps"), "c", (F.col("left") - F.col("upto") + F.col("n")).alias("next"))
-        cells = cells.join(F.broadcast(edge), same & (part == F.col("c"))).select(
-            "sources", "digest", "id", "size", F.col("next").alias("left"), F.col("c").alias("cell"))
-    cells = scratch.keep(cells, "cells")
-    key = F.struct("digest", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("key"))
-    peers = cells.groupBy("sources", "left", key.alias("at")).agg(F.sum("size").alias("n"))
+        cells = cells.join(scratch.keep(edge, f"edge-{level}"), same & (part == F.col("c"))).select(
+            "sources", "digest", "row", "size", F.col("next").alias("left"))
+        if level == 1:  # few rows are left, but for equal ones
+            cells = scratch.keep(cells, "cells")
+    at = F.struct("digest", spread.alias("spread"))
+    peers = cells.groupBy("sources", "left", at.alias("at")).agg(F.sum("size").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("sources").orderBy("at"))
     ended = peers.withColumn("upto", upto).where("upto - n < left")
     nearer = (F.col("upto") <= F.col("left")) | (F.col("upto") - F.col("left") < F.col("left") - F.col("upto") + F.col("n"))
-    last = ended.groupBy("sources").agg(
-        F.max(F.when(nearer, F.col("at"))).alias("last"), F.min("at").alias("first")).select(F.col("sources").alias("cs"), "last", "first")
+    last = ended.groupBy("sources").agg(F.max(F.when(nearer, F.col("at"))).alias("last"), F.min("at").alias("first"))
+    ends = scratch.keep(plan.join(last, same, "left").drop("sources"), "ends")
 
-    at = F.struct("digest", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("key"))
-    first = F.col("rest") > 0
     # no document of the cell is taken: everything before its first document is
     chosen = F.when(F.col("last").isNotNull(), at <= F.col("last")).when(F.col("first").isNotNull(), at < F.col("first")).otherwise(False)
-    joined = sized.join(plan, same).join(F.broadcast(last), F.col("sources").eqNullSafe(F.col("cs")), "left")
-    times = F.col("passes") + F.when(first & chosen, 1).otherwise(0)
-    return joined.select(F.col("id").alias(id_col), "sources", "size", "source_size", "target",
-                         (F.col("size") * F.least(times, F.lit(passes))).cast("long").alias("taken"))
+    times = F.col("passes") + F.when((F.col("rest") > 0) & chosen, 1).otherwise(0)
+    return sized.join(ends, same).select(F.col("id").alias(id_col), "sources", "size", "source_size", "target",
+                                         (F.col("size") * F.least(times, F.lit(passes))).cast("long").alias("taken"))

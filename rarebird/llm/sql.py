@@ -2,7 +2,7 @@
 
 OP3 = r"""
 WITH d AS (SELECT doc_id, source, len(list_filter(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
-  md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+  md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS digest, row_number() OVER () AS r FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM d GROUP BY source),
 w AS (SELECT source, n, CASE k % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS w, 2 * n AS cap FROM s),
 o AS (SELECT *, row_number() OVER (ORDER BY cap / w, k) AS i FROM (SELECT w.*, s.k FROM w JOIN s ON w.source IS NOT DISTINCT FROM s.source)),
@@ -13,8 +13,7 @@ t AS (SELECT source, n, least(cap::DOUBLE, level * w) AS target FROM o, f),
 q AS (SELECT *, least(floor(target + 0.5)::BIGINT, 2 * n) AS x FROM t),
 p AS (SELECT q.*, CASE WHEN n > 0 THEN x // n ELSE 0 END AS passes, CASE WHEN n > 0 THEN x % n ELSE 0 END AS rest FROM q),
 c AS (SELECT d.*, p.n AS source_size, p.target, p.passes, p.rest,
-  sum(size) OVER (PARTITION BY d.source ORDER BY digest, coalesce(doc_id::VARCHAR, '') RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
-  sum(size) OVER (PARTITION BY d.source, digest, doc_id) AS own FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+  sum(size) OVER (PARTITION BY d.source ORDER BY digest, r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto, size AS own FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target, (size * least(2, passes + CASE WHEN rest > 0 AND upto - own < rest
   AND (upto <= rest OR upto - rest < rest - upto + own) THEN 1 ELSE 0 END))::BIGINT AS taken FROM c
 """

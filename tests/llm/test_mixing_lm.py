@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -36,10 +37,56 @@ def test_flow_is_maximal_and_cheapest():
     assert (sum(used.values()), -cost) == best
 
 
-def test_targets():
-    assert mixing.fill_targets([100, 100, 100], [5, 2, 1], 450, 2) == [200.0, 500 / 3, 250 / 3]
-    assert mixing.fill_targets([0, 10], [5, 2], 15, 2) == [0.0, 15.0]
-    assert mixing.fill_targets([], [], 0, 2) == []
+def fill(sizes, weights, total, passes):
+    """Targets by resharing the excess until none is above its cap."""
+    out, open_ = [0.0] * len(sizes), set(range(len(sizes)))
+    while open_:
+        left = total - sum(out[i] for i in range(len(sizes)) if i not in open_)
+        level = left / sum(weights[i] for i in open_)
+        over = {i for i in open_ if level * weights[i] >= passes * sizes[i]}
+        for i in over or open_:
+            out[i] = float(passes * sizes[i]) if over else level * weights[i]
+        open_ -= over or open_
+    return out
+
+
+def test_targets(spark):
+    assert fill([100, 100, 100], [5, 2, 1], 450, 2) == [200.0, 500 / 3, 250 / 3]
+    rng = random.Random(4)
+    cases = [[100, 100, 100], [0, 10], [7], [0, 0], [rng.choice([1, 5, 1000, rng.randrange(10**6)]) for _ in range(200)]]
+    for sizes in cases:
+        names = sorted(f"{'é' if k % 2 else 'z'}{k}" for k in range(len(sizes) - 1)) + [None]
+        df = spark.createDataFrame(list(zip(names, sizes, strict=True)), "source string, source_size bigint").orderBy(F.rand(3))
+        got = {r.source: r.target for r in mixing.set_targets(df, (5, 2, 1), 1.5, 2, Scratch(spark)).collect()}
+        want = fill(sizes, [(5, 2, 1)[k % 3] for k in range(len(sizes))], 1.5 * sum(sizes), 2)
+        assert all(abs(got[s] - t) <= 1e-9 * t for s, t in zip(names, want, strict=True)), sizes
+    assert mixing.set_targets(df.where("false"), (5, 2, 1), 1.5, 2, Scratch(spark)).count() == 0
+
+
+def test_one_id_or_one_row_may_hold_a_third(spark):
+    """Targets are met to half a document, whoever shares an id, a null id or a whole row."""
+    rng, rows = random.Random(5), []
+    for k in range(3000):
+        kind = k % 3
+        size = rng.randrange(1, 60)
+        text = "equal row " * 10 if kind == 0 and k % 2 else f"{k} " * size
+        rows.append((None if kind == 0 and k % 4 < 2 else 7 if kind == 0 else k, text, f"s{k * 7 % 5}"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(6)
+    a, b = (mixing.mix(df, F.array("source")).collect() for _ in range(2))
+    assert sorted(map(str, a)) == sorted(map(str, b)) and len(a) == len(rows)
+    for s in {r[2] for r in rows}:
+        mine = [r for r in a if r.sources == [s]]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine) / 2 + 1, s
+        assert all(r.taken in (0, r.size, 2 * r.size) for r in mine)
+
+
+def test_more_sources_than_the_driver_would_hold(spark):
+    df = spark.range(25_000 * 3).select(
+        F.col("id").alias("doc_id"), F.expr("concat('site', id % 25000)").alias("source"), F.expr("repeat('w ', 1 + id % 7)").alias("text"))
+    rows = mixing.mix(df, F.array("source")).groupBy("sources").agg(
+        F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("size").alias("size"), F.max("source_size").alias("n")).collect()
+    assert len(rows) == 25_000 and all(abs(r.taken - r.target) <= r.size / 2 + 1 and r.target <= 2 * r.n for r in rows)
+    assert abs(sum(r.target for r in rows) - 1.5 * sum(r.n for r in rows)) < 1e-6 * sum(r.n for r in rows)
 
 
 def test_mix_near_targets_and_repeatable(spark):
