@@ -1,21 +1,29 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Tokens are the words of a text with A-Z lowered, then one end token, which is also the context of
-the first word. The root is the add-one unigram distribution over the V known tokens and one unknown
-token. A context of one or two preceding tokens becomes a node when its next-symbol distribution
-diverges from its parent's by at least ``min_divergence`` (Kullback-Leibler, nats). A node's
-distribution is discounted and smoothed with its parent's:
+Tokens are the words of a text with A-Z lowered, then one end token; a start mark precedes the first
+word and serves as context only. The root is the add-one unigram distribution over the V known
+tokens and one unknown token. A context (the preceding tokens, as many as it has) becomes a node
+when its next-symbol distribution diverges from that of its parent, the context without its oldest
+token, by at least ``min_divergence`` (Kullback-Leibler, nats). A node's distribution is discounted
+and smoothed with its parent's:
 
     P(w | s) = max(c(s, w) - d, 0) / c(s) + g(s) * P(w | parent(s)),   g(s) = the mass given up,
 
 which sums to 1 at every node. A token is scored at the node of the longest retained suffix of what
 precedes it.
 
-The tree holds events whose share of all training tokens is at least ``p_min`` (its growth
-threshold), so it has at most 1/p_min words, pairs and triples each: that bound is what may be
-broadcast. Pairs are counted only where both words reach the threshold, triples only where both
-pairs do (a rarer event cannot reach it). All other words stay in a distributed table of counts and
-are looked up by a join, so base and score use the exact count of every word.
+The tree grows level by level, one aggregation a level. An event (s, w) is held from ``min_count``
+occurrences, an absolute number, so more text gives more and longer contexts. A context is tried
+when its parent is a node and it was counted as an event of the level before; growth ends
+when no context passes, or at ``max_depth``. Filters of bounded size skip most windows that cannot
+reach the count; what they let through wrongly is dropped by the exact counts.
+
+The model is a table of keys and values, made so that a document's score is a sparse dot product:
+with ``root(w)``, ``log10 g(s)`` of each node and ``log10 P(w|s) / (g(s) P(w|parent))`` of each held
+event, the values on a token's chain add up to the log10 of its probability, and whatever is not in
+the table adds nothing (an unknown word: the root's unknown share). The most frequent entries (at
+most ``HOT``) are broadcast and added up in the scan; every other key that may be in the table goes
+through a join. Tokens and contexts are 64-bit hashes.
 
 Edge cases: a null text counts as empty and scores its end token; with no training text every token
 is unknown; repeated rows each teach and are each scored; null ids are scored and teach (they are
@@ -24,246 +32,323 @@ never in a held-out remainder); an empty table gives an empty result; only id an
 
 from __future__ import annotations
 
-from collections import Counter
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import repeat
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarebird.llm.common import SPACE, SPACE_CHARS, Scratch, bytes_of, lower_ascii, text_of
+from rarebird.llm.common import _BASE, _ODD, Scratch, byte_buffer, bytes_of, gram_hashes, mix, steps, word_hashes, word_spans
 
-#: least share of training tokens of an event in the tree
-P_MIN = 2e-6
+#: least occurrences of an event in the tree
+MIN_COUNT = 16
 MIN_DIVERGENCE = 0.01
 DISCOUNT = 0.75
-END = b"\n"  # no word can be this
-#: counted events that a task holds before it passes them on
-FLUSH = 1_000_000
+#: longest context; growth ends before it where no context passes
+MAX_DEPTH = 8
+#: entries that are broadcast, of 16 bytes each
+HOT = 2_000_000
+#: most bits of a filter (32 MB)
+FILTER_BITS = 1 << 28
+#: windows that a task holds before it counts and passes them on
+FLUSH = 4_000_000
 
+START, END = np.uint64(0x53), np.uint64(0x45)
+_NODE, _EVENT, _EVEN = np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(0x3C3C3C3C3C3C3C3C), ~np.uint64(1)
 
-@dataclass
-class Tree:
-    """Words (the end token first) with their counts; nodes and events of depth 1 and 2, by sorted code."""
 
-    words: list[bytes]
-    counts: np.ndarray
-    n_tokens: int
-    n_known: int
-    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # code a * W + w of frequent pairs
-    p1: np.ndarray = field(default_factory=lambda: np.zeros(0))  # discounted P(w | a), 0 where a is no node
-    g1: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by word a; 1 where a is no node
-    triples: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # code pair(b, a) * W + w
-    p2: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    g2: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by pair (b, a)
-
-    def index(self) -> dict[bytes, int]:
-        return {w: k for k, w in enumerate(self.words)}
-
-    def root(self) -> np.ndarray:
-        return (self.counts + 1.0) / (self.n_tokens + self.n_known + 1.0)
-
-
-def _find(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted code among sorted codes, -1 where it is none of them."""
-    if not len(codes):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
-    return np.where(codes[at] == wanted, at, -1)
-
-
-def _encode(texts: pa.Array, index: dict[bytes, int], rare: list[list[bytes]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word, previous, one before, row) of every token; -1 is a word outside the index, or none."""
-    parts, rows = [], []
-    for k, text in enumerate(texts):
-        words = text.as_py().lower().split()
-        ids = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
-        if rare is not None:
-            rare.append([words[i] for i in np.flatnonzero(ids < 0)])
-        parts.append(np.concatenate([[-1, 0], ids, [0]]))  # 0 is the end token, as context and as token
-        rows.append(np.full(len(words) + 3, k))
-    flat, row = np.concatenate(parts), np.concatenate(rows)
-    here = np.flatnonzero((row[2:] == row[:-2])) + 2
-    return flat[here], flat[here - 1], flat[here - 2], row[here]
-
-
-def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
-
-
-def _count(batches: Iterator[pa.RecordBatch], codes_of) -> Iterator[pa.RecordBatch]:
-    """Counts of codes, combined in the task before the shuffle."""
-    held, size = [], 0
-
-    def flush() -> pa.RecordBatch:
-        codes, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], ["code", "n"])
-
-    for whole in batches:
-        for part in _slices(whole):
-            held.append(codes_of(part.column("text")))
-            size += len(held[-1])
-            if size >= FLUSH:
-                yield flush()
-                held, size = [], 0
-    if size:
-        yield flush()
-
-
-def _events(rows: DataFrame, codes_of, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes counted at least ``least`` times, sorted, with their counts: at most 1/p_min of them."""
-    got = rows.mapInArrow(lambda batches: _count(batches, codes_of), "code bigint, n bigint")
-    table = got.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-    codes, n = table["code"].to_numpy().astype(np.int64), table["n"].to_numpy().astype(np.int64)
-    order = np.argsort(codes)
-    return codes[order], n[order]
-
-
-def _node(context: np.ndarray, n: np.ndarray, total: np.ndarray, parent: np.ndarray, min_divergence: float,
-          discount: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Event probabilities, given-up mass and divergence of each context (indexed as ``total``)."""
-    by_context = lambda x: np.bincount(context, weights=x, minlength=len(total)).astype(float)
-    share = n / total[context]
-    divergence = by_context(share * np.log(share / parent))
-    rest = 1.0 - by_context(share)  # events below the threshold
-    rest_parent = np.clip(1.0 - by_context(parent), 1e-12, 1.0)
-    tail = np.clip(rest, 0, 1)
-    divergence += np.where(tail > 0, tail * np.log(np.maximum(tail, 1e-300) / rest_parent), 0.0)
-    on = divergence >= min_divergence
-    p = np.where(on[context], np.maximum(n - discount, 0) / total[context], 0.0)
-    return p, np.where(on, 1.0 - by_context(p), 1.0), on
+def step(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Hash of a context followed by a token; ``gram_hashes`` of n tokens is n steps from 0."""
+    return mix(context * _BASE + token + _ODD)
+
+
+def word_key(token: np.ndarray) -> np.ndarray:
+    return (mix(token) | np.uint64(1)).view(np.int64)
+
+
+def node_key(context: np.ndarray) -> np.ndarray:
+    return (mix(context ^ _NODE) & _EVEN).view(np.int64)
+
+
+def event_key(gram: np.ndarray) -> np.ndarray:
+    return (mix(gram ^ _EVENT) & _EVEN).view(np.int64)
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Start mark, words and end token of every text, end to end, and the row of each."""
+    data, offsets = byte_buffer(texts)
+    data = data + np.uint8(32) * ((data >= 65) & (data <= 90))
+    starts, ends, row = word_spans(data, offsets)
+    n = len(texts)
+    size = np.bincount(row, minlength=n) + 2
+    last = np.cumsum(size) - 1
+    seq = np.full(int(size.sum()), END, np.uint64)
+    seq[last - size + 1] = START
+    seq[np.arange(len(row)) + 2 * row + 1] = word_hashes(data, starts, ends)
+    return seq, np.repeat(np.arange(n), size)
 
 
 @dataclass
-class Model:
-    tree: Tree
-    counts: DataFrame  # (word, c): every training token
+class Bits:
+    """A filter of keys: two bits each; it may pass a key it does not hold, never the reverse."""
 
+    size: int
+    words: np.ndarray
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    body = F.btrim(lower_ascii(text_of(text)), F.lit(SPACE_CHARS))
-    words = docs.select(F.explode(F.split(body, SPACE)).alias("word")).where("word <> ''")
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("c"))
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        on = np.ones(len(keys), bool)
+        for shift in (1, 33):
+            slot = (keys.view(np.uint64) >> np.uint64(shift)) & np.uint64(self.size - 1)
+            on &= (self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+        return on
 
 
-def fit(docs: DataFrame, scratch: Scratch, text: str = "text", p_min: float = P_MIN,
-        min_divergence: float = MIN_DIVERGENCE, discount: float = DISCOUNT) -> Model:
-    """The tree of the whole texts of ``docs``, and the counts of all their words."""
-    spark = docs.sparkSession
-    counts = scratch.keep(word_counts(docs, text), "words")
-    seen = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n_docs = docs.count()
-    n_tokens, n_known = int(seen["n"] or 0) + n_docs, int(seen["v"]) + (n_docs > 0)
-    least = max(2, int(np.ceil(p_min * n_tokens)))
-    often = counts.where(F.col("c") >= least).toArrow()  # at most 1/p_min words
-    words = sorted(zip(often["word"].to_pylist(), often["c"].to_pylist(), strict=True))
-    tree = Tree([END] + [w.encode() for w, _ in words], np.array([n_docs] + [c for _, c in words], np.int64), n_tokens, n_known)
-    width = len(tree.words)
-    tree.g1 = np.ones(width)
-    rows = docs.select(bytes_of(text).alias("text"))
+def filter_of(keys: DataFrame, most: int = FILTER_BITS) -> Bits:
+    """The filter of the column ``key``, put together by an aggregation over its 64-bit words."""
+    n = keys.count()
+    size = min(most, max(1 << 12, 1 << math.ceil(math.log2(16 * n + 1))))
+    slot = F.explode(F.array(*[F.shiftrightunsigned("key", s).bitwiseAND(F.lit(size - 1)) for s in (1, 33)]))
+    one = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    got = keys.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
+    words = np.zeros(size // 64, np.int64)
+    words[got["at"].to_numpy()] = got["bits"].to_numpy()
+    return Bits(size, words.view(np.uint64))
 
-    shared = spark.sparkContext.broadcast(tree.words)
-    known = _Index(shared)
 
-    def pair_codes(texts: pa.Array) -> np.ndarray:
-        w, a, _, _ = _encode(texts, known.get())
-        on = (w >= 0) & (a >= 0)
-        return a[on] * width + w[on]
+def _arrow(df: DataFrame, columns: dict, schema: str) -> DataFrame:
+    """``df`` with columns made by numpy from its rows: name -> function of the columns as uint64."""
 
-    tree.pairs, n_pair = _events(rows, pair_codes, least)
-    root = tree.root()
-    a, w = tree.pairs // width, tree.pairs % width
-    tree.p1, tree.g1, _ = _node(a, n_pair, np.maximum(tree.counts, 1).astype(float), root[w], min_divergence, discount)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = {n: batch.column(n).to_numpy(zero_copy_only=False).view(np.uint64)
+                   for n in batch.schema.names if pa.types.is_int64(batch.schema.field(n).type)}
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(f(raw).view(np.int64)) for f in columns.values()]],
+                                             [*batch.schema.names, *columns])
 
-    pairs = spark.sparkContext.broadcast(tree.pairs)
+    return df.mapInArrow(run, schema)
 
-    def triple_codes(texts: pa.Array) -> np.ndarray:
-        w, a, b, _ = _encode(texts, known.get())
-        on = (w >= 0) & (a >= 0) & (b >= 0)
-        w, a, b = w[on], a[on], b[on]
-        context = _find(pairs.value, b * width + a)
-        on = (context >= 0) & (_find(pairs.value, a * width + w) >= 0)
-        return context[on] * width + w[on]
 
-    tree.triples, n_triple = _events(rows, triple_codes, least)
-    context, w = tree.triples // width, tree.triples % width
-    a = tree.pairs[context] % width if len(context) else context
-    p1 = tree.p1[_find(tree.pairs, a * width + w)] if len(context) else np.zeros(0)
-    parent = p1 + tree.g1[a] * root[w]
-    tree.p2, tree.g2, _ = _node(context, n_triple, n_pair.astype(float), parent, min_divergence, discount)
-    return Model(tree, counts)
+def _counted(rows: DataFrame, windows, names: list[str], least: int) -> DataFrame:
+    """Tuples that ``windows`` cuts from texts, counted in the task and then over all; ``least`` or more."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            order = np.lexsort(columns[::-1])
+            columns = [c[order] for c in columns]
+            new = np.ones(len(order), bool)
+            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+            at = np.flatnonzero(new)
+            n = np.diff(np.append(at, len(order)))
+            return pa.RecordBatch.from_arrays([*[pa.array(c[at].view(np.int64)) for c in columns], pa.array(n)], [*names, "n"])
+
+        for batch in batches:
+            for part in steps(batch):
+                held.append(windows(*tokens(part.column("text"))))
+                size += len(held[-1][0])
+                if size >= FLUSH:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
+
+    schema = ", ".join(f"{n} bigint" for n in [*names, "n"])
+    return rows.mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
-class _Index:
-    """A dictionary of broadcast words, built once per Python worker process and task."""
 
-    def __init__(self, shared):
-        self.shared, self.made = shared, None
+@dataclass
+class Model:
+    entries: DataFrame  # (key, n, value): words, nodes and held events
+    n_tokens: int
+    n_known: int
+    depth: int  # longest context that is a node
 
-    def __getstate__(self):
-        return {"shared": self.shared, "made": None}
+    @property
+    def floor(self) -> float:
+        return float(self.n_tokens + self.n_known + 1)
 
-    def get(self) -> dict[bytes, int]:
-        if self.made is None:
-            self.made = {w: k for k, w in enumerate(self.shared.value)}
-        return self.made
 
+def _windows(depth: int, contexts, events):
+    """Context and token of the windows whose context may be tried and whose shorter event is held."""
 
-def score(docs: DataFrame, model: Model, scratch: Scratch, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities) of every row."""
+    def cut(seq: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        context, _, at = gram_hashes(seq, row, depth)
+        follows = at + depth < len(seq)
+        follows[follows] = row[at[follows] + depth] == row[at[follows]]
+        context, at = context[follows], at[follows]
+        on = contexts.value(node_key(context))
+        context, at = context[on], at[on]
+        shorter = np.zeros(len(at), np.uint64)
+        for k in range(1, depth + 1):
+            shorter = step(shorter, seq[at + k])
+        on = events.value(event_key(shorter))
+        return context[on], seq[at + depth][on]
+
+    return cut
+
+
+def fit(docs: DataFrame, scratch: Scratch, text: str = "text", min_count: int = MIN_COUNT,
+        min_divergence: float = MIN_DIVERGENCE, discount: float = DISCOUNT, max_depth: int = MAX_DEPTH,
+        filter_bits: int = FILTER_BITS) -> Model:
+    """The tree of the whole texts of ``docs``, with the counts of all their words."""
     spark = docs.sparkSession
-    tree, width = model.tree, len(model.tree.words)
-    shared = spark.sparkContext.broadcast(tree)
-    words = spark.sparkContext.broadcast(tree.words)
-    known = _Index(words)
-    floor = float(tree.n_tokens + tree.n_known + 1)
+    rows = docs.select(bytes_of(text).alias("text"))
+    seen = scratch.keep(_counted(rows, lambda seq, row: (seq[seq != START],), ["w"], 1), "words")
+    total = seen.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    model = Model(seen, int(total["n"] or 0), int(total["v"]), 0)
+    root = (F.col("n") + 1.0) / F.lit(model.floor)
+    key = {"key": lambda c: word_key(c["w"])}
+    parts = [_arrow(seen.select("w", "n", F.log10(root).alias("value")), key, "w bigint, n bigint, value double, key bigint").drop("w")]
+
+    ends = seen.where(F.col("w") == F.lit(int(END))).select("n")  # one for each text
+    starts = ends.select(F.lit(0).cast("long").alias("parent"), F.lit(int(START)).cast("long").alias("w"), "n")
+    # events of the level before: context and its parent, token, count, probability; contexts to try: s, its parent, count
+    events = seen.where(F.col("n") >= min_count).select(F.lit(0).cast("long").alias("s"), "w", "n", root.alias("p"))
+    tried = events.where(F.col("w") != F.lit(int(END))).select(F.lit(0).cast("long").alias("parent"), "w", "n").unionByName(starts)
+    tried = _arrow(tried, {"s": lambda c: step(np.uint64(0), c["w"])}, "parent bigint, w bigint, n bigint, s bigint").drop("w")
+    for depth in range(1, max_depth + 1):
+        tried = scratch.keep(tried.where(F.col("n") >= min_count), f"tried-{depth}")
+        if tried.isEmpty():
+            break
+        to_key = _arrow(tried.select("s"), {"key": lambda c: node_key(c["s"])}, "s bigint, key bigint").select("key")
+        held_key = _arrow(events.select("s", "w"), {"key": lambda c: event_key(step(c["s"], c["w"]))}, "s bigint, w bigint, key bigint").select("key")
+        sieves = [spark.sparkContext.broadcast(filter_of(k, filter_bits)) for k in (to_key, held_key)]
+        counted = _counted(rows, _windows(depth, *sieves), ["s", "w"], min_count)
+        counted = counted.join(tried.withColumnRenamed("n", "c"), "s")
+        before = events.select(F.col("s").alias("parent"), "w", F.col("p").alias("pp"))
+        counted = scratch.keep(counted.join(before, ["parent", "w"]), f"counted-{depth}")
+        for sieve in sieves:
+            sieve.destroy()
+        nodes = scratch.keep(_nodes(counted, min_divergence, discount), f"nodes-{depth}")
+        if nodes.isEmpty():
+            break
+        model.depth = depth
+        own = F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("c")
+        events = scratch.keep(counted.join(nodes.select("s", "g"), "s").withColumn("p", own + F.col("g") * F.col("pp")), f"events-{depth}")
+        parts.append(_arrow(nodes.select("s", F.col("c").alias("n"), F.log10("g").alias("value")), {"key": lambda c: node_key(c["s"])},
+                            "s bigint, n bigint, value double, key bigint").drop("s"))
+        parts.append(_arrow(events.select("s", "w", "n", F.log10(F.col("p") / (F.col("g") * F.col("pp"))).alias("value")),
+                            {"key": lambda c: event_key(step(c["s"], c["w"]))},
+                            "s bigint, w bigint, n bigint, value double, key bigint").drop("s", "w"))
+        longer = _arrow(counted.where(F.col("w") != F.lit(int(END))).select("s", "w", "n", "parent"),
+                        {"longer": lambda c: step(c["s"], c["w"]),
+                         "shorter": (lambda c: step(c["parent"], c["w"]))},
+                        "s bigint, w bigint, n bigint, parent bigint, longer bigint, shorter bigint")
+        tried = longer.select(F.col("longer").alias("s"), F.col("shorter").alias("parent"), "n").join(
+            nodes.select(F.col("s").alias("parent")), "parent", "left_semi").select("parent", "n", "s")
+    entries = parts[0]
+    for part in parts[1:]:
+        entries = entries.unionByName(part)
+    model.entries = scratch.keep(entries.select("key", "n", "value"), "entries")
+    return model
+
+
+def _nodes(counted: DataFrame, min_divergence: float, discount: float) -> DataFrame:
+    """Contexts that diverge from their parent: s, count and given-up mass."""
+    share = F.col("n") / F.col("c")
+    sums = counted.groupBy("s", "c").agg(
+        F.sum(share * F.log(share / F.col("pp"))).alias("d"), F.sum(share).alias("held"), F.sum("pp").alias("held_pp"),
+        F.sum(F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("c")).alias("own"))
+    rest = F.greatest(1.0 - F.col("held"), F.lit(0.0))  # events below the least count, as one
+    rest_pp = F.greatest(1.0 - F.col("held_pp"), F.lit(1e-12))
+    tail = F.when(rest > 1e-12, rest * F.log(rest / rest_pp)).otherwise(0.0)
+    return sums.where(F.col("d") + tail >= min_divergence).select("s", "c", (1.0 - F.col("own")).alias("g"))
+
+
+def _hot(entries: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """The count from which entries are broadcast, and their sorted keys and values: at most ``most``."""
+    level = F.floor(F.log2("n") * 8).cast("int")
+    sizes = entries.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("n")).orderBy(F.desc("level")).collect()
+    least, held = 1 << 62, 0
+    for size in sizes:
+        held += size["m"]
+        if held > most:
+            break
+        least = size["n"]
+    got = entries.where(F.col("n") >= least).select("key", "value").toArrow()
+    keys, values = got["key"].to_numpy(), got["value"].to_numpy()
+    order = np.argsort(keys)
+    return least, keys[order], values[order]
+
+
+def _add(total: dict, kind: str, keys: np.ndarray, row: np.ndarray, hot_keys: np.ndarray, hot_values: np.ndarray,
+         n: int, cold: list) -> np.ndarray:
+    """Adds the values of broadcast keys to their rows' sums; the others go to ``cold``."""
+    unique, back = np.unique(keys, return_inverse=True)
+    at = np.minimum(np.searchsorted(hot_keys, unique), max(len(hot_keys) - 1, 0))
+    found = hot_keys[at] == unique if len(hot_keys) else np.zeros(len(unique), bool)
+    value = np.where(found, hot_values[at] if len(hot_keys) else 0.0, 0.0)[back]
+    known = found[back]
+    total[kind] = total.get(kind, 0.0) + np.bincount(row, weights=value, minlength=n)
+    cold.append((row[~known], keys[~known]))
+    return known
+
+
+def score(docs: DataFrame, model: Model, scratch: Scratch, id_col: str = "doc_id", text: str = "text", hot: int = HOT,
+          filter_bits: int = FILTER_BITS) -> DataFrame:
+    """id, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities) of every row."""
+    spark: SparkSession = docs.sparkSession
+    least, *table = _hot(model.entries, hot)
+    tree = model.entries.where(F.col("key").bitwiseAND(F.lit(1)) == 0)
+    shared = spark.sparkContext.broadcast((*table, filter_of(tree.select("key"), filter_bits)))
+    depth = model.depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, number = shared.value, 0
-        root, where = t.root(), TaskContext.get().partitionId()
-        for whole in batches:
-            for part in _slices(whole):
-                n, rare = part.num_rows, []
-                w, a, b, row = _encode(part.column("text"), known.get(), rare)
-                pair = _find(t.pairs, np.where((a >= 0) & (w >= 0), a * width + w, -1))
-                context = _find(t.pairs, np.where((a >= 0) & (b >= 0), b * width + a, -1))
-                triple = _find(t.triples, np.where((context >= 0) & (w >= 0), context * width + w, -1))
-                g1 = np.where(a >= 0, t.g1[a], 1.0)
-                g2 = np.where(context >= 0, t.g2[context] if len(t.g2) else 1.0, 1.0)
-                p0 = np.where(w >= 0, root[w], 1.0)  # of a rare word the join adds its root probability
-                p1 = np.where(pair >= 0, t.p1[pair] if len(t.p1) else 0.0, 0.0) + g1 * p0
-                p = np.where(triple >= 0, t.p2[triple] if len(t.p2) else 0.0, 0.0) + g2 * p1
-                total = lambda x: np.bincount(row, weights=x, minlength=n)
-                tallies = [Counter(r) for r in rare]
-                cuts = np.concatenate([[0], np.cumsum([len(c) for c in tallies])]).astype(np.int32)
-                names = pa.array([k.decode("utf-8", "replace") for c in tallies for k in c], pa.string())
-                times = pa.array([v for c in tallies for v in c.values()], pa.int64())
+        hot_keys, hot_values, in_tree = shared.value
+        where, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for part in steps(batch):
+                n, total, cold = part.num_rows, {}, []
+                seq, row = tokens(part.column("text"))
+                here = np.flatnonzero(seq != START)
+                known = _add(total, "word", word_key(seq[here]), row[here], hot_keys, hot_values, n, cold)
+                on_event = np.ones(len(here), bool)  # the event with the shorter context may be held
+                context_at = here  # first token of the context
+                for d in range(1, depth + 1):
+                    inside = context_at > 0
+                    inside[inside] = row[context_at[inside] - 1] == row[context_at[inside]]
+                    here, context_at, on_event = here[inside], context_at[inside] - 1, on_event[inside]
+                    context = np.zeros(len(here), np.uint64)
+                    for k in range(d):
+                        context = step(context, seq[context_at + k])
+                    keys = node_key(context)
+                    on = in_tree(keys)
+                    here, context_at, on_event, context, keys = here[on], context_at[on], on_event[on], context[on], keys[on]
+                    _add(total, "tree", keys, row[here], hot_keys, hot_values, n, cold)
+                    gram = event_key(step(context, seq[here]))
+                    on_event[on_event] = in_tree(gram[on_event])
+                    _add(total, "tree", gram[on_event], row[here[on_event]], hot_keys, hot_values, n, cold)
+                at, keys = (np.concatenate(c) for c in zip(*cold, strict=True))
+                keys = keys[np.argsort(at, kind="stable")]
+                cuts = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))]).astype(np.int32)
+                word_row = row[seq != START]
+                words = total["word"]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([f"{where}-{number + k}" for k in range(n)]),
-                    pa.array(np.bincount(row, minlength=n)), pa.array(total(w >= 0).astype(np.int64)),
-                    pa.array(total(np.log10(p0))), pa.array(total(np.log10(p))),
-                    pa.ListArray.from_arrays(cuts, names), pa.ListArray.from_arrays(cuts, times)], fields)
+                    part.column(0), pa.array((np.int64(where) << np.int64(33)) + number + np.arange(n)),
+                    pa.array(np.bincount(word_row, minlength=n)), pa.array(np.bincount(word_row[known], minlength=n)),
+                    pa.array(words), pa.array(words + total.get("tree", 0.0)), pa.ListArray.from_arrays(cuts, pa.array(keys))], fields)
                 number += n
 
-    fields = ["id", "row", "n_tokens", "often", "base", "own", "words", "times"]
+    fields = ["id", "row", "n_tokens", "often", "base", "own", "keys"]
     rows = docs.select(F.col(id_col).alias("id"), bytes_of(text).alias("text"))
     parts = scratch.keep(rows.mapInArrow(
-        run, f"id {rows.schema['id'].dataType.simpleString()}, row string, n_tokens bigint, often bigint, base double, own double, "
-        "words array<string>, times array<bigint>"), "partial")
-    if tree.n_tokens == 0:  # the end token is unknown too
-        parts = parts.withColumn("often", F.lit(0).cast("long"))
-    rare = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", "x.words", "x.times")
-    looked = rare.join(model.counts.withColumnRenamed("word", "words"), "words", "left")
-    count = F.coalesce("c", F.lit(0))
+        run, f"id {rows.schema['id'].dataType.simpleString()}, row bigint, n_tokens bigint, often bigint, base double, own double, "
+        "keys array<bigint>"), "partial")
+    rest = model.entries.where(F.col("n") < least).select("key", "value")
+    looked = parts.select("row", F.explode("keys").alias("key")).join(rest, "key", "left")
+    is_word: Column = F.col("key").bitwiseAND(F.lit(1)) == 1
+    value = F.coalesce("value", F.when(is_word, -math.log10(model.floor)).otherwise(0.0))
     sums = looked.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((count + 1.0) / floor)).alias("rare"), F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("also"))
-    added: Column = F.coalesce("rare", F.lit(0.0))
-    return parts.drop("words", "times").join(sums, "row", "left").select(
+        F.sum(value).alias("tree"), F.sum(F.when(is_word, value).otherwise(0.0)).alias("words"),
+        F.count(F.when(is_word & F.col("value").isNotNull(), 1)).alias("also"))
+    zero = F.lit(0.0)
+    return parts.drop("keys").join(sums, "row", "left").select(
         F.col("id").alias(id_col), "n_tokens", (F.col("often") + F.coalesce("also", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(tree.n_tokens).cast("long").alias("train_tokens"), (F.col("base") + added).alias("base_score"),
-        (F.col("own") + added).alias("score"))
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("words", zero)).alias("base_score"),
+        (F.col("own") + F.coalesce("tree", zero)).alias("score"))

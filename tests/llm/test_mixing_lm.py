@@ -128,43 +128,79 @@ def test_base_score_matches_brute_force(spark, texts):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_scores_are_probabilities(spark):
-    """Over every token that may follow a context, known and unknown, probabilities sum to 1."""
-    sentences = ["the cat sat", "the cat ran", "the dog sat", "a cat sat", "the cat sat"] * 4
-    train = spark.createDataFrame([(k, t) for k, t in enumerate(sentences)], "doc_id int, text string")
-    scratch = Scratch(spark)
-    model = suffix_tree_lm.fit(train, scratch, p_min=0.01, min_divergence=0.001)
-    assert (model.tree.g1 < 1).any() and (model.tree.g2 < 1).any()
-    words = ["the", "cat", "sat", "ran", "dog", "a"]
-    prefixes = ["the cat", "the", "", "zebra cat", "cat sat"]
-    rows = [(k, f"{p} {w}".strip()) for k, (p, w) in enumerate((p, w) for p in prefixes for w in [*words, "unknown"])]
-    extra = [(1000 + k, p) for k, p in enumerate(prefixes)]
-    got = {r.doc_id: r.score for r in suffix_tree_lm.score(spark.createDataFrame(rows + extra, "doc_id int, text string"), model, scratch).collect()}
-
-    tree, index = model.tree, model.tree.index()
-
-    def after(context, word):  # the same model by dictionaries
-        root = tree.root()[index[word]] if word in index else 1 / (tree.n_tokens + tree.n_known + 1)
-        p, w, width = root, index.get(word, -1), len(tree.words)
-        pairs = {c: k for k, c in enumerate(tree.pairs.tolist())}
-        triples = {c: k for k, c in enumerate(tree.triples.tolist())}
-        a, b = index.get(context[-1], -1), index.get(context[-2], -1) if len(context) > 1 else -1
-        if a >= 0:
-            k = pairs.get(a * width + w) if w >= 0 else None
-            p = (tree.p1[k] if k is not None else 0) + tree.g1[a] * p
-        if a >= 0 and b >= 0 and b * width + a in pairs:
-            s = pairs[b * width + a]
-            k = triples.get(s * width + w) if w >= 0 else None
-            p = (tree.p2[k] if k is not None else 0) + tree.g2[s] * p
-        return p
-
-    for k, t in rows + extra:
-        tokens = [b"\n", *t.encode().split(), b"\n"]
-        want = sum(math.log10(after(tokens[:j], tokens[j])) for j in range(1, len(tokens)))
-        assert abs(got[k] - want) < 1e-9
-    for p in prefixes:
-        context = [b"\n", *p.encode().split()]
-        assert abs(sum(after(context, w) for w in [*index, b"unknown"]) - 1) < 1e-9
+class Dictionary:
+    """The same tree, fitted and read by dictionaries: contexts are tuples of tokens."""
+
+    def __init__(self, train, min_count, min_divergence, max_depth, discount=0.75):
+        texts = [["<", *t.encode().lower().split(), ">"] for t in train]
+        self.counts = Counter(w for t in texts for w in t[1:])
+        self.floor = sum(self.counts.values()) + len(self.counts) + 1
+        self.nodes, level = {}, {}  # context -> (events: token -> discounted share, given-up mass)
+        tried = {(w,): c for w, c in self.counts.items() if w != ">" and c >= min_count}
+        if len(texts) >= min_count:
+            tried[("<",)] = len(texts)
+        held = {(w,) for w, c in self.counts.items() if c >= min_count}
+        for d in range(1, max_depth + 1):
+            grams = Counter(tuple(t[i : i + d + 1]) for t in texts for i in range(len(t) - d))
+            level = {g: n for g, n in grams.items() if n >= min_count and g[:-1] in tried and g[1:] in held}
+            new = {}
+            for s, c in tried.items():
+                events = {g[-1]: n for g, n in level.items() if g[:-1] == s}
+                parent = {w: self.after(s[1:], w) for w in events}
+                gap = sum(n / c * math.log(n / c / parent[w]) for w, n in events.items())
+                rest = 1 - sum(events.values()) / c
+                gap += rest * math.log(rest / (1 - sum(parent.values()))) if rest > 1e-12 else 0
+                if events and gap >= min_divergence:
+                    own = {w: (n - discount) / c for w, n in events.items()}
+                    new[s] = (own, 1 - sum(own.values()))
+            self.nodes |= new
+            held = {g for g in level if g[:-1] in new}
+            tried = {g: n for g, n in level.items() if g[-1] != ">" and g[1:] in new}
+
+    def after(self, context, word):
+        while context and context not in self.nodes:
+            context = context[1:]
+        if not context:
+            return (self.counts.get(word, 0) + 1) / self.floor
+        own, given = self.nodes[context]
+        return own.get(word, 0) + given * self.after(context[1:], word)
+
+    def score(self, text):
+        t = ("<", *text.encode().lower().split(), ">")
+        return sum(math.log10(self.after(t[:j], t[j])) for j in range(1, len(t)))
+
+
+def test_tree_equals_a_dictionary_model(spark):
+    """Fit and scores, whether entries are broadcast or joined and whatever the filters let through."""
+    draw = random.Random(5)
+    phrases = ["the cat sat on the mat", "The cat ran off", "a dog sat on the cat", "so it goes on and on and on", "the end"]
+    train = [" ".join(draw.choice(phrases) for _ in range(draw.randint(0, 6))) + draw.choice(["", " xyzzy", " once %d" % k]) for k in range(150)]
+    tried = train[:40] + ["", "zebra cat", "the cat sat on the zebra", "on and on and on and on and", "THE END", "the " * 50, "und über"]
+    df = spark.createDataFrame(list(enumerate(train)), "doc_id int, text string")
+    asked = spark.createDataFrame(list(enumerate(tried)), "doc_id int, text string")
+    for least, gap, depth in [(3, 0.01, 8), (2, 0.2, 3), (12, 0.0, 5)]:
+        want = Dictionary(train, least, gap, depth)
+        model = suffix_tree_lm.fit(df, Scratch(spark), min_count=least, min_divergence=gap, max_depth=depth)
+        assert model.depth == max(map(len, want.nodes)) >= 2
+        assert model.entries.count() == len(want.counts) + len(want.nodes) + sum(len(own) for own, _ in want.nodes.values())
+        for hot, bits in [(10**6, 1 << 20), (0, 1 << 20), (30, 64)]:
+            got = {r.doc_id: r for r in suffix_tree_lm.score(asked, model, Scratch(spark), hot=hot, filter_bits=bits).collect()}
+            for k, t in enumerate(tried):
+                assert abs(got[k].score - want.score(t)) < 1e-9
+                assert got[k].n_known == sum(w in want.counts for w in [*t.encode().lower().split(), ">"])
+    narrow = suffix_tree_lm.fit(df, Scratch(spark), min_count=3, filter_bits=64)
+    assert narrow.entries.count() == suffix_tree_lm.fit(df, Scratch(spark), min_count=3).entries.count()
+    for context in [("<",), ("<", b"the"), (b"zebra",), (b"on", b"and", b"on"), (b"the",), (b"sat", b"on", b"the")]:
+        assert abs(sum(want.after(context, w) for w in [*want.counts, "unknown"]) - 1) < 1e-9
+
+
+def test_tree_grows_with_the_corpus(spark):
+    """The least count is absolute: twice the same texts hold all that one copy holds, and more."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    once = suffix_tree_lm.fit(docs, Scratch(spark), min_count=4)
+    twice = suffix_tree_lm.fit(docs.unionAll(docs), Scratch(spark), min_count=4)
+    assert twice.entries.count() > once.entries.count() > once.n_known
+    assert once.depth >= 3
 
 
 def test_lm_edges(spark, edge, empty):
