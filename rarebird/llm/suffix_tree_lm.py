@@ -21,8 +21,8 @@ reach the count; what they let through wrongly is dropped by the exact counts.
 The model is a table of keys and values, made so that a document's score is a sparse dot product:
 with ``root(w)``, ``log10 g(s)`` of each node and ``log10 P(w|s) / (g(s) P(w|parent))`` of each held
 event, the values on a token's chain add up to the log10 of its probability, and whatever is not in
-the table adds nothing (an unknown word: the root's unknown share). The most frequent entries (at
-most ``HOT``) are broadcast and added up in the scan; every other key that may be in the table goes
+the table adds nothing (an unknown word: the root's unknown share). The most frequent entries (words
+of a share of ``HOT_SHARE``, at most ``HOT`` nodes and events) are broadcast and added up in the scan; every other key that may be in the table goes
 through a join. Tokens and contexts are 64-bit hashes.
 
 Edge cases: a null text counts as empty and scores its end token; with no training text every token
@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarebird.llm.common import _BASE, _ODD, Scratch, byte_buffer, bytes_of, gram_hashes, mix, steps, word_hashes, word_spans
+from rarebird.llm.common import _BASE, _ODD, Scratch, byte_buffer, bytes_of, mix, steps, word_hashes, word_spans
 
 #: least occurrences of an event in the tree
 MIN_COUNT = 16
@@ -50,19 +50,24 @@ MIN_DIVERGENCE = 0.01
 DISCOUNT = 0.75
 #: longest context; growth ends before it where no context passes
 MAX_DEPTH = 8
-#: entries that are broadcast, of 16 bytes each
+#: nodes and events that are broadcast, of 16 bytes each
 HOT = 2_000_000
+#: share of the training tokens from which a word is broadcast (so at most 500,000 words)
+HOT_SHARE = 2e-6
 #: most bits of a filter (32 MB)
 FILTER_BITS = 1 << 28
 #: windows that a task holds before it counts and passes them on
 FLUSH = 4_000_000
+#: words hashed at a time, and rows handed on at a time
+BLOCK = 200_000
 
 START, END = np.uint64(0x53), np.uint64(0x45)
 _NODE, _EVENT, _EVEN = np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(0x3C3C3C3C3C3C3C3C), ~np.uint64(1)
+_HIGH = ~np.uint64((1 << 24) - 1)
 
 
 def step(context: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Hash of a context followed by a token; ``gram_hashes`` of n tokens is n steps from 0."""
+    """Hash of a context followed by a token; that of n tokens takes n steps from 0."""
     return mix(context * _BASE + token + _ODD)
 
 
@@ -88,7 +93,10 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     last = np.cumsum(size) - 1
     seq = np.full(int(size.sum()), END, np.uint64)
     seq[last - size + 1] = START
-    seq[np.arange(len(row)) + 2 * row + 1] = word_hashes(data, starts, ends)
+    for k in range(0, len(row), BLOCK):  # a very long text by blocks of words
+        first, last_ = starts[k : k + BLOCK], ends[k : k + BLOCK]
+        words = word_hashes(data[first[0] : last_[-1]], first - first[0], last_ - first[0])
+        seq[np.arange(k, k + len(words)) + 2 * row[k : k + BLOCK] + 1] = words
     return seq, np.repeat(np.arange(n), size)
 
 
@@ -138,28 +146,36 @@ def _counted(rows: DataFrame, windows, names: list[str], least: int) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-            order = np.lexsort(columns[::-1])
-            columns = [c[order] for c in columns]
+            held.clear()
+            # by the high bits of the first column, then of the second; where the bits cut off differ, an
+            # equal tuple may come out twice, which the aggregation adds up
+            order = np.argsort(columns[0] if len(columns) == 1 else columns[0] & _HIGH | columns[1] >> np.uint64(40))
+            for k, c in enumerate(columns):
+                columns[k] = c[order]
             new = np.ones(len(order), bool)
             new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
             at = np.flatnonzero(new)
             n = np.diff(np.append(at, len(order)))
-            return pa.RecordBatch.from_arrays([*[pa.array(c[at].view(np.int64)) for c in columns], pa.array(n)], [*names, "n"])
+            for k in range(0, len(at), BLOCK):
+                cut = [pa.array(c[at[k : k + BLOCK]].view(np.int64)) for c in columns]
+                yield pa.RecordBatch.from_arrays([*cut, pa.array(n[k : k + BLOCK])], [*names, "n"])
 
         for batch in batches:
             for part in steps(batch):
                 held.append(windows(*tokens(part.column("text"))))
                 size += len(held[-1][0])
                 if size >= FLUSH:
-                    yield flush()
-                    held, size = [], 0
+                    yield from flush()
+                    size = 0
         if size:
-            yield flush()
+            yield from flush()
 
     schema = ", ".join(f"{n} bigint" for n in [*names, "n"])
-    return rows.mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    # the task has combined them: dealt in its order, equal contexts side by side, a frequent one in eight parts
+    dealt = rows.mapInArrow(run, schema).withColumn("part", F.col(names[-1]).bitwiseAND(F.lit(7))).repartition(names[0], "part")
+    return dealt.groupBy(*names, "part").agg(F.sum("n").alias("n")).where(F.col("n") >= least).drop("part")
 
 
 @dataclass
@@ -174,21 +190,30 @@ class Model:
         return float(self.n_tokens + self.n_known + 1)
 
 
-def _windows(depth: int, contexts, events):
-    """Context and token of the windows whose context may be tried and whose shorter event is held."""
+def _hash_at(seq: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n tokens from each place."""
+    h = np.zeros(len(at), np.uint64)
+    for k in range(n):
+        h = step(h, seq[at + k])
+    return h
+
+
+def _windows(depth: int, shorter: list, contexts, events):
+    """Context and token of the windows whose context may be tried and whose shorter event is held.
+
+    ``shorter`` are filters of the nodes of the depths before: the shorter contexts of a window must pass them."""
 
     def cut(seq: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        context, _, at = gram_hashes(seq, row, depth)
-        follows = at + depth < len(seq)
-        follows[follows] = row[at[follows] + depth] == row[at[follows]]
-        context, at = context[follows], at[follows]
+        at = np.arange(depth, len(seq))  # places of the token
+        at = at[row[at] == row[at - depth]]
+        for k, nodes in enumerate(shorter, 1):
+            if k > 1:  # nearly every word is a node
+                at = at[nodes.value(node_key(_hash_at(seq, at - k, k)))]
+        context = _hash_at(seq, at - depth, depth)
         on = contexts.value(node_key(context))
         context, at = context[on], at[on]
-        shorter = np.zeros(len(at), np.uint64)
-        for k in range(1, depth + 1):
-            shorter = step(shorter, seq[at + k])
-        on = events.value(event_key(shorter))
-        return context[on], seq[at + depth][on]
+        on = events.value(event_key(_hash_at(seq, at - depth + 1, depth)))
+        return context[on], seq[at[on]]
 
     return cut
 
@@ -212,6 +237,7 @@ def fit(docs: DataFrame, scratch: Scratch, text: str = "text", min_count: int =
     events = seen.where(F.col("n") >= min_count).select(F.lit(0).cast("long").alias("s"), "w", "n", root.alias("p"))
     tried = events.where(F.col("w") != F.lit(int(END))).select(F.lit(0).cast("long").alias("parent"), "w", "n").unionByName(starts)
     tried = _arrow(tried, {"s": lambda c: step(np.uint64(0), c["w"])}, "parent bigint, w bigint, n bigint, s bigint").drop("w")
+    passed = []  # filters of the nodes, by depth
     for depth in range(1, max_depth + 1):
         tried = scratch.keep(tried.where(F.col("n") >= min_count), f"tried-{depth}")
         if tried.isEmpty():
@@ -219,7 +245,7 @@ def fit(docs: DataFrame, scratch: Scratch, text: str = "text", min_count: int =
         to_key = _arrow(tried.select("s"), {"key": lambda c: node_key(c["s"])}, "s bigint, key bigint").select("key")
         held_key = _arrow(events.select("s", "w"), {"key": lambda c: event_key(step(c["s"], c["w"]))}, "s bigint, w bigint, key bigint").select("key")
         sieves = [spark.sparkContext.broadcast(filter_of(k, filter_bits)) for k in (to_key, held_key)]
-        counted = _counted(rows, _windows(depth, *sieves), ["s", "w"], min_count)
+        counted = _counted(rows, _windows(depth, passed, *sieves), ["s", "w"], min_count)
         counted = counted.join(tried.withColumnRenamed("n", "c"), "s")
         before = events.select(F.col("s").alias("parent"), "w", F.col("p").alias("pp"))
         counted = scratch.keep(counted.join(before, ["parent", "w"]), f"counted-{depth}")
@@ -229,6 +255,8 @@ def fit(docs: DataFrame, scratch: Scratch, text: str = "text", min_count: int =
         if nodes.isEmpty():
             break
         model.depth = depth
+        node_keys = _arrow(nodes.select("s"), {"key": lambda c: node_key(c["s"])}, "s bigint, key bigint").select("key")
+        passed = [*passed, spark.sparkContext.broadcast(filter_of(node_keys, filter_bits))]
         own = F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("c")
         events = scratch.keep(counted.join(nodes.select("s", "g"), "s").withColumn("p", own + F.col("g") * F.col("pp")), f"events-{depth}")
         parts.append(_arrow(nodes.select("s", F.col("c").alias("n"), F.log10("g").alias("value")), {"key": lambda c: node_key(c["s"])},
@@ -242,6 +270,8 @@ def fit(docs: DataFrame, scratch: Scratch, text: str = "text", min_count: int =
                         "s bigint, w bigint, n bigint, parent bigint, longer bigint, shorter bigint")
         tried = longer.select(F.col("longer").alias("s"), F.col("shorter").alias("parent"), "n").join(
             nodes.select(F.col("s").alias("parent")), "parent", "left_semi").select("parent", "n", "s")
+    for nodes_of in passed:
+        nodes_of.destroy()
     entries = parts[0]
     for part in parts[1:]:
         entries = entries.unionByName(part)
@@ -261,20 +291,17 @@ def _nodes(counted: DataFrame, min_divergence: float, discount: float) -> DataFr
     return sums.where(F.col("d") + tail >= min_divergence).select("s", "c", (1.0 - F.col("own")).alias("g"))
 
 
-def _hot(entries: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """The count from which entries are broadcast, and their sorted keys and values: at most ``most``."""
+def _hot_count(tree: DataFrame, most: int) -> int:
+    """The least count from which at most ``most`` entries are held."""
     level = F.floor(F.log2("n") * 8).cast("int")
-    sizes = entries.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("n")).orderBy(F.desc("level")).collect()
+    sizes = tree.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("n")).orderBy(F.desc("level")).collect()
     least, held = 1 << 62, 0
-    for size in sizes:
+    for size in sizes:  # some 8 levels for each power of two
         held += size["m"]
         if held > most:
             break
         least = size["n"]
-    got = entries.where(F.col("n") >= least).select("key", "value").toArrow()
-    keys, values = got["key"].to_numpy(), got["value"].to_numpy()
-    order = np.argsort(keys)
-    return least, keys[order], values[order]
+    return least
 
 
 def _add(total: dict, kind: str, keys: np.ndarray, row: np.ndarray, hot_keys: np.ndarray, hot_values: np.ndarray,
@@ -291,12 +318,14 @@ def _add(total: dict, kind: str, keys: np.ndarray, row: np.ndarray, hot_keys: np
 
 
 def score(docs: DataFrame, model: Model, scratch: Scratch, id_col: str = "doc_id", text: str = "text", hot: int = HOT,
-          filter_bits: int = FILTER_BITS) -> DataFrame:
+          hot_share: float = HOT_SHARE, filter_bits: int = FILTER_BITS) -> DataFrame:
     """id, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities) of every row."""
     spark: SparkSession = docs.sparkSession
-    least, *table = _hot(model.entries, hot)
-    tree = model.entries.where(F.col("key").bitwiseAND(F.lit(1)) == 0)
-    shared = spark.sparkContext.broadcast((*table, filter_of(tree.select("key"), filter_bits)))
+    is_word: Column = F.col("key").bitwiseAND(F.lit(1)) == 1
+    tree = model.entries.where(~is_word)
+    often = F.col("n") >= F.when(is_word, F.lit(hot_share * model.n_tokens)).otherwise(F.lit(float(_hot_count(tree, hot))))
+    got = model.entries.where(often).select("key", "value").sort("key").toArrow()
+    shared = spark.sparkContext.broadcast((got["key"].to_numpy(), got["value"].to_numpy(), filter_of(tree.select("key"), filter_bits)))
     depth = model.depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,9 +343,7 @@ def score(docs: DataFrame, model: Model, scratch: Scratch, id_col: str = "doc_id
                     inside = context_at > 0
                     inside[inside] = row[context_at[inside] - 1] == row[context_at[inside]]
                     here, context_at, on_event = here[inside], context_at[inside] - 1, on_event[inside]
-                    context = np.zeros(len(here), np.uint64)
-                    for k in range(d):
-                        context = step(context, seq[context_at + k])
+                    context = _hash_at(seq, context_at, d)
                     keys = node_key(context)
                     on = in_tree(keys)
                     here, context_at, on_event, context, keys = here[on], context_at[on], on_event[on], context[on], keys[on]
@@ -340,9 +367,8 @@ def score(docs: DataFrame, model: Model, scratch: Scratch, id_col: str = "doc_id
     parts = scratch.keep(rows.mapInArrow(
         run, f"id {rows.schema['id'].dataType.simpleString()}, row bigint, n_tokens bigint, often bigint, base double, own double, "
         "keys array<bigint>"), "partial")
-    rest = model.entries.where(F.col("n") < least).select("key", "value")
+    rest = model.entries.where(~often).select("key", "value")
     looked = parts.select("row", F.explode("keys").alias("key")).join(rest, "key", "left")
-    is_word: Column = F.col("key").bitwiseAND(F.lit(1)) == 1
     value = F.coalesce("value", F.when(is_word, -math.log10(model.floor)).otherwise(0.0))
     sums = looked.groupBy("row").agg(
         F.sum(value).alias("tree"), F.sum(F.when(is_word, value).otherwise(0.0)).alias("words"),

@@ -183,8 +183,8 @@ def test_tree_equals_a_dictionary_model(spark):
         model = suffix_tree_lm.fit(df, Scratch(spark), min_count=least, min_divergence=gap, max_depth=depth)
         assert model.depth == max(map(len, want.nodes)) >= 2
         assert model.entries.count() == len(want.counts) + len(want.nodes) + sum(len(own) for own, _ in want.nodes.values())
-        for hot, bits in [(10**6, 1 << 20), (0, 1 << 20), (30, 64)]:
-            got = {r.doc_id: r for r in suffix_tree_lm.score(asked, model, Scratch(spark), hot=hot, filter_bits=bits).collect()}
+        for hot, share, bits in [(10**6, 0.0, 1 << 20), (0, 2.0, 1 << 20), (30, 0.01, 64)]:
+            got = {r.doc_id: r for r in suffix_tree_lm.score(asked, model, Scratch(spark), hot=hot, hot_share=share, filter_bits=bits).collect()}
             for k, t in enumerate(tried):
                 assert abs(got[k].score - want.score(t)) < 1e-9
                 assert got[k].n_known == sum(w in want.counts for w in [*t.encode().lower().split(), ">"])
