@@ -18,7 +18,7 @@ from rarebird.session import checkpoint_dir
 SPACE = "[\\x20\\x09-\\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: bytes of text that one vectorised step works on (a longer text is a step of its own)
-STEP_BYTES = 2_000_000
+STEP_BYTES = 500_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)

@@ -94,3 +94,15 @@ def test_dealt_anchor_and_piece_edges(spark, monkeypatch):
     long = np.frombuffer((word(300) + common + word(500) + common + word(80)).encode(), np.uint8)
     hashes, _, place, before, count = suffix_dedup.anchors(long)
     assert count.sum() == len(long) - 99 and (place - before >= 0).all()
+
+
+def test_a_step_of_a_task_holds_half_a_megabyte_of_text():
+    """The arrays of a step are some dozens of bytes a byte of text: small steps keep workers small and in cache."""
+    import pyarrow as pa
+
+    from rarebird.llm.common import steps
+
+    batch = pa.RecordBatch.from_arrays([pa.array([b"x" * 100_000] * 30 + [b"y" * 900_000])], ["text"])
+    parts = [part.column("text").to_pylist() for part in steps(batch)]
+    assert sum(parts, []) == batch.column("text").to_pylist()
+    assert all(sum(map(len, p)) <= 500_000 or len(p) == 1 for p in parts)
