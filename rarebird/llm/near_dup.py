@@ -217,7 +217,7 @@ def _cells(threshold: float):
             sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(table.num_rows, -1)
             keys = [np.frombuffer(x.as_buffer(), _U) for x in table["keys"]]
             links = meet(table["p"].to_numpy(), table["main"].to_numpy().astype(bool), table["n"].to_numpy(), sig, keys, table["no"][0].as_py(), threshold)
-            ids = table["id"].combine_chunks()
+            ids = table["component"].combine_chunks()
             return pa.RecordBatch.from_arrays([ids.take(pa.array([k for k, _ in links], pa.int64())), ids.take(pa.array([k for _, k in links], pa.int64()))], ["a", "b"])
 
         for batch in batches:
@@ -299,15 +299,19 @@ def _classes(docs: DataFrame, id_col: str, text: str, threshold: float) -> DataF
     cells = F.when(F.col("main"), F.transform(upto("ns"), lambda s: cell("m", s, F.col("own")))).otherwise(F.concat(
         F.transform(upto("nm"), lambda m: cell("m", F.col("own"), m)),
         F.transform(upto("ns"), lambda t: cell("s", F.least("own", t), F.greatest("own", t)))))
-    dealt = dealt.withColumn("own", own).select("id", "no", "n", "w", F.xxhash64("p").alias("p"), "main", F.explode(cells).alias("cell"))
+    dealt = dealt.withColumn("own", own).select("id", "no", "n", "w", F.col("p").alias("component"), F.xxhash64("p").alias("p"), "main", F.explode(cells).alias("cell"))
     dealt = dealt.join(signs, "id").join(payload, "id")
-    inside = dealt.repartition("cell").sortWithinPartitions("cell").select("cell", "no", "id", "n", "w", "p", "main", "sig", "keys")
+    inside = dealt.repartition("cell").sortWithinPartitions("cell").select("cell", "no", "component", "n", "w", "p", "main", "sig", "keys")
     more = scratch.keep(inside.mapInArrow(_cells(threshold), f"a {id_type}, b {id_type}"), "stray-links")
-    for name in ("members", "signs", "payload", "centre", "star-part", "torn"):
+    for name in ("members", "signs", "payload", "centre", "star-links", "torn"):
         scratch.drop(name)
-    part = _components(links.union(more), scratch, "all")
-    scratch.drop("star-links")
-    scratch.drop("stray-links")
+    if not more.isEmpty():  # the components that the cells' links join
+        joined = _components(more, scratch, "joined").select("node", F.col("component").alias("whole"))
+        part = part.withColumnRenamed("node", "of").join(joined, F.col("component") == F.col("node"), "left").select(
+            F.col("of").alias("node"), F.coalesce("whole", "component", "of").alias("component"))
+        scratch.drop("stray-links")
+        # strays without a link in the star are components too, known to the cells only
+        part = part.union(joined.select("node", F.col("whole").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
     return member_of.join(part, F.col("rep") == F.col("node"), "left").groupBy("id").agg(
         F.min(F.coalesce("component", "rep")).alias("class"))
 

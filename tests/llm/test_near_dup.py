@@ -162,3 +162,29 @@ def test_components(spark, edges):
     df = spark.createDataFrame(edges, "a bigint, b bigint")
     got = {r.node: r.component for r in connected_components(df, Scratch(spark)).collect()}
     assert got == parent
+
+
+def test_rounds_of_components_go_by_links_and_end_with_stars(spark, monkeypatch):
+    """A star takes no round; a round's tables have no more files than cores, at any number of shuffle partitions."""
+    kept = {}
+
+    class Counting(Scratch):
+        def keep(self, df, name):
+            kept[name] = df.rdd.getNumPartitions()
+            return super().keep(df, name)
+
+    star = spark.createDataFrame([(k, 1) for k in range(2, 50)], "a bigint, b bigint")
+    got = {r.node: r.component for r in connected_components(star, Counting(spark)).collect()}
+    assert got == dict.fromkeys(range(1, 50), 1) and list(kept) == ["cc-0"]
+    monkeypatch.setattr("rarebird.llm.components.LINKS_A_TASK", 10**9)
+    path = spark.createDataFrame([(k, k + 1) for k in range(40)] * 3 + [(7, k) for k in range(40)] * 3, "a bigint, b bigint")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 64)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.node: r.component for r in connected_components(path, Counting(spark)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == dict.fromkeys(range(41), 0)
+    assert len(kept) > 2 and all(n <= spark.sparkContext.defaultParallelism for name, n in kept.items() if name != "cc-0")
