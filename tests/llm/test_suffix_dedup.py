@@ -106,3 +106,25 @@ def test_a_step_of_a_task_holds_half_a_megabyte_of_text():
     parts = [part.column("text").to_pylist() for part in steps(batch)]
     assert sum(parts, []) == batch.column("text").to_pylist()
     assert all(sum(map(len, p)) <= 500_000 or len(p) == 1 for p in parts)
+
+
+def test_equal_parts_meet_the_suffix_array_once(monkeypatch, spark):
+    """Of parts that are equal after trimming one goes into the array, and repeats go on as ranges."""
+    rng = np.random.default_rng(9)
+    word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    common = word(400)
+    texts = {k: word(150) + common + word(150) for k in range(6)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert run(df) == brute(texts)
+    scratch = suffix_dedup.Scratch(spark)
+    kept = {}
+    monkeypatch.setattr(scratch, "keep", lambda t, name: kept.setdefault(name, suffix_dedup.Scratch.keep(scratch, t, name)))
+    suffix_dedup.find_repeats(df.selectExpr("doc_id as id", "cast(text as binary) as text"), scratch)
+    rows = kept["compared"].collect()
+    covered = sum(r.until - r.offset + 1 for r in rows)
+    assert covered > 3 * len(rows) > 0
+    parts = [b"same", b"other", b"same", b"same"]
+    assert suffix_dedup.first_of_equals(parts, [(3, 0, 0), (1, 0, 0), (2, 0, 5), (2, 0, 7)]) == ([2, 1], [0, 3])
+    owner, first, last = suffix_dedup.ranges(np.array([1, 0, 1, 1, 0]), np.array([5, 2, 4, 8, 3]))
+    assert list(zip(owner.tolist(), first.tolist(), last.tolist(), strict=True)) == [(0, 2, 3), (1, 4, 5), (1, 8, 8)]
+    assert [len(x) for x in suffix_dedup.ranges(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [0, 0, 0]
