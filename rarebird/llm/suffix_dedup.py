@@ -48,6 +48,8 @@ LENGTH = 100
 GRAM = 20
 #: windows that one vectorised step looks at
 PIECE = 1 << 20
+#: bytes of short documents whose anchors are found in one step
+TOGETHER = 1 << 15
 #: stretches of one anchor that are compared in one place; more are dealt out in parts of a fifth of this
 BLOCK = 10_000
 #: bytes that one suffix array holds, if no single block has more
@@ -63,35 +65,50 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     """(anchor hash, stretch hash, anchor place, windows before the anchor, number of windows) of one
     document; the order of equal hash bits is that of place, so it is decided inside the window alone."""
     parts = []
-    span = length - gram + 1  # gram starts in a window
     for begin in range(0, max(len(data) - length + 1, 0), PIECE):
         piece = data[begin : begin + PIECE + length - 1]
-        up, down = _powers(len(piece) + 1)
-        total = np.zeros(len(piece) + 1, _U)
-        np.cumsum((piece.astype(_U) + _U(1)) * up[: len(piece)], out=total[1:])
-        n = len(piece) - gram + 1
-        grams = mix((total[gram:] - total[:-gram]) * down[:n])
-        keys = (grams & ~_LOW) | np.arange(n, dtype=_U)
-        # least key of every `span` neighbours, by minima from block starts and to block ends
-        windows = n - span + 1
-        padded = np.full(-(-n // span) * span, np.iinfo(_U).max, _U)
-        padded[:n] = keys
-        blocks = padded.reshape(-1, span)
-        ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-        behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-        place = (np.minimum(behind[:windows], ahead[span - 1 : span - 1 + windows]) & _LOW).astype(np.int64)
-        first = np.flatnonzero(np.diff(place, prepend=-1))
-        count = np.diff(np.append(first, windows))
-        at = place[first]
-        end = first + count - 1 + length
-        stretch = mix((total[end] - total[first]) * down[first] + count.astype(_U) * _BASE)
-        stretch = mix(stretch ^ mix((at - first).astype(_U) + _U(1)))
-        parts.append((grams[at], stretch, at + begin, at - first, count))
+        _, anchor, stretch, place, before, count = anchors_of_all(piece, np.array([0, len(piece)]), length, gram)
+        parts.append((anchor, stretch, place + begin, before, count))
     if not parts:
         return tuple(np.zeros(0, k) for k in (_U, _U, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
+def anchors_of_all(data: np.ndarray, edges: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Number of the document and ``anchors`` of documents that lie end to end, cut at ``edges``; in one step over all
+    bytes. Windows across an edge are left out, and no other window sees what lies beyond one."""
+    if len(data) < length:
+        return tuple(np.zeros(0, k) for k in (np.int64, _U, _U, np.int64, np.int64, np.int64))
+    span = length - gram + 1  # gram starts in a window
+    up, down = _powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, _U)
+    np.cumsum((data.astype(_U) + _U(1)) * up[: len(data)], out=total[1:])
+    n = len(data) - gram + 1
+    grams = mix((total[gram:] - total[:-gram]) * down[:n])
+    # least key of every `span` neighbours, by minima from block starts and to block ends
+    windows = n - span + 1
+    padded = np.full(-(-n // span) * span, np.iinfo(_U).max, _U)
+    padded[:n] = (grams & ~_LOW) | np.arange(n, dtype=_U)
+    blocks = padded.reshape(-1, span)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    place = (np.minimum(behind[:windows], ahead[span - 1 : span - 1 + windows]) & _LOW).astype(np.int64)
+    long = np.flatnonzero(np.diff(edges) >= length)
+    inside = np.zeros(len(data) + 1, np.int8)  # windows that end in the document they start in
+    inside[edges[long]] += 1
+    inside[edges[long + 1] - length + 1] -= 1
+    start = np.flatnonzero(np.cumsum(inside, dtype=np.int8)[:windows])
+    place = place[start]
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    count = np.diff(np.append(first, len(place)))
+    at, first = place[first], start[first]
+    end = first + count - 1 + length
+    stretch = mix((total[end] - total[first]) * down[first] + count.astype(_U) * _BASE)
+    stretch = mix(stretch ^ mix((at - first).astype(_U) + _U(1)))
+    row = np.searchsorted(edges, first, side="right") - 1
+    return row, grams[at], stretch, at - edges[row], at - first, count
+
+
 def repeated_windows(stretches: list[bytes], places: list[tuple[int, int, int]], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(stretch, offset, repeat) of every window of the given stretches; ``repeat``: an equal window
     starts earlier among them. ``places``: (id, digest, start) of each stretch, whose windows are its own."""
@@ -191,9 +208,19 @@ def _occurrences(rows: DataFrame, length: int) -> DataFrame:
         for whole in batches:
             for part in steps(whole):
                 data, offsets = byte_buffer(part.column("text"))
-                found = [anchors(data[a:b], length) for a, b in zip(offsets, offsets[1:], strict=False)]
-                ids, digs = (np.repeat(part.column(c).to_numpy(), [len(f[0]) for f in found]) for c in ("id", "dig"))
-                anchor, stretch, place, before, count = (np.concatenate(x) for x in zip(*found, strict=True))
+                found, k = [], 0
+                while k < part.num_rows:  # short documents together, as many as stay in a core's cache
+                    end = max(k + 1, int(np.searchsorted(offsets, offsets[k] + TOGETHER, side="right")) - 1)
+                    own = data[offsets[k] : offsets[end]]
+                    if end == k + 1:
+                        more = anchors(own, length)
+                        found.append((np.full(len(more[0]), k), *more))
+                    else:
+                        row, *more = anchors_of_all(own, offsets[k : end + 1] - offsets[k], length)
+                        found.append((row + k, *more))
+                    k = end
+                row, anchor, stretch, place, before, count = (np.concatenate(x) for x in zip(*found, strict=True))
+                ids, digs = (part.column(c).to_numpy()[row] for c in ("id", "dig"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64)), pa.array(ids), pa.array(digs), pa.array(_pack(place, before, count))],
                     ["anchor", "stretch", "id", "dig", "at"])

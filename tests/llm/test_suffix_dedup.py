@@ -128,3 +128,18 @@ def test_equal_parts_meet_the_suffix_array_once(monkeypatch, spark):
     owner, first, last = suffix_dedup.ranges(np.array([1, 0, 1, 1, 0]), np.array([5, 2, 4, 8, 3]))
     assert list(zip(owner.tolist(), first.tolist(), last.tolist(), strict=True)) == [(0, 2, 3), (1, 4, 5), (1, 8, 8)]
     assert [len(x) for x in suffix_dedup.ranges(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [0, 0, 0]
+
+
+def test_anchors_of_documents_end_to_end():
+    """One step over many documents gives what each gives alone, as before documents were taken together."""
+    rng = np.random.default_rng(11)
+    docs_ = [rng.integers(97, 100, int(n)).astype(np.uint8) for n in [0, 99, 100, 101, 0, 350, 5, 1200, 100, 0]] + [np.full(240, 120, np.uint8)] * 2 + [np.zeros(0, np.uint8)]
+    edges = np.concatenate([[0], np.cumsum([len(d) for d in docs_])])
+    got = suffix_dedup.anchors_of_all(np.concatenate(docs_), edges)
+    for k, doc in enumerate(docs_):
+        alone = suffix_dedup.anchors(doc)
+        assert [x[got[0] == k].tolist() for x in got[1:]] == [x.tolist() for x in alone]
+        for at, before, count in zip(*(x.tolist() for x in alone[2:]), strict=True):
+            assert 0 <= before <= 80 and 1 <= count <= 81 and at - before + count - 1 + 100 <= len(doc)
+        assert alone[4].sum() == max(0, len(doc) - 99)
+    assert [len(x) for x in suffix_dedup.anchors_of_all(np.zeros(0, np.uint8), np.array([0, 0]))] == [0] * 6
