@@ -6,6 +6,8 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rarebird.llm import mixing, queries, suffix_tree_lm
@@ -203,6 +205,63 @@ def test_tree_grows_with_the_corpus(spark):
     assert once.depth >= 3
 
 
+def shuffle_bytes(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(k) for k in range(files.size())]
+    return sum(f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data"))
+
+
+def test_fit_and_score_leave_no_shuffle_files(spark):
+    """A level's shuffle is gone before the next one is written, and the session's setting is as it was."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    before, scratch = shuffle_bytes(spark), Scratch(spark)
+    model = suffix_tree_lm.fit(docs, scratch, min_count=4, max_depth=3)
+    left = shuffle_bytes(spark) - before
+    assert model.depth == 3 and left < 500_000, left  # what the filters and counts shuffled; all levels: 1.7 MB
+    assert spark.conf.get(suffix_tree_lm.CLEANUP, None) is None
+
+
+def test_packed_windows_keep_every_tuple():
+    """Buckets of packed tuples add up to the plain counts, also where the sorted bits agree."""
+    draw = np.random.default_rng(3)
+    s = draw.integers(0, 50, 300_000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    w = draw.integers(0, 400, 300_000).astype(np.uint64) << np.uint64(20)  # the sorted bits of all tokens are 0
+    want = Counter(zip(s.tolist(), w.tolist(), strict=True))
+    for columns, buckets in [([s, w], 1), ([s, w], 37), ([s, w], 5000), ([s], 256)]:
+        got, seen = Counter(), {}
+        for bucket, *packed, n in suffix_tree_lm._packed(list(columns), buckets):
+            for b, count, *values in zip(bucket.to_pylist(), n.to_pylist(), *[p.to_pylist() for p in packed], strict=True):
+                values = [np.frombuffer(v, np.uint64).tolist() for v in values]
+                for key, m in zip(zip(*values, strict=True), np.frombuffer(count, np.uint32).tolist(), strict=True):
+                    got[key] += m
+                    assert 0 <= b < buckets and seen.setdefault(key, b) == b
+        assert got == (want if len(columns) == 2 else Counter(zip(s.tolist(), strict=True)))
+
+
+def test_word_codes_go_by_the_whole_word():
+    words = [b"a", b"b", b"a" * 8, b"a" * 9, b"a" * 16, b"a\x00", b"x" * 511 + b"y", b"x" * 512, b"x" * 513, b"x" * 600 + b"y", b"x" * 601]
+    seen = {}
+    for pad in range(9):
+        text = b" " * pad + b" ".join(words + words[::-1])
+        seq, row = suffix_tree_lm.tokens(pa.array([text, text.upper(), b""], pa.binary()))
+        assert len(seq) == 4 * len(words) + 6 and row.tolist() == sorted(row.tolist())
+        for code, word in zip(seq[1 : 1 + 2 * len(words)].tolist(), words + words[::-1], strict=True):
+            assert seen.setdefault(word, code) == code
+        assert seq[: 2 * len(words) + 2].tolist() == seq[2 * len(words) + 2 : -2].tolist()
+    assert len(set(seen.values())) == len(words)
+
+
+def test_values_are_found_by_their_key():
+    draw = np.random.default_rng(4)
+    for n in (0, 1, 5, 10_000):
+        keys = np.unique(draw.integers(-(1 << 63), 1 << 63, n))
+        held = suffix_tree_lm.Values(keys, np.arange(len(keys)) + 0.5)
+        asked = np.concatenate([keys, draw.integers(-(1 << 63), 1 << 63, 1000), np.array([0, -1, 1 << 62, -(1 << 63)])])
+        want = dict(zip(keys.tolist(), np.arange(len(keys)) + 0.5, strict=True))
+        found, value = held(asked)
+        assert found.tolist() == [k in want for k in asked.tolist()] and value.tolist() == [want.get(k, 0.0) for k in asked.tolist()]
+
+
 def test_lm_edges(spark, edge, empty):
     scratch = Scratch(spark)
     model = suffix_tree_lm.fit(edge, scratch)
