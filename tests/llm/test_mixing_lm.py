@@ -211,14 +211,16 @@ def shuffle_bytes(spark):
     return sum(f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data"))
 
 
-def test_fit_and_score_leave_no_shuffle_files(spark):
-    """A level's shuffle is gone before the next one is written, and the session's setting is as it was."""
+def test_fit_leaves_only_its_entries(spark):
+    """A level's shuffle and tables go, and the session's setting is as it was."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     before, scratch = shuffle_bytes(spark), Scratch(spark)
     model = suffix_tree_lm.fit(docs, scratch, min_count=4, max_depth=3)
     left = shuffle_bytes(spark) - before
-    assert model.depth == 3 and left < 500_000, left  # what the filters and counts shuffled; all levels: 1.7 MB
+    assert model.depth == 3 and left < 500_000, left  # small ones of filters and counts remain
     assert spark.conf.get(suffix_tree_lm.CLEANUP, None) is None
+    kept = scratch._fs(scratch.root).listStatus(scratch._path(scratch.root))
+    assert [f.getPath().getName() for f in kept] == ["entries"]
 
 
 def test_packed_windows_keep_every_tuple():
